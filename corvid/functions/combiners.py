@@ -59,6 +59,14 @@ def array_plus(col: str, width: int) -> Combiner:
     return Combiner("array_plus", (col,), build)
 
 
+def together(*combiners: Combiner) -> Combiner:
+    """Several combiners over disjoint payload columns, applied in one aggregate."""
+    cols = tuple(c for cb in combiners for c in cb.columns)
+    return Combiner("+".join(cb.name for cb in combiners), cols,
+                    lambda df: [a for cb in combiners for a in cb.aggs(df)],
+                    python=any(cb.python for cb in combiners))
+
+
 def array_width(df: DataFrame, col: str) -> int:
     """Width of an array column, for :func:`array_plus` when the caller does not know it."""
     r = df.agg(F.max(F.size(col)).alias("w")).first()
