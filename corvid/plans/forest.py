@@ -79,7 +79,9 @@ def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, ma
         else:
             dec = base.withColumn("feature", F.lit(None).cast(ftype))
             leaf = F.lit(True)
-        decided = persist(dec.select("tree", "node", F.lit(depth).alias("depth"),
+        # Each level reads the assignment several times (totals, scores, routing); cutting
+        # the lineage of every level's outputs keeps the plans flat instead of nesting them.
+        decided = cut_lineage(dec.select("tree", "node", F.lit(depth).alias("depth"),
                                      F.when(~leaf, F.col("feature")).alias("feature"),
                                      leaf.alias("is_leaf"),
                                      F.when(leaf, F.col("maj")).cast("int").alias("prediction")))
@@ -88,13 +90,13 @@ def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, ma
         if depth == max_depth or splits.isEmpty():
             break
         nxt = fo.route(assignment, wpost, splits)
-        nxt = persist(cut_lineage(nxt) if depth % 3 == 2 else nxt)
+        nxt = persist(cut_lineage(nxt))
         # A child that received no example is a leaf predicting 1 (empty data's majority).
         children = splits.select("tree", F.explode(F.array(F.col("node") * 2, F.col("node") * 2 + 1)).alias("node"))
         empty = children.join(nxt.select("tree", "node").distinct(), ["tree", "node"], "left_anti").select(
             "tree", "node", F.lit(depth + 1).alias("depth"), F.lit(None).cast(ftype).alias("feature"),
             F.lit(True).alias("is_leaf"), F.lit(1).alias("prediction"))
-        levels.append(persist(empty))
+        levels.append(cut_lineage(empty))
         assignment.unpersist()
         assignment = nxt
 
@@ -107,8 +109,6 @@ def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, ma
         nodes = nodes.select(F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))).alias("tree"),
                              "node", "depth", "feature", "is_leaf", "prediction")
     nodes = persist(cut_lineage(nodes))
-    for lv in levels:
-        lv.unpersist()
     assignment.unpersist()
     wpost.unpersist()
     return ForestModel(nodes, num_trees, max_depth, identical)
@@ -124,7 +124,7 @@ def predict(model: ForestModel, examples: DataFrame, postings: DataFrame, per_tr
     if model.identical:
         nodes = nodes.filter(F.col("tree") == 0)
     nodes = F.broadcast(nodes.select("tree", "node", "feature", "is_leaf", "prediction"))
-    flag = postings.select("example", "feature").distinct().withColumn("_has", F.lit(True))
+    flag = persist(postings.select("example", "feature").distinct().withColumn("_has", F.lit(True)))
     cur = examples.select(F.col("example").cast("bigint"))
     last_tree = 0 if model.identical else model.num_trees - 1
     cur = cur.select(F.explode(F.sequence(F.lit(0), F.lit(last_tree))).alias("tree"), "example")
@@ -134,8 +134,8 @@ def predict(model: ForestModel, examples: DataFrame, postings: DataFrame, per_tr
         at = cur.join(nodes, ["tree", "node"])
         done.append(at.filter(F.col("is_leaf")).select("tree", "example", "prediction"))
         inner = at.filter(~F.col("is_leaf")).join(flag, ["example", "feature"], "left")
-        cur = persist(inner.select("tree", "example", F.when(F.col("_has"), F.col("node") * 2)
-                                   .otherwise(F.col("node") * 2 + 1).alias("node")))
+        cur = cut_lineage(inner.select("tree", "example", F.when(F.col("_has"), F.col("node") * 2)
+                                       .otherwise(F.col("node") * 2 + 1).alias("node")))
     preds = done[0]
     for d in done[1:]:
         preds = preds.unionByName(d)
