@@ -187,8 +187,10 @@ def pull(local: DataFrame, global_: DataFrame, key: str, combiner: Combiner | No
     both = local.select(*groups, *payload, F.lit(0).alias("_g")).unionByName(fetched)
     out = both.groupBy(*groups).agg(*(combiner.aggs(both) if combiner else []), F.max("_g").alias("_g"))
     if on_missing == "error":
-        out = out.withColumn("_g", F.when(F.col("_g") == 1, F.col("_g")).otherwise(
-            F.raise_error(F.concat(F.lit("pull: id missing from the global table: "), F.col(key).cast("string")))))
+        # The check guards the payload itself, so no projection can prune it away.
+        fail = F.raise_error(F.concat(F.lit("pull: id missing from the global table: "), F.col(key).cast("string")))
+        out = out.select(*groups, *[F.when(F.col("_g") == 1, F.col(c)).otherwise(fail.cast(t)).alias(c)
+                                    for c, t in out.dtypes if c not in groups and c != "_g"])
     return out.drop("_g")
 
 

@@ -1,5 +1,3 @@
-import os
-
 import pytest
 
 from conftest import SF
@@ -68,7 +66,9 @@ def test_stream_and_batch_routing_agree(spark, tmp_path):
     batch = sorted(tuple(r) for r in route(_events(spark, spark.read.parquet(src)), 4)
                    .select("event_id", "recipient").collect())
     schema = spark.read.parquet(src).schema
-    stream = _events(spark, spark.readStream.schema(schema).parquet(os.path.dirname(src) + "/events.parquet"))
+    # A file stream watches a folder: stage the table's rows as one.
+    spark.read.parquet(src).write.parquet(str(tmp_path / "in"))
+    stream = _events(spark, spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
     q = start_routing(stream, 4, str(tmp_path / "ckpt"), str(tmp_path / "out"))
     q.awaitTermination(120)
     streamed = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("event_id", "recipient").collect())
