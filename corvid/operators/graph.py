@@ -22,6 +22,17 @@ def out_degree(adj: DataFrame, duplicates: str = "bag") -> DataFrame:
     return adj.select("src", size.cast("long").alias("out_degree"))
 
 
+def out_degree_edges(edge_list: DataFrame) -> DataFrame:
+    """P2 on a flat edge list: ``bag`` counts every link, ``set`` distinct targets."""
+    return edge_list.groupBy("src").agg(F.count(F.lit(1)).alias("bag"), F.countDistinct("dst").alias("set"))
+
+
+def dangling_pages(edge_list: DataFrame, n_pages: int) -> DataFrame:
+    """P3 (which pages): pages 0..n_pages-1 without an out-link (anti join)."""
+    pages = edge_list.sparkSession.range(n_pages).select(F.col("id").cast("int").alias("page"))
+    return pages.join(edge_list.select(F.col("src").alias("page")), "page", "left_anti")
+
+
 def in_degree(edge_list: DataFrame) -> DataFrame:
     """One increment per incoming edge, i.e. the in-degree (partial counts are
     combined map-side before the shuffle, so a hot target costs one row per task)."""

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvid.functions.combiners import array_plus, plus, together
@@ -36,6 +36,9 @@ FOREST_DEPTH = 2
 TOKEN_SPLIT = r"[ \t\n\r]+"
 EMBED_DIM = 64
 K_CENTRES = 10
+KM_ROUNDS = 3
+PR_DELTA = 1e-9         # convergence threshold of the converging PageRank query
+PR_MAX_ROUNDS = 60
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +74,37 @@ def q_pagerank_top(spark, sf_dir):
     return r.select("page", F.round("rank", 10).alias("rank"))
 
 
+def q_pagerank_seq(spark, sf_dir):
+    """I2 rules (teleport (1-d)/M, float start, page M gets no dangling mass), ten
+    parallel rounds."""
+    links, _, n = _link_graph(spark, sf_dir)
+    g = pagerank.prepare_edges(links, n, distinct=False, rules="sequential")
+    r = pagerank.pagerank(g, damping=DAMPING, delta=-1.0, max_rounds=PR_ROUNDS).ranks
+    return r.select("page", F.round("rank", 10).alias("rank"))
+
+
+def q_pagerank_converge(spark, sf_dir):
+    """I1 + G30: rounds until no rank moves more than PR_DELTA, the last change, and the
+    rank total of the result."""
+    links, _, n = _link_graph(spark, sf_dir)
+    res = pagerank.pagerank(pagerank.prepare_edges(links, n, distinct=False), damping=DAMPING,
+                            delta=PR_DELTA, max_rounds=PR_MAX_ROUNDS)
+    return res.ranks.agg(F.lit(res.rounds).alias("rounds"), F.round(F.lit(res.max_change), 13).alias("max_change"),
+                         F.round(F.sum("rank"), 12).alias("rank_sum"))
+
+
+def q_out_degree_bag_set(spark, sf_dir):
+    """P2 both ways over the raw (repeating) supplier -> part links of lineitem."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("int").alias("src"),
+                                                 F.col("l_partkey").cast("int").alias("dst"))
+    return graph.out_degree_edges(li).select(F.col("src").alias("page"), "bag", "set")
+
+
+def q_dangling_pages(spark, sf_dir):
+    links, _, n = _link_graph(spark, sf_dir)
+    return graph.dangling_pages(links, n)
+
+
 def q_in_degree(spark, sf_dir):
     links, _, _ = _link_graph(spark, sf_dir)
     return graph.in_degree(links).select(F.col("dst").alias("page"), "in_degree")
@@ -250,6 +284,17 @@ def _kmeans_inputs(spark, sf_dir):
     return e, centres
 
 
+def q_kmeans_rounds(spark, sf_dir):
+    """KM_ROUNDS full rounds from the ten lowest vec_id vectors; long form."""
+    e = _embeddings(spark, sf_dir)
+    starts = (e.orderBy("vec_id").limit(K_CENTRES)
+              .select((F.row_number().over(Window.orderBy("vec_id")) - 1).cast("int").alias("cid"),
+                      F.col("vec").alias("center"), F.lit(0).cast("bigint").alias("n")))
+    res = kmeans.kmeans(e.select(F.col("vec").alias("features")), starts, KM_ROUNDS)
+    return res.centroids.select("cid", "n", F.posexplode("center").alias("pos", "value")).select(
+        "cid", F.col("pos").cast("int").alias("pos"), F.round("value", 6).alias("value"), "n")
+
+
 def q_kmeans_assign(spark, sf_dir):
     e, centres = _kmeans_inputs(spark, sf_dir)
     a = kmeans.assign_nearest(e.select("vec_id", F.col("vec").alias("features")), centres)
@@ -311,12 +356,22 @@ def q_majority(spark, sf_dir):
                     fo.is_pure(F.col("pos"), F.col("n")).alias("pure"))
 
 
-def _forest_predictions(spark, sf_dir):
+def _forest_model(spark, sf_dir):
     lab, post = _doc_data(spark, sf_dir)
-    model = train_forest(lab, post, num_trees=3, max_depth=FOREST_DEPTH, subset=1 << 40)
+    return train_forest(lab, post, num_trees=3, max_depth=FOREST_DEPTH, subset=1 << 40), lab, post
+
+
+def _forest_predictions(spark, sf_dir):
+    model, lab, post = _forest_model(spark, sf_dir)
     return predict(model, lab.select("example"), post), lab
 
 
+def q_tree_size(spark, sf_dir):
+    """Mean number of nodes per tree (empty children count as leaves)."""
+    model, _, _ = _forest_model(spark, sf_dir)
+    return fo.mean_tree_size(model.nodes)
+
+
 def q_forest_predict(spark, sf_dir):
     p, _ = _forest_predictions(spark, sf_dir)
     return p.select("example", "prediction")
@@ -363,6 +418,10 @@ def q_stream_route(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pagerank_top": q_pagerank_top,
     "pagerank_all": q_pagerank_all,
+    "pagerank_seq": q_pagerank_seq,
+    "pagerank_converge": q_pagerank_converge,
+    "out_degree_bag_set": q_out_degree_bag_set,
+    "dangling_pages": q_dangling_pages,
     "in_degree": q_in_degree,
     "out_degree": q_out_degree,
     "graph_degrees": q_graph_degrees,
@@ -390,11 +449,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_assign": q_kmeans_assign,
     "kmeans_error": q_kmeans_error,
     "kmeans_1": q_kmeans_1,
+    "kmeans_rounds": q_kmeans_rounds,
     "split_scores": q_split_scores,
     "best_split": q_best_split,
     "majority": q_majority,
     "forest_predict": q_forest_predict,
     "accuracy": q_accuracy,
+    "tree_size": q_tree_size,
     "read_sparse_labeled": q_read_sparse_labeled,
     "stream_route": q_stream_route,
 }

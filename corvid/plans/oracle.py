@@ -12,25 +12,70 @@ _LINKS = (f"SELECT DISTINCT CAST(l_suppkey AS INTEGER) AS src, CAST({_S} + l_par
           "FROM lineitem")
 
 
-def pagerank_sql(rounds: int = C.PR_ROUNDS, d: float = C.DAMPING) -> str:
-    """MPI rules, exactly ``rounds`` rounds; the dangling mass is spread in closed form."""
+def _pagerank_ctes(rounds: int, d: float, rules: str = "mpi") -> list[str]:
+    """CTEs ``r0 .. r{rounds}`` of (page, deg, rank); the dangling mass in closed form."""
+    if rules == "mpi":
+        start, tele = "1.0 / nn.n", "(1 - {d}) / nn.n"
+        ddeg = lambda a: "(nn.n - 1)"
+        gets = lambda a: "TRUE"
+    else:  # sequential: pages 0..M with M = n - 1
+        start, tele = "CAST(CAST(1.0 AS FLOAT) / CAST(nn.n AS FLOAT) AS DOUBLE)", "(1 - {d}) / (nn.n - 1)"
+        ddeg = lambda a: f"(CASE WHEN {a}.page < nn.n - 1 THEN nn.n - 2 ELSE nn.n - 1 END)"
+        gets = lambda a: f"({a}.page < nn.n - 1)"
     parts = [
         f"links AS MATERIALIZED ({_LINKS})",
         "deg AS MATERIALIZED (SELECT src, count(*) AS deg FROM links GROUP BY src)",
         f"nn AS MATERIALIZED (SELECT CAST({_N} AS DOUBLE) AS n)",
-        "r0 AS MATERIALIZED (SELECT CAST(g.range AS INTEGER) AS page, deg.deg, 1.0 / nn.n AS rank "
+        f"r0 AS MATERIALIZED (SELECT CAST(g.range AS INTEGER) AS page, deg.deg, {start} AS rank "
         f"FROM nn, range(CAST({_N} AS BIGINT)) g LEFT JOIN deg ON deg.src = g.range)",
     ]
     for k in range(1, rounds + 1):
         p = f"r{k - 1}"
         parts.append(
             f"r{k} AS MATERIALIZED (SELECT p.page, p.deg, "
-            f"(1 - {d}) / nn.n + {d} * (coalesce(c.s, 0) + dw.v - CASE WHEN p.deg IS NULL THEN p.rank / (nn.n - 1) ELSE 0 END) AS rank "
+            f"{tele.format(d=d)} + {d} * (coalesce(c.s, 0) + CASE WHEN {gets('p')} THEN dw.v - "
+            f"CASE WHEN p.deg IS NULL THEN p.rank / {ddeg('p')} ELSE 0 END ELSE 0 END) AS rank "
             f"FROM {p} p CROSS JOIN nn "
             f"LEFT JOIN (SELECT l.dst, sum(q.rank / q.deg) AS s FROM links l JOIN {p} q ON q.page = l.src GROUP BY l.dst) c "
             f"ON c.dst = p.page "
-            f"CROSS JOIN (SELECT coalesce(sum(x.rank), 0) / ((SELECT n FROM nn) - 1) AS v FROM {p} x WHERE x.deg IS NULL) dw)")
-    return "WITH " + ",\n".join(parts) + f"\nSELECT page, round(rank, 10) AS rank FROM r{rounds}"
+            f"CROSS JOIN (SELECT coalesce(sum(x.rank / {ddeg('x')}), 0) AS v FROM {p} x, nn WHERE x.deg IS NULL) dw)")
+    return parts
+
+
+def pagerank_sql(rounds: int = C.PR_ROUNDS, d: float = C.DAMPING, rules: str = "mpi") -> str:
+    """Exactly ``rounds`` rounds under the MPI or the sequential rules."""
+    return ("WITH " + ",\n".join(_pagerank_ctes(rounds, d, rules))
+            + f"\nSELECT page, round(rank, 10) AS rank FROM r{rounds}")
+
+
+def pagerank_converge_sql(delta: float = C.PR_DELTA, max_rounds: int = C.PR_MAX_ROUNDS, d: float = C.DAMPING) -> str:
+    """MPI rules: the first round whose largest rank change is at most ``delta``."""
+    parts = _pagerank_ctes(max_rounds, d)
+    per_round = " UNION ALL ".join(
+        f"SELECT {k} AS k, (SELECT max(abs(a.rank - b.rank)) FROM r{k} a JOIN r{k - 1} b USING (page)) AS ch, "
+        f"(SELECT sum(rank) FROM r{k}) AS s" for k in range(1, max_rounds + 1))
+    parts.append(f"chs AS MATERIALIZED ({per_round})")
+    return ("WITH " + ",\n".join(parts) + "\nSELECT CAST(k AS INTEGER) AS rounds, round(ch, 13) AS max_change, "
+            f"round(s, 12) AS rank_sum FROM chs WHERE ch <= {delta!r} ORDER BY k LIMIT 1")
+
+
+def kmeans_rounds_sql(rounds: int = C.KM_ROUNDS) -> str:
+    """``rounds`` K-means rounds from the ten lowest vec_id vectors, long form."""
+    parts = [
+        "e AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings)",
+        "c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cid, vec AS center, "
+        f"CAST(0 AS BIGINT) AS n FROM (SELECT * FROM e ORDER BY vec_id LIMIT {C.K_CENTRES}))",
+    ]
+    for k in range(1, rounds + 1):
+        parts.append(
+            f"a{k} AS MATERIALIZED (SELECT vec_id, vec, cid FROM (SELECT e.vec_id, e.vec, c.cid, row_number() OVER "
+            f"(PARTITION BY e.vec_id ORDER BY list_distance(e.vec, c.center), c.cid) AS rn FROM e, c{k - 1} c) WHERE rn = 1)")
+        parts.append(
+            f"m{k} AS MATERIALIZED (SELECT cid, i, sum(v) / count(*) AS m, count(*) AS n FROM (SELECT cid, unnest(vec) AS v, "
+            f"unnest(generate_series(1, len(vec))) AS i FROM a{k}) GROUP BY cid, i)")
+        parts.append(f"c{k} AS MATERIALIZED (SELECT cid, list(m ORDER BY i) AS center, n FROM m{k} GROUP BY cid, n)")
+    return ("WITH " + ",\n".join(parts) + f"\nSELECT cid, CAST(i - 1 AS INTEGER) AS pos, round(m, 6) AS value, "
+            f"CAST(n AS BIGINT) AS n FROM m{rounds}")
 
 
 def forest_sql(depth: int = C.FOREST_DEPTH) -> str:
@@ -73,6 +118,11 @@ def forest_sql(depth: int = C.FOREST_DEPTH) -> str:
             f"THEN a.node * 2 ELSE a.node * 2 + 1 END AS node FROM a{k} a JOIN d{k} d USING (node) "
             f"LEFT JOIN post h ON h.example = a.example AND h.feature = d.feature WHERE NOT d.is_leaf)")
     parts.append("preds AS MATERIALIZED (" + " UNION ALL ".join(leaves) + ")")
+    # Node count: every node that received examples, plus empty children of split nodes.
+    counted = [f"SELECT count(*) AS c FROM ns{k}" for k in range(depth + 1)]
+    counted += [f"SELECT count(*) AS c FROM d{k} d, (VALUES (0), (1)) t(b) WHERE NOT d.is_leaf "
+                f"AND d.node * 2 + t.b NOT IN (SELECT node FROM ns{k + 1})" for k in range(depth)]
+    parts.append("tsize AS MATERIALIZED (SELECT CAST(sum(c) AS DOUBLE) AS mean_size FROM (" + " UNION ALL ".join(counted) + "))")
     return "WITH " + ",\n".join(parts)
 
 
@@ -119,6 +169,14 @@ def oracle_sql() -> dict[str, str]:
         "pagerank_top": pagerank_sql().replace(
             "\nSELECT page, round(rank, 10) AS rank FROM r10",
             "\nSELECT page, round(rank, 10) AS rank FROM r10 ORDER BY rank DESC, page LIMIT 10"),
+        "pagerank_seq": pagerank_sql(rules="sequential"),
+        "pagerank_converge": pagerank_converge_sql(),
+        "out_degree_bag_set": (
+            "SELECT CAST(l_suppkey AS INTEGER) AS page, count(*) AS bag, count(DISTINCT l_partkey) AS set "
+            "FROM lineitem GROUP BY 1"),
+        "dangling_pages": (
+            f"SELECT CAST(range AS INTEGER) AS page FROM range(CAST({_N} AS BIGINT)) "
+            f"WHERE range NOT IN (SELECT src FROM ({_LINKS}))"),
         "in_degree": f"SELECT dst AS page, count(*) AS in_degree FROM ({_LINKS}) GROUP BY dst",
         "out_degree": f"SELECT src AS page, count(*) AS out_degree FROM ({_LINKS}) GROUP BY src",
         "graph_degrees": (
@@ -199,6 +257,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT s.cid, CAST(i - 1 AS INTEGER) AS pos, round(sum(v) / n.n, 6) AS value, n.n FROM "
             "(SELECT cid, unnest(vec) AS v, unnest(generate_series(1, len(vec))) AS i FROM a) s JOIN n USING (cid) "
             "GROUP BY s.cid, i, n.n"),
+        "kmeans_rounds": kmeans_rounds_sql(),
+        "tree_size": fsql + "\nSELECT mean_size FROM tsize",
         "split_scores": _ROOT + ("SELECT feature, m, c, CASE WHEN score = -1e30 THEN score ELSE round(score, 9) END "
                                  "AS score FROM sc"),
         "best_split": _ROOT + ("SELECT feature, CASE WHEN score = -1e30 THEN score ELSE round(score, 9) END AS score FROM "
