@@ -170,7 +170,7 @@ def push(local: DataFrame, global_: DataFrame, key: str, combiner: Combiner | No
 
 
 def pull(local: DataFrame, global_: DataFrame, key: str, combiner: Combiner | None, owner: str | None = "owner",
-         on_missing: str = "error", use_bcast: bool | None = None) -> DataFrame:
+         on_missing: str = "error", use_bcast: bool | None = None, bcast_bytes: int = 64 << 20) -> DataFrame:
     """Every local row fetches the global row of its id and *adds* it (the local value
     is not replaced). A local id missing from the global table fails the job
     (``on_missing="error"``, as the reference) or keeps its local value (``"keep"``).
@@ -181,7 +181,7 @@ def pull(local: DataFrame, global_: DataFrame, key: str, combiner: Combiner | No
     groups = [key] + ([owner] if owner and owner in local.columns else [])
     payload = [c for c in local.columns if c not in groups]
     g = global_.select(key, *payload)
-    g = F.broadcast(g) if use_bcast else g
+    g = checked_broadcast(g, bcast_bytes) if use_bcast else g
     wanted = local.select(*groups).distinct()
     fetched = wanted.join(g, key, "inner").select(*groups, *payload, F.lit(1).alias("_g"))
     both = local.select(*groups, *payload, F.lit(0).alias("_g")).unionByName(fetched)
@@ -204,14 +204,12 @@ def join_to_static(dynamic: DataFrame, static: DataFrame, key: str, combiner: Co
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int, rows: int | None = None, row_bytes: int = 64) -> DataFrame:
-    """Hint a broadcast only when the side is provably small: from a known row count,
-    or else from the optimizer's size estimate (an upper bound for scans). Otherwise the
-    DataFrame is returned as is and Spark shuffles."""
-    if rows is not None:
-        size = rows * row_bytes
-    else:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if size <= max_bytes else df
+    """Hint a broadcast only when the side is provably small: ``rows`` (counted here
+    when not given) times an upper bound on the row size. Otherwise the DataFrame is
+    returned as is and Spark shuffles (or adaptive execution broadcasts it after
+    measuring it)."""
+    n = df.count() if rows is None else rows
+    return F.broadcast(df) if n * row_bytes <= max_bytes else df
 
 
 def _union(tables: Sequence[DataFrame] | DataFrame) -> DataFrame:

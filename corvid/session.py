@@ -40,16 +40,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local mode, where executors share the driver's disk, is a scratch folder created.
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="corvid-ckpt-")
     sc.setCheckpointDir(conf_dir)
-    return sc._jsc.sc().getCheckpointDir().get()
+    return sc.getCheckpointDir()
 
 
 def persist(df: DataFrame) -> DataFrame:

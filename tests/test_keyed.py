@@ -86,3 +86,11 @@ def test_graph_degrees(spark):
     e = spark.createDataFrame([(0, 1), (0, 2), (1, 2), (3, 2)], "src int, dst int")
     got = {r.vertex: (r.in_degree, r.out_degree) for r in graph_degrees(e).collect()}
     assert got == {0: (None, 2), 1: (1, 1), 2: (3, None), 3: (None, 1)}
+
+
+def test_checked_broadcast_and_broadcast_pull(spark):
+    small = spark.createDataFrame([(1, 5)], "id int, v int")
+    local = spark.createDataFrame([(1, 1)], "id int, v int")
+    assert keyed.pull(local, small, "id", plus("v"), use_bcast=True).first().v == 6
+    big = spark.range(1000).select(F.col("id").cast("int").alias("id"), F.lit(1).alias("v"))
+    assert keyed.checked_broadcast(big, 100) is big
