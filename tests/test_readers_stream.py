@@ -73,3 +73,29 @@ def test_stream_and_batch_routing_agree(spark, tmp_path):
     q.awaitTermination(120)
     streamed = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("event_id", "recipient").collect())
     assert streamed == batch and len(batch) > 0
+
+
+def test_rank_and_centroid_sinks(spark, tmp_path):
+    from corvid.sources.sinks import centroid_lines, write_centroids, write_ranks
+    ranks = spark.createDataFrame([(2, 0.25), (0, 0.5), (1, 0.25)], "page int, rank double")
+    write_ranks(ranks, str(tmp_path / "ranks"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "ranks")).collect()]
+    assert sorted(lines) == ["0\t0.5", "1\t0.25", "2\t0.25"]
+    cen = spark.createDataFrame([(1, [3.0, 4.5]), (0, [1.0, 2.0])], "cid int, center array<double>")
+    assert [r.value for r in centroid_lines(cen).collect()] == ["1.0\t2.0\t", "3.0\t4.5\t"]
+    write_centroids(cen, str(tmp_path / "cen"))
+    assert spark.read.text(str(tmp_path / "cen")).count() == 2
+
+
+def test_poll_reads_one_workers_deliveries(spark, tmp_path):
+    from corvid.streaming.route import poll
+    ev = spark.createDataFrame([(1, "COLLECTIVE", 0, 0, [1.0])],
+                               "event_id int, type string, source_id int, target_id int, body array<double>")
+    route(ev, 3).createOrReplaceTempView("routed_events")
+    assert [r.recipient for r in poll(spark, "routed_events", 2).collect()] == [2]
+
+
+def test_tree_ranges(spark):
+    from corvid.operators.forest import tree_ranges
+    got = [(r.tree, r.split) for r in tree_ranges(spark, 5, 2).orderBy("tree").collect()]
+    assert got == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 1)]
