@@ -79,9 +79,9 @@ def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, ma
         else:
             dec = base.withColumn("feature", F.lit(None).cast(ftype))
             leaf = F.lit(True)
-        # Each level reads the assignment several times (totals, scores, routing); cutting
-        # the lineage of every level's outputs keeps the plans flat instead of nesting them.
-        decided = cut_lineage(dec.select("tree", "node", F.lit(depth).alias("depth"),
+        # Each level reads the assignment several times (totals, scores, routing), so the
+        # routed assignment is checkpointed every level; what hangs off it stays shallow.
+        decided = persist(dec.select("tree", "node", F.lit(depth).alias("depth"),
                                      F.when(~leaf, F.col("feature")).alias("feature"),
                                      leaf.alias("is_leaf"),
                                      F.when(leaf, F.col("maj")).cast("int").alias("prediction")))
@@ -96,7 +96,7 @@ def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, ma
         empty = children.join(nxt.select("tree", "node").distinct(), ["tree", "node"], "left_anti").select(
             "tree", "node", F.lit(depth + 1).alias("depth"), F.lit(None).cast(ftype).alias("feature"),
             F.lit(True).alias("is_leaf"), F.lit(1).alias("prediction"))
-        levels.append(cut_lineage(empty))
+        levels.append(persist(empty))
         assignment.unpersist()
         assignment = nxt
 
@@ -127,18 +127,16 @@ def predict(model: ForestModel, examples: DataFrame, postings: DataFrame, per_tr
     flag = persist(postings.select("example", "feature").distinct().withColumn("_has", F.lit(True)))
     cur = examples.select(F.col("example").cast("bigint"))
     last_tree = 0 if model.identical else model.num_trees - 1
-    cur = cur.select(F.explode(F.sequence(F.lit(0), F.lit(last_tree))).alias("tree"), "example")
-    cur = cur.withColumn("node", F.lit(1).cast("bigint"))
-    done: list[DataFrame] = []
-    for _ in range(model.max_depth + 1):
-        at = cur.join(nodes, ["tree", "node"])
-        done.append(at.filter(F.col("is_leaf")).select("tree", "example", "prediction"))
-        inner = at.filter(~F.col("is_leaf")).join(flag, ["example", "feature"], "left")
-        cur = cut_lineage(inner.select("tree", "example", F.when(F.col("_has"), F.col("node") * 2)
-                                       .otherwise(F.col("node") * 2 + 1).alias("node")))
-    preds = done[0]
-    for d in done[1:]:
-        preds = preds.unionByName(d)
+    cur = cur.select(F.explode(F.sequence(F.lit(0), F.lit(last_tree))).alias("tree"), "example",
+                     F.lit(1).cast("bigint").alias("node"))
+    # One row per (tree, example) throughout: a row on a leaf stays there, a row on an
+    # inner node moves down; each level reads the previous one once, so the plan stays linear.
+    for _ in range(model.max_depth):
+        at = cur.join(nodes, ["tree", "node"]).join(flag, ["example", "feature"], "left")
+        step = F.when(F.col("is_leaf"), F.col("node")).when(F.col("_has"), F.col("node") * 2) \
+            .otherwise(F.col("node") * 2 + 1)
+        cur = at.select("tree", "example", step.alias("node"))
+    preds = cur.join(nodes, ["tree", "node"]).select("tree", "example", "prediction")
     if per_tree:
         return preds
     if model.identical:
