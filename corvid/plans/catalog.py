@@ -105,6 +105,12 @@ def q_dangling_pages(spark, sf_dir):
     return graph.dangling_pages(links, n)
 
 
+def q_top_ranks(spark, sf_dir):
+    """T1 over the sequential-rules ranks: the ten highest, ties by page."""
+    r = q_pagerank_seq(spark, sf_dir)
+    return graph.top_ranks(r, 10)
+
+
 def q_in_degree(spark, sf_dir):
     links, _, _ = _link_graph(spark, sf_dir)
     return graph.in_degree(links).select(F.col("dst").alias("page"), "in_degree")
@@ -326,10 +332,10 @@ def _doc_data(spark, sf_dir):
     return lab, post
 
 
-def _root(spark, sf_dir):
+def _root(spark, sf_dir, duplicates="bag"):
     lab, post = _doc_data(spark, sf_dir)
     a = lab.select(F.lit(0).alias("tree"), F.lit(1).cast("bigint").alias("node"), "example", "label")
-    return fo.scores(fo.weighted_postings(post), a)
+    return fo.scores(fo.weighted_postings(post, duplicates), a)
 
 
 def _score_out(score):
@@ -342,6 +348,12 @@ def q_split_scores(spark, sf_dir):
     return s.select("feature", "m", "c", _score_out(F.col("score")).alias("score"))
 
 
+def q_split_scores_set(spark, sf_dir):
+    """G24 with repeated tokens counted once per document (``duplicates="set"``)."""
+    s = _root(spark, sf_dir, "set")
+    return s.select("feature", "m", "c", _score_out(F.col("score")).alias("score"))
+
+
 def q_best_split(spark, sf_dir):
     b = fo.best_feature(_root(spark, sf_dir))
     return b.select("feature", _score_out(F.col("score")).alias("score"))
@@ -419,6 +431,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pagerank_top": q_pagerank_top,
     "pagerank_all": q_pagerank_all,
     "pagerank_seq": q_pagerank_seq,
+    "top_ranks": q_top_ranks,
     "pagerank_converge": q_pagerank_converge,
     "out_degree_bag_set": q_out_degree_bag_set,
     "dangling_pages": q_dangling_pages,
@@ -451,6 +464,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_1": q_kmeans_1,
     "kmeans_rounds": q_kmeans_rounds,
     "split_scores": q_split_scores,
+    "split_scores_set": q_split_scores_set,
     "best_split": q_best_split,
     "majority": q_majority,
     "forest_predict": q_forest_predict,

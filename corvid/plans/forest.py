@@ -109,6 +109,8 @@ def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, ma
         nodes = nodes.select(F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))).alias("tree"),
                              "node", "depth", "feature", "is_leaf", "prediction")
     nodes = persist(cut_lineage(nodes))
+    for lv in levels:
+        lv.unpersist()
     assignment.unpersist()
     wpost.unpersist()
     return ForestModel(nodes, num_trees, max_depth, identical)

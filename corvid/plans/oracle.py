@@ -128,7 +128,7 @@ def forest_sql(depth: int = C.FOREST_DEPTH) -> str:
 
 _ROOT = (
     "WITH lab AS (SELECT doc_id AS example, quality AS label FROM labels), "
-    "post AS (SELECT example, feature, count(*) AS k FROM (SELECT d.doc_id AS example, "
+    "post AS (SELECT example, feature, {k} AS k FROM (SELECT d.doc_id AS example, "
     "unnest(regexp_split_to_array(d.text, '[ \\t\\n\\r]+')) AS feature FROM documents d "
     "WHERE d.doc_id IN (SELECT example FROM lab)) t WHERE feature <> '' GROUP BY example, feature), "
     "ns AS (SELECT count(*) AS n, sum(label) AS pos FROM lab), "
@@ -170,6 +170,9 @@ def oracle_sql() -> dict[str, str]:
             "\nSELECT page, round(rank, 10) AS rank FROM r10",
             "\nSELECT page, round(rank, 10) AS rank FROM r10 ORDER BY rank DESC, page LIMIT 10"),
         "pagerank_seq": pagerank_sql(rules="sequential"),
+        "top_ranks": pagerank_sql(rules="sequential").replace(
+            f"\nSELECT page, round(rank, 10) AS rank FROM r{C.PR_ROUNDS}",
+            f"\nSELECT page, round(rank, 10) AS rank FROM r{C.PR_ROUNDS} ORDER BY rank DESC, page LIMIT 10"),
         "pagerank_converge": pagerank_converge_sql(),
         "out_degree_bag_set": (
             "SELECT CAST(l_suppkey AS INTEGER) AS page, count(*) AS bag, count(DISTINCT l_partkey) AS set "
@@ -259,9 +262,11 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY s.cid, i, n.n"),
         "kmeans_rounds": kmeans_rounds_sql(),
         "tree_size": fsql + "\nSELECT mean_size FROM tsize",
-        "split_scores": _ROOT + ("SELECT feature, m, c, CASE WHEN score = -1e30 THEN score ELSE round(score, 9) END "
+        "split_scores_set": _ROOT.format(k="CAST(1 AS BIGINT)") + (
+            "SELECT feature, m, c, CASE WHEN score = -1e30 THEN score ELSE round(score, 9) END AS score FROM sc"),
+        "split_scores": _ROOT.format(k="count(*)") + ("SELECT feature, m, c, CASE WHEN score = -1e30 THEN score ELSE round(score, 9) END "
                                  "AS score FROM sc"),
-        "best_split": _ROOT + ("SELECT feature, CASE WHEN score = -1e30 THEN score ELSE round(score, 9) END AS score FROM "
+        "best_split": _ROOT.format(k="count(*)") + ("SELECT feature, CASE WHEN score = -1e30 THEN score ELSE round(score, 9) END AS score FROM "
                                "(SELECT * FROM sc ORDER BY score, feature LIMIT 1)"),
         "majority": (
             "SELECT lang, n, pos, CASE WHEN n - pos > pos THEN 0 ELSE 1 END AS majority, "
