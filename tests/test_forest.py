@@ -1,4 +1,4 @@
-from conftest import ZOO, needs_reference
+from conftest import fixture, needs_reference
 from pyspark.sql import functions as F
 
 from corvid.operators import forest as fo
@@ -8,7 +8,7 @@ from corvid.sources.text import read_sparse_labeled
 
 @needs_reference
 def test_zoo_root_scores_tree_and_accuracy(spark, tmp_path):
-    lab, post = read_sparse_labeled(spark, f"{ZOO}/zoo.data")
+    lab, post = read_sparse_labeled(spark, fixture("zoo.data"))
     assert sorted((r.label, r["count"]) for r in lab.groupBy("label").count().collect()) == [(0, 38), (1, 28)]
     root = lab.select(F.lit(0).alias("tree"), F.lit(1).cast("bigint").alias("node"), "example", "label")
     sc = {r.feature: (r.m, r.c, round(r.score, 6)) for r in fo.scores(fo.weighted_postings(post), root).collect()}
@@ -19,7 +19,7 @@ def test_zoo_root_scores_tree_and_accuracy(spark, tmp_path):
     assert model.identical
     nodes = {r.node: r for r in model.nodes.filter("tree = 7").collect()}
     assert nodes[1].feature == 2 and nodes[3].feature == 4 and nodes[2].feature == 1
-    tl, tp = read_sparse_labeled(spark, f"{ZOO}/zoo.test")
+    tl, tp = read_sparse_labeled(spark, fixture("zoo.test"))
     acc = fo.accuracy(predict(model, tl, tp), tl).first()
     assert (acc.hits, acc.total) == (21, 35)
     save_forest(model, str(tmp_path / "forest"))

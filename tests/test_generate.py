@@ -1,6 +1,4 @@
-import os
-
-from conftest import PR_DATA, needs_reference
+from conftest import fixture, needs_reference
 
 from corvid.sources.generate import generate_links, generate_points, generate_random_edges, links_text
 
@@ -9,7 +7,7 @@ from corvid.sources.generate import generate_links, generate_points, generate_ra
 def test_link_generator_reproduces_stored_files(spark):
     for group in (0, 13, 26):
         lines = [r.value for r in links_text(generate_links(spark, 1000, group).orderBy("src")).collect()]
-        stored = [line.rstrip("\n").rstrip() for line in open(os.path.join(PR_DATA, f"pagerank.input.1000.urls.{group}"))]
+        stored = [line.rstrip("\n").rstrip() for line in open(fixture(f"pagerank.input.1000.urls.{group}"))]
         assert lines == stored
 
 

@@ -1,4 +1,4 @@
-from conftest import KM, needs_reference
+from conftest import fixture, fixture_dir, needs_reference
 
 from corvid.plans.kmeans import assign_nearest, kmeans
 from corvid.sources.text import read_centroids, read_vectors
@@ -6,12 +6,13 @@ from corvid.sources.text import read_centroids, read_vectors
 
 @needs_reference
 def test_two_rounds_match_stored_centroids(spark):
-    pts = read_vectors(spark, [f"{KM}/data_0.txt", f"{KM}/data_1.txt"], 3)
-    cen = read_centroids(spark, f"{KM}/centroids/centroids_0.txt", 3)
+    km = fixture_dir("data_0.txt")
+    pts = read_vectors(spark, [f"{km}/data_0.txt", f"{km}/data_1.txt"], 3)
+    cen = read_centroids(spark, fixture("centroids_0.txt"), 3)
     assert [r.cid for r in cen.orderBy("cid").collect()] == list(range(10))
     res = kmeans(pts, cen, 2)
     got = sorted(tuple(r.center) for r in res.centroids.collect())
-    gold = sorted(tuple(float(x) for x in line.split()) for line in open(f"{KM}/output.txt") if line.strip())
+    gold = sorted(tuple(float(x) for x in line.split()) for line in open(f"{km}/output.txt") if line.strip())
     assert len(got) == len(gold) == 10
     assert max(abs(a - b) for g1, g2 in zip(got, gold) for a, b in zip(g1, g2)) < 1e-12
     assert len(res.errors) == 2 and res.errors[1] < res.errors[0]

@@ -1,5 +1,5 @@
 import pytest
-from conftest import PR_DATA, PR_MPI_TOP, PR_SEQ, needs_reference
+from conftest import fixture, needs_reference
 
 from corvid.operators.graph import top_ranks
 from corvid.plans.pagerank import pagerank, prepare_adjacency, prepare_edges
@@ -17,12 +17,12 @@ def _gold(path):
 @needs_reference
 def test_mpi_rules_top10_golden(spark):
     """I1 on the 1000-node file stops after 9 rounds at delta 0.001 and gives the logged top ten."""
-    adj = read_adjacency(spark, f"{PR_DATA}/pagerank.input.1000.urls.26")
+    adj = read_adjacency(spark, fixture("pagerank.input.1000.urls.26"))
     res = pagerank(prepare_adjacency(adj, "mpi"), delta=0.001, iterations=10)
     assert res.rounds == 9
     got = [(r.page, r.rank) for r in top_ranks(res.ranks, 10).collect()]
     gold = []
-    for line in open(PR_MPI_TOP):
+    for line in open(fixture("26_pagerank_output.txt")):
         if line.startswith("Link:"):
             parts = line.split()
             gold.append((int(parts[1]), float(parts[-1])))
@@ -33,9 +33,9 @@ def test_mpi_rules_top10_golden(spark):
 @needs_reference
 def test_sequential_rules_fixed_point_golden(spark):
     """I2 on the 11-node file: the stored ranks are the fixed point of the sequential rules."""
-    adj = read_adjacency(spark, f"{PR_DATA}/pagerank.input")
+    adj = read_adjacency(spark, fixture("pagerank.input"))
     res = pagerank(prepare_adjacency(adj, "sequential"), delta=1e-11, max_rounds=400)
-    gold = _gold(f"{PR_SEQ}/prasbala_SequentialPageRank_output_10.txt")
+    gold = _gold(fixture("*SequentialPageRank_output_10.txt"))
     got = {r.page: r.rank for r in res.ranks.collect()}
     assert set(got) == set(gold)
     assert max(abs(got[k] - gold[k]) for k in gold) < 1e-9
@@ -45,7 +45,7 @@ def test_sequential_rules_fixed_point_golden(spark):
 @needs_reference
 def test_salted_shuffle_path_matches_broadcast_path(spark):
     """Forcing the large-graph layout (rank side shuffled, every source salted) changes nothing."""
-    adj = read_adjacency(spark, f"{PR_DATA}/pagerank.input.1000.urls.26")
+    adj = read_adjacency(spark, fixture("pagerank.input.1000.urls.26"))
     g = prepare_adjacency(adj, "mpi")
     a = pagerank(g, delta=-1, max_rounds=4)
     b = pagerank(g, delta=-1, max_rounds=4, broadcast_bytes=0, skew_min_rows=1, partitions=4)
