@@ -26,3 +26,12 @@ def test_empty_clusters_vanish_and_ties_go_to_lowest_id(spark):
     res = kmeans(pts, cen, 1)
     got = {r.cid: r.center for r in res.centroids.collect()}
     assert got == {0: [0.5], 2: [10.0]}
+
+
+def test_unrolled_distances_equal_array_functions(spark):
+    from corvid.sources.generate import generate_points
+    pts = generate_points(spark, 500, 4, 2, seed=5)
+    centres = [(j, [float(j), 10.0 - j, 2.5, float(j % 3)]) for j in range(6)]
+    a = {r.point_id: (r.cid, r.dist) for r in assign_nearest(pts, centres).collect()}
+    b = {r.point_id: (r.cid, r.dist) for r in assign_nearest(pts, centres, max_unrolled=100).collect()}
+    assert a == b
