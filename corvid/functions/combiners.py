@@ -50,7 +50,8 @@ def array_plus(col: str, width: int) -> Combiner:
     def build(df: DataFrame) -> list[Column]:
         et = dict(df.dtypes)[col][len("array<"):-1]
         out_t = "bigint" if et in ("tinyint", "smallint", "int", "bigint") else "double"
-        sums = F.array(*[F.sum(F.col(col)[i].cast(out_t)) for i in range(width)])
+        # One SQL expression for all the sums: a single call however wide the arrays are.
+        sums = F.expr("array(" + ", ".join(f"sum(CAST(`{col}`[{i}] AS {out_t}))" for i in range(width)) + ")")
         ok = (F.min(F.size(col)) == width) & (F.max(F.size(col)) == width)
         return [F.when(ok, sums).otherwise(
             F.raise_error(F.lit(f"array_plus: arrays of a length other than {width}")).cast(f"array<{out_t}>")

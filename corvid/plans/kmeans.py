@@ -11,6 +11,7 @@ return to the driver, which is the reference's broadcast-after-allreduce.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -63,19 +64,26 @@ def assign_nearest(points: DataFrame, centres: list[tuple[int, list[float]]], fe
             cands.append(F.struct(F.sqrt(sq).alias("dist"), F.lit(cid).alias("cid")))
         best = F.array_min(F.array(*cands))
     else:
-        cids = F.lit([c for c, _ in centres])
-        vecs = F.lit([v for _, v in centres])
+        # One JSON literal instead of k x d literal nodes: folded once by the optimizer,
+        # and it keeps plan building cheap (repr round-trips doubles exactly).
+        cids = F.from_json(F.lit(json.dumps([c for c, _ in centres])), "array<int>")
+        vecs = F.from_json(F.lit(json.dumps([[float(x) for x in v] for _, v in centres])), "array<array<double>>")
         best = F.array_min(F.transform(vecs, lambda v, i: F.struct(
             euclidean(x, v).alias("dist"), F.element_at(cids, i + 1).alias("cid"))))
     return points.select("*", best["cid"].alias("cid"), best["dist"].alias("dist"))
 
 
+def _dim_sums(features: str, dim: int) -> Column:
+    """``array(sum(features[0]), ..., sum(features[dim-1]))`` as one SQL expression: a
+    single call to build however wide the vectors are."""
+    return F.expr("array(" + ", ".join(f"sum(`{features}`[{i}])" for i in range(dim)) + ")")
+
+
 def new_centres(assigned: DataFrame, dim: int, features: str = "features") -> DataFrame:
-    """Mean per cluster, one sum column per dimension; clusters that received no
-    point disappear (only assigned ids enter the new table)."""
-    sums = [F.sum(F.col(features)[i]).alias(f"_s{i}") for i in range(dim)]
-    g = assigned.groupBy("cid").agg(F.count(F.lit(1)).alias("n"), *sums)
-    return g.select("cid", F.array(*[F.col(f"_s{i}") / F.col("n") for i in range(dim)]).alias("center"), "n")
+    """Mean per cluster, one sum per dimension; clusters that received no point
+    disappear (only assigned ids enter the new table)."""
+    g = assigned.groupBy("cid").agg(F.count(F.lit(1)).alias("n"), _dim_sums(features, dim).alias("_s"))
+    return g.select("cid", F.transform("_s", lambda x: x / F.col("n")).alias("center"), "n")
 
 
 def clustering_error(assigned: DataFrame) -> DataFrame:
@@ -95,10 +103,10 @@ def kmeans(points: DataFrame, centroids: DataFrame, iterations: int, features: s
     for _ in range(iterations):
         assigned = assign_nearest(pts, centres, features, max_unrolled)
         g = assigned.groupBy("cid").agg(F.count(F.lit(1)).alias("n"), F.sum("dist").alias("err"),
-                                        *[F.sum(F.col(features)[i]).alias(f"_s{i}") for i in range(dim)])
+                                        _dim_sums(features, dim).alias("_s"))
         res = g.collect()
         errors.append(float(sum(r["err"] for r in res)))
-        centres = sorted((int(r["cid"]), [r[f"_s{i}"] / r["n"] for i in range(dim)]) for r in res)
+        centres = sorted((int(r["cid"]), [x / r["n"] for x in r["_s"]]) for r in res)
         sizes = {int(r["cid"]): int(r["n"]) for r in res}
     pts.unpersist()
     # n: points in each cluster in the last round (the reference zeroes this slot).
