@@ -108,7 +108,7 @@ def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, ma
     if identical and num_trees > 1:
         nodes = nodes.select(F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))).alias("tree"),
                              "node", "depth", "feature", "is_leaf", "prediction")
-    nodes = persist(cut_lineage(nodes))
+    nodes = cut_lineage(nodes)
     for lv in levels:
         lv.unpersist()
     assignment.unpersist()
@@ -126,7 +126,8 @@ def predict(model: ForestModel, examples: DataFrame, postings: DataFrame, per_tr
     if model.identical:
         nodes = nodes.filter(F.col("tree") == 0)
     nodes = F.broadcast(nodes.select("tree", "node", "feature", "is_leaf", "prediction"))
-    flag = persist(postings.select("example", "feature").distinct().withColumn("_has", F.lit(True)))
+    # Read by every level; within the one query its exchange is computed once and reused.
+    flag = postings.select("example", "feature").distinct().withColumn("_has", F.lit(True))
     cur = examples.select(F.col("example").cast("bigint"))
     last_tree = 0 if model.identical else model.num_trees - 1
     cur = cur.select(F.explode(F.sequence(F.lit(0), F.lit(last_tree))).alias("tree"), "example",
