@@ -44,18 +44,10 @@ def draw_probability(n_features: int, subset: int) -> float:
     return 1.0 - (1.0 - 1.0 / n_features) ** subset
 
 
-def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, max_depth: int = 8,
-                 subset: int = 30000, seed: int = 0, mode: str = "reference", impurity: str = "gini",
-                 duplicates: str = "bag") -> ForestModel:
-    """``labels(example, label)``, ``postings(feature, example)`` -> node table."""
-    spark: SparkSession = labels.sparkSession
-    wpost = persist(fo.weighted_postings(postings, duplicates))
-    n_features = wpost.select("feature").distinct().count()
-    identical = draw_probability(n_features, subset) == 1.0
-    grown = 1 if identical else num_trees
-    ftype = dict(wpost.dtypes)["feature"]
-
-    assignment = persist(labels.select(F.explode(F.sequence(F.lit(0), F.lit(grown - 1))).alias("tree"),
+def _grow(labels: DataFrame, wpost: DataFrame, first_tree: int, last_tree: int, identical: bool, ftype: str,
+          max_depth: int, subset: int, seed: int, mode: str, impurity: str) -> DataFrame:
+    """Grow trees ``first_tree..last_tree`` level by level; returns their node rows."""
+    assignment = persist(labels.select(F.explode(F.sequence(F.lit(first_tree), F.lit(last_tree))).alias("tree"),
                                        F.lit(1).cast("bigint").alias("node"),
                                        F.col("example").cast("bigint"), F.col("label").cast("int")))
     levels: list[DataFrame] = []
@@ -103,15 +95,41 @@ def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, ma
     nodes = levels[0]
     for lv in levels[1:]:
         nodes = nodes.unionByName(lv)
-    nodes = nodes.select(F.col("tree").cast("int"), F.col("node").cast("bigint"), F.col("depth").cast("int"),
-                         "feature", "is_leaf", F.col("prediction").cast("int"))
+    nodes = cut_lineage(nodes.select(F.col("tree").cast("int"), F.col("node").cast("bigint"),
+                                     F.col("depth").cast("int"), "feature", "is_leaf",
+                                     F.col("prediction").cast("int")))
+    for lv in levels:
+        lv.unpersist()
+    assignment.unpersist()
+    return nodes
+
+
+def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, max_depth: int = 8,
+                 subset: int = 30000, seed: int = 0, mode: str = "reference", impurity: str = "gini",
+                 duplicates: str = "bag", tree_batch: int | None = None) -> ForestModel:
+    """``labels(example, label)``, ``postings(feature, example)`` -> node table.
+
+    Per level the work is (trees in flight) x postings, so ``tree_batch`` grows the trees
+    in ranges of that many (I10's tree ranges); the hashed draws depend only on tree ids,
+    so the forest is the same however it is batched."""
+    wpost = persist(fo.weighted_postings(postings, duplicates))
+    n_features = wpost.select("feature").distinct().count()
+    identical = draw_probability(n_features, subset) == 1.0
+    ftype = dict(wpost.dtypes)["feature"]
+    if identical:
+        ranges = [(0, 0)]
+    else:
+        step = max(1, tree_batch or num_trees)
+        ranges = [(t, min(t + step, num_trees) - 1) for t in range(0, num_trees, step)]
+    parts = [_grow(labels, wpost, t0, t1, identical, ftype, max_depth, subset, seed, mode, impurity)
+             for t0, t1 in ranges]
+    nodes = parts[0]
+    for part in parts[1:]:
+        nodes = nodes.unionByName(part)
     if identical and num_trees > 1:
         nodes = nodes.select(F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))).alias("tree"),
                              "node", "depth", "feature", "is_leaf", "prediction")
     nodes = cut_lineage(nodes)
-    for lv in levels:
-        lv.unpersist()
-    assignment.unpersist()
     wpost.unpersist()
     return ForestModel(nodes, num_trees, max_depth, identical)
 

@@ -42,3 +42,19 @@ def test_stop_rules_and_empty_side(spark):
 def test_majority_and_vote_tie_give_one(spark):
     preds = spark.createDataFrame([(0, 0), (0, 1), (1, 0), (1, 0), (1, 1)], "example long, prediction int")
     assert {r.example: r.prediction for r in fo.vote(preds).collect()} == {0: 1, 1: 0}
+
+
+@needs_reference
+def test_random_draws_are_repeatable_and_batch_free(spark):
+    """With few draws per node the trees differ; the hashed draw makes the forest the same
+    for the same seed, whether trees grow all together or in ranges."""
+    lab, post = read_sparse_labeled(spark, fixture("zoo.data"))
+    a = train_forest(lab, post, num_trees=4, max_depth=3, subset=2, seed=11)
+    b = train_forest(lab, post, num_trees=4, max_depth=3, subset=2, seed=11, tree_batch=3)
+    rows = lambda m: sorted(tuple(r) for r in m.nodes.collect())
+    assert not a.identical and rows(a) == rows(b)
+    roots = {r.tree: r.feature for r in a.nodes.filter("node = 1").collect()}
+    assert len(roots) == 4
+    tl, tp = read_sparse_labeled(spark, fixture("zoo.test"))
+    acc = fo.accuracy(predict(a, tl, tp), tl).first()
+    assert acc.total == 35
