@@ -22,7 +22,7 @@ from corvid.operators import graph, keyed
 from corvid.plans import collectives, kmeans, pagerank
 from corvid.plans.forest import predict, train_forest
 from corvid.sources.generate import generate_links
-from corvid.sources.text import parse_sparse_labeled
+from corvid.sources.text import labelled_postings
 from corvid.streaming.route import route
 
 # Fixed parameters of the catalog queries.
@@ -408,8 +408,7 @@ def q_read_sparse_labeled(spark, sf_dir):
                     F.concat(F.col("o_custkey").cast("string"), F.lit(":"),
                              F.floor("o_totalprice").cast("bigint").cast("string")),
                     (-F.dayofmonth("o_orderdate")).cast("string")).alias("value"))
-    labels, postings = parse_sparse_labeled(lines)
-    return postings.join(labels, "example").select("example", "feature", "label")
+    return labelled_postings(lines)
 
 
 def _events(spark, sf_dir):

@@ -102,22 +102,33 @@ def read_centroids(spark: SparkSession, path: str | Sequence[str], dim: int) ->
                         F.lit(0).cast("long").alias("n"))
 
 
+def _labelled_rows(lines: DataFrame, value: str, example: str) -> DataFrame:
+    toks = _int_tokens(F.regexp_replace(F.col(value), ":", " "))
+    rows = lines.select(F.col(example).cast("long").alias("example"), toks.alias("_t"))
+    return rows.select("example", F.when(F.size("_t") > 0, F.col("_t")[0]).otherwise(
+        F.raise_error(F.lit("labelled line without a label")).cast("int")).alias("label"),
+        F.slice("_t", 2, F.size("_t")).alias("_f"))
+
+
 def parse_sparse_labeled(lines: DataFrame, value: str = "value", example: str = "line_no") -> tuple[DataFrame, DataFrame]:
     """S4 on already indexed lines: ``label tok tok ...``; ``:`` is a separator, so in
     ``f:v`` the value ``v`` is a feature too; negative ids become positive; repeated
     tokens are kept. Returns ``(labels(example, label), postings(feature, example))``.
     """
-    toks = _int_tokens(F.regexp_replace(F.col(value), ":", " "))
-    rows = lines.select(F.col(example).cast("long").alias("example"), toks.alias("_t"))
-    rows = rows.select("example", F.when(F.size("_t") > 0, F.col("_t")[0]).otherwise(
-        F.raise_error(F.lit("labelled line without a label")).cast("int")).alias("label"),
-        F.slice("_t", 2, F.size("_t")).alias("_f"))
+    rows = _labelled_rows(lines, value, example)
     labels = rows.select("example", "label")
     postings = rows.select(F.explode("_f").alias("feature"), "example").select(
         F.abs("feature").cast("int").alias("feature"), "example")
     return labels, postings
 
 
+def labelled_postings(lines: DataFrame, value: str = "value", example: str = "line_no") -> DataFrame:
+    """S4 in one pass: ``(example, feature, label)`` per token, no join back to labels."""
+    rows = _labelled_rows(lines, value, example)
+    return rows.select("example", F.explode("_f").alias("feature"), "label").select(
+        "example", F.abs("feature").cast("int").alias("feature"), "label")
+
+
 def read_sparse_labeled(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """S4 from text files; example id = 0-based line index."""
     return parse_sparse_labeled(with_line_index(spark.read.text(_paths(path))))
