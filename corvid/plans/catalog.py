@@ -236,6 +236,14 @@ def q_remove_val(spark, sf_dir):
     return keyed.remove_val(c, o, "key")
 
 
+def q_remove_returned(spark, sf_dir):
+    """P6 / U2 again: orders minus the ids of orders with a returned line item."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), "o_custkey")
+    returned = (table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+                .select(F.col("l_orderkey").alias("key")))
+    return keyed.remove_val(o, returned, "key")
+
+
 def q_get_val(spark, sf_dir):
     keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
     counts = keyed.combine_by_id(_cust_orders(spark, sf_dir), "key", plus("val"))
@@ -451,6 +459,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "push_pull_sync": q_push_pull_sync,
     "join_to_static": q_join_to_static,
     "remove_val": q_remove_val,
+    "remove_returned": q_remove_returned,
     "get_val": q_get_val,
     "allgather": q_allgather,
     "reduce": q_reduce,

@@ -237,6 +237,9 @@ def oracle_sql() -> dict[str, str]:
         "remove_val": (
             "SELECT c_custkey AS key, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders "
             "WHERE o_custkey IS NOT NULL)"),
+        "remove_returned": (
+            "SELECT o_orderkey AS key, o_custkey FROM orders o WHERE NOT EXISTS "
+            "(SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R' AND l.l_orderkey = o.o_orderkey)"),
         "get_val": (
             "SELECT c.c_custkey AS key, CAST(coalesce(o.val, 0) AS BIGINT) AS val FROM customer c LEFT JOIN "
             "(SELECT o_custkey AS key, count(*) AS val FROM orders GROUP BY 1) o ON o.key = c.c_custkey"),
