@@ -73,6 +73,10 @@ def test_stream_and_batch_routing_agree(spark, tmp_path):
     q.awaitTermination(120)
     streamed = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("event_id", "recipient").collect())
     assert streamed == batch and len(batch) > 0
+    # A restart from the same checkpoint resumes where it stopped: nothing is routed twice.
+    q = start_routing(stream, 4, str(tmp_path / "ckpt"), str(tmp_path / "out"))
+    q.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(batch)
 
 
 def test_rank_and_centroid_sinks(spark, tmp_path):
