@@ -110,3 +110,14 @@ def test_hot_source_and_hot_target_match_brute_force(spark):
                {"broadcast_bytes": 0, "skew_min_rows": 1, "partitions": 4}):
         got = {r.page: r.rank for r in pagerank(g, delta=-1, max_rounds=10, **kw).ranks.collect()}
         assert max(abs(got[p] - want[p]) for p in range(n)) < 1e-14, kw
+
+
+@needs_reference
+def test_sequential_rules_1000_node_golden(spark):
+    """I2 on the 1000-node file: the stored ranks are the fixed point (maxId is dangling)."""
+    adj = read_adjacency(spark, fixture("pagerank.input.1000.urls.26"))
+    res = pagerank(prepare_adjacency(adj, "sequential"), delta=1e-10, max_rounds=400)
+    gold = _gold(fixture("*SequentialPageRank_output.txt"))
+    got = {r.page: r.rank for r in res.ranks.collect()}
+    assert set(got) == set(gold)
+    assert max(abs(got[k] - gold[k]) for k in gold) < 1e-8
