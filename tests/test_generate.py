@@ -18,3 +18,9 @@ def test_points_and_random_edges(spark):
     assert min(vals) >= 0 and max(vals) < 10
     e = generate_random_edges(spark, 5, 200, seed=2).collect()
     assert all(r.src != r.dst and 0 <= r.dst < 5 for r in e)
+
+
+def test_chunked_generator_equals_single_pass(spark):
+    one = {r.src: r.dst for r in generate_links(spark, 300, 7).collect()}
+    chunked = {r.src: r.dst for r in generate_links(spark, 300, 7, chunk=64).collect()}
+    assert one == chunked and sum(len(d) for d in one.values()) > 0
