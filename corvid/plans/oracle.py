@@ -277,10 +277,12 @@ def oracle_sql() -> dict[str, str]:
             "FROM labels l JOIN documents d USING (doc_id) GROUP BY d.lang)"),
         "forest_predict": fsql + "\nSELECT example, prediction FROM preds",
         "accuracy": fsql + (
-            "\nSELECT count_if(p.prediction = l.label) AS hits, count(*) AS total, "
+            "\nSELECT CAST(count_if(p.prediction = l.label) AS BIGINT) AS hits, count(*) AS total, "
             "round(count_if(p.prediction = l.label) / count(*), 9) AS accuracy, "
-            "count_if(p.prediction = 1 AND l.label = 1) AS tp, count_if(p.prediction = 1 AND l.label = 0) AS fp, "
-            "count_if(p.prediction = 0 AND l.label = 0) AS tn, count_if(p.prediction = 0 AND l.label = 1) AS fn "
+            "CAST(count_if(p.prediction = 1 AND l.label = 1) AS BIGINT) AS tp, "
+            "CAST(count_if(p.prediction = 1 AND l.label = 0) AS BIGINT) AS fp, "
+            "CAST(count_if(p.prediction = 0 AND l.label = 0) AS BIGINT) AS tn, "
+            "CAST(count_if(p.prediction = 0 AND l.label = 1) AS BIGINT) AS fn "
             "FROM preds p JOIN lab l USING (example)"),
         "read_sparse_labeled": (
             "SELECT o_orderkey AS example, CAST(f AS INTEGER) AS feature, "
