@@ -36,14 +36,18 @@ def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) == set(E.queries())
 
 
+SQL_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, DIR)
     got = df.collect()
-    cur = con.execute(E.oracle_sql()[name])
-    cols = [d[0] for d in cur.description]
-    exp = cur.fetchall()
+    rel = con.sql(E.oracle_sql()[name])
+    cols, types = rel.columns, [str(t) for t in rel.types]
+    exp = rel.fetchall()
     assert sorted(df.columns) == sorted(cols)
+    assert {c: SQL_TYPE.get(t, t) for c, t in df.dtypes} == dict(zip(cols, types))
     assert _norm(got, df.columns) == _norm(exp, cols)
 
 
