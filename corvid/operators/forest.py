@@ -86,7 +86,9 @@ def route(assignment: DataFrame, wpostings: DataFrame, splits: DataFrame) -> Dat
     ``(tree, node, feature)`` for inner nodes only, at most trees x 2^depth rows, so it
     is broadcast; the feature test is one join on (example, feature)."""
     at = assignment.join(F.broadcast(splits), ["tree", "node"])
-    flag = wpostings.select("example", "feature", F.lit(True).alias("_has"))
+    # Only postings of the level's split features matter: cut them down before the join.
+    used = F.broadcast(splits.select("feature").distinct())
+    flag = wpostings.join(used, "feature", "left_semi").select("example", "feature", F.lit(True).alias("_has"))
     moved = at.join(flag, ["example", "feature"], "left")
     return moved.select("tree", F.when(F.col("_has"), F.col("node") * 2).otherwise(F.col("node") * 2 + 1).alias("node"),
                         "example", "label")

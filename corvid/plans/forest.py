@@ -144,8 +144,11 @@ def predict(model: ForestModel, examples: DataFrame, postings: DataFrame, per_tr
     if model.identical:
         nodes = nodes.filter(F.col("tree") == 0)
     nodes = F.broadcast(nodes.select("tree", "node", "feature", "is_leaf", "prediction"))
-    # Read by every level; within the one query its exchange is computed once and reused.
-    flag = postings.select("example", "feature").distinct().withColumn("_has", F.lit(True))
+    # Only the features the trees test matter (at most one per inner node, a bounded
+    # list): the postings are cut down to them before anything is shuffled.
+    used = F.broadcast(model.nodes.filter(~F.col("is_leaf")).select("feature").distinct())
+    flag = (postings.join(used, "feature", "left_semi").select("example", "feature").distinct()
+            .withColumn("_has", F.lit(True)))
     cur = examples.select(F.col("example").cast("bigint"))
     last_tree = 0 if model.identical else model.num_trees - 1
     cur = cur.select(F.explode(F.sequence(F.lit(0), F.lit(last_tree))).alias("tree"), "example",
