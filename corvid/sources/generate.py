@@ -50,12 +50,18 @@ def links_text(adj: DataFrame) -> DataFrame:
 
 
 def generate_points(spark: SparkSession, n: int, dim: int, files: int, seed: int = 0) -> DataFrame:
-    """N uniform [0, 10) vectors split over ``files`` partitions, the remainder going
-    to the first ones (as ``spark.range`` splits); seeded, so repeatable."""
+    """N uniform [0, 10) vectors over ``files`` inputs: n split evenly, the remainder
+    going to the first files (the ``file`` column); zero points for a file is an error.
+    Seeded, so repeatable."""
     if files <= 0 or n < files:
         raise ValueError("every file needs at least one point")
+    q, r = divmod(n, files)
+    big = r * (q + 1)                       # points held by the first r files (q + 1 each)
+    pid = F.col("id")
+    file_of = F.when(pid < big, (pid / F.lit(q + 1)).cast("int")).otherwise(
+        (F.lit(r) + ((pid - F.lit(big)) / F.lit(q)).cast("int")))
     rows = spark.range(0, n, numPartitions=files)
-    return rows.select(F.col("id").alias("point_id"),
+    return rows.select(pid.alias("point_id"), file_of.cast("int").alias("file"),
                        F.array(*[F.rand(seed * 1000 + k) * 10.0 for k in range(dim)]).alias("features"))
 
 

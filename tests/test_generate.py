@@ -14,6 +14,8 @@ def test_link_generator_reproduces_stored_files(spark):
 def test_points_and_random_edges(spark):
     pts = generate_points(spark, 103, 3, 4, seed=1)
     assert pts.rdd.getNumPartitions() == 4 and pts.count() == 103
+    sizes = sorted((r.file, r["count"]) for r in pts.groupBy("file").count().collect())
+    assert sizes == [(0, 26), (1, 26), (2, 26), (3, 25)]
     vals = [x for r in pts.collect() for x in r.features]
     assert min(vals) >= 0 and max(vals) < 10
     e = generate_random_edges(spark, 5, 200, seed=2).collect()
