@@ -115,7 +115,9 @@ def regroup(table: DataFrame, key: str, combiner: Combiner | None, n: int | None
     places it physically, one row per id, so without skew)."""
     out = combine_by_id(table, key, combiner)
     if n is not None:
-        out = out.withColumn(owner, partition_of(key, n))
+        numeric = dict(table.dtypes)[key] in ("tinyint", "smallint", "int", "bigint")
+        # A non-numeric key is placed by its hash (P9), then by the same partitioner.
+        out = out.withColumn(owner, partition_of(key if numeric else kv_partition_id(key, "object"), n))
     return out
 
 

@@ -94,3 +94,19 @@ def test_checked_broadcast_and_broadcast_pull(spark):
     assert keyed.pull(local, small, "id", plus("v"), use_bcast=True).first().v == 6
     big = spark.range(1000).select(F.col("id").cast("int").alias("id"), F.lit(1).alias("v"))
     assert keyed.checked_broadcast(big, 100) is big
+
+
+def test_partition_functions_columns_and_pandas(spark):
+    """A finish function as column expressions or as a mapInPandas batch function."""
+    df = spark.createDataFrame([("a", 3, 1), ("a", 4, 1), ("b", 5, 1)], "word string, val int, cnt int")
+    cols = keyed.regroup_aggregate(df, "word", plus("val", "cnt"), {"mean": F.col("val") / F.col("cnt")}, n=2)
+    assert {r.word: r.mean for r in cols.collect()} == {"a": 3.5, "b": 5.0}
+
+    def halve(batches):
+        for pdf in batches:
+            pdf["val"] = pdf["val"] // 2
+            yield pdf
+
+    out = keyed.aggregate(df, "word", plus("val", "cnt"),
+                          lambda t: t.mapInPandas(halve, schema=t.schema))
+    assert {r.word: r.val for r in out.collect()} == {"a": 3, "b": 2}
