@@ -103,3 +103,17 @@ def test_tree_ranges(spark):
     from corvid.operators.forest import tree_ranges
     got = [(r.tree, r.split) for r in tree_ranges(spark, 5, 2).orderBy("tree").collect()]
     assert got == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 1)]
+
+
+def test_line_index_across_splits_of_one_file(spark, tmp_path):
+    """Line numbers stay exact when one file is read as many splits."""
+    p = _write(tmp_path, "big.txt", "".join(f"{i} {i + 1}\n" for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        df = spark.read.text(p)
+        assert df.rdd.getNumPartitions() > 4
+        rows = with_line_index(df).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r.line_no, int(r.value.split()[0])) for r in rows) == [(i, i) for i in range(3000)]
