@@ -12,6 +12,8 @@ the window's interior symbols, the same in every occurrence of the window.
 
 Spark rounds:
 
+0. Exact copies are settled by their content hashes: a text that a smaller id has whole
+   loses every word (if it has a window at all), and one document of each group goes on.
 1. Every window's *key symbols* are the least of its interior groups of ``GROUP``
    neighbouring symbols. Distinct (key, document) pairs are counted; a key met in one
    document only rules its windows out. The shared keys become a Bloom filter of bounded
@@ -39,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import mix, range_hash, slices, tokens, words_of
+from corvid.llm.common import Slice, mix, range_hash, slices, tokens, words_of
+from corvid.session import cut_lineage
 
 WINDOW = 50
 ROUNDS = 4
@@ -142,20 +145,57 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("row_hash"))
 
 
-def key_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Round 1: distinct ``(key, doc_id, row_hash)`` of all windows."""
+def _has(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Which keys a filter has (or seems to have)."""
+    place = _bits(key, len(bits) * 8)
+    return ((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1).all(axis=0)
+
+
+def _texts(batches: Iterator[pa.RecordBatch], copied: bytes | None, inside: bool = False) -> Iterator[Slice]:
+    """Slices of the rows whose content hash is not in the filter ``copied`` (``inside``:
+    is in it); all rows without a filter."""
+    bits = None if copied is None else np.frombuffer(copied, np.uint8)
+    for b in batches:
+        if bits is not None and b.num_rows:
+            b = b.filter(pa.array(_has(bits, b.column("row_hash").to_numpy().view(np.uint64)) == inside))
+        yield from slices([b])
+
+
+def copies(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> tuple[bytes, DataFrame, DataFrame]:
+    """Round 0: a filter of the contents that several ids have; of each such content the
+    document with the smallest id; and ``(doc_id, row_hash)`` of its other documents."""
+    content = docs.select("doc_id", "row_hash", F.xxhash64(F.lit(1), F.col("text")).alias("more"))
+    copied = shared_key_filter(content.select(F.col("row_hash").alias("key"), "doc_id"), filter_bytes).tobytes()
+    sent = docs.sparkSession.sparkContext.broadcast(copied)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in slices(batches):
+        for s in _texts(batches, sent.value, inside=True):
+            yield s.batch.select(["doc_id", "text", "row_hash"])
+
+    some = docs.mapInArrow(run, docs.schema).withColumn("more", F.xxhash64(F.lit(1), F.col("text")))
+    first = some.groupBy("row_hash", "more").agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    low = content.groupBy("row_hash", "more").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter(
+        F.col("low") < F.col("high"))
+    others = content.join(low, ["row_hash", "more"]).filter(F.col("doc_id") > F.col("low"))
+    return copied, cut_lineage(first.select("doc_id", "text", "row_hash")), others.select("doc_id", "row_hash").distinct()
+
+
+def key_documents(docs: DataFrame, copied: bytes | None = None, window: int = WINDOW) -> DataFrame:
+    """Round 1: ``(key, doc_id)`` of all windows; copies (texts in the
+    filter ``copied``) are left out."""
+    sent = docs.sparkSession.sparkContext.broadcast(copied)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in _texts(batches, sent.value):
             _, h, at, doc, _ = _windows(s, window)
             key = window_keys(h, at, window)
             change = np.ones(len(key), bool)  # neighbouring windows mostly share theirs
             change[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
             keep = np.flatnonzero(change & (key != NONE))
-            rows = pa.array(doc[keep])
-            yield pa.RecordBatch.from_arrays([pa.array(key[keep].view(np.int64)), s.batch.column("doc_id").take(rows),
-                                              s.batch.column("row_hash").take(rows)], ["key", "doc_id", "row_hash"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[keep].view(np.int64)),
+                                              s.batch.column("doc_id").take(pa.array(doc[keep]))], ["key", "doc_id"])
 
-    return docs.mapInArrow(run, f"key bigint, doc_id {dict(docs.dtypes)['doc_id']}, row_hash bigint")
+    return docs.mapInArrow(run, f"key bigint, doc_id {dict(docs.dtypes)['doc_id']}")
 
 
 def _bits(key: np.ndarray, size: int) -> np.ndarray:
@@ -201,31 +241,30 @@ def shared_key_filter(pairs: DataFrame, filter_bytes: int = FILTER_BYTES) -> np.
     return out
 
 
-def candidate_windows(docs: DataFrame, shared: np.ndarray, window: int = WINDOW) -> DataFrame:
+def candidate_windows(docs: DataFrame, shared: np.ndarray, copied: bytes | None = None, window: int = WINDOW) -> DataFrame:
     """Round 2: ``(h1, h2, doc_id, row_hash, pos)`` of the windows with a shared key or
-    without a key."""
-    sent = docs.sparkSession.sparkContext.broadcast(shared.tobytes())
+    without a key, copies left out."""
+    sent = docs.sparkSession.sparkContext.broadcast((shared.tobytes(), copied))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(sent.value, np.uint8)
-        for s in slices(batches):
+        bits = np.frombuffer(sent.value[0], np.uint8)
+        for s in _texts(batches, sent.value[1]):
             _, h, at, doc, pos = _windows(s, window)
             key = window_keys(h, at, window)
             some, back = np.unique(key, return_inverse=True)
-            place = _bits(some, len(bits) * 8)
-            hit = (((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1).all(axis=0) | (some == NONE))[back]
+            hit = (_has(bits, some) | (some == NONE))[back]
             keep = np.flatnonzero(hit)
             start = at[keep]
             h1 = range_hash(h, start, start + window)
             h2 = range_hash(mix(h ^ np.uint64(0xA0761D6478BD642F)), start, start + window)
             rows = pa.array(doc[keep])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), s.batch.column("doc_id").take(rows),
+                [pa.array(h1.view(np.int64)), pa.array((h2 >> np.uint64(33)).astype(np.int32)), s.batch.column("doc_id").take(rows),
                  s.batch.column("row_hash").take(rows), pa.array(pos[keep].astype(np.int32))],
                 ["h1", "h2", "doc_id", "row_hash", "pos"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(run, f"h1 bigint, h2 bigint, doc_id {kind}, row_hash bigint, pos int")
+    return docs.mapInArrow(run, f"h1 bigint, h2 int, doc_id {kind}, row_hash bigint, pos int")
 
 
 def repeated_windows(cand: DataFrame) -> DataFrame:
@@ -242,9 +281,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     lost nothing, else the kept words joined, and ``row``, the input row as a struct."""
     src = _source(docs, id_col, text_col)
     known = src.filter(F.col("doc_id").isNotNull())
-    shared = shared_key_filter(key_documents(known, window), filter_bytes)
-    gone = repeated_windows(candidate_windows(known, shared, window))
-    cuts = gone.distinct().groupBy("doc_id", "row_hash").agg(F.collect_list("pos").alias("cuts"))
+    copied, firsts, others = copies(known, filter_bytes)
+    keys = key_documents(known, copied, window).unionByName(key_documents(firsts, None, window))
+    shared = shared_key_filter(keys, filter_bytes)
+    cand = candidate_windows(known, shared, copied, window).unionByName(candidate_windows(firsts, shared, None, window))
+    gone = repeated_windows(cand).distinct().groupBy("doc_id", "row_hash").agg(F.collect_list("pos").alias("cuts"))
+    every = F.lit(None).cast("array<int>")
+    cuts = gone.withColumn("copy", F.lit(False)).unionByName(others.withColumn("cuts", every).withColumn("copy", F.lit(True)))
     whole = src if not with_text else docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("row")).withColumn("row_hash", F.xxhash64("text"))
@@ -254,11 +297,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in slices(batches):
             out: list[tuple] = []
-            for i, cut in enumerate(s.batch.column("cuts")):
+            for i, (cut, copy) in enumerate(zip(s.batch.column("cuts"), s.batch.column("copy").to_pylist())):
                 text = s.text(i)
                 words = words_of(text)
                 n, kept = len(words), words
-                if cut.is_valid:
+                if copy:
+                    kept = [] if n >= window else words
+                elif cut.is_valid:
                     edge = np.zeros(n + 1, np.int64)
                     starts = cut.values.to_numpy()
                     edge[starts] += 1
