@@ -38,9 +38,9 @@ from corvid.session import cut_lineage
 
 BASE = 1.4
 LEVELS = 80
-BITS_PER_KEY = 10
+BITS_PER_KEY = 8
 PROBES = 5
-MAX_FILTER_BYTES = 512 << 20
+MAX_FILTER_BYTES = 256 << 20
 HEAD = 1 << 20
 PAIR_SHARE = 0.3       # weight of the pair's own frequency in a token's probability
 PENDING = 2_000_000   # counts that a training task holds before it merges or sends them
@@ -145,17 +145,24 @@ def build_segment(words: tuple, pairs: tuple, most_bytes: int) -> bytes:
 class Model:
     """What scoring tasks get: the filter's segments, and exact counts of frequent words."""
 
-    bits: bytes
-    starts: np.ndarray   # of each segment, in bytes; one more at the end
+    bits: list[bytes]    # of each segment
     n_tokens: int
     n_types: int
     n_texts: int
     head_hash: np.ndarray
     head_count: np.ndarray
 
+    def open(self) -> None:
+        """Joins the segments, once per worker."""
+        if not hasattr(self, "raw"):
+            self.starts = np.concatenate([[0], np.cumsum([len(p) for p in self.bits])])
+            self.raw = np.frombuffer(b"".join(self.bits), np.uint8)
+            self.bits = [b""] * len(self.bits)
+
     def counts(self, h: np.ndarray) -> np.ndarray:
         """Counts read from the filter."""
-        raw = np.frombuffer(self.bits, np.uint8)
+        self.open()
+        raw = self.raw
         seg = (h >> np.uint64(64 - (len(self.starts) - 1).bit_length() + 1)).astype(np.int64)
         begin, size = self.starts[seg], (self.starts[seg + 1] - self.starts[seg]) * 8
         q = np.zeros(len(h), np.int64)
@@ -251,21 +258,32 @@ def word_counts(trained: DataFrame, least: int = 1, below: int = 1 << 62) -> Dat
     return trained.select("words").mapInArrow(run, "h bigint, c bigint")
 
 
+def frequent_words(trained: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (sorted) and counts of the words with c >= least, sent as packed bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for seg, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                h, c = unpack(raw)
+                yield pa.RecordBatch.from_arrays([pa.array([seg], pa.int32()), pa.array([pack(h[c >= least], c[c >= least])])],
+                                                 ["segment", "words"])
+
+    got = trained.select("segment", "words").mapInArrow(run, "segment int, words binary").toLocalIterator()
+    parts = [unpack(bytes(r["words"])) for r in sorted(got, key=lambda r: r["segment"])]
+    return (np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in parts)]),
+            np.concatenate([np.zeros(0, np.int64), *(c for _, c in parts)]))
+
+
 def load_model(trained: DataFrame, segments: int, head: int = HEAD) -> tuple[Model, int]:
     """The model, and the least count of its frequent words. The driver holds the filter
-    (bounded by MAX_FILTER_BYTES) and at most ``head`` words."""
-    rows = {r["segment"]: r for r in trained.select("segment", "bits", "n_tokens", "n_types", "n_texts",
-                                                    "histogram").toLocalIterator()}
-    parts = [bytes(rows[i]["bits"]) if i in rows else bytes(8) for i in range(segments)]
-    starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    total = lambda c: sum(r[c] for r in rows.values())
-    hist = np.sum([r["histogram"] for r in rows.values()], axis=0) if rows else np.zeros(64, np.int64)
+    (bounded by MAX_FILTER_BYTES), piece by piece, and at most ``head`` words."""
+    parts, totals, hist = [bytes(8)] * segments, np.zeros(3, np.int64), np.zeros(64, np.int64)
+    for r in trained.select("segment", "bits", "n_tokens", "n_types", "n_texts", "histogram").toLocalIterator():
+        parts[r["segment"]] = bytes(r["bits"])
+        totals += [r["n_tokens"], r["n_types"], r["n_texts"]]
+        hist += r["histogram"]
     above = np.cumsum(hist[::-1])[::-1]
     least = 1 << int(np.argmax(above <= head)) if (above <= head).any() else 1 << 62
-    top = word_counts(trained, least).toPandas()
-    h, c = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
-    order = np.argsort(h)
-    return Model(b"".join(parts), starts, total("n_tokens"), total("n_types"), total("n_texts"), h[order], c[order]), least
+    return Model(parts, *totals.tolist(), *frequent_words(trained, least)), least
 
 
 def score_slice(m: Model, s: Slice) -> tuple[np.ndarray, ...]:
