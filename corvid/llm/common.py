@@ -27,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """M**0..n-1 and their inverses modulo 2**64 (grown as needed, kept per worker)."""
     if not _powers or len(_powers[0]) < n:

@@ -31,6 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvid.llm.common import fresh
 from corvid.session import cut_lineage
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -133,9 +134,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     taken (texts without words are not)."""
     row = F.xxhash64(*docs.columns)
     m = mix(docs, id_col, text_col, source_col, row=row, **options)
-    copies = m.filter(F.col("taken") > 0).groupBy("doc_id", "row_key").agg(
-        F.sum(F.expr("taken div size")).alias("_copies"))
-    side = copies.select(F.col("doc_id").alias("_m_id"), F.col("row_key").alias("_m_row"), "_copies")
-    once = docs.withColumn("_row", row).dropDuplicates([id_col, "_row"])
-    met = once.join(side, F.col(id_col).eqNullSafe(F.col("_m_id")) & (F.col("_row") == F.col("_m_row")))
-    return met.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*docs.columns)
+    mid, mrow, here, times, nth = (fresh(docs, c) for c in ("_m_id", "_m_row", "_row", "_copies", "_n"))
+    side = m.filter(F.col("taken") > 0).groupBy(F.col("doc_id").alias(mid), F.col("row_key").alias(mrow)).agg(
+        F.sum(F.expr("taken div size")).alias(times))
+    once = docs.withColumn(here, row).dropDuplicates([id_col, here])
+    met = once.join(side, F.col(id_col).eqNullSafe(F.col(mid)) & (F.col(here) == F.col(mrow)))
+    return met.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))).select(*docs.columns)

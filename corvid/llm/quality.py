@@ -7,8 +7,8 @@ short and repetitive texts. The forest then grows random-split trees on these ex
 bounded sample of documents (``TREES`` x ``TREE_ROWS`` rows, the smallest hashes of id and tree);
 short mean path lengths mark anomalies. The threshold is calibrated on *all* labelled
 rows that pass the base rule: per score bin the labels are counted, and the cut is the one
-with the best balance of rejected bad and kept good rows among those that reject no more
-than ``GOOD_LOSS`` of the good rows.
+with the best balance: the share of bad rows it rejects, less ``GOOD_COST`` times the share
+of good rows.
 
 Null text: no words (fails the base rule). Null id: scored and judged, not used to fit.
 Repeated rows each get a row. Without usable labels, or an empty table, nothing beyond the
@@ -33,7 +33,7 @@ REPEAT_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
 TREES = 100
 TREE_ROWS = 256      # rows that a tree is grown on
-GOOD_LOSS = 0.002    # share of good labelled rows that the threshold may reject
+GOOD_COST = 20.0     # a rejected share of the good rows weighs so many times one of the bad
 BINS = 1000
 SEED = 7
 
@@ -216,9 +216,7 @@ def calibrate(scored: DataFrame, labels: DataFrame, label_id: str = "doc_id", la
     best, cut, bad, ok = 0.0, 2.0, 0, 0
     for r in sorted(hist, key=lambda r: -r["bin"]):
         bad, ok = bad + r["bad"], ok + r["ok"]
-        if ok > GOOD_LOSS * ok_all:
-            break
-        gain = bad / max(bad_all, 1) - ok / max(ok_all, 1)
+        gain = bad / max(bad_all, 1) - GOOD_COST * ok / max(ok_all, 1)
         if gain > best:
             best, cut = gain, r["bin"] / BINS
     return cut

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import mix, slices, words_of
+from corvid.llm.common import fresh, mix, slices, words_of
 from corvid.llm.components import connected
 from corvid.session import cut_lineage
 
@@ -216,7 +216,8 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     root = _rooted(fps, max_bits).select("fp", "root")
     first = fps.join(root, "fp").groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("late"), "doc_id", "row_hash")).alias("s"))
-    keep = first.select(F.col("s.doc_id").alias("_s_id"), F.col("s.row_hash").alias("_s_hash"))
-    marked = docs.withColumn("_s_row", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    met = marked.join(keep, F.col(id_col).eqNullSafe(F.col("_s_id")) & (F.col("_s_row") == F.col("_s_hash")), "left_semi")
-    return met.dropDuplicates([id_col, "_s_row"]).drop("_s_row")
+    sid, srow, row = (fresh(docs, c) for c in ("_s_id", "_s_row", "_row"))
+    keep = first.select(F.col("s.doc_id").alias(sid), F.col("s.row_hash").alias(srow))
+    marked = docs.withColumn(row, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    met = marked.join(keep, F.col(id_col).eqNullSafe(F.col(sid)) & (F.col(row) == F.col(srow)), "left_semi")
+    return met.dropDuplicates([id_col, row]).drop(row)
