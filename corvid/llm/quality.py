@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import range_hash, slices, tokens
+from corvid.llm.common import range_hash, slices, smallest_hashes, tokens
 from corvid.session import cut_lineage
 
 MIN_WORDS = 50
@@ -173,9 +173,9 @@ def anomaly(trees: list[np.ndarray], x: np.ndarray, rows: int) -> np.ndarray:
 def fit_forest(stats: DataFrame, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> list[np.ndarray]:
     """Trees on ``rows`` documents each, from the ``trees * rows`` smallest hashes of the
     ids that pass the base rule (the only rows that reach the driver)."""
-    some = (stats.filter(F.col("doc_id").isNotNull() & ~failed())
-            .select(F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("_h"), *FEATURES)
-            .orderBy("_h", *FEATURES).limit(trees * rows).drop("_h").toPandas().to_numpy(np.float64))
+    usable = stats.filter(F.col("doc_id").isNotNull() & ~failed()).select(
+        F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("h"), *FEATURES)
+    some = smallest_hashes(usable, "h", trees * rows, *FEATURES).drop("h").toPandas().to_numpy(np.float64)
     if not len(some):
         return []
     rng = np.random.default_rng(seed)

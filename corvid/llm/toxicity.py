@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import Slice, is_space, lower, mix, range_hash, slices, tokens
+from corvid.llm.common import Slice, is_space, lower, mix, range_hash, slices, smallest_hashes, tokens
 
 BITS = 20
 MAX_ROWS = 20_000
@@ -92,7 +92,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
         F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     lab = lab.filter(~is_held_out(F.col("doc_id")) if learn is None else learn).groupBy("doc_id").agg(
         F.max("label").alias("label"))
-    sample = lab.withColumn("order", F.xxhash64(F.col("doc_id"), F.lit(SEED))).orderBy("order", "doc_id").limit(max_rows)
+    sample = smallest_hashes(lab.withColumn("order", F.xxhash64(F.col("doc_id"), F.lit(SEED))), "order", max_rows, "doc_id")
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     met = text.join(F.broadcast(sample), "doc_id").select("order", "label", "text")  # max_rows rows at most
 

@@ -109,11 +109,12 @@ def test_quality_stats_against_brute_force(spark):
 
 
 def test_quality_rejects_anomalies_and_keeps_clean(spark):
-    rows = corpus(n=300)
     import random
 
     rng = random.Random(9)
-    bad = [(9000 + i, " ".join(f"v{rng.randrange(9000)}###" for _ in range(120)), "en", "s") for i in range(25)]
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9)))
+    rows = [(i, " ".join(word() for _ in range(rng.randint(40, 200))), "en", "s") for i in range(300)]
+    bad = [(9000 + i, " ".join(word() + "###" for _ in range(120)), "en", "s") for i in range(25)]
     labels = labels_for(spark, rows + bad, lambda t: (0 if "###" in t else 1, 0))
     docs = frame(spark, rows + bad)
     got = quality.judge(docs, labels).collect()
