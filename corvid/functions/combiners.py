@@ -62,26 +62,14 @@ def array_plus(col: str, width: int) -> Combiner:
 
 def together(*combiners: Combiner) -> Combiner:
     """Several combiners over disjoint payload columns, applied in one aggregate."""
+    if len({cb.python for cb in combiners}) > 1:
+        raise ValueError("a pandas UDF combiner can't share an aggregate with built-in ones")
     cols = tuple(c for cb in combiners for c in cb.columns)
     return Combiner("+".join(cb.name for cb in combiners), cols,
                     lambda df: [a for cb in combiners for a in cb.aggs(df)],
                     python=any(cb.python for cb in combiners))
 
 
-def array_width(df: DataFrame, col: str) -> int:
-    """Width of an array column, for :func:`array_plus` when the caller does not know it."""
-    r = df.agg(F.max(F.size(col)).alias("w")).first()
-    return int(r["w"] or 0)
-
-
-def minimum(*cols: str) -> Combiner:
-    return Combiner("min", tuple(cols), lambda df: [F.min(c).alias(c) for c in cols])
-
-
-def maximum(*cols: str) -> Combiner:
-    return Combiner("max", tuple(cols), lambda df: [F.max(c).alias(c) for c in cols])
-
-
 def grouped_udf(fn: Callable, col: str, return_type: str) -> Combiner:
     """G6/G7 user value combiner as a grouped-aggregate pandas UDF (Arrow batches).
 
@@ -95,11 +83,14 @@ def grouped_udf(fn: Callable, col: str, return_type: str) -> Combiner:
                     python=True)
 
 
-def concat_rows() -> None:
-    """G12 (edge-list concatenation) needs no combiner: lists stay flat rows, and the
-    union of two tables *is* their concatenation. Collecting them into one array per id
-    would put a hot id's whole list in one row, so the library never does."""
-    return None
+def concat_lists(*tables: DataFrame) -> DataFrame:
+    """G12 (list concatenation per id): lists stay flat rows, one (id, element) each, so
+    the lists of several tables are concatenated by a bag union; a hot id's list is never
+    one row."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
 
 
 def int_div(num: str, den: str) -> Column:

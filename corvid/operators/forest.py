@@ -18,8 +18,10 @@ def gini(p: Column) -> Column:
 
 
 def entropy(p: Column) -> Column:
-    """Defined by the reference but unused by it; offered as ``impurity="entropy"``."""
-    return -(p * F.log(p) + (F.lit(1.0) - p) * F.log(F.lit(1.0) - p))
+    """G25, offered as ``impurity="entropy"``: 0 for a pure side; null outside 0..1 (bag
+    counts can exceed the example counts: use set postings with it)."""
+    part = lambda q: F.when(q > 0, q * F.log(q)).otherwise(F.lit(0.0))
+    return F.when(p.between(0, 1), -(part(p) + part(F.lit(1.0) - p)))
 
 
 def majority(pos: Column, n: Column) -> Column:
@@ -44,6 +46,26 @@ def split_score(m: Column, c: Column, n: Column, pos: Column, impurity: str = "g
     return F.when(m == n, F.lit(ABSENT)).otherwise(s)
 
 
+def small_side(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+    """A broadcast hint if the counted rows, at the longest string each, fit ``max_bytes``."""
+    text = [c for c, t in df.dtypes if t == "string"]
+    r = df.agg(F.count(F.lit(1)).alias("n"), *[F.max(F.octet_length(c)).alias(f"w{i}") for i, c in enumerate(text)]).first()
+    width = 64 + 16 * len(df.columns) + sum(r[f"w{i}"] or 0 for i in range(len(text)))
+    return F.broadcast(df) if r["n"] * width <= max_bytes else df
+
+
+def draw(fs: DataFrame, subset: int, seed: int) -> DataFrame:
+    """The features each (tree, node) draws: ``subset`` draws with replacement take one of
+    F features with probability 1 - (1 - 1/F)^subset; a hash of (seed, tree, node, feature)
+    decides, so a draw is repeatable anywhere."""
+    many = small_side(fs.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_F")))
+    p = 1.0 - F.pow(1.0 - 1.0 / F.col("_F"), F.lit(float(subset)))
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("tree").cast("string"), F.col("node").cast("string"),
+                          F.col("feature").cast("string")))
+    u = F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+    return fs.join(many, ["tree", "node"]).filter(u < p).drop("_F")
+
+
 def node_stats(assignment: DataFrame) -> DataFrame:
     """Examples and positives per (tree, node); totals come from labels, not postings, so
     an example without features still counts."""
@@ -69,14 +91,21 @@ def scores(wpostings: DataFrame, assignment: DataFrame, impurity: str = "gini")
     """Score of every feature present at every node: ``(tree, node, feature, m, c, n, pos, score)``."""
     fs = feature_stats(wpostings, assignment)
     ns = node_stats(assignment)
-    j = fs.join(ns, ["tree", "node"])
+    return score_stats(fs, ns, impurity)
+
+
+def score_stats(fs: DataFrame, ns: DataFrame, impurity: str = "gini") -> DataFrame:
+    """G24 on counted features and node totals. There are as many totals as nodes in
+    flight; they are broadcast when that is checked small, so a level with one huge node
+    doesn't shuffle its features to one task."""
+    j = fs.join(small_side(ns), ["tree", "node"])
     return j.select("tree", "node", "feature", "m", "c", "n", "pos",
                     split_score(F.col("m"), F.col("c"), F.col("n"), F.col("pos"), impurity).alias("score"))
 
 
 def best_feature(scored: DataFrame) -> DataFrame:
     """The lowest score per (tree, node); equal scores go to the lowest feature id."""
-    b = scored.groupBy("tree", "node").agg(F.min(F.struct("score", "feature")).alias("b"))
+    b = scored.filter(F.col("score").isNotNull()).groupBy("tree", "node").agg(F.min(F.struct("score", "feature")).alias("b"))
     return b.select("tree", "node", F.col("b.feature").alias("feature"), F.col("b.score").alias("score"))
 
 
@@ -84,10 +113,10 @@ def route(assignment: DataFrame, wpostings: DataFrame, splits: DataFrame) -> Dat
     """Send each example of a split node to ``2*node`` if it has the node's feature,
     else to ``2*node + 1``; examples of other nodes are dropped. ``splits`` is
     ``(tree, node, feature)`` for inner nodes only, at most trees x 2^depth rows, so it
-    is broadcast; the feature test is one join on (example, feature)."""
-    at = assignment.join(F.broadcast(splits), ["tree", "node"])
+    is broadcast when checked small; the feature test is one join on (example, feature)."""
+    at = assignment.join(small_side(splits), ["tree", "node"])
     # Only postings of the level's split features matter: cut them down before the join.
-    used = F.broadcast(splits.select("feature").distinct())
+    used = small_side(splits.select("feature").distinct())
     flag = wpostings.join(used, "feature", "left_semi").select("example", "feature", F.lit(True).alias("_has"))
     moved = at.join(flag, ["example", "feature"], "left")
     return moved.select("tree", F.when(F.col("_has"), F.col("node") * 2).otherwise(F.col("node") * 2 + 1).alias("node"),

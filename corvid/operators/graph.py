@@ -29,8 +29,8 @@ def out_degree_edges(edge_list: DataFrame) -> DataFrame:
 
 def dangling_pages(edge_list: DataFrame, n_pages: int) -> DataFrame:
     """P3 (which pages): pages 0..n_pages-1 without an out-link (anti join)."""
-    pages = edge_list.sparkSession.range(n_pages).select(F.col("id").cast("int").alias("page"))
-    return pages.join(edge_list.select(F.col("src").alias("page")), "page", "left_anti")
+    pages = edge_list.sparkSession.range(n_pages).select(F.col("id").alias("page"))
+    return pages.join(edge_list.select(F.col("src").cast("bigint").alias("page")).distinct(), "page", "left_anti")
 
 
 def in_degree(edge_list: DataFrame) -> DataFrame:

@@ -74,16 +74,17 @@ def add(table: DataFrame, rows: DataFrame, key: str, combiner: Combiner | None)
 
 
 def get_val(table: DataFrame, keys: DataFrame, key: str, default: dict | None = None) -> DataFrame:
-    """P5: look up ``keys`` in ``table``; a missing id gets ``default`` (null otherwise)."""
-    out = keys.select(key).join(table, key, "left")
+    """P5: look up ``keys`` in ``table``; a missing id gets ``default`` (null otherwise).
+    A null that the table holds stays null."""
+    out = keys.select(key).join(table.withColumn("_held", F.lit(True)), key, "left")
     for c, v in (default or {}).items():
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
-    return out
+        out = out.withColumn(c, F.when(F.col("_held"), F.col(c)).otherwise(F.lit(v)))
+    return out.drop("_held")
 
 
 def remove_val(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Drop the given ids (anti join)."""
-    return table.join(keys.select(key), key, "left_anti")
+    return table.join(keys.select(key).distinct(), key, "left_anti")  # a hot key is one row
 
 
 def ids(table: DataFrame, key: str) -> DataFrame:
@@ -182,18 +183,22 @@ def pull(local: DataFrame, global_: DataFrame, key: str, combiner: Combiner | No
     """
     groups = [key] + ([owner] if owner and owner in local.columns else [])
     payload = [c for c in local.columns if c not in groups]
-    g = global_.select(key, *payload)
+    mine = combine_by_id(local, groups, combiner)
+    g = global_.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_g_{c}") for c in payload], F.lit(True).alias("_known"))
     g = checked_broadcast(g, bcast_bytes) if use_bcast else g
-    wanted = local.select(*groups).distinct()
-    fetched = wanted.join(g, key, "inner").select(*groups, *payload, F.lit(1).alias("_g"))
-    both = local.select(*groups, *payload, F.lit(0).alias("_g")).unionByName(fetched)
-    out = both.groupBy(*groups).agg(*(combiner.aggs(both) if combiner else []), F.max("_g").alias("_g"))
+    met = mine.join(g, F.col(key) == F.col("_key"), "left")
     if on_missing == "error":
-        # The check guards the payload itself, so no projection can prune it away.
+        # The check is a filter on the key: no projection or count can prune it away.
         fail = F.raise_error(F.concat(F.lit("pull: id missing from the global table: "), F.col(key).cast("string")))
-        out = out.select(*groups, *[F.when(F.col("_g") == 1, F.col(c)).otherwise(fail.cast(t)).alias(c)
-                                    for c, t in out.dtypes if c not in groups and c != "_g"])
-    return out.drop("_g")
+        met = met.filter(F.when(F.coalesce(F.col("_known"), F.lit(False)), F.lit(True)).otherwise(fail.cast("boolean")))
+    if combiner is None:
+        return met.select(*groups, *payload)
+    # The pair (local row, fetched row) is two rows of one id for the combiner.
+    pair = F.array(F.struct(*[F.col(c).alias(c) for c in payload], F.lit(True).alias("_use")),
+                   F.struct(*[F.col(f"_g_{c}").alias(c) for c in payload], F.coalesce(F.col("_known"), F.lit(False)).alias("_use")))
+    rows = met.select(*groups, F.explode(pair).alias("_r")).filter(F.col("_r._use")).select(
+        *groups, *[F.col(f"_r.{c}").alias(c) for c in payload])
+    return combine_by_id(rows, groups, combiner)
 
 
 def join_to_static(dynamic: DataFrame, static: DataFrame, key: str, combiner: Combiner | None,
@@ -205,13 +210,26 @@ def join_to_static(dynamic: DataFrame, static: DataFrame, key: str, combiner: Co
     return static.join(combined, key, "full" if keep_unmatched else "left")
 
 
-def checked_broadcast(df: DataFrame, max_bytes: int, rows: int | None = None, row_bytes: int = 64) -> DataFrame:
+_FIXED = {"boolean": 8, "tinyint": 8, "smallint": 8, "int": 8, "bigint": 8, "float": 8, "double": 8, "date": 8, "timestamp": 8}
+
+
+def row_bound(df: DataFrame) -> int | None:
+    """Bytes of a broadcast row at most; None if a column has no fixed width."""
+    widths = [_FIXED.get(t) for _, t in df.dtypes]
+    return None if None in widths else 64 + sum(widths)
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int, rows: int | None = None, row_bytes: int | None = None) -> DataFrame:
     """Hint a broadcast only when the side is provably small: ``rows`` (counted here
-    when not given) times an upper bound on the row size. Otherwise the DataFrame is
-    returned as is and Spark shuffles (or adaptive execution broadcasts it after
-    measuring it)."""
+    when not given) times an upper bound on the row size (``row_bytes``, else from the
+    column types; rows with strings or arrays have none and are not hinted). Otherwise the
+    DataFrame is returned as is and Spark shuffles (or adaptive execution broadcasts it
+    after measuring it)."""
+    width = row_bytes or row_bound(df)
+    if width is None:
+        return df
     n = df.count() if rows is None else rows
-    return F.broadcast(df) if n * row_bytes <= max_bytes else df
+    return F.broadcast(df) if n * width <= max_bytes else df
 
 
 def _union(tables: Sequence[DataFrame] | DataFrame) -> DataFrame:

@@ -13,26 +13,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corvid.functions.combiners import array_plus, plus, together
+from corvid.functions.combiners import array_plus, concat_lists, grouped_udf, plus, together
 from corvid.operators import forest as fo
 from corvid.operators import graph, keyed
 from corvid.plans import collectives, kmeans, pagerank
 from corvid.plans.forest import predict, train_forest
 from corvid.sources.generate import generate_links
-from corvid.sources.text import labelled_postings
+from corvid.sources.text import labelled_postings, parse_adjacency, parse_vector
 from corvid.streaming.route import route
 
 # Fixed parameters of the catalog queries.
 PR_ROUNDS = 10          # PageRank rounds (exact: delta < 0 never converges)
 DAMPING = 0.85
-WORKERS = 4             # simulated worker tables for gather / allgather / allreduce
+OWNERS = 4              # owners that the rotation moves rows between
 REGROUP_N = 8           # regroup destinations
 ROUTE_WORKERS = 8       # event routing members
 LINK_GROUP = 26         # generator group
-FOREST_DEPTH = 2
+FOREST_DEPTH = 4
+FOREST_TREES = 5
+FOREST_SUBSET = 3000    # features drawn per node
+FOREST_SEED = 1
 TOKEN_SPLIT = r"[ \t\n\r]+"
 EMBED_DIM = 64
 K_CENTRES = 10
@@ -52,8 +56,8 @@ def _link_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int, int]:
     s = int(table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).first()[0]) + 1
     p = int(table(spark, sf_dir, "part").agg(F.max("p_partkey")).first()[0]) + 1
     li = table(spark, sf_dir, "lineitem")
-    links = li.select(F.col("l_suppkey").cast("int").alias("src"),
-                      (F.lit(s) + F.col("l_partkey")).cast("int").alias("dst")).distinct()
+    links = li.select(F.col("l_suppkey").cast("bigint").alias("src"),
+                      (F.lit(s) + F.col("l_partkey")).cast("bigint").alias("dst")).distinct()
     return links, s, s + p
 
 
@@ -95,8 +99,8 @@ def q_pagerank_converge(spark, sf_dir):
 
 def q_out_degree_bag_set(spark, sf_dir):
     """P2 both ways over the raw (repeating) supplier -> part links of lineitem."""
-    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("int").alias("src"),
-                                                 F.col("l_partkey").cast("int").alias("dst"))
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("bigint").alias("src"),
+                                                 F.col("l_partkey").cast("bigint").alias("dst"))
     return graph.out_degree_edges(li).select(F.col("src").alias("page"), "bag", "set")
 
 
@@ -127,9 +131,8 @@ def q_graph_degrees(spark, sf_dir):
 
 
 def q_max_node(spark, sf_dir):
-    links, _, _ = _link_graph(spark, sf_dir)
-    return links.agg(F.max("src").alias("max_src"), (F.max("src") + 1).alias("n_sources"),
-                     F.count(F.lit(1)).alias("n_links"))
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("bigint").alias("src"))
+    return graph.max_node(li).select(F.col("max_id").alias("max_src"), F.col("n_nodes").alias("n_sources"))
 
 
 def q_generate_links(spark, sf_dir):
@@ -146,6 +149,14 @@ def _cust_orders(spark, sf_dir):
     return o.select(F.col("o_custkey").alias("key"), F.lit(1).cast("bigint").alias("val"))
 
 
+def _user_events(spark, sf_dir):
+    """Event counts by user, every third user under an id no customer has: keys that
+    match the customers, keys that don't, and customers without events."""
+    u = F.col("user_id")
+    return table(spark, sf_dir, "events").select(
+        F.when(u % 3 == 0, -u - 1).otherwise(u).alias("key"), F.lit(1).cast("bigint").alias("val"))
+
+
 def _cust_global(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     return c.select(F.col("c_custkey").alias("key"), F.floor("c_acctbal").cast("bigint").alias("val"))
@@ -160,13 +171,13 @@ def q_word_average(spark, sf_dir):
 
 def q_combine_int(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    t = li.select(F.col("l_partkey").cast("int").alias("key"), F.floor("l_quantity").cast("int").alias("val"))
+    t = li.select(F.col("l_partkey").alias("key"), F.floor("l_quantity").cast("int").alias("val"))
     return keyed.combine_by_id(t, "key", plus("val"))
 
 
 def q_combine_long(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    t = o.select(F.col("o_custkey").cast("int").alias("key"), F.floor("o_totalprice").cast("bigint").alias("val"))
+    t = o.select(F.col("o_custkey").alias("key"), F.floor("o_totalprice").cast("bigint").alias("val"))
     return keyed.combine_by_id(t, "key", plus("val"))
 
 
@@ -199,21 +210,18 @@ def q_array_sum(spark, sf_dir):
 
 
 def q_allreduce_arrays(spark, sf_dir):
-    e = _embeddings(spark, sf_dir)
+    """G18 with an array and a count combined together."""
     both = together(array_plus("vec", EMBED_DIM), plus("n"))
-    per_worker = [keyed.combine_by_id(e.filter(F.col("vec_id") % WORKERS == w)
-                                      .select("label", "vec", F.lit(1).alias("n")), "label", both)
-                  for w in range(WORKERS)]
-    merged = keyed.allreduce(per_worker, "label", both)
+    merged = keyed.allreduce(_embeddings(spark, sf_dir).select("label", "vec", F.lit(1).alias("n")), "label", both)
     return _long_form(merged, "label", "vec", "n")
 
 
 def q_push(spark, sf_dir):
-    return keyed.push(_cust_orders(spark, sf_dir), _cust_global(spark, sf_dir), "key", plus("val"))
+    return keyed.push(_user_events(spark, sf_dir), _cust_global(spark, sf_dir), "key", plus("val"))
 
 
 def q_pull(spark, sf_dir):
-    local = keyed.combine_by_id(_cust_orders(spark, sf_dir), "key", plus("val"))
+    local = keyed.combine_by_id(_user_events(spark, sf_dir), "key", plus("val"))
     return keyed.pull(local, _cust_global(spark, sf_dir), "key", plus("val"), on_missing="keep")
 
 
@@ -225,15 +233,14 @@ def q_push_pull_sync(spark, sf_dir):
 
 def q_join_to_static(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_nationkey")
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_totalprice").alias("total"))
+    o = _user_events(spark, sf_dir).select("key", F.col("val").alias("total"))
     j = keyed.join_to_static(o, c, "key", plus("total"), keep_unmatched=True)
-    return j.select("key", "c_nationkey", F.round("total", 2).alias("total"))
+    return j.select("key", "c_nationkey", "total")
 
 
 def q_remove_val(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_name")
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"))
-    return keyed.remove_val(c, o, "key")
+    return keyed.remove_val(c, _user_events(spark, sf_dir), "key")
 
 
 def q_remove_returned(spark, sf_dir):
@@ -245,31 +252,29 @@ def q_remove_returned(spark, sf_dir):
 
 
 def q_get_val(spark, sf_dir):
-    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
-    counts = keyed.combine_by_id(_cust_orders(spark, sf_dir), "key", plus("val"))
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), F.lit(1).cast("bigint").alias("val"))
+    counts = keyed.combine_by_id(lines, "key", plus("val"))
     return keyed.get_val(counts, keys, "key", {"val": 0})
 
 
-def _worker_tables(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    return [o.filter(F.col("o_orderkey") % WORKERS == w).select(
-        F.lit(w).alias("owner"), F.col("o_custkey").alias("key"), F.lit(1).cast("bigint").alias("n"))
-        for w in range(WORKERS)]
+def _key_tables(spark, sf_dir):
+    """Three tables of counts by a customer's key: its orders, its users' events, itself."""
+    n = F.lit(1).cast("bigint").alias("n")
+    return [table(spark, sf_dir, t).select(F.lit(i).alias("owner"), F.col(c).alias("key"), n)
+            for i, (t, c) in enumerate((("orders", "o_custkey"), ("events", "user_id"), ("customer", "c_custkey")))]
 
 
 def q_allgather(spark, sf_dir):
-    locals_ = [keyed.combine_by_id(t, ["owner", "key"], plus("n")) for t in _worker_tables(spark, sf_dir)]
-    return keyed.allgather(locals_, "key", plus("n"))
+    return keyed.allgather(_key_tables(spark, sf_dir), "key", plus("n"))
 
 
 def q_reduce(spark, sf_dir):
-    locals_ = [keyed.combine_by_id(t, ["owner", "key"], plus("n")) for t in _worker_tables(spark, sf_dir)]
-    return keyed.reduce(locals_, "key", plus("n"), root=0)
+    return keyed.reduce(_key_tables(spark, sf_dir), "key", plus("n"), root=0)
 
 
 def q_gather(spark, sf_dir):
-    locals_ = [keyed.combine_by_id(t, ["owner", "key"], plus("n")) for t in _worker_tables(spark, sf_dir)]
-    return keyed.gather(locals_)
+    return keyed.gather([keyed.combine_by_id(t, ["owner", "key"], plus("n")) for t in _key_tables(spark, sf_dir)])
 
 
 def q_regroup_counts(spark, sf_dir):
@@ -277,8 +282,8 @@ def q_regroup_counts(spark, sf_dir):
 
 
 def q_rotate_owner(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % WORKERS).cast("int").alias("owner"))
-    return keyed.rotate_owner(o, WORKERS)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % OWNERS).cast("int").alias("owner"))
+    return keyed.rotate_owner(o, OWNERS)
 
 
 def q_partition_ids(spark, sf_dir):
@@ -332,18 +337,21 @@ def q_kmeans_1(spark, sf_dir):
 # -------------------------------------------------------------------------- forest
 
 
+def _postings(docs: DataFrame) -> DataFrame:
+    return (docs.select(F.col("doc_id").alias("example"), F.explode(F.split("text", TOKEN_SPLIT)).alias("feature"))
+            .filter(F.col("feature") != ""))
+
+
 def _doc_data(spark, sf_dir):
     lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("example"), F.col("quality").alias("label"))
     docs = table(spark, sf_dir, "documents").join(lab.select(F.col("example").alias("doc_id")), "doc_id", "left_semi")
-    post = (docs.select(F.col("doc_id").alias("example"), F.explode(F.split("text", TOKEN_SPLIT)).alias("feature"))
-            .filter(F.col("feature") != ""))
-    return lab, post
+    return lab, _postings(docs)
 
 
-def _root(spark, sf_dir, duplicates="bag"):
+def _root(spark, sf_dir, duplicates="bag", impurity="gini"):
     lab, post = _doc_data(spark, sf_dir)
     a = lab.select(F.lit(0).alias("tree"), F.lit(1).cast("bigint").alias("node"), "example", "label")
-    return fo.scores(fo.weighted_postings(post, duplicates), a)
+    return fo.scores(fo.weighted_postings(post, duplicates), a, impurity)
 
 
 def _score_out(score):
@@ -351,6 +359,12 @@ def _score_out(score):
     return F.when(score == F.lit(fo.ABSENT), score).otherwise(F.round(score, 9))
 
 
+def q_split_scores_entropy(spark, sf_dir):
+    """G24 with G25: the entropy impurity (set postings, as it needs shares in 0..1)."""
+    s = _root(spark, sf_dir, "set", "entropy")
+    return s.select("feature", "m", "c", _score_out(F.col("score")).alias("score"))
+
+
 def q_split_scores(spark, sf_dir):
     s = _root(spark, sf_dir)
     return s.select("feature", "m", "c", _score_out(F.col("score")).alias("score"))
@@ -367,31 +381,50 @@ def q_best_split(spark, sf_dir):
     return b.select("feature", _score_out(F.col("score")).alias("score"))
 
 
-def q_majority(spark, sf_dir):
+def _majority(spark, sf_dir, label):
     lab = table(spark, sf_dir, "labels")
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
     j = lab.join(docs, "doc_id")
-    g = j.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("quality").cast("bigint").alias("pos"))
+    g = j.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(label).cast("bigint").alias("pos"))
     return g.select("lang", "n", "pos", fo.majority(F.col("pos"), F.col("n")).alias("majority"),
                     fo.is_pure(F.col("pos"), F.col("n")).alias("pure"))
 
 
+def q_majority(spark, sf_dir):
+    return _majority(spark, sf_dir, "quality")
+
+
+def q_majority_toxic(spark, sf_dir):
+    """G23 where zeros outnumber ones."""
+    return _majority(spark, sf_dir, "toxic")
+
+
 def _forest_model(spark, sf_dir):
+    """A forest on the labelled documents: set postings, each node's own draw."""
     lab, post = _doc_data(spark, sf_dir)
-    return train_forest(lab, post, num_trees=3, max_depth=FOREST_DEPTH, subset=1 << 40), lab, post
+    return train_forest(lab, post, num_trees=FOREST_TREES, max_depth=FOREST_DEPTH, subset=FOREST_SUBSET, seed=FOREST_SEED,
+                        duplicates="set"), lab
 
 
 def _forest_predictions(spark, sf_dir):
-    model, lab, post = _forest_model(spark, sf_dir)
-    return predict(model, lab.select("example"), post), lab
+    """Every document's prediction, labelled or not."""
+    model, lab = _forest_model(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    return predict(model, docs.select(F.col("doc_id").alias("example")), _postings(docs)), lab
 
 
 def q_tree_size(spark, sf_dir):
     """Mean number of nodes per tree (empty children count as leaves)."""
-    model, _, _ = _forest_model(spark, sf_dir)
+    model, _ = _forest_model(spark, sf_dir)
     return fo.mean_tree_size(model.nodes)
 
 
+def q_forest_nodes(spark, sf_dir):
+    """The trees themselves."""
+    model, _ = _forest_model(spark, sf_dir)
+    return model.nodes.select("tree", "node", "feature", "is_leaf", "prediction")
+
+
 def q_forest_predict(spark, sf_dir):
     p, _ = _forest_predictions(spark, sf_dir)
     return p.select("example", "prediction")
@@ -419,6 +452,90 @@ def q_read_sparse_labeled(spark, sf_dir):
     return labelled_postings(lines)
 
 
+def _adjacency_lines(spark, sf_dir):
+    """One ``src dst dst ...`` line per supplier (targets in order, indented by a tab)."""
+    links, _, n = _link_graph(spark, sf_dir)
+    rows = links.groupBy("src").agg(F.array_sort(F.collect_list("dst")).alias("dst"))
+    line = F.concat(F.lit("\t"), F.concat_ws(" ", F.col("src").cast("string"), F.col("dst").cast("array<string>")))
+    return rows.select(F.col("src").alias("line_no"), line.alias("value")), n
+
+
+def q_read_adjacency(spark, sf_dir):
+    """S1 + P1: the adjacency lines parsed back to edges."""
+    lines, _ = _adjacency_lines(spark, sf_dir)
+    return graph.edges(parse_adjacency(lines))
+
+
+def q_pagerank_adjacency(spark, sf_dir):
+    """I1 by the adjacency route (an empty list for every page that heads no line)."""
+    lines, n = _adjacency_lines(spark, sf_dir)
+    adj = parse_adjacency(lines)
+    rest = spark.range(n).select(F.col("id").cast("int").alias("src")).join(adj.select("src"), "src", "left_anti").select(
+        "src", F.array().cast("array<int>").alias("dst"))
+    g = pagerank.prepare_adjacency(adj.unionByName(rest))
+    res = pagerank.pagerank(g, damping=DAMPING, delta=-1.0, max_rounds=PR_ROUNDS)
+    return res.ranks.select("page", F.round("rank", 10).alias("rank"))
+
+
+def q_read_vectors(spark, sf_dir):
+    """Embedding vectors written as lines and parsed back, long form."""
+    e = _embeddings(spark, sf_dir)
+    line = F.concat_ws(" ", F.transform("vec", lambda x: x.cast("string")))
+    v = e.select("vec_id", parse_vector(line, EMBED_DIM).alias("vec"))
+    return _long_form(v, "vec_id", "vec")
+
+
+def q_combine_long_int(spark, sf_dir):
+    """Int values summed by a long key."""
+    li = table(spark, sf_dir, "lineitem")
+    t = li.select((F.col("l_orderkey") * F.lit(4294967311)).alias("key"), F.col("l_linenumber").cast("int").alias("val"))
+    return keyed.combine_by_id(t, "key", plus("val"))
+
+
+def _array_sums(spark, sf_dir, kind):
+    li = table(spark, sf_dir, "lineitem")
+    vec = F.array(F.col("l_linenumber"), F.floor("l_quantity"), F.floor("l_extendedprice")).cast(f"array<{kind}>")
+    s = keyed.combine_by_id(li.select("l_returnflag", vec.alias("vec")), "l_returnflag", array_plus("vec", 3))
+    return s.select("l_returnflag", F.posexplode("vec").alias("pos", "total"))
+
+
+def q_array_sum_int(spark, sf_dir):
+    return _array_sums(spark, sf_dir, "int")
+
+
+def q_array_sum_long(spark, sf_dir):
+    return _array_sums(spark, sf_dir, "bigint")
+
+
+def q_user_combiner(spark, sf_dir):
+    """A user's own combiner (the longest priority name per customer) as a pandas UDF."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderpriority").alias("val"))
+    return keyed.combine_by_id(o, "key", grouped_udf(_longest, "val", "string"))
+
+
+def _longest(v: pd.Series) -> str:
+    return max(v, key=lambda x: (len(x), x))
+
+
+def q_concat_lists(spark, sf_dir):
+    """Per customer, the ids of its orders and of its users' events as one list."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("val"))
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), F.col("event_id").alias("val"))
+    return concat_lists(o, e)
+
+
+def q_regroup_finish(spark, sf_dir):
+    """Regroup with combine, then a finish function on every combined row."""
+    half = {"val": F.floor(F.col("val") / 2).cast("bigint")}
+    return keyed.regroup_aggregate(_user_events(spark, sf_dir), "key", plus("val"), half, REGROUP_N)
+
+
+def q_reject_nulls(spark, sf_dir):
+    """Rows whose derived value is null are not added."""
+    t = _user_events(spark, sf_dir).withColumn("val", F.when(F.col("key") % 5 != 0, F.col("val")))
+    return keyed.combine_by_id(keyed.reject_nulls(t, ["key", "val"]), "key", plus("val"))
+
+
 def _events(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     t = (F.when(F.col("event_type") == "view", F.lit("COLLECTIVE"))
@@ -472,6 +589,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_1": q_kmeans_1,
     "kmeans_rounds": q_kmeans_rounds,
     "split_scores": q_split_scores,
+    "split_scores_entropy": q_split_scores_entropy,
+    "forest_nodes": q_forest_nodes,
+    "majority_toxic": q_majority_toxic,
+    "read_adjacency": q_read_adjacency,
+    "pagerank_adjacency": q_pagerank_adjacency,
+    "read_vectors": q_read_vectors,
+    "combine_long_int": q_combine_long_int,
+    "array_sum_int": q_array_sum_int,
+    "array_sum_long": q_array_sum_long,
+    "user_combiner": q_user_combiner,
+    "concat_lists": q_concat_lists,
+    "regroup_finish": q_regroup_finish,
+    "reject_nulls": q_reject_nulls,
     "split_scores_set": q_split_scores_set,
     "best_split": q_best_split,
     "majority": q_majority,

@@ -11,10 +11,10 @@ leaf at ``max_depth``, when pure, or when its best (lowest) score is ``<= 0`` 
 feature on every example of the node (score -1e30) or a perfect split (score 0) ends the
 branch in ``mode="reference"``; ``mode="gini"`` ignores -1e30 candidates and splits on 0.
 Each tree draws ``subset`` features per node with replacement from the features present
-at the node; a feature is kept when a hash of (seed, tree, node, feature) falls under the
-probability of being drawn at least once, ``1 - (1 - 1/F)^subset``. When that is 1.0 for
-every node (F far below ``subset``) all trees are the same tree, which is grown once and
-labelled with every tree id. Ties between equal scores go to the lowest feature id.
+at the node, before any is scored; a feature is kept when a hash of (seed, tree, node,
+feature) falls under the probability of being drawn at least once, ``1 - (1 - 1/F)^subset``.
+With ``subset=None`` every feature is drawn, so all trees are one tree, which is grown once
+and labelled with every tree id. Ties between equal scores go to the lowest feature id.
 """
 
 from __future__ import annotations
@@ -27,41 +27,31 @@ from pyspark.sql import functions as F
 from corvid.operators import forest as fo
 from corvid.session import cut_lineage, persist
 
-NODE_SCHEMA = "tree int, node bigint, depth int, feature bigint, is_leaf boolean, prediction int"
-
-
 @dataclass
 class ForestModel:
-    nodes: DataFrame        # NODE_SCHEMA (feature typed like the postings' feature column)
+    nodes: DataFrame        # tree int, node bigint, depth int, feature (as the postings'), is_leaf boolean, prediction int
     num_trees: int
     max_depth: int
     identical: bool         # every tree is the same tree
 
 
-def draw_probability(n_features: int, subset: int) -> float:
-    if n_features <= 0:
-        return 0.0
-    return 1.0 - (1.0 - 1.0 / n_features) ** subset
-
-
-def _grow(labels: DataFrame, wpost: DataFrame, first_tree: int, last_tree: int, identical: bool, ftype: str,
-          max_depth: int, subset: int, seed: int, mode: str, impurity: str) -> DataFrame:
+def _grow(labels: DataFrame, wpost: DataFrame, first_tree: int, last_tree: int, ftype: str,
+          max_depth: int, subset: int | None, seed: int, mode: str, impurity: str) -> DataFrame:
     """Grow trees ``first_tree..last_tree`` level by level; returns their node rows."""
     assignment = persist(labels.select(F.explode(F.sequence(F.lit(first_tree), F.lit(last_tree))).alias("tree"),
                                        F.lit(1).cast("bigint").alias("node"),
                                        F.col("example").cast("bigint"), F.col("label").cast("int")))
     levels: list[DataFrame] = []
+    kept: list[DataFrame] = []
     for depth in range(max_depth + 1):
-        ns = fo.node_stats(assignment)
+        ns = persist(fo.node_stats(assignment))
+        kept.append(ns)
         base = ns.select("tree", "node", "n", "pos", fo.majority(F.col("pos"), F.col("n")).alias("maj"),
                          fo.is_pure(F.col("pos"), F.col("n")).alias("pure"))
         if depth < max_depth:
-            scored = fo.scores(wpost, assignment, impurity)
-            if not identical:
-                fcount = scored.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_F"))
-                p = 1.0 - F.pow(1.0 - 1.0 / F.col("_F"), F.lit(float(subset)))
-                u = F.pmod(F.xxhash64(F.lit(seed), "tree", "node", "feature"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-                scored = scored.join(fcount, ["tree", "node"]).filter(u < p).drop("_F")
+            fs = persist(fo.feature_stats(wpost, assignment))
+            kept.append(fs)
+            scored = fo.score_stats(fs if subset is None else fo.draw(fs, subset, seed), ns, impurity)
             if mode == "gini":
                 scored = scored.filter(F.col("score") > F.lit(fo.ABSENT))
             best = fo.best_feature(scored)
@@ -98,14 +88,14 @@ def _grow(labels: DataFrame, wpost: DataFrame, first_tree: int, last_tree: int,
     nodes = cut_lineage(nodes.select(F.col("tree").cast("int"), F.col("node").cast("bigint"),
                                      F.col("depth").cast("int"), "feature", "is_leaf",
                                      F.col("prediction").cast("int")))
-    for lv in levels:
+    for lv in levels + kept:
         lv.unpersist()
     assignment.unpersist()
     return nodes
 
 
 def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, max_depth: int = 8,
-                 subset: int = 30000, seed: int = 0, mode: str = "reference", impurity: str = "gini",
+                 subset: int | None = 30000, seed: int = 0, mode: str = "reference", impurity: str = "gini",
                  duplicates: str = "bag", tree_batch: int | None = None) -> ForestModel:
     """``labels(example, label)``, ``postings(feature, example)`` -> node table.
 
@@ -113,15 +103,14 @@ def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, ma
     in ranges of that many (I10's tree ranges); the hashed draws depend only on tree ids,
     so the forest is the same however it is batched."""
     wpost = persist(fo.weighted_postings(postings, duplicates))
-    n_features = wpost.select("feature").distinct().count()
-    identical = draw_probability(n_features, subset) == 1.0
+    identical = subset is None
     ftype = dict(wpost.dtypes)["feature"]
     if identical:
         ranges = [(0, 0)]
     else:
         step = max(1, tree_batch or num_trees)
         ranges = [(t, min(t + step, num_trees) - 1) for t in range(0, num_trees, step)]
-    parts = [_grow(labels, wpost, t0, t1, identical, ftype, max_depth, subset, seed, mode, impurity)
+    parts = [_grow(labels, wpost, t0, t1, ftype, max_depth, subset, seed, mode, impurity)
              for t0, t1 in ranges]
     nodes = parts[0]
     for part in parts[1:]:
@@ -138,15 +127,16 @@ def predict(model: ForestModel, examples: DataFrame, postings: DataFrame, per_tr
     """Walk every tree (has feature? left : right) and vote.
 
     ``examples`` has an ``example`` column; ``postings(feature, example)``. The node table
-    holds trees x 2^depth rows at most and is broadcast; each level is one join. When all
+    holds trees x 2^depth rows at most and is broadcast when that is checked small; each
+    level is one join. When all
     trees are the same tree only one is walked (its vote is unanimous)."""
     nodes = model.nodes
     if model.identical:
         nodes = nodes.filter(F.col("tree") == 0)
-    nodes = F.broadcast(nodes.select("tree", "node", "feature", "is_leaf", "prediction"))
+    nodes = fo.small_side(nodes.select("tree", "node", "feature", "is_leaf", "prediction"))
     # Only the features the trees test matter (at most one per inner node, a bounded
     # list): the postings are cut down to them before anything is shuffled.
-    used = F.broadcast(model.nodes.filter(~F.col("is_leaf")).select("feature").distinct())
+    used = fo.small_side(model.nodes.filter(~F.col("is_leaf")).select("feature").distinct())
     flag = (postings.join(used, "feature", "left_semi").select("example", "feature").distinct()
             .withColumn("_has", F.lit(True)))
     cur = examples.select(F.col("example").cast("bigint"))
@@ -169,11 +159,14 @@ def predict(model: ForestModel, examples: DataFrame, postings: DataFrame, per_tr
 
 
 def save_forest(model: ForestModel, path: str) -> None:
-    """Node rows as Parquet (instead of the reference's preorder binary)."""
-    model.nodes.write.mode("overwrite").parquet(path)
+    """Node rows as Parquet (instead of the reference's preorder binary), and beside
+    them the model's facts."""
+    model.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+    facts = [(model.num_trees, model.max_depth, model.identical)]
+    model.nodes.sparkSession.createDataFrame(facts, "num_trees int, max_depth int, identical boolean").write.mode(
+        "overwrite").parquet(f"{path}/facts")
 
 
-def load_forest(spark: SparkSession, path: str, max_depth: int | None = None) -> ForestModel:
-    nodes = spark.read.parquet(path)
-    r = nodes.agg(F.countDistinct("tree").alias("t"), F.max("depth").alias("d")).first()
-    return ForestModel(nodes, int(r["t"]), int(max_depth if max_depth is not None else r["d"]), False)
+def load_forest(spark: SparkSession, path: str) -> ForestModel:
+    r = spark.read.parquet(f"{path}/facts").first()
+    return ForestModel(spark.read.parquet(f"{path}/nodes"), r["num_trees"], r["max_depth"], r["identical"])

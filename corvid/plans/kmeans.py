@@ -1,24 +1,27 @@
 """K-means from caller-supplied centroids.
 
-Each round is one Spark job over the cached points: the current centroids (k x d
-values, collected and bounded by ``max_literal_values``) ride in the plan as literals,
-every point picks its nearest centroid with array functions or, optionally, generated
-column arithmetic (no join at all, so no cross product is planned), and the new centres are ``d`` sum
-columns per cluster — a partial aggregate before the shuffle, so the exchange carries
-at most k rows per task whatever the skew between clusters. Only the k new centres
-return to the driver, which is the reference's broadcast-after-allreduce.
+Each round is one Spark job over the points. The current centres (k x d values, the size
+the reference broadcasts every round) are broadcast; each task compares Arrow batches of
+points with them and keeps k running sums, so it ships at most k rows whatever the skew
+between clusters, and nothing depends on k x d being small enough to write out as
+expressions. Only the k new centres return to the driver.
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvid.session import persist
 
+BLOCK = 1 << 22  # distances times dimensions computed at once
+
 
 @dataclass
 class KMeansResult:
@@ -31,46 +34,53 @@ def euclidean(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v))
 
 
-def _centre_rows(centroids: DataFrame, max_values: int) -> list[tuple[int, list[float]]]:
-    k_d = centroids.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("center")).alias("d")).first()
-    if (k_d["k"] or 0) * (k_d["d"] or 0) > max_values:
-        raise ValueError(f"{k_d['k']} centroids x {k_d['d']} dims exceed max_literal_values={max_values}")
-    return sorted((int(r["cid"]), [float(x) for x in r["center"]]) for r in centroids.select("cid", "center").collect())
+def _vectors(column: pa.Array, dim: int) -> np.ndarray:
+    """A batch's vectors as rows; a vector of another width fails, as in the reference."""
+    lists = column.cast(pa.list_(pa.float64()))
+    widths = np.diff(lists.offsets.to_numpy())
+    if lists.null_count or (widths != dim).any():
+        raise ValueError(f"k-means: a point without {dim} coordinates")
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the nearest centre (the first of equals; -1 if every distance is NaN, the
+    reference's initial value) and the distance."""
+    at, dist = np.full(len(x), -1), np.full(len(x), np.nan)
+    if not len(centres):
+        return at, dist
+    step = max(1, BLOCK // max(centres.size, 1))
+    for i in range(0, len(x), step):
+        d = np.sqrt(((x[i: i + step, None, :] - centres[None, :, :]) ** 2).sum(2))
+        best = np.where(np.isnan(d), np.inf, d).argmin(1)
+        dist[i: i + step] = d[np.arange(len(d)), best]
+        at[i: i + step] = np.where(np.isnan(d).all(1), -1, best)
+    return at, dist
 
 
-def assign_nearest(points: DataFrame, centres: list[tuple[int, list[float]]], features: str = "features",
-                   max_unrolled: int = 0) -> DataFrame:
+def _arrays(centres: list[tuple[int, list[float]]]) -> tuple[np.ndarray, np.ndarray]:
+    centres = sorted(centres)  # equal distances go to the lowest cid
+    return (np.array([c for c, _ in centres], np.int32),
+            np.array([v for _, v in centres], np.float64).reshape(len(centres), -1))
+
+
+def assign_nearest(points: DataFrame, centres: list[tuple[int, list[float]]], features: str = "features") -> DataFrame:
     """Nearest centre per point -> ``(..., cid int, dist double)``. Strict ``<`` in the
     reference keeps the first of equal distances; here equal distances go to the lowest
-    cid. With no centre at all, cid is -1 (the reference's initial value).
-
-    By default the distances run as array higher-order functions over an array literal:
-    the centres are data of the expression, so a new round's centres reuse the compiled
-    stage. With ``k x d <= max_unrolled`` they are written out as plain column arithmetic
-    instead, which whole-stage code generation compiles into the scan loop (about three
-    times faster per row at d = 10, measured on 2M points) but recompiles for every new
-    set of centres: worth it for long scans, not for many short rounds."""
+    cid. With no centre at all, cid is -1 and the distance null."""
     if not centres:
         return points.select("*", F.lit(-1).alias("cid"), F.lit(None).cast("double").alias("dist"))
-    x = F.col(features)
-    dim = len(centres[0][1])
-    if len(centres) * dim <= max_unrolled:
-        cands = []
-        for cid, c in centres:
-            sq = None
-            for i, ci in enumerate(c):
-                term = (x[i] - F.lit(ci)) * (x[i] - F.lit(ci))
-                sq = term if sq is None else sq + term
-            cands.append(F.struct(F.sqrt(sq).alias("dist"), F.lit(cid).alias("cid")))
-        best = F.array_min(F.array(*cands))
-    else:
-        # One JSON literal instead of k x d literal nodes: folded once by the optimizer,
-        # and it keeps plan building cheap (repr round-trips doubles exactly).
-        cids = F.from_json(F.lit(json.dumps([c for c, _ in centres])), "array<int>")
-        vecs = F.from_json(F.lit(json.dumps([[float(x) for x in v] for _, v in centres])), "array<array<double>>")
-        best = F.array_min(F.transform(vecs, lambda v, i: F.struct(
-            euclidean(x, v).alias("dist"), F.element_at(cids, i + 1).alias("cid"))))
-    return points.select("*", best["cid"].alias("cid"), best["dist"].alias("dist"))
+    sent = points.sparkSession.sparkContext.broadcast(_arrays(centres))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cids, c = sent.value
+        for b in batches:
+            at, dist = _nearest(_vectors(b.column(features), c.shape[1]), c)
+            cid = np.where(at < 0, -1, cids[at]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cid), pa.array(dist)], [*b.schema.names, "cid", "dist"])
+
+    schema = T.StructType([*points.schema.fields, T.StructField("cid", T.IntegerType()), T.StructField("dist", T.DoubleType())])
+    return points.mapInArrow(run, schema)
 
 
 def _dim_sums(features: str, dim: int) -> Column:
@@ -91,24 +101,50 @@ def clustering_error(assigned: DataFrame) -> DataFrame:
     return assigned.agg(F.sum("dist").alias("error"))
 
 
+def partial_sums(points: DataFrame, centres: list[tuple[int, list[float]]], features: str = "features") -> DataFrame:
+    """``(cid, n, err, sums)`` per task: the round's combine on the map side."""
+    sent = points.sparkSession.sparkContext.broadcast(_arrays(centres))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cids, c = sent.value
+        n, err, sums = np.zeros(len(c), np.int64), np.zeros(len(c)), np.zeros(c.shape)
+        for b in batches:
+            x = _vectors(b.column(0), c.shape[1])
+            at, dist = _nearest(x, c)
+            ok = at >= 0
+            n += np.bincount(at[ok], minlength=len(c))
+            err += np.bincount(at[ok], weights=dist[ok], minlength=len(c))
+            np.add.at(sums, at[ok], x[ok])
+        some = np.flatnonzero(n)
+        lists = pa.array([sums[i].tolist() for i in some], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(cids[some]), pa.array(n[some]), pa.array(err[some]), lists],
+                                         ["cid", "n", "err", "sums"])
+
+    return points.select(features).mapInArrow(run, "cid int, n bigint, err double, sums array<double>")
+
+
 def kmeans(points: DataFrame, centroids: DataFrame, iterations: int, features: str = "features",
-           max_literal_values: int = 2_000_000, max_unrolled: int = 0) -> KMeansResult:
-    """Exactly ``iterations`` rounds from the given start, no early stop."""
+           cache: bool = False) -> KMeansResult:
+    """Exactly ``iterations`` rounds from the given start, no early stop. ``cache``
+    keeps the points between rounds; otherwise each round scans them."""
     spark = points.sparkSession
-    pts = persist(points.select(features))
-    dim = int(pts.agg(F.max(F.size(features))).first()[0] or 0)
-    centres = _centre_rows(centroids, max_literal_values)
+    pts = persist(points.select(features)) if cache else points.select(features)
+    centres = [(int(r["cid"]), [float(x) for x in r["center"]]) for r in centroids.select("cid", "center").toLocalIterator()]
+    if len({len(v) for _, v in centres}) > 1:
+        raise ValueError("k-means: centres of different widths")
     errors: list[float] = []
     sizes: dict[int, int] = {}
-    for _ in range(iterations):
-        assigned = assign_nearest(pts, centres, features, max_unrolled)
-        g = assigned.groupBy("cid").agg(F.count(F.lit(1)).alias("n"), F.sum("dist").alias("err"),
-                                        _dim_sums(features, dim).alias("_s"))
-        res = g.collect()
-        errors.append(float(sum(r["err"] for r in res)))
-        centres = sorted((int(r["cid"]), [x / r["n"] for x in r["_s"]]) for r in res)
-        sizes = {int(r["cid"]): int(r["n"]) for r in res}
-    pts.unpersist()
+    for _ in range(iterations if centres else 0):
+        dim = len(centres[0][1])
+        got = partial_sums(pts, centres, features).groupBy("cid").agg(
+            F.sum("n").alias("n"), F.sum("err").alias("err"), _dim_sums("sums", dim).alias("s")).collect()
+        if not got:
+            break
+        errors.append(float(sum(r["err"] for r in got)))
+        centres = sorted((int(r["cid"]), [x / r["n"] for x in r["s"]]) for r in got)
+        sizes = {int(r["cid"]): int(r["n"]) for r in got}
+    if cache:
+        pts.unpersist()
     # n: points in each cluster in the last round (the reference zeroes this slot).
     out = spark.createDataFrame([(c, v, sizes.get(c, 0)) for c, v in centres],
                                 "cid int, center array<double>, n bigint")

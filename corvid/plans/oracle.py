@@ -8,7 +8,7 @@ from corvid.plans import catalog as C
 
 _S = "(SELECT max(s_suppkey) + 1 FROM supplier)"
 _N = f"({_S} + (SELECT max(p_partkey) + 1 FROM part))"
-_LINKS = (f"SELECT DISTINCT CAST(l_suppkey AS INTEGER) AS src, CAST({_S} + l_partkey AS INTEGER) AS dst "
+_LINKS = (f"SELECT DISTINCT CAST(l_suppkey AS BIGINT) AS src, CAST({_S} + l_partkey AS BIGINT) AS dst "
           "FROM lineitem")
 
 
@@ -26,7 +26,7 @@ def _pagerank_ctes(rounds: int, d: float, rules: str = "mpi") -> list[str]:
         f"links AS MATERIALIZED ({_LINKS})",
         "deg AS MATERIALIZED (SELECT src, count(*) AS deg FROM links GROUP BY src)",
         f"nn AS MATERIALIZED (SELECT CAST({_N} AS DOUBLE) AS n)",
-        f"r0 AS MATERIALIZED (SELECT CAST(g.range AS INTEGER) AS page, deg.deg, {start} AS rank "
+        f"r0 AS MATERIALIZED (SELECT CAST(g.range AS BIGINT) AS page, deg.deg, {start} AS rank "
         f"FROM nn, range(CAST({_N} AS BIGINT)) g LEFT JOIN deg ON deg.src = g.range)",
     ]
     for k in range(1, rounds + 1):
@@ -78,51 +78,67 @@ def kmeans_rounds_sql(rounds: int = C.KM_ROUNDS) -> str:
             f"CAST(n AS BIGINT) AS n FROM m{rounds}")
 
 
-def forest_sql(depth: int = C.FOREST_DEPTH) -> str:
-    """Depth-limited tree, reference rules, all features drawn: per level node totals,
-    per (node, feature) posting counts, score, lowest (score, feature), leaf tests, routing.
-    Yields ``preds(example, prediction)`` for the training examples."""
+def forest_sql(depth: int = C.FOREST_DEPTH, trees: int = C.FOREST_TREES, subset: int = C.FOREST_SUBSET,
+               seed: int = C.FOREST_SEED) -> str:
+    """Depth-limited trees, reference rules, set postings: per level node totals, per
+    (tree, node, feature) posting counts, each node's draw, score, lowest (score, feature),
+    leaf tests, routing. Then every document walks every tree, and the trees vote. Yields
+    ``nodes``, ``preds(example, prediction)`` and ``tsize``."""
     parts = [
         "lab AS MATERIALIZED (SELECT doc_id AS example, quality AS label FROM labels)",
-        "post AS MATERIALIZED (SELECT example, feature, count(*) AS k FROM ("
+        "every AS MATERIALIZED (SELECT DISTINCT example, feature FROM ("
         "SELECT d.doc_id AS example, unnest(regexp_split_to_array(d.text, '[ \\t\\n\\r]+')) AS feature "
-        "FROM documents d WHERE d.doc_id IN (SELECT example FROM lab)) t WHERE feature <> '' GROUP BY example, feature)",
-        "a0 AS MATERIALIZED (SELECT example, label, CAST(1 AS BIGINT) AS node FROM lab)",
+        "FROM documents d) t WHERE feature <> '')",
+        "post AS MATERIALIZED (SELECT * FROM every WHERE example IN (SELECT example FROM lab))",
+        f"a0 AS MATERIALIZED (SELECT CAST(t.range AS INTEGER) AS tree, example, label, CAST(1 AS BIGINT) AS node "
+        f"FROM lab, range({trees}) t)",
     ]
-    leaves = []
+    nodes = []
     for k in range(depth + 1):
-        parts.append(f"ns{k} AS MATERIALIZED (SELECT node, count(*) AS n, sum(label) AS pos FROM a{k} GROUP BY node)")
+        parts.append(f"ns{k} AS MATERIALIZED (SELECT tree, node, count(*) AS n, sum(label) AS pos FROM a{k} GROUP BY tree, node)")
+        maj = "CASE WHEN s.n - s.pos > s.pos THEN 0 ELSE 1 END"
         if k == depth:
-            leaves.append(f"SELECT a.example, CASE WHEN s.n - s.pos > s.pos THEN 0 ELSE 1 END AS prediction "
-                          f"FROM a{k} a JOIN ns{k} s USING (node)")
+            nodes.append(f"SELECT tree, node, CAST(NULL AS VARCHAR) AS feature, true AS is_leaf, {maj} AS prediction FROM ns{k} s")
             break
         parts.append(
-            f"fs{k} AS MATERIALIZED (SELECT a.node, p.feature, sum(p.k) AS m, sum(p.k * a.label) AS c "
-            f"FROM post p JOIN a{k} a USING (example) GROUP BY a.node, p.feature)")
+            f"fs{k} AS MATERIALIZED (SELECT a.tree, a.node, p.feature, count(*) AS m, sum(a.label) AS c "
+            f"FROM post p JOIN a{k} a USING (example) GROUP BY a.tree, a.node, p.feature)")
         parts.append(
-            f"sc{k} AS MATERIALIZED (SELECT f.node, f.feature, CASE WHEN f.m = s.n THEN -1e30 ELSE "
+            f"sc{k} AS MATERIALIZED (SELECT f.tree, f.node, f.feature, CASE WHEN f.m = s.n THEN -1e30 ELSE "
             f"CAST(f.m AS DOUBLE) / s.n * ((f.c / CAST(f.m AS DOUBLE)) * (1.0 - f.c / CAST(f.m AS DOUBLE))) + "
             f"(CAST(s.n AS DOUBLE) - f.m) / s.n * ((CAST(s.pos - f.c AS DOUBLE) / (CAST(s.n AS DOUBLE) - f.m)) * "
             f"(1.0 - CAST(s.pos - f.c AS DOUBLE) / (CAST(s.n AS DOUBLE) - f.m))) END AS score "
-            f"FROM fs{k} f JOIN ns{k} s USING (node))")
+            f"FROM fs{k} f JOIN ns{k} s USING (tree, node) JOIN (SELECT tree, node, count(*) AS many FROM fs{k} GROUP BY tree, node) "
+            f"q USING (tree, node) WHERE CAST('0x' || substr(md5(concat_ws('|', '{seed}', f.tree, f.node, f.feature)), 1, 13) AS BIGINT) "
+            f"/ 4503599627370496.0::DOUBLE < 1.0::DOUBLE - pow(1.0::DOUBLE - 1.0::DOUBLE / q.many, {float(subset)}::DOUBLE))")
         parts.append(
-            f"b{k} AS MATERIALIZED (SELECT node, feature, score FROM (SELECT *, row_number() OVER "
-            f"(PARTITION BY node ORDER BY score, feature) AS rn FROM sc{k}) WHERE rn = 1)")
+            f"b{k} AS MATERIALIZED (SELECT tree, node, feature, score FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY tree, node ORDER BY score, feature) AS rn FROM sc{k}) WHERE rn = 1)")
         parts.append(
-            f"d{k} AS MATERIALIZED (SELECT s.node, b.feature, "
+            f"d{k} AS MATERIALIZED (SELECT s.tree, s.node, b.feature, "
             f"(s.pos = 0 OR s.pos = s.n OR b.feature IS NULL OR b.score <= 0) AS is_leaf, "
-            f"CASE WHEN s.n - s.pos > s.pos THEN 0 ELSE 1 END AS maj FROM ns{k} s LEFT JOIN b{k} b USING (node))")
-        leaves.append(f"SELECT a.example, d.maj AS prediction FROM a{k} a JOIN d{k} d USING (node) WHERE d.is_leaf")
+            f"{maj} AS maj FROM ns{k} s LEFT JOIN b{k} b USING (tree, node))")
+        nodes.append(f"SELECT tree, node, CASE WHEN NOT is_leaf THEN feature END AS feature, is_leaf, "
+                     f"CASE WHEN is_leaf THEN maj END AS prediction FROM d{k}")
         parts.append(
-            f"a{k + 1} AS MATERIALIZED (SELECT a.example, a.label, CASE WHEN h.example IS NOT NULL "
-            f"THEN a.node * 2 ELSE a.node * 2 + 1 END AS node FROM a{k} a JOIN d{k} d USING (node) "
+            f"a{k + 1} AS MATERIALIZED (SELECT a.tree, a.example, a.label, CASE WHEN h.example IS NOT NULL "
+            f"THEN a.node * 2 ELSE a.node * 2 + 1 END AS node FROM a{k} a JOIN d{k} d USING (tree, node) "
             f"LEFT JOIN post h ON h.example = a.example AND h.feature = d.feature WHERE NOT d.is_leaf)")
-    parts.append("preds AS MATERIALIZED (" + " UNION ALL ".join(leaves) + ")")
-    # Node count: every node that received examples, plus empty children of split nodes.
-    counted = [f"SELECT count(*) AS c FROM ns{k}" for k in range(depth + 1)]
-    counted += [f"SELECT count(*) AS c FROM d{k} d, (VALUES (0), (1)) t(b) WHERE NOT d.is_leaf "
-                f"AND d.node * 2 + t.b NOT IN (SELECT node FROM ns{k + 1})" for k in range(depth)]
-    parts.append("tsize AS MATERIALIZED (SELECT CAST(sum(c) AS DOUBLE) AS mean_size FROM (" + " UNION ALL ".join(counted) + "))")
+        # A child that no example reached is a leaf that predicts 1.
+        nodes.append(f"SELECT d.tree, d.node * 2 + t.b AS node, NULL AS feature, true AS is_leaf, 1 AS prediction FROM d{k} d, "
+                     f"(VALUES (0), (1)) t(b) WHERE NOT d.is_leaf AND NOT EXISTS (SELECT 1 FROM a{k + 1} x "
+                     f"WHERE x.tree = d.tree AND x.node = d.node * 2 + t.b)")
+    parts.append("nodes AS MATERIALIZED (" + " UNION ALL ".join(nodes) + ")")
+    parts.append(f"w0 AS MATERIALIZED (SELECT CAST(t.range AS INTEGER) AS tree, doc_id AS example, CAST(1 AS BIGINT) AS node "
+                 f"FROM documents, range({trees}) t)")
+    for k in range(depth):
+        parts.append(
+            f"w{k + 1} AS MATERIALIZED (SELECT w.tree, w.example, CASE WHEN n.is_leaf THEN w.node WHEN h.example IS NOT NULL "
+            f"THEN w.node * 2 ELSE w.node * 2 + 1 END AS node FROM w{k} w JOIN nodes n USING (tree, node) "
+            f"LEFT JOIN every h ON h.example = w.example AND h.feature = n.feature)")
+    parts.append(f"preds AS MATERIALIZED (SELECT example, CASE WHEN count(*) - sum(prediction) > sum(prediction) THEN 0 ELSE 1 END "
+                 f"AS prediction FROM w{depth} JOIN nodes USING (tree, node) GROUP BY example)")
+    parts.append("tsize AS MATERIALIZED (SELECT avg(c) AS mean_size FROM (SELECT tree, count(*) AS c FROM nodes GROUP BY tree))")
     return "WITH " + ",\n".join(parts)
 
 
@@ -150,11 +166,14 @@ _KM = (
     "AS rn FROM dists) WHERE rn = 1) "
 )
 
-_WORKER_TABLES = (
-    "WITH w AS (SELECT CAST(o_orderkey % 4 AS INTEGER) AS owner, o_custkey AS key, CAST(count(*) AS BIGINT) AS n "
-    "FROM orders GROUP BY 1, 2) "
+_KEY_TABLES = (
+    "WITH w AS (SELECT 0 AS owner, o_custkey AS key FROM orders UNION ALL SELECT 1, user_id FROM events "
+    "UNION ALL SELECT 2, c_custkey FROM customer) "
 )
 
+_USERS = ("u AS (SELECT CASE WHEN user_id % 3 = 0 THEN -user_id - 1 ELSE user_id END AS key, 1 AS val FROM events), "
+          "l AS (SELECT key, CAST(count(*) AS BIGINT) AS val FROM u GROUP BY key)")
+
 _EVENTS = (
     "WITH ev AS (SELECT event_id, CASE WHEN event_type = 'view' THEN 'COLLECTIVE' WHEN event_type = 'purchase' "
     f"THEN 'LOCAL' ELSE 'MESSAGE' END AS type, CAST(user_id % {C.ROUTE_WORKERS} AS INTEGER) AS source_id, "
@@ -162,6 +181,16 @@ _EVENTS = (
 )
 
 
+def _ent(p: str) -> str:
+    return f"(CASE WHEN {p} <= 0 OR {p} >= 1 THEN 0 ELSE -({p} * ln({p}) + (1 - {p}) * ln(1 - {p})) END)"
+
+
+def _array_sums_sql(kind: str) -> str:
+    vec = ", ".join(f"CAST({x} AS {kind})" for x in ("l_linenumber", "floor(l_quantity)", "floor(l_extendedprice)"))
+    return (f"SELECT l_returnflag, CAST(i - 1 AS INTEGER) AS pos, CAST(sum(v) AS BIGINT) AS total FROM (SELECT l_returnflag, "
+            f"unnest([{vec}]) AS v, unnest([1, 2, 3]) AS i FROM lineitem) GROUP BY l_returnflag, i")
+
+
 def oracle_sql() -> dict[str, str]:
     fsql = forest_sql()
     return {
@@ -175,10 +204,10 @@ def oracle_sql() -> dict[str, str]:
             f"\nSELECT page, round(rank, 10) AS rank FROM r{C.PR_ROUNDS} ORDER BY rank DESC, page LIMIT 10"),
         "pagerank_converge": pagerank_converge_sql(),
         "out_degree_bag_set": (
-            "SELECT CAST(l_suppkey AS INTEGER) AS page, count(*) AS bag, count(DISTINCT l_partkey) AS set "
+            "SELECT CAST(l_suppkey AS BIGINT) AS page, count(*) AS bag, count(DISTINCT l_partkey) AS set "
             "FROM lineitem GROUP BY 1"),
         "dangling_pages": (
-            f"SELECT CAST(range AS INTEGER) AS page FROM range(CAST({_N} AS BIGINT)) "
+            f"SELECT CAST(range AS BIGINT) AS page FROM range(CAST({_N} AS BIGINT)) "
             f"WHERE range NOT IN (SELECT src FROM ({_LINKS}))"),
         "in_degree": f"SELECT dst AS page, count(*) AS in_degree FROM ({_LINKS}) GROUP BY dst",
         "out_degree": f"SELECT src AS page, count(*) AS out_degree FROM ({_LINKS}) GROUP BY src",
@@ -187,7 +216,7 @@ def oracle_sql() -> dict[str, str]:
             "o AS (SELECT src AS vertex, count(*) AS out_degree FROM l GROUP BY src) "
             "SELECT coalesce(i.vertex, o.vertex) AS vertex, i.in_degree, o.out_degree "
             "FROM i FULL OUTER JOIN o ON i.vertex = o.vertex"),
-        "max_node": (f"SELECT max(src) AS max_src, max(src) + 1 AS n_sources, count(*) AS n_links FROM ({_LINKS})"),
+        "max_node": "SELECT max(l_suppkey) AS max_src, max(l_suppkey) + 1 AS n_sources FROM lineitem",
         "generate_links": (
             "WITH n AS (SELECT count(*) AS n FROM supplier) "
             "SELECT CAST(i.range AS INTEGER) AS src, CAST(j.range AS INTEGER) AS dst "
@@ -198,10 +227,10 @@ def oracle_sql() -> dict[str, str]:
             "CAST(sum(CAST(floor(abs(value)) AS INTEGER)) AS BIGINT) AS total, CAST(count(*) AS BIGINT) AS count "
             "FROM events GROUP BY event_type)"),
         "combine_int": (
-            "SELECT CAST(l_partkey AS INTEGER) AS key, CAST(sum(CAST(floor(l_quantity) AS INTEGER)) AS BIGINT) AS val "
+            "SELECT l_partkey AS key, CAST(sum(CAST(floor(l_quantity) AS INTEGER)) AS BIGINT) AS val "
             "FROM lineitem GROUP BY 1"),
         "combine_long": (
-            "SELECT CAST(o_custkey AS INTEGER) AS key, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS val "
+            "SELECT o_custkey AS key, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS val "
             "FROM orders GROUP BY 1"),
         "combine_double": (
             "SELECT l_orderkey AS key, round(sum(l_extendedprice * (1 - l_discount)), 4) AS val "
@@ -219,11 +248,10 @@ def oracle_sql() -> dict[str, str]:
             "unnest(CAST(embedding AS DOUBLE[])) AS v, unnest(generate_series(1, len(embedding))) AS i "
             "FROM embeddings) s JOIN n USING (label) GROUP BY s.label, i, n.n"),
         "push": (
-            "SELECT key, CAST(sum(val) AS BIGINT) AS val FROM (SELECT c_custkey AS key, CAST(floor(c_acctbal) AS BIGINT) "
-            "AS val FROM customer UNION ALL SELECT o_custkey, 1 FROM orders) GROUP BY key"),
+            "WITH " + _USERS + " SELECT key, CAST(sum(val) AS BIGINT) AS val FROM (SELECT c_custkey AS key, "
+            "CAST(floor(c_acctbal) AS BIGINT) AS val FROM customer UNION ALL SELECT key, val FROM u) GROUP BY key"),
         "pull": (
-            "WITH l AS (SELECT o_custkey AS key, count(*) AS val FROM orders GROUP BY 1), "
-            "g AS (SELECT c_custkey AS key, CAST(floor(c_acctbal) AS BIGINT) AS val FROM customer) "
+            "WITH " + _USERS + ", g AS (SELECT c_custkey AS key, CAST(floor(c_acctbal) AS BIGINT) AS val FROM customer) "
             "SELECT l.key, CAST(l.val + coalesce(g.val, 0) AS BIGINT) AS val FROM l LEFT JOIN g USING (key)"),
         "push_pull_sync": (
             "WITH l AS (SELECT o_custkey AS key, count(*) AS val FROM orders GROUP BY 1), "
@@ -231,26 +259,24 @@ def oracle_sql() -> dict[str, str]:
             "FROM customer UNION ALL SELECT key, val FROM l) GROUP BY key) "
             "SELECT l.key, CAST(l.val + g.val AS BIGINT) AS val FROM l JOIN g USING (key)"),
         "join_to_static": (
-            "WITH o AS (SELECT o_custkey AS key, sum(o_totalprice) AS total FROM orders GROUP BY 1) "
-            "SELECT coalesce(c.c_custkey, o.key) AS key, c.c_nationkey, round(o.total, 2) AS total "
-            "FROM customer c FULL OUTER JOIN o ON c.c_custkey = o.key"),
+            "WITH " + _USERS + " SELECT coalesce(c.c_custkey, l.key) AS key, c.c_nationkey, l.val AS total "
+            "FROM customer c FULL OUTER JOIN l ON c.c_custkey = l.key"),
         "remove_val": (
-            "SELECT c_custkey AS key, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders "
-            "WHERE o_custkey IS NOT NULL)"),
+            "WITH " + _USERS + " SELECT c_custkey AS key, c_name FROM customer WHERE c_custkey NOT IN (SELECT key FROM l)"),
         "remove_returned": (
             "SELECT o_orderkey AS key, o_custkey FROM orders o WHERE NOT EXISTS "
             "(SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R' AND l.l_orderkey = o.o_orderkey)"),
         "get_val": (
-            "SELECT c.c_custkey AS key, CAST(coalesce(o.val, 0) AS BIGINT) AS val FROM customer c LEFT JOIN "
-            "(SELECT o_custkey AS key, count(*) AS val FROM orders GROUP BY 1) o ON o.key = c.c_custkey"),
-        "allgather": _WORKER_TABLES + "SELECT key, CAST(sum(n) AS BIGINT) AS n FROM w GROUP BY key",
-        "reduce": _WORKER_TABLES + "SELECT key, CAST(sum(n) AS BIGINT) AS n, CAST(0 AS INTEGER) AS owner FROM w GROUP BY key",
-        "gather": _WORKER_TABLES + "SELECT owner, key, n FROM w",
+            "SELECT o.o_orderkey AS key, CAST(coalesce(l.val, 0) AS BIGINT) AS val FROM orders o LEFT JOIN "
+            "(SELECT l_orderkey AS key, count(*) AS val FROM lineitem GROUP BY 1) l ON l.key = o.o_orderkey"),
+        "allgather": _KEY_TABLES + "SELECT key, CAST(count(*) AS BIGINT) AS n FROM w GROUP BY key",
+        "reduce": _KEY_TABLES + "SELECT key, CAST(count(*) AS BIGINT) AS n, CAST(0 AS INTEGER) AS owner FROM w GROUP BY key",
+        "gather": _KEY_TABLES + "SELECT owner, key, CAST(count(*) AS BIGINT) AS n FROM w GROUP BY owner, key",
         "regroup_counts": (
             f"SELECT o_custkey AS key, CAST(count(*) AS BIGINT) AS val, CAST(abs(o_custkey % {C.REGROUP_N}) AS INTEGER) "
             "AS owner FROM orders GROUP BY o_custkey"),
         "rotate_owner": (
-            f"SELECT o_orderkey, CAST((o_orderkey % {C.WORKERS} + 1) % {C.WORKERS} AS INTEGER) AS owner FROM orders"),
+            f"SELECT o_orderkey, CAST((o_orderkey % {C.OWNERS} + 1) % {C.OWNERS} AS INTEGER) AS owner FROM orders"),
         "partition_ids": (
             f"SELECT l_orderkey, l_linenumber, CAST(abs(l_orderkey % {C.REGROUP_N}) AS INTEGER) AS part, "
             "CAST(CASE WHEN (l_orderkey * 4294967311) % 4294967296 >= 2147483648 "
@@ -265,6 +291,37 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY s.cid, i, n.n"),
         "kmeans_rounds": kmeans_rounds_sql(),
         "tree_size": fsql + "\nSELECT mean_size FROM tsize",
+        "forest_nodes": fsql + "\nSELECT tree, node, feature, is_leaf, prediction FROM nodes",
+        "split_scores_entropy": _ROOT.format(k="CAST(1 AS BIGINT)").replace(
+            "CAST(f.m AS DOUBLE) / s.n * ((f.c / CAST(f.m AS DOUBLE)) * (1.0 - f.c / CAST(f.m AS DOUBLE))) + "
+            "(CAST(s.n AS DOUBLE) - f.m) / s.n * ((CAST(s.pos - f.c AS DOUBLE) / (CAST(s.n AS DOUBLE) - f.m)) * "
+            "(1.0 - CAST(s.pos - f.c AS DOUBLE) / (CAST(s.n AS DOUBLE) - f.m)))",
+            "CAST(f.m AS DOUBLE) / s.n * ent(f.c / CAST(f.m AS DOUBLE)) + (CAST(s.n AS DOUBLE) - f.m) / s.n * "
+            "ent(CAST(s.pos - f.c AS DOUBLE) / (CAST(s.n AS DOUBLE) - f.m))").replace(
+            "ent(f.c / CAST(f.m AS DOUBLE))", _ent("(f.c / CAST(f.m AS DOUBLE))")).replace(
+            "ent(CAST(s.pos - f.c AS DOUBLE) / (CAST(s.n AS DOUBLE) - f.m))",
+            _ent("(CAST(s.pos - f.c AS DOUBLE) / (CAST(s.n AS DOUBLE) - f.m))")) + (
+            "SELECT feature, m, c, CASE WHEN score = -1e30 THEN score ELSE round(score, 9) END AS score FROM sc"),
+        "majority_toxic": (
+            "SELECT lang, n, pos, CASE WHEN n - pos > pos THEN 0 ELSE 1 END AS majority, "
+            "(pos = 0 OR pos = n) AS pure FROM (SELECT d.lang, count(*) AS n, CAST(sum(l.toxic) AS BIGINT) AS pos "
+            "FROM labels l JOIN documents d USING (doc_id) GROUP BY d.lang)"),
+        "read_adjacency": f"SELECT CAST(src AS INTEGER) AS src, CAST(dst AS INTEGER) AS dst FROM ({_LINKS})",
+        "pagerank_adjacency": pagerank_sql(),
+        "read_vectors": (
+            "SELECT vec_id, CAST(i - 1 AS INTEGER) AS pos, round(v, 6) AS total FROM (SELECT vec_id, "
+            "unnest(CAST(embedding AS DOUBLE[])) AS v, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)"),
+        "combine_long_int": (
+            "SELECT l_orderkey * 4294967311 AS key, CAST(sum(l_linenumber) AS BIGINT) AS val FROM lineitem GROUP BY 1"),
+        "array_sum_int": _array_sums_sql("INTEGER"),
+        "array_sum_long": _array_sums_sql("BIGINT"),
+        "user_combiner": (
+            "SELECT key, val FROM (SELECT o_custkey AS key, o_orderpriority AS val, row_number() OVER (PARTITION BY o_custkey "
+            "ORDER BY length(o_orderpriority) DESC, o_orderpriority DESC) AS rn FROM orders) WHERE rn = 1"),
+        "concat_lists": "SELECT o_custkey AS key, o_orderkey AS val FROM orders UNION ALL SELECT user_id, event_id FROM events",
+        "regroup_finish": (
+            "WITH " + _USERS + f" SELECT key, val // 2 AS val, CAST(abs(key % {C.REGROUP_N}) AS INTEGER) AS owner FROM l"),
+        "reject_nulls": "WITH " + _USERS + " SELECT key, val FROM l WHERE key % 5 <> 0",
         "split_scores_set": _ROOT.format(k="CAST(1 AS BIGINT)") + (
             "SELECT feature, m, c, CASE WHEN score = -1e30 THEN score ELSE round(score, 9) END AS score FROM sc"),
         "split_scores": _ROOT.format(k="count(*)") + ("SELECT feature, m, c, CASE WHEN score = -1e30 THEN score ELSE round(score, 9) END "

@@ -47,10 +47,16 @@ def with_line_index(df: DataFrame, col: str = "line_no") -> DataFrame:
 
 def _int_tokens(value: Column) -> Column:
     """Whitespace tokens parsed as int, cut at the first token that is not an int."""
-    toks = F.split(F.trim(value), _WS)
-    ints = F.transform(toks, lambda t: t.try_cast("int"))
-    first_bad = F.array_position(F.transform(ints, lambda x: x.isNull()), True)
-    return F.when(first_bad == 0, ints).otherwise(F.slice(ints, 1, F.greatest(first_bad - 1, F.lit(0))))
+    toks = F.split(F.regexp_replace(value, f"^{_WS}|{_WS}$", ""), _WS)
+    # A lambda's variable holds the parsed list, so it is computed once however often it is read.
+    parsed = F.transform(F.array(F.transform(toks, lambda t: t.try_cast("int"))), _leading)
+    return parsed[0]
+
+
+def _leading(ints: Column) -> Column:
+    """The list up to its first null."""
+    stop = F.array_position(F.transform(ints, lambda x: x.isNull()), True)
+    return F.when(stop == 0, ints).otherwise(F.slice(ints, 1, F.greatest(stop - 1, F.lit(0))))
 
 
 def read_adjacency(spark: SparkSession, path: str | Sequence[str], duplicates: str = "last") -> DataFrame:
@@ -63,11 +69,16 @@ def read_adjacency(spark: SparkSession, path: str | Sequence[str], duplicates: s
     lines = spark.read.text(_paths(path))
     if duplicates == "last":
         lines = with_line_index(lines)
-    ints = _int_tokens(F.col("value"))
-    src = F.when(F.size(ints) > 0, ints[0]).otherwise(
-        F.raise_error(F.concat(F.lit("adjacency line without a node id: "), F.col("value"))).cast("int"))
-    parsed = lines.select(src.alias("src"), F.slice(ints, 2, F.size(ints)).alias("dst"),
-                          *(["line_no"] if duplicates == "last" else []))
+    return parse_adjacency(lines, duplicates)
+
+
+def parse_adjacency(lines: DataFrame, duplicates: str = "last", value: str = "value", line_no: str = "line_no") -> DataFrame:
+    """S1 on a column of lines (numbered by ``line_no`` for ``duplicates="last"``)."""
+    fail = F.raise_error(F.concat(F.lit("adjacency line without a node id: "), F.col(value))).cast("int")
+    row = F.transform(F.array(_int_tokens(F.col(value))), lambda t: F.struct(
+        F.when(F.size(t) > 0, t[0]).otherwise(fail).alias("src"), F.slice(t, 2, F.size(t)).alias("dst")))
+    last = [F.col(line_no).alias("line_no")] if duplicates == "last" else []
+    parsed = lines.select(F.explode(row).alias("_r"), *last).select("_r.src", "_r.dst", *(["line_no"] if last else []))
     if duplicates == "last":
         parsed = parsed.groupBy("src").agg(F.max_by("dst", "line_no").alias("dst"))
     elif duplicates != "assume_unique":
@@ -90,8 +101,12 @@ def read_vectors(spark: SparkSession, paths: str | Sequence[str], dim: int) -> D
     A row of the wrong width aborts the job. ``point_id`` is unique but carries no order.
     """
     lines = spark.read.text(_paths(paths))
-    return lines.select(F.monotonically_increasing_id().alias("point_id"),
-                        _double_vector(F.col("value"), dim, "vector").alias("features"))
+    return lines.select(F.monotonically_increasing_id().alias("point_id"), parse_vector(F.col("value"), dim).alias("features"))
+
+
+def parse_vector(value: Column, dim: int) -> Column:
+    """S2 / S3 on a column of lines."""
+    return _double_vector(value, dim, "vector")
 
 
 def read_centroids(spark: SparkSession, path: str | Sequence[str], dim: int) -> DataFrame:
@@ -124,9 +139,12 @@ def parse_sparse_labeled(lines: DataFrame, value: str = "value", example: str =
 
 def labelled_postings(lines: DataFrame, value: str = "value", example: str = "line_no") -> DataFrame:
     """S4 in one pass: ``(example, feature, label)`` per token, no join back to labels."""
-    rows = _labelled_rows(lines, value, example)
-    return rows.select("example", F.explode("_f").alias("feature"), "label").select(
-        "example", F.abs("feature").cast("int").alias("feature"), "label")
+    toks = _int_tokens(F.regexp_replace(F.col(value), ":", " "))
+    fail = F.raise_error(F.lit("labelled line without a label")).cast("array<struct<feature:int,label:int>>")
+    rows = F.transform(F.array(toks), lambda t: F.when(F.size(t) == 0, fail).otherwise(
+        F.transform(F.slice(t, 2, F.size(t)), lambda f: F.struct(F.abs(f).cast("int").alias("feature"), t[0].alias("label")))))
+    return lines.select(F.col(example).cast("long").alias("example"), F.explode(F.flatten(rows)).alias("_r")).select(
+        "example", "_r.feature", "_r.label")
 
 
 def read_sparse_labeled(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -28,10 +28,44 @@ def test_empty_clusters_vanish_and_ties_go_to_lowest_id(spark):
     assert got == {0: [0.5], 2: [10.0]}
 
 
-def test_unrolled_distances_equal_array_functions(spark):
+def test_assignment_against_a_loop(spark):
+    import math
+
     from corvid.sources.generate import generate_points
+
     pts = generate_points(spark, 500, 4, 2, seed=5)
     centres = [(j, [float(j), 10.0 - j, 2.5, float(j % 3)]) for j in range(6)]
-    a = {r.point_id: (r.cid, r.dist) for r in assign_nearest(pts, centres).collect()}
-    b = {r.point_id: (r.cid, r.dist) for r in assign_nearest(pts, centres, max_unrolled=100).collect()}
-    assert a == b
+    for r in assign_nearest(pts, centres).collect():
+        d = [(math.dist(r.features, c), j) for j, c in centres]
+        assert (r.cid, round(r.dist, 9)) == (min(d)[1], round(min(d)[0], 9))
+
+
+def test_rounds_against_a_loop(spark):
+    import math
+    import random
+
+    rng = random.Random(4)
+    x = [[rng.random(), rng.random()] for _ in range(200)]
+    want = [(i, x[i]) for i in range(5)]
+    for _ in range(4):
+        near = [min((math.dist(p, c), i) for i, c in want)[1] for p in x]
+        want = [(i, [sum(p[k] for p, n in zip(x, near) if n == i) / near.count(i) for k in (0, 1)])
+                for i, _ in want if i in near]
+    cen = spark.createDataFrame([(i, x[i], 0) for i in range(5)], "cid int, center array<double>, n bigint")
+    got = kmeans(spark.createDataFrame([(p,) for p in x], "features array<double>").repartition(3), cen, 4)
+    for (i, c), r in zip(want, got.centroids.orderBy("cid").collect()):
+        assert r.cid == i and math.dist(r.center, c) < 1e-9
+    assert len(got.errors) == 4
+
+
+def test_points_of_another_width_fail_and_nan_has_no_centre(spark):
+    import math
+
+    import pytest
+
+    bad = spark.createDataFrame([([1.0, 2.0],), ([1.0],)], "features array<double>")
+    with pytest.raises(Exception, match="without 2 coordinates"):
+        assign_nearest(bad, [(0, [0.0, 0.0])]).collect()
+    nan = spark.createDataFrame([([float("nan")],)], "features array<double>")
+    r = assign_nearest(nan, [(3, [1.0])]).first()
+    assert r.cid == -1 and math.isnan(r.dist)
