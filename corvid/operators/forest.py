@@ -46,19 +46,22 @@ def split_score(m: Column, c: Column, n: Column, pos: Column, impurity: str = "g
     return F.when(m == n, F.lit(ABSENT)).otherwise(s)
 
 
-def small_side(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
-    """A broadcast hint if the counted rows, at the longest string each, fit ``max_bytes``."""
+def small_side(df: DataFrame, max_bytes: int = 64 << 20, rows: int | None = None) -> DataFrame:
+    """A broadcast hint if the counted rows, at the longest string each, fit ``max_bytes``.
+    ``rows``: a bound known beforehand (a node table without strings has one), not counted."""
+    if rows is not None:
+        return F.broadcast(df) if rows * (64 + 16 * len(df.columns)) <= max_bytes else df
     text = [c for c, t in df.dtypes if t == "string"]
     r = df.agg(F.count(F.lit(1)).alias("n"), *[F.max(F.octet_length(c)).alias(f"w{i}") for i, c in enumerate(text)]).first()
     width = 64 + 16 * len(df.columns) + sum(r[f"w{i}"] or 0 for i in range(len(text)))
     return F.broadcast(df) if r["n"] * width <= max_bytes else df
 
 
-def draw(fs: DataFrame, subset: int, seed: int) -> DataFrame:
+def draw(fs: DataFrame, subset: int, seed: int, nodes: int | None = None) -> DataFrame:
     """The features each (tree, node) draws: ``subset`` draws with replacement take one of
     F features with probability 1 - (1 - 1/F)^subset; a hash of (seed, tree, node, feature)
     decides, so a draw is repeatable anywhere."""
-    many = small_side(fs.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_F")))
+    many = small_side(fs.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_F")), rows=nodes)
     p = 1.0 - F.pow(1.0 - 1.0 / F.col("_F"), F.lit(float(subset)))
     h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("tree").cast("string"), F.col("node").cast("string"),
                           F.col("feature").cast("string")))
@@ -94,11 +97,11 @@ def scores(wpostings: DataFrame, assignment: DataFrame, impurity: str = "gini")
     return score_stats(fs, ns, impurity)
 
 
-def score_stats(fs: DataFrame, ns: DataFrame, impurity: str = "gini") -> DataFrame:
+def score_stats(fs: DataFrame, ns: DataFrame, impurity: str = "gini", nodes: int | None = None) -> DataFrame:
     """G24 on counted features and node totals. There are as many totals as nodes in
-    flight; they are broadcast when that is checked small, so a level with one huge node
+    flight (``nodes`` at most); they are broadcast when that is checked small, so a level with one huge node
     doesn't shuffle its features to one task."""
-    j = fs.join(small_side(ns), ["tree", "node"])
+    j = fs.join(small_side(ns, rows=nodes), ["tree", "node"])
     return j.select("tree", "node", "feature", "m", "c", "n", "pos",
                     split_score(F.col("m"), F.col("c"), F.col("n"), F.col("pos"), impurity).alias("score"))
 

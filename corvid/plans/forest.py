@@ -49,9 +49,17 @@ def _grow(labels: DataFrame, wpost: DataFrame, first_tree: int, last_tree: int,
         base = ns.select("tree", "node", "n", "pos", fo.majority(F.col("pos"), F.col("n")).alias("maj"),
                          fo.is_pure(F.col("pos"), F.col("n")).alias("pure"))
         if depth < max_depth:
-            fs = persist(fo.feature_stats(wpost, assignment))
+            nodes_at_most = (last_tree - first_tree + 1) << depth
+            if depth == 0:  # every tree has the same root: count it once
+                root = assignment.filter(F.col("tree") == first_tree)
+                fs = fo.feature_stats(wpost, root).select(
+                    F.explode(F.sequence(F.lit(first_tree), F.lit(last_tree))).alias("tree"), "node", "feature", "m", "c")
+            else:
+                fs = fo.feature_stats(wpost, assignment)
+            fs = persist(fs)
             kept.append(fs)
-            scored = fo.score_stats(fs if subset is None else fo.draw(fs, subset, seed), ns, impurity)
+            drawn = fs if subset is None else fo.draw(fs, subset, seed, nodes_at_most)
+            scored = fo.score_stats(drawn, ns, impurity, nodes_at_most)
             if mode == "gini":
                 scored = scored.filter(F.col("score") > F.lit(fo.ABSENT))
             best = fo.best_feature(scored)

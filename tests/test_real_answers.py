@@ -51,11 +51,10 @@ def _pair(spark):
     return local, spark.createDataFrame([(1, 100), (3, 300)], "key int, val bigint")
 
 
-def longest(v: pd.Series) -> int:
-    return int(v.max())
-
-
 def test_pull_combiners_and_missing_ids(spark):
+    def longest(v: pd.Series) -> int:
+        return int(v.max())
+
     local, glob = _pair(spark)
     got = {(r.key, r.val) for r in keyed.pull(local, glob, "key", plus("val"), on_missing="keep").collect()}
     assert got == {(1, 115), (2, 7)}
