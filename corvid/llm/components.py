@@ -1,9 +1,10 @@
 """Connected components of an edge list by alternating large-star and small-star rounds.
 
 Every round is two aggregates and two joins on the node; only a count and a checksum of
-the edges reach the driver. A hub's edges are combined before the exchange (``min``) and
-its join side is split by adaptive skew handling. Lineage is cut by ``checkpoint()`` into
-the shared folder after each round.
+the edges reach the driver. A hub's edges are combined before the exchange (``min``). The
+minima are written out before they are joined back: both join sides are then plain
+exchanges, so adaptive execution can split a hub's edges over tasks. Lineage is cut by
+``checkpoint()`` into the shared folder.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("m"))
+    low = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")))
     return (both.join(low, "a").filter(F.col("b") > F.col("a"))
             .select(F.col("b").alias("a"), F.least("a", "m").alias("b")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    low = down.groupBy("a").agg(F.min("b").alias("m"))
+    low = cut_lineage(down.groupBy("a").agg(F.min("b").alias("m")))
     moved = down.join(low, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(low.select("a", F.col("m").alias("b"))).filter(F.col("a") != F.col("b")).distinct()
 

@@ -268,9 +268,11 @@ def candidate_windows(docs: DataFrame, shared: np.ndarray, copied: bytes | None
 
 
 def repeated_windows(cand: DataFrame) -> DataFrame:
-    """Round 2, verified: ``(doc_id, row_hash, pos)`` of the windows that a smaller id has."""
-    low = cand.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter(
-        F.col("low") < F.col("high")).select("h1", "h2", "low")
+    """Round 2, verified: ``(doc_id, row_hash, pos)`` of the windows that a smaller id has.
+    The smallest ids are written out first: both sides of the join are then plain
+    exchanges, so the rows of a hot window can be split over tasks."""
+    low = cut_lineage(cand.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter(
+        F.col("low") < F.col("high")).select("h1", "h2", "low"))
     return cand.join(low, ["h1", "h2"]).filter(F.col("doc_id") > F.col("low")).select("doc_id", "row_hash", "pos")
 
 
@@ -285,7 +287,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     keys = key_documents(known, copied, window).unionByName(key_documents(firsts, None, window))
     shared = shared_key_filter(keys, filter_bytes)
     cand = candidate_windows(known, shared, copied, window).unionByName(candidate_windows(firsts, shared, None, window))
-    gone = repeated_windows(cand).distinct().groupBy("doc_id", "row_hash").agg(F.collect_list("pos").alias("cuts"))
+    # Equal rows report a window several times; marking it twice is marking it once.
+    gone = repeated_windows(cand).groupBy("doc_id", "row_hash").agg(F.collect_list("pos").alias("cuts"))
     every = F.lit(None).cast("array<int>")
     cuts = gone.withColumn("copy", F.lit(False)).unionByName(others.withColumn("cuts", every).withColumn("copy", F.lit(True)))
     whole = src if not with_text else docs.select(
