@@ -192,10 +192,12 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, count: int | None = None)
 
 
 def _rooted(fps: DataFrame, max_bits: int) -> DataFrame:
-    """``(fp, low, root)``: every distinct fingerprint, its smallest id, its component."""
+    """``(fp, low, root)``: every distinct fingerprint, its smallest id, its component.
+    Written out, so that a join with a fingerprint's many documents can be split."""
     nodes = cut_lineage(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
     label = connected(links(nodes.select("fp"), max_bits, nodes.count()))
-    return nodes.join(label, F.col("fp") == F.col("a"), "left").select("fp", "low", F.coalesce("b", "fp").alias("root"))
+    return cut_lineage(nodes.join(label, F.col("fp") == F.col("a"), "left").select(
+        "fp", "low", F.coalesce("b", "fp").alias("root")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -204,7 +206,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fps = cut_lineage(fingerprints(docs, id_col, text_col, shingle, seed))
     named = _rooted(fps, max_bits)
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = named.join(lowest, "root").select("fp", "component_id")
+    of = cut_lineage(named.join(lowest, "root").select("fp", "component_id"))
     return fps.join(of, "fp").select("doc_id", "fp", "component_id")
 
 

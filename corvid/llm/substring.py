@@ -174,8 +174,8 @@ def copies(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> tuple[bytes, Da
 
     some = docs.mapInArrow(run, docs.schema).withColumn("more", F.xxhash64(F.lit(1), F.col("text")))
     first = some.groupBy("row_hash", "more").agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
-    low = content.groupBy("row_hash", "more").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter(
-        F.col("low") < F.col("high"))
+    low = cut_lineage(content.groupBy("row_hash", "more").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+                      .filter(F.col("low") < F.col("high")))  # a content per row, written as in repeated_windows
     others = content.join(low, ["row_hash", "more"]).filter(F.col("doc_id") > F.col("low"))
     return copied, cut_lineage(first.select("doc_id", "text", "row_hash")), others.select("doc_id", "row_hash").distinct()
 
