@@ -37,7 +37,7 @@ from corvid.llm.common import RangeHash, mix, range_hash, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 0.5
 SEED = 11
-TABLE_EDGES = 6_000_000
+TABLE_EDGES = 4_000_000
 SLOTS = 1 << 20
 UNIT = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 SPACE = "▁"
