@@ -7,8 +7,10 @@ q); a reader probes them one by one until one is missing, which gives the quanti
 back (now and then a little more, never less). The filter is cut into segments by the
 n-gram's hash, so each task builds whole segments and only finished bytes reach the
 driver; they are broadcast to the scoring tasks. Its size follows the corpus (about
-``BITS_PER_KEY`` bits per key) up to ``MAX_FILTER_BYTES`` in all; a segment beyond its share
-keeps the pairs from the least count on that makes it fit, so the broadcast is bounded.
+``BITS_PER_KEY`` bits per key) up to ``MAX_FILTER_BYTES`` in all. A segment beyond its share
+holds the pairs from the least count on that makes it fit, so the broadcast is bounded; its
+other pairs stay in a table, and tokens whose pair may be among them are joined to it by the
+pair's hash. A score so depends on no filter's size, but for the filter's false positives.
 
 P(w | v) = s * min(c(v,w), c(v)) / c(v) + (1 - s) * P(w), with s = ``PAIR_SHARE`` (0 where
 c(v) is 0), P(w) = (c(w) + 1/2) / (N + (V + 1) / 2), and all c read from the filter.
@@ -43,6 +45,8 @@ PROBES = 5
 MAX_FILTER_BYTES = 256 << 20
 HEAD = 1 << 20
 PAIR_SHARE = 0.3       # weight of the pair's own frequency in a token's probability
+PAIR_ROWS = 1 << 20    # pairs that are not in the filter, in a row of the trained table
+IS_TEXT, IS_WORD, IS_PAIR = 0, 1, 2
 PENDING = 2_000_000   # counts that a training task holds before it merges or sends them
 
 END, BEGIN = np.uint64(0xE17BA1156E53F5C1), np.uint64(0xB5297A4D3F84D5A9)
@@ -122,8 +126,9 @@ def _places(h: np.ndarray, level: int, size: np.ndarray | int) -> Iterator[np.nd
         yield (mix(g + np.uint64(i) * step) % np.asarray(size, np.uint64)).astype(np.int64)
 
 
-def build_segment(words: tuple, pairs: tuple, most_bytes: int) -> bytes:
-    """The bytes of one segment. A pair's least count rises until its keys fit."""
+def build_segment(words: tuple, pairs: tuple, most_bytes: int) -> tuple[bytes, int]:
+    """The bytes of one segment, and the least count of the pairs in it, which rises until
+    the keys fit."""
     (wh, wc), (ph, pc) = words, pairs
     least = 1
     while True:
@@ -138,14 +143,15 @@ def build_segment(words: tuple, pairs: tuple, most_bytes: int) -> bytes:
     for level in range(1, int(q.max(initial=0)) + 1):
         for place in _places(h[q >= level], level, size):
             bits[place] = 1
-    return np.packbits(bits, bitorder="little").tobytes()
+    return np.packbits(bits, bitorder="little").tobytes(), least
 
 
 @dataclass
 class Model:
     """What scoring tasks get: the filter's segments, and exact counts of frequent words."""
 
-    bits: list[bytes]    # of each segment
+    bits: list[bytes]        # of each segment
+    pair_least: np.ndarray   # of each segment: the least count of the pairs in it
     n_tokens: int
     n_types: int
     n_texts: int
@@ -159,11 +165,18 @@ class Model:
             self.raw = np.frombuffer(b"".join(self.bits), np.uint8)
             self.bits = [b""] * len(self.bits)
 
+    def segment(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - len(self.bits).bit_length() + 1)).astype(np.int64)
+
+    def outside(self, pairs: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Which pairs, read as ``c``, can't be in their segment: it holds larger counts only."""
+        return c < np.where(self.pair_least > 1, level_counts()[quantised(self.pair_least)], 0)[self.segment(pairs)]
+
     def counts(self, h: np.ndarray) -> np.ndarray:
         """Counts read from the filter."""
         self.open()
         raw = self.raw
-        seg = (h >> np.uint64(64 - (len(self.starts) - 1).bit_length() + 1)).astype(np.int64)
+        seg = self.segment(h)
         begin, size = self.starts[seg], (self.starts[seg + 1] - self.starts[seg]) * 8
         q = np.zeros(len(h), np.int64)
         live = np.arange(len(h))
@@ -182,9 +195,10 @@ class Model:
         return level_counts()[q]
 
 
-def train(docs: DataFrame, segments: int) -> DataFrame:
-    """Per segment: ``(segment, bits, words, n_tokens, n_types, n_texts, histogram)``;
-    ``words`` holds the exact word counts."""
+def train(docs: DataFrame, segments: int, filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
+    """Per segment: ``(segment, bits, words, n_tokens, n_types, n_texts, histogram, least)``;
+    ``words`` holds the exact word counts. Rows without ``bits`` hold the counts of pairs
+    that are not in their segment as ``pairs``."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {1: [], 2: []}
 
@@ -216,46 +230,57 @@ def train(docs: DataFrame, segments: int) -> DataFrame:
                 merge(order)
                 yield send(order)
 
+    kinds = {"bits": pa.binary(), "words": pa.binary(), "n_tokens": pa.int64(), "n_types": pa.int64(), "n_texts": pa.int64(),
+             "histogram": pa.list_(pa.int64()), "least": pa.int64(), "pairs": pa.binary()}
+
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {1: [], 2: []}
         now = None
 
-        def done() -> pa.RecordBatch:
+        def done() -> Iterator[pa.RecordBatch]:
             (wh, wc), (ph, pc) = (merged(np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in held[k])]),
                                          np.concatenate([np.zeros(0, np.int64), *(c for _, c in held[k])])) for k in (1, 2))
             hist = np.bincount(np.log2(np.maximum(wc, 1)).astype(np.int64), minlength=64)
+            bits, least = build_segment((wh, wc), (ph, pc), filter_bytes // segments)
+            yield row(bits=bits, words=pack(wh, wc), n_tokens=int(wc.sum()), n_types=len(wh),
+                      n_texts=int(wc[wh == END].sum()), histogram=hist.tolist(), least=least)
+            ph, pc = ph[pc < least], pc[pc < least]
+            for i in range(0, len(ph), PAIR_ROWS):
+                yield row(pairs=pack(ph[i: i + PAIR_ROWS], pc[i: i + PAIR_ROWS]))
+
+        def row(**values) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int32()), pa.array([build_segment((wh, wc), (ph, pc), MAX_FILTER_BYTES // segments)], pa.binary()),
-                 pa.array([pack(wh, wc)], pa.binary()), pa.array([int(wc.sum())]), pa.array([len(wh)]),
-                 pa.array([int(wc[wh == END].sum())]), pa.array([hist.tolist()], pa.list_(pa.int64()))],
-                ["segment", "bits", "words", "n_tokens", "n_types", "n_texts", "histogram"])
+                [pa.array([now], pa.int32()), *(pa.array([values.get(c)], t) for c, t in kinds.items())], ["segment", *kinds])
 
         for b in batches:
             for seg, size, raw in zip(*(b.column(c).to_pylist() for c in ("segment", "size", "counts"))):
                 if now is not None and seg != now:
-                    yield done()
+                    yield from done()
                     held = {1: [], 2: []}
                 now = seg
                 held[size].append(unpack(raw))
         if now is not None:
-            yield done()
+            yield from done()
 
     counted = docs.mapInArrow(count, "segment int, size int, counts binary")
     return counted.repartition("segment").sortWithinPartitions("segment").mapInArrow(
         finish, "segment int, bits binary, words binary, n_tokens bigint, n_types bigint, n_texts bigint, "
-                "histogram array<bigint>")
+                "histogram array<bigint>, least bigint, pairs binary")
 
 
-def word_counts(trained: DataFrame, least: int = 1, below: int = 1 << 62) -> DataFrame:
-    """``(h, c)`` of the words with least <= c < below."""
+def rest_counts(trained: DataFrame, below: int) -> DataFrame:
+    """``(kind, h, c)``: the exact counts of words with less than ``below``, and the
+    quantised ones of the pairs that are not in the filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for raw in b.column(0).to_pylist():
-                h, c = unpack(raw)
-                some = (c >= least) & (c < below)
-                yield pa.RecordBatch.from_arrays([pa.array(h[some].view(np.int64)), pa.array(c[some])], ["h", "c"])
+            for words, pairs in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                h, c = unpack(words if pairs is None else pairs)
+                h, c = (h[c < below], c[c < below]) if pairs is None else (h, level_counts()[quantised(c)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(h), IS_WORD if pairs is None else IS_PAIR, np.int32)), pa.array(h.view(np.int64)),
+                     pa.array(c.astype(np.float64))], ["kind", "h", "c"])
 
-    return trained.select("words").mapInArrow(run, "h bigint, c bigint")
+    return trained.select("words", "pairs").mapInArrow(run, "kind int, h bigint, c double")
 
 
 def frequent_words(trained: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -267,7 +292,7 @@ def frequent_words(trained: DataFrame, least: int) -> tuple[np.ndarray, np.ndarr
                 yield pa.RecordBatch.from_arrays([pa.array([seg], pa.int32()), pa.array([pack(h[c >= least], c[c >= least])])],
                                                  ["segment", "words"])
 
-    got = trained.select("segment", "words").mapInArrow(run, "segment int, words binary").toLocalIterator()
+    got = trained.filter(F.col("bits").isNotNull()).select("segment", "words").mapInArrow(run, "segment int, words binary").toLocalIterator()
     parts = [unpack(bytes(r["words"])) for r in sorted(got, key=lambda r: r["segment"])]
     return (np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in parts)]),
             np.concatenate([np.zeros(0, np.int64), *(c for _, c in parts)]))
@@ -277,25 +302,36 @@ def load_model(trained: DataFrame, segments: int, head: int = HEAD) -> tuple[Mod
     """The model, and the least count of its frequent words. The driver holds the filter
     (bounded by MAX_FILTER_BYTES), piece by piece, and at most ``head`` words."""
     parts, totals, hist = [bytes(8)] * segments, np.zeros(3, np.int64), np.zeros(64, np.int64)
-    for r in trained.select("segment", "bits", "n_tokens", "n_types", "n_texts", "histogram").toLocalIterator():
-        parts[r["segment"]] = bytes(r["bits"])
+    pair_least = np.ones(segments, np.int64)
+    for r in trained.filter(F.col("bits").isNotNull()).drop("words", "pairs").toLocalIterator():
+        parts[r["segment"]], pair_least[r["segment"]] = bytes(r["bits"]), r["least"]
         totals += [r["n_tokens"], r["n_types"], r["n_texts"]]
         hist += r["histogram"]
     above = np.cumsum(hist[::-1])[::-1]
     least = 1 << int(np.argmax(above <= head)) if (above <= head).any() else 1 << 62
-    return Model(parts, *totals.tolist(), *frequent_words(trained, least)), least
+    return Model(parts, pair_least, *totals.tolist(), *frequent_words(trained, least)), least
+
+
+def grouped(some: np.ndarray, doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the tokens ``some``: one for each (text, value), and how many there are."""
+    some = some[np.lexsort((value[some], doc[some]))]
+    d, v = doc[some], value[some]
+    heads = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (v[1:] != v[:-1])])) if len(d) else np.zeros(0, np.int64)
+    return some[heads], np.diff(np.append(heads, len(d)))
 
 
 def score_slice(m: Model, s: Slice) -> tuple[np.ndarray, ...]:
     """Per text: tokens, frequent known tokens, their base score, the model's score; then
-    the other words as (text, hash, times)."""
+    the other words as (text, hash, times); then the tokens whose pair is not in the filter
+    as (text, hash, times, count of the first word, P(w)), which the score leaves out."""
     h, first = token_hashes(s)
     n = np.diff(first)
     doc = np.repeat(np.arange(len(s)), n)
     words, word = np.unique(h, return_inverse=True)
     v = previous(h, first)
     pairs, pair = np.unique(pair_hash(v, h), return_inverse=True)
-    c1, c2 = m.counts(words)[word], m.counts(pairs)[pair]
+    c1, of_pair = m.counts(words)[word], m.counts(pairs)
+    c2 = of_pair[pair]
     cv = np.empty_like(c1)
     cv[1:] = c1[:-1]
     cv[first[:-1]] = m.n_texts
@@ -308,16 +344,16 @@ def score_slice(m: Model, s: Slice) -> tuple[np.ndarray, ...]:
     known = in_head[word]
     base = np.where(known, np.log10((exact[word] + 0.5) / scale), 0.0)
     add = lambda x: np.bincount(doc, weights=x, minlength=len(s))
-    rest = np.flatnonzero(~known)
-    order = np.lexsort((word[rest], doc[rest]))
-    d, w = doc[rest][order], word[rest][order]
-    heads = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (w[1:] != w[:-1])])) if len(d) else np.zeros(0, np.int64)
-    times = np.diff(np.append(heads, len(d)))
-    return n, add(known).astype(np.int64), add(base), add(np.log10(p)), d[heads], words[w[heads]], times
+    away = m.outside(pairs, of_pair)[pair] & (cv > 0)
+    first_word, times = grouped(np.flatnonzero(~known), doc, word)
+    first_pair, pair_times = grouped(np.flatnonzero(away), doc, pair)
+    return (n, add(known).astype(np.int64), add(base), add(np.where(away, 0.0, np.log10(p))),
+            (doc[first_word], h[first_word], times),
+            (doc[first_pair], pairs[pair[first_pair]], pair_times, cv[first_pair], p1[first_pair]))
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: Column | None = None,
-          head: int = HEAD) -> DataFrame:
+          head: int = HEAD, filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
     """One row per input row: ``(doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score)``. ``train_rows`` marks the rows to learn from (default: those whose
     id's CRC-32 modulo 5 is not 1)."""
@@ -326,41 +362,43 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
     held = is_held_out(F.col(id_col)) if train_rows is None else ~F.coalesce(train_rows, F.lit(False))
     src = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), held.alias("held_out"),
                       F.xxhash64(text).alias("row_hash"))
-    segments = 1 << min(12, max(6, (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()))
-    trained = cut_lineage(train(src.filter(~F.col("held_out")).select("text"), segments))
+    segments = 1 << min(16, max(6, (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()))
+    trained = cut_lineage(train(src.filter(~F.col("held_out")).select("text"), segments, filter_bytes))
     model, least = load_model(trained, segments, head)
     sent = spark.sparkContext.broadcast(model)
     kind = dict(src.dtypes)["doc_id"]
-    names = ["doc_id", "row_hash", "held_out", "word", "h", "n", "known", "base", "score"]
+    names = ["doc_id", "row_hash", "held_out", "kind", "h", "n", "known", "base", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for s in slices(batches):
-            n, known, base, sc, d, w, times = score_slice(m, s)
-            k = len(d)
-            at = pa.array(np.concatenate([np.arange(len(s)), d]))
-            zero = np.zeros(k, np.int64)
+            n, known, base, sc, (d, w, times), (pd, ph, pair_times, cv, p1) = score_slice(m, s)
+            at = pa.array(np.concatenate([np.arange(len(s)), d, pd]))
+            sizes = [len(s), len(d), len(pd)]
+            zero = np.zeros(sizes[1], np.int64)
             key = mix(s.batch.column("row_hash").to_numpy().view(np.uint64))  # spreads the texts' own rows
             yield pa.RecordBatch.from_arrays(
                 [s.batch.column("doc_id").take(at), s.batch.column("row_hash").take(at), s.batch.column("held_out").take(at),
-                 pa.array(np.concatenate([np.zeros(len(s), bool), np.ones(k, bool)])),
-                 pa.array(np.concatenate([key, w]).view(np.int64)), pa.array(np.concatenate([n, times])),
-                 pa.array(np.concatenate([known, zero])), pa.array(np.concatenate([base, zero.astype(np.float64)])),
-                 pa.array(np.concatenate([sc, zero.astype(np.float64)]))], names)
+                 pa.array(np.repeat(np.array([IS_TEXT, IS_WORD, IS_PAIR], np.int32), sizes)),
+                 pa.array(np.concatenate([key, w, ph]).view(np.int64)), pa.array(np.concatenate([n, times, pair_times])),
+                 pa.array(np.concatenate([known, zero, np.zeros(sizes[2], np.int64)])),
+                 # A pair's row carries the count of its first word and P(w) here.
+                 pa.array(np.concatenate([base, zero, cv])), pa.array(np.concatenate([sc, zero, p1]))], names)
 
-    got = src.mapInArrow(run, f"doc_id {kind}, row_hash bigint, held_out boolean, word boolean, h bigint, n bigint, "
+    got = src.mapInArrow(run, f"doc_id {kind}, row_hash bigint, held_out boolean, kind int, h bigint, n bigint, "
                               "known bigint, base double, score double")
-    rare = word_counts(trained, 1, least).select("h", "c", F.lit(True).alias("word"))
     scale = float(max(model.n_tokens + 0.5 * (model.n_types + 1), 0.5))
-    seen = F.coalesce(F.col("c"), F.lit(0))
-    joined = got.join(rare, ["word", "h"], "left")
-    word = F.col("word")
+    seen = F.coalesce(F.col("c"), F.lit(0.0))
+    joined = got.join(rest_counts(trained, least), ["kind", "h"], "left")
+    text, word, pair = (F.col("kind") == k for k in (IS_TEXT, IS_WORD, IS_PAIR))
+    joint = PAIR_SHARE * F.least(seen, F.col("base")) / F.col("base") + (1 - PAIR_SHARE) * F.col("score")
     total = joined.groupBy("doc_id", "row_hash", "held_out").agg(
-        F.sum((~word).cast("bigint")).alias("copies"),
-        F.sum(F.when(~word, F.col("n")).otherwise(0)).alias("n_tokens"),
-        F.sum(F.when(word, F.when(seen > 0, F.col("n")).otherwise(0)).otherwise(F.col("known"))).alias("n_known"),
-        F.sum(F.when(word, F.col("n") * F.log10((seen + 0.5) / scale)).otherwise(F.col("base"))).alias("base_score"),
-        F.sum("score").alias("score"))
+        F.sum(text.cast("bigint")).alias("copies"),
+        F.sum(F.when(text, F.col("n")).otherwise(0)).alias("n_tokens"),
+        F.sum(F.when(text, F.col("known")).when(word & (seen > 0), F.col("n")).otherwise(0)).alias("n_known"),
+        F.sum(F.when(text, F.col("base")).when(word, F.col("n") * F.log10((seen + 0.5) / scale)).otherwise(0.0)
+              ).alias("base_score"),
+        F.sum(F.when(pair, F.col("n") * F.log10(joint)).otherwise(F.col("score"))).alias("score"))
     # Equal rows were summed together: share their sums out again.
     each = total.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     part = lambda c: (F.col(c) / F.col("copies"))

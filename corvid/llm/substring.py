@@ -19,7 +19,7 @@ Spark rounds:
    document only rules its windows out. The shared keys become a Bloom filter of bounded
    size (``FILTER_BYTES``); false positives only send more windows on.
 2. Windows with a shared key, and the few without interior symbols (long runs of one
-   word), are verified: their 128-bit word hashes are grouped and the smallest id of each
+   word), are verified: 95 bits of their word hashes are grouped and the smallest id of each
    is joined back. Both joins split hot keys (a passage in a third of the documents)
    adaptively; the grouping combines before the exchange.
 3. The covered stretches of each document are joined to its text and cut out.

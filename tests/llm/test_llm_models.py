@@ -47,8 +47,8 @@ def test_lm_filter_reads_quantised_counts():
     c = np.minimum(rng.pareto(0.8, len(h)) + 1, 1e7).astype(np.int64)
     seg = (h >> np.uint64(62)).astype(int)
     none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    parts = [lm.build_segment((h[seg == s], c[seg == s]), none, 1 << 20) for s in range(4)]
-    m = lm.Model(parts, 1, 1, 1, *none)
+    parts = [lm.build_segment((h[seg == s], c[seg == s]), none, 1 << 20)[0] for s in range(4)]
+    m = lm.Model(parts, np.ones(4, np.int64), 1, 1, 1, *none)
     back = m.counts(h)
     exact = lm.level_counts()[lm.quantised(c)]
     assert (back >= exact).all() and (back == exact).mean() > 0.95
@@ -60,9 +60,26 @@ def test_lm_segment_is_bounded():
     h = np.arange(1, 50001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     c = np.where(np.arange(50000) % 50 == 0, 40, 1)
-    raw = lm.build_segment(none, (h, c), 16384)
-    assert len(raw) <= 16384
-    assert (lm.Model([raw, raw], 1, 1, 1, *none).counts(h[c == 40]) >= 30).all()
+    raw, least = lm.build_segment(none, (h, c), 16384)
+    assert len(raw) <= 16384 and 1 < least <= 40
+    m = lm.Model([raw, raw], np.full(2, least), 1, 1, 1, *none)
+    back = m.counts(h)
+    assert (back[c == 40] >= 30).all() and not m.outside(h[c == 40], back[c == 40]).any()
+    assert m.outside(h[c == 1], back[c == 1]).mean() > 0.95
+
+
+def test_lm_pairs_beyond_the_filter_are_joined(spark):
+    rows = corpus()
+    small = 1 << 13
+    some = lm.train(frame(spark, [r for r in rows if r[1] is not None]).select("text"), 64, small)
+    assert some.filter("pairs IS NOT NULL").count() > 10  # segments that leave pairs out
+    wide = {(r["doc_id"], r["n_tokens"]): r for r in lm.score(frame(spark, rows)).collect()}
+    tight = lm.score(frame(spark, rows), filter_bytes=small).collect()
+    assert len(tight) == len(rows)
+    for r in tight:
+        other = wide[r["doc_id"], r["n_tokens"]]
+        assert abs(r["score"] - other["score"]) <= 0.002 * abs(other["score"])  # false positives differ
+        assert abs(r["base_score"] - other["base_score"]) < 1e-6
 
 
 def test_lm_pack_round_trip():
