@@ -9,6 +9,7 @@ bench) gets a fresh scratch folder of its own.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -62,7 +63,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def table_path(spark: SparkSession, name: str) -> str:
-    """Path of an intermediate table under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}"
+def child_session(spark: SparkSession) -> SparkSession:
+    """A session with the same SQL settings on the same context: settings changed there
+    don't reach the plans of the caller's queries."""
+    child = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if k.startswith("spark.sql.") and v is not None and spark.conf.isModifiable(k):
+            child.conf.set(k, v)
+    return child
+
+
+def in_session(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """``df`` as a table of another session of the same context."""
+    name = f"corvid_{uuid.uuid4().hex}"
+    # The projection keeps a cached ``df`` cached when the view goes.
+    df.select("*").createGlobalTempView(name)
+    try:
+        return spark.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{name}")
+    finally:
+        spark.catalog.dropGlobalTempView(name)

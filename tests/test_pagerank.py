@@ -163,3 +163,16 @@ def test_repeats_gaps_and_dangling_against_brute_force(spark):
     for _ in range(10):
         r = 0.15 / n + 0.85 * (mat @ r)
     assert max(abs(mpi[p] - r[p]) for p in range(n)) < 1e-14 and len(edges) > 0
+
+
+def test_loop_leaves_the_callers_session_alone(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        e = spark.createDataFrame([(0, 1), (1, 2), (2, 0), (3, 0)], "src bigint, dst bigint")
+        before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+        got = pagerank(prepare_edges(e, 4), delta=1e-6)
+        assert {k: spark.conf.get(k) for k in before} == before
+        assert got.ranks.sparkSession is spark and not spark.catalog.listTables("global_temp")
+        assert abs(got.ranks.agg({"rank": "sum"}).first()[0] - 1) < 1e-3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
