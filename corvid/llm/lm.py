@@ -8,12 +8,15 @@ back (now and then a little more, never less). The filter is cut into segments b
 n-gram's hash, so each task builds whole segments and only finished bytes reach the
 driver; they are broadcast to the scoring tasks. Its size follows the corpus (about
 ``BITS_PER_KEY`` bits per key) up to ``MAX_FILTER_BYTES`` in all. A segment beyond its share
-holds the pairs from the least count on that makes it fit, so the broadcast is bounded; its
-other pairs stay in a table, and tokens whose pair may be among them are joined to it by the
-pair's hash. A score so depends on no filter's size, but for the filter's false positives.
+holds the pairs from the least count on that makes it fit, and where its words alone are too
+many, the words from the least count on that makes them fit. So the broadcast is bounded and
+no segment is overfull; the other pairs and words stay in a table, and tokens whose pair, word
+or previous word may be among them are joined to it by the hash. A score so depends on no
+filter's size, but for the filter's false positives.
 
 P(w | v) = s * min(c(v,w), c(v)) / c(v) + (1 - s) * P(w), with s = ``PAIR_SHARE`` (0 where
-c(v) is 0), P(w) = (c(w) + 1/2) / (N + (V + 1) / 2), and all c read from the filter.
+c(v) is 0), P(w) = (c(w) + 1/2) / (N + (V + 1) / 2), and all c read from the filter or the
+table, quantised alike.
 
 The base score needs every token's exact count. Words frequent enough to be among about
 ``HEAD`` are broadcast (their number is known from a histogram of all counts before); the
@@ -47,6 +50,7 @@ HEAD = 1 << 20
 PAIR_SHARE = 0.3       # weight of the pair's own frequency in a token's probability
 PAIR_ROWS = 1 << 20    # pairs that are not in the filter, in a row of the trained table
 IS_TEXT, IS_WORD, IS_PAIR = 0, 1, 2
+IS_OWN, IS_PREVIOUS = 3, 4   # a late token's word and previous word; both are looked up as IS_OWN
 PENDING = 2_000_000   # counts that a training task holds before it merges or sends them
 
 END, BEGIN = np.uint64(0xE17BA1156E53F5C1), np.uint64(0xB5297A4D3F84D5A9)
@@ -126,15 +130,27 @@ def _places(h: np.ndarray, level: int, size: np.ndarray | int) -> Iterator[np.nd
         yield (mix(g + np.uint64(i) * step) % np.asarray(size, np.uint64)).astype(np.int64)
 
 
+def segment_bits(q: np.ndarray) -> int:
+    return max(64, -(-int(q.sum()) * BITS_PER_KEY // 64) * 64)
+
+
+def least_word(c: np.ndarray, most_bytes: int) -> int:
+    """The least count of the words in a segment, which rises until their keys fit."""
+    least = 1
+    while segment_bits(quantised(c[c >= least])) > max(64, 8 * most_bytes):
+        least *= 2
+    return least
+
+
 def build_segment(words: tuple, pairs: tuple, most_bytes: int) -> tuple[bytes, int]:
     """The bytes of one segment, and the least count of the pairs in it, which rises until
-    the keys fit."""
+    the keys fit. The words must fit (:func:`least_word`)."""
     (wh, wc), (ph, pc) = words, pairs
     least = 1
     while True:
         keep = pc >= least
         h, q = np.concatenate([wh, ph[keep]]), quantised(np.concatenate([wc, pc[keep]]))
-        size = max(64, -(-int(q.sum()) * BITS_PER_KEY // 64) * 64)
+        size = segment_bits(q)
         if size <= 8 * most_bytes or not keep.any():
             break
         least *= 2
@@ -157,6 +173,7 @@ class Model:
     n_texts: int
     head_hash: np.ndarray
     head_count: np.ndarray
+    word_least: np.ndarray | None = None   # of each segment: the least count of the words in it
 
     def open(self) -> None:
         """Joins the segments, once per worker."""
@@ -168,9 +185,14 @@ class Model:
     def segment(self, h: np.ndarray) -> np.ndarray:
         return (h >> np.uint64(64 - len(self.bits).bit_length() + 1)).astype(np.int64)
 
-    def outside(self, pairs: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """Which pairs, read as ``c``, can't be in their segment: it holds larger counts only."""
-        return c < np.where(self.pair_least > 1, level_counts()[quantised(self.pair_least)], 0)[self.segment(pairs)]
+    def outside(self, h: np.ndarray, c: np.ndarray, least: np.ndarray | None = None) -> np.ndarray:
+        """Which pairs (or with ``least``: words), read as ``c``, can't be in their segment:
+        it holds larger counts only."""
+        least = self.pair_least if least is None else least
+        return c < np.where(least > 1, level_counts()[quantised(least)], 0)[self.segment(h)]
+
+    def words_outside(self, words: np.ndarray, c: np.ndarray) -> np.ndarray:
+        return np.zeros(len(words), bool) if self.word_least is None else self.outside(words, c, self.word_least)
 
     def counts(self, h: np.ndarray) -> np.ndarray:
         """Counts read from the filter."""
@@ -196,9 +218,10 @@ class Model:
 
 
 def train(docs: DataFrame, segments: int, filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
-    """Per segment: ``(segment, bits, words, n_tokens, n_types, n_texts, histogram, least)``;
-    ``words`` holds the exact word counts. Rows without ``bits`` hold the counts of pairs
-    that are not in their segment as ``pairs``."""
+    """Per segment: ``(segment, bits, words, n_tokens, n_types, n_texts, histogram, least, word_least)``;
+    ``words`` holds the exact word counts, also of words with less than ``word_least``, which
+    are not in the segment. Rows without ``bits`` hold the counts of pairs that are not in
+    their segment as ``pairs``."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {1: [], 2: []}
 
@@ -231,7 +254,7 @@ def train(docs: DataFrame, segments: int, filter_bytes: int = MAX_FILTER_BYTES)
                 yield send(order)
 
     kinds = {"bits": pa.binary(), "words": pa.binary(), "n_tokens": pa.int64(), "n_types": pa.int64(), "n_texts": pa.int64(),
-             "histogram": pa.list_(pa.int64()), "least": pa.int64(), "pairs": pa.binary()}
+             "histogram": pa.list_(pa.int64()), "least": pa.int64(), "word_least": pa.int64(), "pairs": pa.binary()}
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {1: [], 2: []}
@@ -241,9 +264,11 @@ def train(docs: DataFrame, segments: int, filter_bytes: int = MAX_FILTER_BYTES)
             (wh, wc), (ph, pc) = (merged(np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in held[k])]),
                                          np.concatenate([np.zeros(0, np.int64), *(c for _, c in held[k])])) for k in (1, 2))
             hist = np.bincount(np.log2(np.maximum(wc, 1)).astype(np.int64), minlength=64)
-            bits, least = build_segment((wh, wc), (ph, pc), filter_bytes // segments)
+            word_least = least_word(wc, filter_bytes // segments)
+            fit = wc >= word_least
+            bits, least = build_segment((wh[fit], wc[fit]), (ph, pc), filter_bytes // segments)
             yield row(bits=bits, words=pack(wh, wc), n_tokens=int(wc.sum()), n_types=len(wh),
-                      n_texts=int(wc[wh == END].sum()), histogram=hist.tolist(), least=least)
+                      n_texts=int(wc[wh == END].sum()), histogram=hist.tolist(), least=least, word_least=word_least)
             ph, pc = ph[pc < least], pc[pc < least]
             for i in range(0, len(ph), PAIR_ROWS):
                 yield row(pairs=pack(ph[i: i + PAIR_ROWS], pc[i: i + PAIR_ROWS]))
@@ -265,22 +290,30 @@ def train(docs: DataFrame, segments: int, filter_bytes: int = MAX_FILTER_BYTES)
     counted = docs.mapInArrow(count, "segment int, size int, counts binary")
     return counted.repartition("segment").sortWithinPartitions("segment").mapInArrow(
         finish, "segment int, bits binary, words binary, n_tokens bigint, n_types bigint, n_texts bigint, "
-                "histogram array<bigint>, least bigint, pairs binary")
+                "histogram array<bigint>, least bigint, word_least bigint, pairs binary")
 
 
 def rest_counts(trained: DataFrame, below: int) -> DataFrame:
-    """``(kind, h, c)``: the exact counts of words with less than ``below``, and the
-    quantised ones of the pairs that are not in the filter."""
+    """``(look, h, c)``: the exact counts of words with less than ``below``, and the
+    quantised ones of the pairs (IS_PAIR) and words (IS_OWN) that are not in the filter."""
+    def rows(look: int, h: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(h), look, np.int32)), pa.array(h.view(np.int64)), pa.array(c.astype(np.float64))],
+            ["look", "h", "c"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for words, pairs in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for words, pairs, word_least in zip(*(b.column(k).to_pylist() for k in range(3))):
                 h, c = unpack(words if pairs is None else pairs)
-                h, c = (h[c < below], c[c < below]) if pairs is None else (h, level_counts()[quantised(c)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(h), IS_WORD if pairs is None else IS_PAIR, np.int32)), pa.array(h.view(np.int64)),
-                     pa.array(c.astype(np.float64))], ["kind", "h", "c"])
+                if pairs is not None:
+                    yield rows(IS_PAIR, h, level_counts()[quantised(c)])
+                    continue
+                yield rows(IS_WORD, h[c < below], c[c < below])
+                if word_least > 1:
+                    out = c < word_least
+                    yield rows(IS_OWN, h[out], level_counts()[quantised(c[out])])
 
-    return trained.select("words", "pairs").mapInArrow(run, "kind int, h bigint, c double")
+    return trained.select("words", "pairs", "word_least").mapInArrow(run, "look int, h bigint, c double")
 
 
 def frequent_words(trained: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -302,14 +335,16 @@ def load_model(trained: DataFrame, segments: int, head: int = HEAD) -> tuple[Mod
     """The model, and the least count of its frequent words. The driver holds the filter
     (bounded by MAX_FILTER_BYTES), piece by piece, and at most ``head`` words."""
     parts, totals, hist = [bytes(8)] * segments, np.zeros(3, np.int64), np.zeros(64, np.int64)
-    pair_least = np.ones(segments, np.int64)
+    pair_least, word_least = np.ones(segments, np.int64), np.ones(segments, np.int64)
     for r in trained.filter(F.col("bits").isNotNull()).drop("words", "pairs").toLocalIterator():
         parts[r["segment"]], pair_least[r["segment"]] = bytes(r["bits"]), r["least"]
+        word_least[r["segment"]] = r["word_least"]
         totals += [r["n_tokens"], r["n_types"], r["n_texts"]]
         hist += r["histogram"]
     above = np.cumsum(hist[::-1])[::-1]
     least = 1 << int(np.argmax(above <= head)) if (above <= head).any() else 1 << 62
-    return Model(parts, pair_least, *totals.tolist(), *frequent_words(trained, least)), least
+    return Model(parts, pair_least, *totals.tolist(), *frequent_words(trained, least),
+                 word_least if word_least.max() > 1 else None), least
 
 
 def grouped(some: np.ndarray, doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -323,15 +358,18 @@ def grouped(some: np.ndarray, doc: np.ndarray, value: np.ndarray) -> tuple[np.nd
 def score_slice(m: Model, s: Slice) -> tuple[np.ndarray, ...]:
     """Per text: tokens, frequent known tokens, their base score, the model's score; then
     the other words as (text, hash, times); then the tokens whose pair is not in the filter
-    as (text, hash, times, count of the first word, P(w)), which the score leaves out."""
+    as (text, hash, times, count of the first word, P(w)), which the score leaves out; then
+    the late tokens, whose word or previous word is not in the filter, as (text, pair, times,
+    count of the first word, P(w), count of the pair if it is in the filter, word, whether to
+    look it up, previous word, whether to look it up), which the score leaves out too."""
     h, first = token_hashes(s)
     n = np.diff(first)
     doc = np.repeat(np.arange(len(s)), n)
     words, word = np.unique(h, return_inverse=True)
     v = previous(h, first)
     pairs, pair = np.unique(pair_hash(v, h), return_inverse=True)
-    c1, of_pair = m.counts(words)[word], m.counts(pairs)
-    c2 = of_pair[pair]
+    of_word, of_pair = m.counts(words), m.counts(pairs)
+    c1, c2 = of_word[word], of_pair[pair]
     cv = np.empty_like(c1)
     cv[1:] = c1[:-1]
     cv[first[:-1]] = m.n_texts
@@ -344,12 +382,21 @@ def score_slice(m: Model, s: Slice) -> tuple[np.ndarray, ...]:
     known = in_head[word]
     base = np.where(known, np.log10((exact[word] + 0.5) / scale), 0.0)
     add = lambda x: np.bincount(doc, weights=x, minlength=len(s))
-    away = m.outside(pairs, of_pair)[pair] & (cv > 0)
+    own = m.words_outside(words, of_word)[word]
+    before = np.zeros_like(own)
+    before[1:] = own[:-1]
+    before[first[:-1]] = False
+    late, beyond = own | before, m.outside(pairs, of_pair)
+    away = beyond[pair] & (cv > 0) & ~late
     first_word, times = grouped(np.flatnonzero(~known), doc, word)
     first_pair, pair_times = grouped(np.flatnonzero(away), doc, pair)
-    return (n, add(known).astype(np.int64), add(base), add(np.where(away, 0.0, np.log10(p))),
+    first_late, late_times = grouped(np.flatnonzero(late), doc, pair)
+    read = np.where(beyond, np.nan, of_pair)[pair[first_late]]
+    return (n, add(known).astype(np.int64), add(base), add(np.where(away | late, 0.0, np.log10(p))),
             (doc[first_word], h[first_word], times),
-            (doc[first_pair], pairs[pair[first_pair]], pair_times, cv[first_pair], p1[first_pair]))
+            (doc[first_pair], pairs[pair[first_pair]], pair_times, cv[first_pair], p1[first_pair]),
+            (doc[first_late], pairs[pair[first_late]], late_times, cv[first_late], p1[first_late], read,
+             h[first_late], own[first_late], v[first_late], before[first_late]))
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: Column | None = None,
@@ -367,38 +414,59 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
     model, least = load_model(trained, segments, head)
     sent = spark.sparkContext.broadcast(model)
     kind = dict(src.dtypes)["doc_id"]
-    names = ["doc_id", "row_hash", "held_out", "kind", "h", "n", "known", "base", "score"]
+    names = ["doc_id", "row_hash", "held_out", "kind", "h", "n", "known", "base", "score", "late", "read"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for s in slices(batches):
-            n, known, base, sc, (d, w, times), (pd, ph, pair_times, cv, p1) = score_slice(m, s)
-            at = pa.array(np.concatenate([np.arange(len(s)), d, pd]))
-            sizes = [len(s), len(d), len(pd)]
-            zero = np.zeros(sizes[1], np.int64)
+            n, known, base, sc, (d, w, times), (pd, ph, pair_times, cv, p1), late = score_slice(m, s)
+            ld, lp, late_times, late_cv, late_p1, read, own, own_out, before, before_out = late
+            at = pa.array(np.concatenate([np.arange(len(s)), d, pd, ld, ld[own_out], ld[before_out]]))
+            sizes = [len(s), len(d), len(pd), len(ld), int(own_out.sum()), int(before_out.sum())]
+            none = [np.zeros(k) for k in sizes]
+            count = [x.astype(np.int64) for x in none]
             key = mix(s.batch.column("row_hash").to_numpy().view(np.uint64))  # spreads the texts' own rows
+            of_late = np.concatenate([lp, lp[own_out], lp[before_out]]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [s.batch.column("doc_id").take(at), s.batch.column("row_hash").take(at), s.batch.column("held_out").take(at),
-                 pa.array(np.repeat(np.array([IS_TEXT, IS_WORD, IS_PAIR], np.int32), sizes)),
-                 pa.array(np.concatenate([key, w, ph]).view(np.int64)), pa.array(np.concatenate([n, times, pair_times])),
-                 pa.array(np.concatenate([known, zero, np.zeros(sizes[2], np.int64)])),
+                 pa.array(np.repeat(np.array([IS_TEXT, IS_WORD, IS_PAIR, IS_PAIR, IS_OWN, IS_PREVIOUS], np.int32), sizes)),
+                 pa.array(np.concatenate([key, w, ph, lp, own[own_out], before[before_out]]).view(np.int64)),
+                 pa.array(np.concatenate([n, times, pair_times, late_times, *count[4:]])),
+                 pa.array(np.concatenate([known, *count[1:]])),
                  # A pair's row carries the count of its first word and P(w) here.
-                 pa.array(np.concatenate([base, zero, cv])), pa.array(np.concatenate([sc, zero, p1]))], names)
+                 pa.array(np.concatenate([base, none[1], cv, late_cv, *none[4:]])),
+                 pa.array(np.concatenate([sc, none[1], p1, late_p1, *none[4:]])),
+                 pa.concat_arrays([pa.nulls(sum(sizes[:3]), pa.int64()), pa.array(of_late)]),
+                 pa.concat_arrays([pa.nulls(sum(sizes[:3]), pa.float64()), pa.array(read, from_pandas=True),
+                                   pa.nulls(sum(sizes[4:]), pa.float64())])], names)
 
     got = src.mapInArrow(run, f"doc_id {kind}, row_hash bigint, held_out boolean, kind int, h bigint, n bigint, "
-                              "known bigint, base double, score double")
+                              "known bigint, base double, score double, late bigint, read double")
     scale = float(max(model.n_tokens + 0.5 * (model.n_types + 1), 0.5))
     seen = F.coalesce(F.col("c"), F.lit(0.0))
-    joined = got.join(rest_counts(trained, least), ["kind", "h"], "left")
-    text, word, pair = (F.col("kind") == k for k in (IS_TEXT, IS_WORD, IS_PAIR))
+    joined = got.withColumn("look", F.least("kind", F.lit(IS_OWN))).join(rest_counts(trained, least), ["look", "h"], "left")
+    text, word, pair, own, before = (F.col("kind") == k for k in (IS_TEXT, IS_WORD, IS_PAIR, IS_OWN, IS_PREVIOUS))
     joint = PAIR_SHARE * F.least(seen, F.col("base")) / F.col("base") + (1 - PAIR_SHARE) * F.col("score")
-    total = joined.groupBy("doc_id", "row_hash", "held_out").agg(
-        F.sum(text.cast("bigint")).alias("copies"),
-        F.sum(F.when(text, F.col("n")).otherwise(0)).alias("n_tokens"),
-        F.sum(F.when(text, F.col("known")).when(word & (seen > 0), F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.when(text, F.col("base")).when(word, F.col("n") * F.log10((seen + 0.5) / scale)).otherwise(0.0)
-              ).alias("base_score"),
-        F.sum(F.when(pair, F.col("n") * F.log10(joint)).otherwise(F.col("score"))).alias("score"))
+    by, late = ["doc_id", "row_hash", "held_out"], F.col("late").isNotNull()
+    sums = {"copies": text.cast("bigint"),
+            "n_tokens": F.when(text, F.col("n")).otherwise(0),
+            "n_known": F.when(text, F.col("known")).when(word & (seen > 0), F.col("n")).otherwise(0),
+            "base_score": F.when(text, F.col("base")).when(word, F.col("n") * F.log10((seen + 0.5) / scale)).otherwise(0.0),
+            "score": F.when(late, 0.0).when(pair, F.col("n") * F.log10(joint)).otherwise(F.col("score"))}
+    if model.word_least is not None:
+        # A late token's counts come from up to three rows: they meet by text and pair first.
+        parts = joined.groupBy(*by, "late").agg(
+            *(F.sum(x).alias(c) for c, x in sums.items()),
+            F.sum(F.when(late & pair, F.col("n"))).alias("_times"),
+            F.max(F.when(late & pair, F.coalesce("c", "read", F.lit(0.0)))).alias("_joint"),
+            F.coalesce(F.max(F.when(before, seen)), F.max(F.when(late & pair, F.col("base")))).alias("_cv"),
+            F.coalesce(F.max(F.when(own, F.least((seen + 0.5) / scale, F.lit(1.0)))),
+                       F.max(F.when(late & pair, F.col("score")))).alias("_p1"))
+        p = F.when(F.col("_cv") > 0, PAIR_SHARE * F.least("_joint", "_cv") / F.col("_cv") + (1 - PAIR_SHARE) * F.col("_p1")
+                   ).otherwise(F.col("_p1"))
+        joined = parts.withColumn("score", F.when(late, F.col("_times") * F.log10(p)).otherwise(F.col("score")))
+        sums = {c: F.col(c) for c in sums}
+    total = joined.groupBy(*by).agg(*(F.sum(x).alias(c) for c, x in sums.items()))
     # Equal rows were summed together: share their sums out again.
     each = total.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     part = lambda c: (F.col(c) / F.col("copies"))

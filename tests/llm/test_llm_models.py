@@ -82,6 +82,40 @@ def test_lm_pairs_beyond_the_filter_are_joined(spark):
         assert abs(r["base_score"] - other["base_score"]) < 1e-6
 
 
+def test_lm_words_beyond_the_filter_are_joined(spark):
+    from pyspark.sql import functions as F
+
+    rows = corpus() + [(3000 + 5 * i, f"rare{i} odd{i} rare{i} w1 w2", "en", "s") for i in range(300)]
+    docs = frame(spark, rows + [(3000, "rare0 odd0 rare0 w1 w2", "en", "s")])  # equal rows
+    small = 1 << 11  # 32 bytes a segment: its words alone don't fit
+    some = lm.train(docs.filter("text IS NOT NULL").select("text"), 64, small)
+    assert some.filter("word_least > 1").count() > 10
+    assert some.agg(F.max(F.length("bits"))).first()[0] <= small // 64
+    # The scores by plain counts, quantised as a filter without false positives reads them.
+    toks = lambda t: [*words(ascii_lower(t or "")), None]
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
+    train = [toks(t) for i, t, *_ in [*rows, (3000, "rare0 odd0 rare0 w1 w2")] if not held(i)]
+    level = lambda c: float(lm.level_counts()[lm.quantised(np.array([c]))[0]]) if c else 0.0
+    one = Counter(x for t in train for x in t)
+    two = Counter(x for t in train for x in zip(["", *t], t))
+    scale = sum(one.values()) + 0.5 * (len(one) + 1)
+
+    def brute(t):
+        out = 0.0
+        for v, w in zip(["", *toks(t)], toks(t)):
+            p1, cv = min((level(one[w]) + 0.5) / scale, 1.0), len(train) if v == "" else level(one[v])
+            out += math.log10(0.3 * min(level(two[v, w]), cv) / cv + 0.7 * p1 if cv else p1)
+        return out
+
+    want = {(i, len(toks(t)), round(brute(t), 6)): brute(t) for i, t, *_ in rows}
+    got = lm.score(docs, filter_bytes=small).collect()
+    assert len(got) == len(rows) + 1
+    near = [min(abs(r["score"] - x) / abs(x) for (i, n, _), x in want.items() if (i, n) == (r["doc_id"], r["n_tokens"])) for r in got]
+    assert max(near) < 0.05 and np.mean(near) < 0.003  # false positives
+    base = {(r["doc_id"], r["n_tokens"]): r["base_score"] for r in lm.score(docs).collect()}
+    assert all(abs(r["base_score"] - base[r["doc_id"], r["n_tokens"]]) < 1e-6 for r in got)
+
+
 def test_lm_pack_round_trip():
     h = np.sort(np.random.default_rng(0).integers(0, 2**63, 1000, dtype=np.uint64))
     c = np.arange(1000)
