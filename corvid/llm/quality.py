@@ -1,14 +1,18 @@
-"""Quality rules judged by an isolation forest on rule statistics.
+"""Quality rules judged by isolation forests on rule statistics.
 
 One pass over the texts counts, per document: words, code points in words, symbol
-characters, repeated lines, and words inside repeated 3-word windows, and for each rule of
-``LIMITS`` how far its statistic is beyond the limit (0 within). The base rule rejects
-short and repetitive texts. The forest then grows random-split trees on these excesses of a
-bounded sample of documents (``TREES`` x ``TREE_ROWS`` rows, the smallest hashes of id and tree);
-short mean path lengths mark anomalies. The threshold is calibrated on *all* labelled
-rows that pass the base rule: per score bin the labels are counted, and the cut is the one
+characters, repeated lines, and words inside repeated 3-word windows, the rules' statistics
+as they are (``RATES``), and for each rule of ``LIMITS`` how far its statistic is beyond the
+limit (0 within). The base rule rejects short and repetitive texts. Two forests of
+random-split trees are then grown on a bounded sample of documents (``TREES`` x ``TREE_ROWS``
+rows, the smallest hashes of id and tree): one on the excesses, one on the statistics, which
+also vary inside the limits. Every tree also gets the rows that are the whole table's least
+and greatest of each feature, so its splits span the table's range and a violation that no
+sampled row has is split off. Short mean path lengths mark anomalies. The thresholds are
+calibrated on *all* labelled rows that pass the base rule, the excesses' first, then the
+statistics' on what it leaves: per score bin the labels are counted, and the cut is the one
 with the best balance: the share of bad rows it rejects, less ``GOOD_COST`` times the share
-of good rows.
+of good rows. A document is rejected if either forest does.
 
 Null text: no words (fails the base rule). Null id: scored and judged, not used to fit.
 Repeated rows each get a row. Without usable labels, or an empty table, nothing beyond the
@@ -41,7 +45,11 @@ STATS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint
 #: Limits of the rules (share of words or of word characters; mean code points a word).
 LIMITS = {"symbol_excess": 0.1, "dup_line_excess": 0.3, "upper_excess": 0.3, "bang_excess": 0.05, "digit_excess": 0.3,
           "word_length_excess": (3.0, 12.0)}
-FEATURES = tuple(LIMITS)
+#: The statistics themselves: shares of words or of word characters, and logarithms of sizes.
+RATES = ("symbol_rate", "dup_line_rate", "repeat_rate", "upper_rate", "bang_rate", "digit_rate", "log_word_length", "log_words")
+#: The forests, by the column of their score, in the order of their calibration.
+FORESTS = {"anomaly": tuple(LIMITS), "oddness": RATES}
+FEATURES = (*LIMITS, *RATES)
 _MORE = ", ".join(f"{c} double" for c in FEATURES)
 
 
@@ -98,13 +106,13 @@ def slice_stats(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     share = lambda mask: per_doc(_prefix(mask)) / np.maximum(word_chars, 1)
     over = lambda rule, x: np.maximum(x - LIMITS[rule], 0.0)
     length, (short, long) = word_chars / size, LIMITS["word_length_excess"]
+    rates = {"symbol": symbols / size, "dup_line": dup_words / size, "upper": share((data >= 65) & (data <= 90)),
+             "bang": share((data == 33) | (data == 63)), "digit": share((data >= 48) & (data <= 57))}
     return {"n_words": n, "word_chars": word_chars, "n_symbols": symbols, "n_dup_lines": dup_lines,
             "n_repeat_words": repeat_words,
-            "symbol_excess": over("symbol_excess", symbols / size),
-            "dup_line_excess": over("dup_line_excess", dup_words / size),
-            "upper_excess": over("upper_excess", share((data >= 65) & (data <= 90))),
-            "bang_excess": over("bang_excess", share((data == 33) | (data == 63))),
-            "digit_excess": over("digit_excess", share((data >= 48) & (data <= 57))),
+            **{f"{k}_rate": x for k, x in rates.items()}, "repeat_rate": repeat_words / size,
+            "log_word_length": np.log1p(length), "log_words": np.log1p(n),
+            **{f"{k}_excess": over(f"{k}_excess", x) for k, x in rates.items()},
             "word_length_excess": np.where(n > 0, np.maximum(np.maximum(length - long, short - length), 0.0), 0.0)}
 
 
@@ -170,19 +178,25 @@ def anomaly(trees: list[np.ndarray], x: np.ndarray, rows: int) -> np.ndarray:
     return 2.0 ** (-total / max(len(trees), 1) / max(float(mean_unsuccessful(np.array([rows]))[0]), 1e-9))
 
 
-def fit_forest(stats: DataFrame, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> list[np.ndarray]:
-    """Trees on ``rows`` documents each, from the ``trees * rows`` smallest hashes of the
-    ids that pass the base rule (the only rows that reach the driver)."""
+def fit_forests(stats: DataFrame, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> dict[str, list[np.ndarray]]:
+    """Per forest, trees on ``rows`` documents each, from the ``trees * rows`` smallest hashes
+    of the ids that pass the base rule, and on the rows with the least and greatest value of
+    each of its features among all that pass (the only rows that reach the driver)."""
     usable = stats.filter(F.col("doc_id").isNotNull() & ~failed()).select(
         F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("h"), *FEATURES)
-    some = smallest_hashes(usable, "h", trees * rows, *FEATURES).drop("h").toPandas().to_numpy(np.float64)
+    some = smallest_hashes(usable, "h", trees * rows, *FEATURES).drop("h").toPandas()
     if not len(some):
-        return []
-    rng = np.random.default_rng(seed)
-    out = []
-    for _ in range(trees):
-        pick = rng.choice(len(some), min(rows, len(some)), replace=False)
-        out.append(np.array(grow_tree(some[pick], rng, max(1, math.ceil(math.log2(rows))))))
+        return {name: [] for name in FORESTS}
+    # Structs compare by their first field, then by the others, so ties don't matter.
+    found = usable.agg(*(f(F.struct(c, *(x for x in FEATURES if x != c))).alias(f"{c}_{f.__name__}")
+                         for c in FEATURES for f in (F.min, F.max))).first()
+    out = {}
+    for name, cols in FORESTS.items():
+        x = some[list(cols)].to_numpy(np.float64)
+        ends = np.unique([[found[f"{c}_{f}"][k] for k in cols] for c in cols for f in ("min", "max")], axis=0)
+        rng = np.random.default_rng(seed)
+        picks = (rng.choice(len(x), min(rows, len(x)), replace=False) for _ in range(trees))
+        out[name] = [np.array(grow_tree(np.concatenate([x[p], ends]), rng, max(1, math.ceil(math.log2(rows))))) for p in picks]
     return out
 
 
@@ -191,51 +205,60 @@ def failed():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
 
 
-def score(stats: DataFrame, trees: list[np.ndarray], rows: int = TREE_ROWS) -> DataFrame:
-    """Adds ``anomaly`` (0 to 1) to the statistics."""
+def score(stats: DataFrame, forests: dict[str, list[np.ndarray]], rows: int = TREE_ROWS) -> DataFrame:
+    """Adds each forest's score (0 to 1) to the statistics."""
     names = stats.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.column_stack([b.column(c).to_numpy() for c in FEATURES]) if b.num_rows else np.zeros((0, len(FEATURES)))
-            a = anomaly(trees, x, rows) if trees else np.zeros(len(x))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(a)], [*names, "anomaly"])
+            got = []
+            for name, cols in FORESTS.items():
+                x = np.column_stack([b.column(c).to_numpy() for c in cols]) if b.num_rows else np.zeros((0, len(cols)))
+                got.append(pa.array(anomaly(forests[name], x, rows) if forests[name] else np.zeros(len(x))))
+            yield pa.RecordBatch.from_arrays([*b.columns, *got], [*names, *FORESTS])
 
     schema = ", ".join(f"{c} {t}" for c, t in stats.dtypes)
-    return stats.mapInArrow(run, f"{schema}, anomaly double")
+    return stats.mapInArrow(run, f"{schema}, {', '.join(f'{c} double' for c in FORESTS)}")
 
 
-def calibrate(scored: DataFrame, labels: DataFrame, label_id: str = "doc_id", label: str = "quality") -> float:
-    """The threshold above which a document is rejected; 2.0 (none) without use."""
+def calibrate(scored: DataFrame, labels: DataFrame, label_id: str = "doc_id", label: str = "quality") -> dict[str, float]:
+    """Per forest, the threshold from which a document is rejected; 2.0 (none) without use."""
     lab = labels.select(F.col(label_id).alias("doc_id"), F.col(label).alias("good")).filter(
         F.col("good").isNotNull() & F.col("doc_id").isNotNull())
-    hist = (scored.filter(~failed()).select("doc_id", F.floor(F.col("anomaly") * BINS).alias("bin")).join(lab, "doc_id")
-            .groupBy("bin").agg(F.count_if(F.col("good") == 0).alias("bad"), F.count_if(F.col("good") != 0).alias("ok"))
-            .collect())
-    bad_all, ok_all = sum(r["bad"] for r in hist), sum(r["ok"] for r in hist)
-    best, cut, bad, ok = 0.0, 2.0, 0, 0
-    for r in sorted(hist, key=lambda r: -r["bin"]):
-        bad, ok = bad + r["bad"], ok + r["ok"]
-        gain = bad / max(bad_all, 1) - GOOD_COST * ok / max(ok_all, 1)
-        if gain > best:
-            best, cut = gain, r["bin"] / BINS
-    return cut
+    left = cut_lineage(scored.filter(~failed()).select("doc_id", *FORESTS).join(lab, "doc_id").select("good", *FORESTS))
+    cuts: dict[str, float] = {}
+    bad_all = ok_all = None
+    for name in FORESTS:
+        hist = (left.groupBy(F.floor(F.col(name) * BINS).alias("bin"))
+                .agg(F.count_if(F.col("good") == 0).alias("bad"), F.count_if(F.col("good") != 0).alias("ok")).collect())
+        if bad_all is None:  # shares are of all labelled rows, also for the later forest
+            bad_all, ok_all = sum(r["bad"] for r in hist), sum(r["ok"] for r in hist)
+        best, cut, bad, ok = 0.0, 2.0, 0, 0
+        for r in sorted(hist, key=lambda r: -r["bin"]):
+            bad, ok = bad + r["bad"], ok + r["ok"]
+            gain = bad / max(bad_all, 1) - GOOD_COST * ok / max(ok_all, 1)
+            if gain > best:
+                best, cut = gain, r["bin"] / BINS
+        cuts[name] = cut
+        left = left.filter(F.col(name) < cut)
+    return cuts
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns. The rows are judged
     where they are (statistics are counted again), so texts are not shuffled."""
     stats = cut_lineage(rule_stats(docs, id_col, text_col))
-    trees = fit_forest(stats)
-    cut = calibrate(score(stats, trees), labels)
+    forests = fit_forests(stats)
+    cuts = calibrate(score(stats, forests), labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in slices(batches, text_col):
             x = slice_stats(s.data, s.offsets)
             ok = (x["n_words"] >= MIN_WORDS) & (100 * x["n_repeat_words"] <= REPEAT_PERCENT * x["n_words"])
-            if trees:
-                f = np.column_stack([x[c].astype(np.float64) for c in FEATURES])
-                ok &= anomaly(trees, f, TREE_ROWS) < cut
+            for name, trees in forests.items():
+                if trees:
+                    f = np.column_stack([x[c].astype(np.float64) for c in FORESTS[name]])
+                    ok &= anomaly(trees, f, TREE_ROWS) < cuts[name]
             if ok.any():
                 yield s.batch.filter(pa.array(ok))
 
@@ -244,9 +267,11 @@ def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id``, the five counts, ``base_failed``, ``kept`` and
-    ``anomaly``."""
+    ``anomaly`` (the greater of the forests' scores)."""
     stats = cut_lineage(rule_stats(docs, id_col, text_col))
-    scored = score(stats, fit_forest(stats))
-    cut = calibrate(scored, labels)
+    scored = score(stats, fit_forests(stats))
+    kept = ~failed()
+    for name, cut in calibrate(scored, labels).items():
+        kept = kept & (F.col(name) < F.lit(cut))
     return scored.select("doc_id", *[c.split()[0] for c in STATS.split(", ")], failed().alias("base_failed"),
-                         (~failed() & (F.col("anomaly") < F.lit(cut))).alias("kept"), "anomaly")
+                         kept.alias("kept"), F.greatest(*FORESTS).alias("anomaly"))

@@ -183,6 +183,44 @@ def test_quality_without_labels_or_rows(spark):
     assert quality.judge(frame(spark, []), none).count() == 0
 
 
+def quality_rows(spark, n, special):
+    """Statistics of ``n`` documents inside every limit, then the special ones (ids from n on)."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(n + len(special)):
+        x = dict.fromkeys(quality.FEATURES, 0.0)
+        x.update(upper_rate=rng.uniform(0, 0.05), log_word_length=rng.normal(1.8, 0.05), log_words=rng.normal(5.6, 0.3))
+        x.update(special[i - n] if i >= n else {})
+        rows.append((i, 300, 1500, 0, 0, 0, *(float(x[c]) for c in quality.FEATURES)))
+    return spark.createDataFrame(rows, f"doc_id bigint, {quality.STATS}, {quality._MORE}")
+
+
+def test_quality_finds_a_violation_that_is_not_sampled(spark):
+    from pyspark.sql import functions as F
+
+    stats = quality_rows(spark, quality.TREES * quality.TREE_ROWS + 5000, [])
+    h = F.xxhash64("doc_id", F.lit(quality.SEED))
+    n = stats.orderBy(h.desc()).first()["doc_id"]  # the largest hash: in no tree's sample
+    for c, x in {"symbol_rate": 0.8, "symbol_excess": 0.7}.items():
+        stats = stats.withColumn(c, F.when(F.col("doc_id") == n, x).otherwise(F.col(c)))
+    scored = quality.score(stats, quality.fit_forests(stats))
+    labels = stats.select("doc_id", (F.col("doc_id") != n).cast("int").alias("quality"))
+    cuts = quality.calibrate(scored, labels)
+    rejected = scored.filter((F.col("anomaly") >= cuts["anomaly"]) | (F.col("oddness") >= cuts["oddness"]))
+    assert [r["doc_id"] for r in rejected.collect()] == [n]
+
+
+def test_quality_can_reject_inside_the_limits(spark):
+    from pyspark.sql import functions as F
+
+    inside = [{"dup_line_rate": 0.29, "upper_rate": 0.29, "repeat_rate": 0.49 - i / 1000} for i in range(10)]
+    stats = quality_rows(spark, 2000, inside)
+    scored = quality.score(stats, quality.fit_forests(stats))
+    cuts = quality.calibrate(scored, stats.select("doc_id", (F.col("doc_id") < 2000).cast("int").alias("quality")))
+    gone = [r["doc_id"] for r in scored.filter((F.col("anomaly") >= cuts["anomaly"]) | (F.col("oddness") >= cuts["oddness"])).collect()]
+    assert set(range(2000, 2010)) <= set(gone) and len(gone) < 15
+
+
 def test_isolation_depth():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(size=(500, 2)), [[9.0, 9.0]]])
