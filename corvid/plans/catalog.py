@@ -135,10 +135,17 @@ def q_max_node(spark, sf_dir):
     return graph.max_node(li).select(F.col("max_id").alias("max_src"), F.col("n_nodes").alias("n_sources"))
 
 
+def _as_int(df, *cols):
+    """The 64-bit columns as the SQL's 32-bit ones; a value beyond 32 bits raises, as there."""
+    wide = lambda c: F.raise_error(F.concat(F.lit(f"{c} beyond 32 bits: "), F.col(c).cast("string"))).cast("int")
+    return df.withColumns({c: F.when(F.col(c).between(-(1 << 31), (1 << 31) - 1), F.col(c).cast("int")).otherwise(
+        F.when(F.col(c).isNotNull(), wide(c))) for c in cols})
+
+
 def q_generate_links(spark, sf_dir):
     n = table(spark, sf_dir, "supplier").count()
     adj = generate_links(spark, int(n), LINK_GROUP)
-    return graph.edges(adj)
+    return _as_int(graph.edges(adj), "src", "dst")
 
 
 # ---------------------------------------------------------------------- keyed tables
@@ -449,7 +456,7 @@ def q_read_sparse_labeled(spark, sf_dir):
                     F.concat(F.col("o_custkey").cast("string"), F.lit(":"),
                              F.floor("o_totalprice").cast("bigint").cast("string")),
                     (-F.dayofmonth("o_orderdate")).cast("string")).alias("value"))
-    return labelled_postings(lines)
+    return _as_int(labelled_postings(lines), "feature", "label")
 
 
 def _adjacency_lines(spark, sf_dir):
@@ -463,15 +470,15 @@ def _adjacency_lines(spark, sf_dir):
 def q_read_adjacency(spark, sf_dir):
     """S1 + P1: the adjacency lines parsed back to edges."""
     lines, _ = _adjacency_lines(spark, sf_dir)
-    return graph.edges(parse_adjacency(lines))
+    return _as_int(graph.edges(parse_adjacency(lines)), "src", "dst")
 
 
 def q_pagerank_adjacency(spark, sf_dir):
     """I1 by the adjacency route (an empty list for every page that heads no line)."""
     lines, n = _adjacency_lines(spark, sf_dir)
     adj = parse_adjacency(lines)
-    rest = spark.range(n).select(F.col("id").cast("int").alias("src")).join(adj.select("src"), "src", "left_anti").select(
-        "src", F.array().cast("array<int>").alias("dst"))
+    rest = spark.range(n).select(F.col("id").alias("src")).join(adj.select("src"), "src", "left_anti").select(
+        "src", F.array().cast("array<bigint>").alias("dst"))
     g = pagerank.prepare_adjacency(adj.unionByName(rest))
     res = pagerank.pagerank(g, damping=DAMPING, delta=-1.0, max_rounds=PR_ROUNDS)
     return res.ranks.select("page", F.round("rank", 10).alias("rank"))

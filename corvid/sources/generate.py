@@ -25,7 +25,7 @@ def generate_links(spark: SparkSession, n: int, group: int, partitions: int | No
                    chunk: int = 1 << 16) -> DataFrame:
     """Edge i -> j (0 <= i, j < n) iff ``(-3*i*i + group + 5 + i) % (j + 3) == 0``.
 
-    Returns adjacency ``(src int, dst array<int>)``, targets ascending, one row per node
+    Returns adjacency ``(src bigint, dst array<bigint>)``, targets ascending, one row per node
     (a node without targets has an empty list), like the generated files. Each row
     filters the candidate targets in place, ``chunk`` at a time, so a row never holds
     more than ``chunk`` candidates; with more than one chunk the kept targets (the
@@ -34,12 +34,12 @@ def generate_links(spark: SparkSession, n: int, group: int, partitions: int | No
     v = link_value(F.col("id"), group)
     if n <= chunk:
         dst = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: (v % (j + 3)) == 0)
-        return rows.select(F.col("id").cast("int").alias("src"), dst.cast("array<int>").alias("dst"))
+        return rows.select(F.col("id").alias("src"), dst.cast("array<bigint>").alias("dst"))
     parts = rows.select("id", v.alias("_v"), F.explode(F.sequence(F.lit(0), F.lit(n - 1), F.lit(chunk))).alias("_c"))
     cand = F.sequence(F.col("_c"), F.least(F.col("_c") + chunk - 1, F.lit(n - 1)))
     kept = parts.select("id", F.filter(cand, lambda j: (F.col("_v") % (j + 3)) == 0).alias("_d"))
     adj = kept.groupBy("id").agg(F.array_sort(F.flatten(F.collect_list("_d"))).alias("dst"))
-    return adj.select(F.col("id").cast("int").alias("src"), F.col("dst").cast("array<int>"))
+    return adj.select(F.col("id").alias("src"), F.col("dst").cast("array<bigint>"))
 
 
 def links_text(adj: DataFrame) -> DataFrame:

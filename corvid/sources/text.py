@@ -46,10 +46,12 @@ def with_line_index(df: DataFrame, col: str = "line_no") -> DataFrame:
 
 
 def _int_tokens(value: Column) -> Column:
-    """Whitespace tokens parsed as int, cut at the first token that is not an int."""
+    """Whitespace tokens parsed as 64-bit ints, cut at the first token that is not an int. An
+    int beyond 64 bits raises."""
+    wide = lambda t: F.when(t.rlike("^[+-]?[0-9]+$"), F.raise_error(F.concat(F.lit("beyond 64 bits: "), t)).cast("bigint"))
     toks = F.split(F.regexp_replace(value, f"^{_WS}|{_WS}$", ""), _WS)
     # A lambda's variable holds the parsed list, so it is computed once however often it is read.
-    parsed = F.transform(F.array(F.transform(toks, lambda t: t.try_cast("int"))), _leading)
+    parsed = F.transform(F.array(F.transform(toks, lambda t: F.coalesce(t.try_cast("bigint"), wide(t)))), _leading)
     return parsed[0]
 
 
@@ -60,7 +62,7 @@ def _leading(ints: Column) -> Column:
 
 
 def read_adjacency(spark: SparkSession, path: str | Sequence[str], duplicates: str = "last") -> DataFrame:
-    """``node target target ...`` per line -> ``(src int, dst array<int>)``.
+    """``node target target ...`` per line -> ``(src bigint, dst array<bigint>)``.
 
     A line whose first token is not an int (a blank line included) raises, like the
     reference. A node listed twice keeps its last line (``duplicates="last"``); pass
@@ -74,7 +76,7 @@ def read_adjacency(spark: SparkSession, path: str | Sequence[str], duplicates: s
 
 def parse_adjacency(lines: DataFrame, duplicates: str = "last", value: str = "value", line_no: str = "line_no") -> DataFrame:
     """S1 on a column of lines (numbered by ``line_no`` for ``duplicates="last"``)."""
-    fail = F.raise_error(F.concat(F.lit("adjacency line without a node id: "), F.col(value))).cast("int")
+    fail = F.raise_error(F.concat(F.lit("adjacency line without a node id: "), F.col(value))).cast("bigint")
     row = F.transform(F.array(_int_tokens(F.col(value))), lambda t: F.struct(
         F.when(F.size(t) > 0, t[0]).otherwise(fail).alias("src"), F.slice(t, 2, F.size(t)).alias("dst")))
     last = [F.col(line_no).alias("line_no")] if duplicates == "last" else []
@@ -83,7 +85,7 @@ def parse_adjacency(lines: DataFrame, duplicates: str = "last", value: str = "va
         parsed = parsed.groupBy("src").agg(F.max_by("dst", "line_no").alias("dst"))
     elif duplicates != "assume_unique":
         raise ValueError(f"duplicates must be 'last' or 'assume_unique', not {duplicates!r}")
-    return parsed.select(F.col("src").cast("int"), F.col("dst").cast("array<int>"))
+    return parsed.select("src", "dst")
 
 
 def _double_vector(value: Column, dim: int, what: str) -> Column:
@@ -121,7 +123,7 @@ def _labelled_rows(lines: DataFrame, value: str, example: str) -> DataFrame:
     toks = _int_tokens(F.regexp_replace(F.col(value), ":", " "))
     rows = lines.select(F.col(example).cast("long").alias("example"), toks.alias("_t"))
     return rows.select("example", F.when(F.size("_t") > 0, F.col("_t")[0]).otherwise(
-        F.raise_error(F.lit("labelled line without a label")).cast("int")).alias("label"),
+        F.raise_error(F.lit("labelled line without a label")).cast("bigint")).alias("label"),
         F.slice("_t", 2, F.size("_t")).alias("_f"))
 
 
@@ -133,16 +135,16 @@ def parse_sparse_labeled(lines: DataFrame, value: str = "value", example: str =
     rows = _labelled_rows(lines, value, example)
     labels = rows.select("example", "label")
     postings = rows.select(F.explode("_f").alias("feature"), "example").select(
-        F.abs("feature").cast("int").alias("feature"), "example")
+        F.abs("feature").alias("feature"), "example")
     return labels, postings
 
 
 def labelled_postings(lines: DataFrame, value: str = "value", example: str = "line_no") -> DataFrame:
     """S4 in one pass: ``(example, feature, label)`` per token, no join back to labels."""
     toks = _int_tokens(F.regexp_replace(F.col(value), ":", " "))
-    fail = F.raise_error(F.lit("labelled line without a label")).cast("array<struct<feature:int,label:int>>")
+    fail = F.raise_error(F.lit("labelled line without a label")).cast("array<struct<feature:bigint,label:bigint>>")
     rows = F.transform(F.array(toks), lambda t: F.when(F.size(t) == 0, fail).otherwise(
-        F.transform(F.slice(t, 2, F.size(t)), lambda f: F.struct(F.abs(f).cast("int").alias("feature"), t[0].alias("label")))))
+        F.transform(F.slice(t, 2, F.size(t)), lambda f: F.struct(F.abs(f).alias("feature"), t[0].alias("label")))))
     return lines.select(F.col(example).cast("long").alias("example"), F.explode(F.flatten(rows)).alias("_r")).select(
         "example", "_r.feature", "_r.label")
 

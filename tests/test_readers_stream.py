@@ -1,7 +1,7 @@
 import pytest
 
 from conftest import SF
-from corvid.sources.text import read_adjacency, read_sparse_labeled, read_vectors, with_line_index
+from corvid.sources.text import labelled_postings, read_adjacency, read_sparse_labeled, read_vectors, with_line_index
 from corvid.streaming.route import route, start_routing
 
 
@@ -17,6 +17,22 @@ def test_adjacency_last_line_wins_and_cut_at_non_int(spark, tmp_path):
     assert got == {0: [2], 1: [0], 2: []}
 
 
+def test_ids_beyond_32_bits_are_kept(spark, tmp_path):
+    big = (1 << 31) + 5
+    p = _write(tmp_path, "wide.txt", f"0 1 {big} 2\n{big} 0\n")
+    assert {r.src: r.dst for r in read_adjacency(spark, p).collect()} == {0: [1, big, 2], big: [0]}
+    p = _write(tmp_path, "wide_labelled.txt", f"1 3:{big} -{big} 4\n{big} 7\n")
+    labels, post = read_sparse_labeled(spark, p)
+    assert sorted((r.example, r.label) for r in labels.collect()) == [(0, 1), (1, big)]
+    rows = [(0, 3), (0, 4), (0, big), (0, big), (1, 7)]
+    assert sorted((r.example, r.feature) for r in post.collect()) == rows
+    one = labelled_postings(with_line_index(spark.read.text(p))).collect()
+    assert sorted((r.example, r.feature, r.label) for r in one) == [(e, f, big if e else 1) for e, f in rows]
+    p = _write(tmp_path, "too_wide.txt", f"0 1 {1 << 63} 2\n")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        read_adjacency(spark, p).collect()
+
+
 def test_adjacency_blank_line_fails(spark, tmp_path):
     p = _write(tmp_path, "bad.txt", "0 1\n\n1 0\n")
     with pytest.raises(Exception):
