@@ -459,27 +459,29 @@ def q_read_sparse_labeled(spark, sf_dir):
     return _as_int(labelled_postings(lines), "feature", "label")
 
 
+LINE_TARGETS = 4096   # targets of a line at most: a page's targets are distinct and cut by id
+
+
 def _adjacency_lines(spark, sf_dir):
-    """One ``src dst dst ...`` line per supplier (targets in order, indented by a tab)."""
+    """``src dst dst ...`` lines (targets in order, indented by a tab), one for each
+    ``LINE_TARGETS`` target ids that a supplier links into, so no row holds a hot id's list."""
     links, _, n = _link_graph(spark, sf_dir)
-    rows = links.groupBy("src").agg(F.array_sort(F.collect_list("dst")).alias("dst"))
+    rows = links.groupBy("src", F.floor(F.col("dst") / F.lit(LINE_TARGETS)).alias("_c")).agg(
+        F.array_sort(F.collect_list("dst")).alias("dst"))
     line = F.concat(F.lit("\t"), F.concat_ws(" ", F.col("src").cast("string"), F.col("dst").cast("array<string>")))
-    return rows.select(F.col("src").alias("line_no"), line.alias("value")), n
+    return rows.select(line.alias("value")), n
 
 
 def q_read_adjacency(spark, sf_dir):
     """S1 + P1: the adjacency lines parsed back to edges."""
     lines, _ = _adjacency_lines(spark, sf_dir)
-    return _as_int(graph.edges(parse_adjacency(lines)), "src", "dst")
+    return _as_int(graph.edges(parse_adjacency(lines, "union")), "src", "dst")
 
 
 def q_pagerank_adjacency(spark, sf_dir):
-    """I1 by the adjacency route (an empty list for every page that heads no line)."""
+    """I1 by the adjacency route (a page that heads no line is dangling)."""
     lines, n = _adjacency_lines(spark, sf_dir)
-    adj = parse_adjacency(lines)
-    rest = spark.range(n).select(F.col("id").alias("src")).join(adj.select("src"), "src", "left_anti").select(
-        "src", F.array().cast("array<bigint>").alias("dst"))
-    g = pagerank.prepare_adjacency(adj.unionByName(rest))
+    g = pagerank.prepare_edges(graph.edges(parse_adjacency(lines, "union")), n, distinct=False)
     res = pagerank.pagerank(g, damping=DAMPING, delta=-1.0, max_rounds=PR_ROUNDS)
     return res.ranks.select("page", F.round("rank", 10).alias("rank"))
 

@@ -66,7 +66,8 @@ def read_adjacency(spark: SparkSession, path: str | Sequence[str], duplicates: s
 
     A line whose first token is not an int (a blank line included) raises, like the
     reference. A node listed twice keeps its last line (``duplicates="last"``); pass
-    ``"assume_unique"`` to skip the shuffle that resolves repeats.
+    ``"assume_unique"`` to skip the shuffle that resolves repeats, or ``"union"`` if a node's
+    list is cut into several lines: each stays a row (for :func:`corvid.operators.graph.edges`).
     """
     lines = spark.read.text(_paths(path))
     if duplicates == "last":
@@ -83,8 +84,8 @@ def parse_adjacency(lines: DataFrame, duplicates: str = "last", value: str = "va
     parsed = lines.select(F.explode(row).alias("_r"), *last).select("_r.src", "_r.dst", *(["line_no"] if last else []))
     if duplicates == "last":
         parsed = parsed.groupBy("src").agg(F.max_by("dst", "line_no").alias("dst"))
-    elif duplicates != "assume_unique":
-        raise ValueError(f"duplicates must be 'last' or 'assume_unique', not {duplicates!r}")
+    elif duplicates not in ("assume_unique", "union"):
+        raise ValueError(f"duplicates must be 'last', 'assume_unique' or 'union', not {duplicates!r}")
     return parsed.select("src", "dst")
 
 

@@ -33,6 +33,16 @@ def test_ids_beyond_32_bits_are_kept(spark, tmp_path):
         read_adjacency(spark, p).collect()
 
 
+def test_adjacency_lines_are_bounded(spark, monkeypatch):
+    from corvid.plans import catalog
+    from corvid.plans.catalog import _adjacency_lines, _link_graph, q_read_adjacency
+    monkeypatch.setattr(catalog, "LINE_TARGETS", 16)
+    lines = [r.value.split() for r in _adjacency_lines(spark, f"{SF}/sf0.001")[0].collect()]
+    assert max(map(len, lines)) <= 17 and len({x[0] for x in lines}) < len(lines)
+    want = sorted((r.src, r.dst) for r in _link_graph(spark, f"{SF}/sf0.001")[0].collect())
+    assert sorted((r.src, r.dst) for r in q_read_adjacency(spark, f"{SF}/sf0.001").collect()) == want
+
+
 def test_adjacency_blank_line_fails(spark, tmp_path):
     p = _write(tmp_path, "bad.txt", "0 1\n\n1 0\n")
     with pytest.raises(Exception):
