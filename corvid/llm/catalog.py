@@ -6,13 +6,16 @@ derives the digest columns of its contract from the operator's output.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import chat, fingerprint, licenses, lm, mixing, quality, sentencepiece, simhash, substring, toxicity
+from corvid.llm import (chat, codebook, fingerprint, licenses, lm, mixing, quality, repair, sentencepiece, simhash, substring,
+                        tokenfile, toxicity)
 from corvid.llm.common import table
+from corvid.session import checkpoint_dir
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +71,28 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    tokenfile.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfile.read_documents(spark, folder)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repair.repair(repair.damage(table(spark, sf_dir, "conversations")), present_col="present")
+    lines = F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    return out.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                      F.sha2(F.array_join(lines, "\n"), 256).alias("repaired_sha256"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = codebook.cluster(table(spark, sf_dir, "embeddings"))
+    hashes = codebook.centroid_table(spark, got).select("cluster", "centroid_sha256")  # k rows
+    return got.rows.join(F.broadcast(hashes), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,9 +110,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_toxicity": op9_toxicity,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_token_files": op11_token_files,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_centroid_clusters": op13_centroid_clusters,
     "pipeline": pipeline,
 }
 
+
+
+def _clusters_sql(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """The rounds of op13 unrolled: exact integer distances, floors of exact means."""
+    near = ("SELECT vec_id, v, cid, d FROM (SELECT e.rid, e.vec_id, e.v, c.cid, list_sum(list_transform(list_zip(e.v, c.v), "
+            "lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d, row_number() OVER (PARTITION BY e.rid ORDER BY d, c.cid) AS rn "
+            "FROM e, c{0} c) WHERE rn = 1")
+    parts = [
+        "x AS (SELECT vec_id, embedding::DOUBLE[] AS f FROM embeddings)",
+        f"e AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(f, lambda y: floor(256 * y)::BIGINT) AS v FROM x "
+        f"WHERE len(f) = {dim} AND len(list_filter(f, lambda y: y IS NOT NULL AND isfinite(y))) = {dim})",
+        "c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS cid, v FROM e "
+        f"ORDER BY cid LIMIT {k})",
+    ]
+    for r in range(rounds):
+        parts.append(f"a{r} AS MATERIALIZED ({near.format(r)})")
+        parts.append(
+            f"m{r} AS (SELECT cid, i, sum(y)::HUGEINT AS s, count(*)::HUGEINT AS n FROM (SELECT cid, unnest(v) AS y, "
+            f"unnest(range({dim})) AS i FROM a{r}) GROUP BY cid, i)")
+        parts.append(
+            f"c{r + 1} AS MATERIALIZED (SELECT c.cid, coalesce(w.v, c.v) AS v FROM c{r} c LEFT JOIN (SELECT cid, "
+            f"list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM m{r} GROUP BY cid) w USING (cid))")
+    parts.append(f"z AS MATERIALIZED ({near.format(rounds)})")
+    return ("WITH " + ",\n".join(parts) + "\nSELECT z.vec_id, z.cid::INTEGER AS cluster, z.d AS distance, "
+            "(sum(z.d) OVER (PARTITION BY z.cid))::BIGINT AS cluster_inertia, (sum(z.d) OVER ())::BIGINT AS inertia, "
+            f"sha256(array_to_string(c.v, ',')) AS centroid_sha256 FROM z JOIN c{rounds} c USING (cid)")
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": r"""
 WITH t AS (
@@ -152,4 +208,65 @@ k AS (SELECT doc_id, string_agg(v, ' ' ORDER BY j) AS kept FROM a ANTI JOIN c US
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(l.n, 0)::BIGINT AS n_removed,
   sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM d LEFT JOIN l ON d.doc_id = l.doc_id LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+      lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, (v & 1) * 3988292384))),
+      4294967295) % 20 AS kind FROM conversations),
+dam AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM src, range(CASE WHEN kind = 3 THEN 2 ELSE 1 END) WHERE kind <> 0),
+pos AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM dam),
+num AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS solid FROM pos),
+t AS MATERIALIZED (
+  SELECT conv_id, i, turn, role, text, left(role, 1) AS c, solid = '' AS blank, solid <> '' AND seen > 1 AS dup,
+    solid <> '' AND seen = 1 AND right(solid, 1) NOT IN ('.', '!', '?') AS cut,
+    solid = '' OR seen > 1 AS gone FROM num),
+per AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+    count_if(dup) AS duplicate, count_if(cut) AS truncated FROM t GROUP BY conv_id),
+bad AS (
+  SELECT conv_id, count(*) AS illegal FROM (SELECT conv_id, c, lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS p, i FROM t)
+  WHERE i > 1 AND p || c NOT IN ('su', 'ua', 'au') GROUP BY conv_id),
+dp AS (
+  -- From the last turn back: the least (cost, audit) where the rest must read (ua)*, a(ua)*, (ua)+ and s(ua)+.
+  SELECT conv_id, n AS i, {'k': 0::BIGINT, 'a': ''} AS u, {'k': 3::BIGINT, 'a': 'I'} AS a, {'k': 6::BIGINT, 'a': 'II'} AS p,
+    {'k': 1000000000000::BIGINT, 'a': ''} AS q FROM per
+  UNION ALL
+  SELECT conv_id, i - 1, least(nu, {'k': na.k + 3, 'a': 'I' || na.a}), least(na, {'k': nu.k + 3, 'a': 'I' || nu.a}),
+    least(np, {'k': na.k + 3, 'a': 'I' || na.a}, {'k': nu.k + 6, 'a': 'II' || nu.a}), nq
+  FROM (
+    SELECT d.conv_id, d.i,
+      least({'k': d.u.k + 4, 'a': 'D' || d.u.a}, {'k': d.a.k + x.stay + x.to_u, 'a': x.by_u || d.a.a}) AS nu,
+      least({'k': d.a.k + 4, 'a': 'D' || d.a.a}, {'k': d.u.k + x.stay + x.to_a, 'a': x.by_a || d.u.a}) AS na,
+      least({'k': d.p.k + 4, 'a': 'D' || d.p.a}, {'k': d.a.k + x.stay + x.to_u, 'a': x.by_u || d.a.a}) AS np,
+      least({'k': d.q.k + 4, 'a': 'D' || d.q.a}, {'k': d.p.k + x.stay + x.to_s, 'a': 'K' || d.p.a}) AS nq
+    FROM dp d JOIN (
+      SELECT conv_id, i, (CASE WHEN gone THEN 1000000000000 WHEN cut THEN 3 ELSE 0 END)::BIGINT AS stay,
+        CASE WHEN c = 'u' THEN 0 ELSE 3 END AS to_u, CASE WHEN c = 'u' THEN 'K' ELSE 'R' END AS by_u,
+        CASE WHEN c = 'a' THEN 0 ELSE 3 END AS to_a, CASE WHEN c = 'a' THEN 'K' ELSE 'R' END AS by_a,
+        CASE WHEN c = 's' THEN 0 ELSE 1000000000000 END AS to_s FROM t) x
+      ON x.conv_id IS NOT DISTINCT FROM d.conv_id AND x.i = d.i)),
+best AS MATERIALIZED (SELECT conv_id, least(u, q).k AS cost, least(u, q).a AS audit FROM dp WHERE i = 0),
+step AS (
+  SELECT conv_id, audit, g AS j, substr(audit, g, 1) AS e, length(replace(substr(audit, 1, g), 'I', '')) AS i,
+    length(replace(substr(audit, g), 'D', '')) AS rest FROM best, unnest(range(1, length(audit) + 1)) AS z(g)),
+lines AS (
+  SELECT s.conv_id, s.j, CASE WHEN e = 'K' THEN t.role WHEN rest % 2 = 0 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN e = 'I' THEN '' ELSE t.text END AS line
+  FROM step s LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.i = s.i WHERE e <> 'D'),
+made AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY j) AS whole FROM lines GROUP BY conv_id),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT v.conv_id, coalesce(per.gaps, 0)::BIGINT AS gaps, coalesce(per.blank, 0)::BIGINT AS blank,
+  coalesce(per.duplicate, 0)::BIGINT AS duplicate, coalesce(per.truncated, 0)::BIGINT AS truncated,
+  coalesce(bad.illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit,
+  sha256(coalesce(made.whole, '')) AS repaired_sha256
+FROM every v LEFT JOIN per ON per.conv_id IS NOT DISTINCT FROM v.conv_id LEFT JOIN bad ON bad.conv_id IS NOT DISTINCT FROM v.conv_id
+  LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM v.conv_id LEFT JOIN made ON made.conv_id IS NOT DISTINCT FROM v.conv_id""",
+    "op13_centroid_clusters": _clusters_sql(),
 }
