@@ -65,7 +65,7 @@ def starting_centroids(vectors: DataFrame, k: int = K) -> np.ndarray:
     that order; equal ids by components."""
     key = F.sha2(F.concat(F.lit("2:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
     rows = vectors.select(key.alias("key"), "ints").orderBy("key", "ints").limit(k).collect()
-    return np.array([r["ints"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["ints"] for r in rows], np.int64).reshape(len(rows), len(rows[0]["ints"]) if rows else 0)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

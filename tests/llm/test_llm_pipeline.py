@@ -48,7 +48,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
 def test_every_operator_is_registered_once():
     names = set(E.queries())
     assert set(catalog.QUERIES) <= names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES)
     assert [k for k, _ in corpus_pipeline.STAGES][0] == "quality_rules" and len(corpus_pipeline.STAGES) == 5
