@@ -23,6 +23,7 @@ attempts that were lost or ran twice leave no trace in the result.
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from bisect import bisect_right
@@ -43,9 +44,12 @@ SEQ_LEN = 2048
 BATCH_ROWS = 128
 FILE_BYTES = 128 << 20   # text per file, about
 END_ID = 2
-CACHE_WORDS = 400_000    # words of a generation that an encoder remembers
+CACHE_WORDS = 300_000    # words of a generation that an encoder remembers
 CACHE_WORD = 64          # longer words are not remembered
 SLICE = 4 << 20          # bytes of text encoded at once, or a single text
+#: The end of a splitting pattern that keeps letters, digits and other characters apart.
+RUNS_APART = r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+CLOSING = r"([A-Za-z0-9])([.,;:!?*#%&$])"
 JOINED = 1 << 18         # characters of unknown words encoded at once
 
 
@@ -54,12 +58,19 @@ class WordEncoder:
     and look at nothing across it, so a text's ids are the ids of its words in order. The
     words of a slice of texts are dictionary-encoded first; packed ids of words met lately
     are remembered (two generations of ``CACHE_WORDS`` words), the others are encoded
-    together, as one text, and told apart by their tokens' offsets."""
+    together, as one text, and told apart by their tokens' offsets.
+
+    So that fewer words differ, texts are lower-cased (A-Z) first where the tokenizer's file
+    says that it does so anyway, and closing punctuation is set apart where the file says that
+    runs of letters, digits and other characters are never joined."""
 
     def __init__(self, path: str, dtype: str, words: bool = True):
         from tokenizers import Tokenizer
 
         self.tok, self.dtype, self.words = Tokenizer.from_file(path), np.dtype(dtype), words
+        told = json.loads(self.tok.to_str())
+        self.lower = '"Lowercase"' in json.dumps(told.get("normalizer"))
+        self.cut = json.dumps(RUNS_APART)[1:-1] in json.dumps(told.get("pre_tokenizer"))
         self.known: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
@@ -85,6 +96,10 @@ class WordEncoder:
         if not self.words:
             ids = [self._whole(t) for t in texts.to_pylist()]
             return np.concatenate([np.zeros(0, self.dtype), *ids]), np.array([len(i) for i in ids], np.int64)
+        if self.lower and not pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens keep their case
+            texts = pc.ascii_lower(texts)
+        if self.cut:
+            texts = pc.replace_substring_regex(texts, CLOSING, r"\1 \2")
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
