@@ -5,7 +5,7 @@ Layout of a folder of token files:
 * ``part-NNNNNN-*.arrow``: an Arrow IPC file (record batches and a footer that finds each of
   them). A batch holds up to ``batch_rows`` rows of two fixed-size lists of ``seq_len``
   values: ``ids`` (the narrowest unsigned type that holds the vocabulary) and ``mask``
-  (uint8, 1 for an id, 0 for padding). All batches of a file but the last have the same
+  (one bit each, set for an id, clear for padding). All batches of a file but the last have the same
   number of rows and only a file's last sequence is padded, so sequence ``i`` is at row
   ``i % batch_rows`` of batch ``i // batch_rows`` and, in a memory-mapped file, a view.
 * ``part-NNNNNN-*.docs.arrow``: the documents of that file, ``(doc_id, start, n_tokens)``.
@@ -193,7 +193,7 @@ class _Writer:
         self.name = f"part-{part:06d}-{uuid.uuid4().hex}"
         self.dtype, self.seq_len, self.room = np.dtype(dtype), seq_len, seq_len * batch_rows
         ids = pa.list_(pa.field("item", pa.from_numpy_dtype(self.dtype), nullable=False), seq_len)
-        mask = pa.list_(pa.field("item", pa.uint8(), nullable=False), seq_len)
+        mask = pa.list_(pa.field("item", pa.bool_(), nullable=False), seq_len)
         self.schema = pa.schema([pa.field("ids", ids, nullable=False), pa.field("mask", mask, nullable=False)])
         self.doc_schema = pa.schema([("doc_id", doc_type), ("start", pa.int64()), ("n_tokens", pa.int64())])
         self.sinks = [fs.open_output_stream(f"{root}/{self.name}{s}") for s in (".arrow", ".docs.arrow")]
@@ -207,8 +207,7 @@ class _Writer:
         if rows:
             flat = self.buffer[: rows * self.seq_len].copy()
             flat[self.held:] = 0
-            mask = np.zeros(len(flat), np.uint8)
-            mask[: self.held] = 1
+            mask = np.arange(len(flat)) < self.held
             self.seqs.write_batch(pa.RecordBatch.from_arrays(
                 [pa.FixedSizeListArray.from_arrays(pa.array(v), type=f.type) for v, f in zip((flat, mask), self.schema)],
                 schema=self.schema))
@@ -288,14 +287,9 @@ def _open(folder: str, name: str) -> pa.ipc.RecordBatchFileReader:
     return pa.ipc.open_file(pa.memory_map(f"{root}/{name}") if local else fs.open_input_file(f"{root}/{name}"))
 
 
-def _flat(column: pa.FixedSizeListArray) -> np.ndarray:
-    """A fixed-size-list column's values as one numpy view."""
-    return column.flatten().to_numpy(zero_copy_only=True)
-
-
 class TokenFile:
-    """Random access to one file's sequences. In a local (memory-mapped) file a sequence and
-    its mask are views of the file's pages; nothing is copied."""
+    """Random access to one file's sequences: ids as a numpy view, the mask as an Arrow
+    boolean view. In a local (memory-mapped) file both are views of the file's pages."""
 
     def __init__(self, folder: str, file: str):
         self.reader = _open(folder, f"{file}.arrow")
@@ -307,19 +301,19 @@ class TokenFile:
     def __len__(self) -> int:
         return self.length
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if not 0 <= i < self.length:
             raise IndexError(i)
         b = self.reader.get_batch(i // self.batch_rows)
-        a = i % self.batch_rows * self.seq_len
-        return tuple(_flat(b.column(c))[a: a + self.seq_len] for c in ("ids", "mask"))
+        ids, mask = (b.column(c).flatten().slice(i % self.batch_rows * self.seq_len, self.seq_len) for c in ("ids", "mask"))
+        return ids.to_numpy(zero_copy_only=True), mask
 
     def runs(self) -> Iterator[np.ndarray]:
         """The file's ids in order, padding left out, a batch at a time."""
         for k in range(self.reader.num_record_batches):
             b = self.reader.get_batch(k)
-            ids, mask = _flat(b.column("ids")), _flat(b.column("mask"))
-            yield ids if mask.all() else ids[mask == 1]
+            ids, mask = (b.column(c).flatten() for c in ("ids", "mask"))
+            yield (ids if mask.true_count == len(mask) else ids.filter(mask)).to_numpy(zero_copy_only=True)
 
 
 def _documents(file: TokenFile, docs: pa.ipc.RecordBatchFileReader) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
