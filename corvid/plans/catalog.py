@@ -11,6 +11,7 @@ supplier -> part from ``lineitem``: node ``s_suppkey`` for a supplier and
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -24,6 +25,8 @@ from corvid.plans import collectives, kmeans, pagerank
 from corvid.plans.forest import predict, train_forest
 from corvid.sources.generate import generate_links
 from corvid.sources.text import labelled_postings, parse_adjacency, parse_vector
+from corvid.session import checkpoint_dir
+from corvid.streaming import queue as event_queue
 from corvid.streaming.route import route
 
 # Fixed parameters of the catalog queries.
@@ -545,21 +548,54 @@ def q_reject_nulls(spark, sf_dir):
     return keyed.combine_by_id(keyed.reject_nulls(t, ["key", "val"]), "key", plus("val"))
 
 
-def _events(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
+def _event_rows(e):
+    """Rows of the events table as messages between workers."""
     t = (F.when(F.col("event_type") == "view", F.lit("COLLECTIVE"))
          .when(F.col("event_type") == "purchase", F.lit("LOCAL")).otherwise(F.lit("MESSAGE")))
-    return e.select("event_id", t.alias("type"), F.col("event_type").alias("context"),
+    return e.select("event_id", "ts", t.alias("type"), F.col("event_type").alias("context"),
                     (F.col("user_id") % ROUTE_WORKERS).cast("int").alias("source_id"),
                     (F.col("event_id") % ROUTE_WORKERS).cast("int").alias("target_id"),
                     F.when(F.col("value").isNotNull(), F.array("value")).alias("body"), "value")
 
 
 def q_stream_route(spark, sf_dir):
-    r = route(_events(spark, sf_dir), ROUTE_WORKERS)
+    r = route(_event_rows(table(spark, sf_dir, "events")), ROUTE_WORKERS)
     return r.select("event_id", "type", "source_id", "target_id", "recipient", "value")
 
 
+def _queue_stream(spark, path, schema, **options):
+    """Arrivals and requests of a stream over the events table. Every event is also a request
+    by the workers ``event_id``, ``event_id + 1`` and ``event_id + 2`` (modulo their number):
+    workers 0-3 poll, the others wait."""
+    source = spark.readStream.schema(schema).options(**options).parquet(path)
+    routed = route(_event_rows(source), ROUTE_WORKERS)
+    asks = source.select("event_id", "ts", F.explode(F.array(*map(F.lit, range(3)))).alias("_j"))
+    asks = asks.withColumn("_w", ((F.col("event_id") + F.col("_j")) % ROUTE_WORKERS).cast("int"))
+    asks = asks.withColumn("_k", F.when(F.col("_w") < ROUTE_WORKERS // 2, event_queue.POLL).otherwise(event_queue.WAIT))
+    return event_queue.arrivals(routed).unionByName(event_queue.requests(asks, "_w", "_k", "event_id"))
+
+
+def _drained(spark, sf_dir):
+    folder = sf_dir.rstrip("/")
+    base = f"{checkpoint_dir(spark).rstrip('/')}/queues-{uuid.uuid4().hex}"
+    # A pattern, as a stream's path may be a folder or a pattern but no single file.
+    stream = _queue_stream(spark, f"{folder}/event[s].parquet", table(spark, folder, "events").schema)
+    event_queue.start_queues(stream, f"{base}/state", f"{base}/numbered").awaitTermination()
+    return f"{base}/numbered"
+
+
+def q_event_queue(spark, sf_dir):
+    """Every event that reached a worker's queue and the request that took it."""
+    return event_queue.deliveries(spark, _drained(spark, sf_dir))
+
+
+def q_event_queue_empty(spark, sf_dir):
+    """The polls that found their queue empty and the waits still waiting."""
+    sink = _drained(spark, sf_dir)
+    empty = event_queue.empty_polls(spark, sink).select("worker", "request_id", F.lit("empty").alias("outcome"))
+    return empty.unionByName(event_queue.waiting(spark, sink).select("worker", "request_id", F.lit("waiting").alias("outcome")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pagerank_top": q_pagerank_top,
     "pagerank_all": q_pagerank_all,
@@ -619,4 +655,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tree_size": q_tree_size,
     "read_sparse_labeled": q_read_sparse_labeled,
     "stream_route": q_stream_route,
+    "event_queue": q_event_queue,
+    "event_queue_empty": q_event_queue_empty,
 }

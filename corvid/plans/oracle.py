@@ -175,11 +175,34 @@ _USERS = ("u AS (SELECT CASE WHEN user_id % 3 = 0 THEN -user_id - 1 ELSE user_id
           "l AS (SELECT key, CAST(count(*) AS BIGINT) AS val FROM u GROUP BY key)")
 
 _EVENTS = (
-    "WITH ev AS (SELECT event_id, CASE WHEN event_type = 'view' THEN 'COLLECTIVE' WHEN event_type = 'purchase' "
+    "WITH ev AS (SELECT event_id, ts, CASE WHEN event_type = 'view' THEN 'COLLECTIVE' WHEN event_type = 'purchase' "
     f"THEN 'LOCAL' ELSE 'MESSAGE' END AS type, CAST(user_id % {C.ROUTE_WORKERS} AS INTEGER) AS source_id, "
     f"CAST(event_id % {C.ROUTE_WORKERS} AS INTEGER) AS target_id, value FROM events) "
 )
 
+_ROUTED = (
+    "SELECT event_id, type, source_id, target_id, target_id AS recipient, value, ts FROM ev "
+    "WHERE type = 'MESSAGE' AND target_id <> source_id AND value IS NOT NULL "
+    f"UNION ALL SELECT event_id, type, source_id, target_id, CAST(w.range AS INTEGER) AS recipient, value, ts "
+    f"FROM ev, range({C.ROUTE_WORKERS}) w WHERE type = 'COLLECTIVE' AND w.range <> source_id AND value IS NOT NULL "
+    "UNION ALL SELECT event_id, type, source_id, source_id AS target_id, source_id AS recipient, value, ts FROM ev "
+    "WHERE type = 'LOCAL' AND value IS NOT NULL"
+)
+
+# A queue's rows in order: a = events so far, p = requests so far. Of polls, as many as the largest
+# excess of requests over events found the queue empty; waits are served in turn.
+_QUEUES = _EVENTS + (
+    f", rows AS (SELECT recipient AS worker, ts, event_id AS id, 0 AS k FROM ({_ROUTED}) UNION ALL "
+    f"SELECT CAST((event_id + j.range) % {C.ROUTE_WORKERS} AS INTEGER), ts, event_id, 1 FROM ev, range(3) j), "
+    "sums AS (SELECT *, sum(1 - k) OVER w AS a, sum(k) OVER w AS p FROM rows WINDOW w AS (PARTITION BY worker ORDER BY ts, id, k "
+    "ROWS UNBOUNDED PRECEDING)), "
+    f"lost AS (SELECT *, CASE WHEN worker < {C.ROUTE_WORKERS // 2} THEN greatest(0, max(p - a) OVER (PARTITION BY worker ORDER BY ts, id, k "
+    "ROWS UNBOUNDED PRECEDING)) ELSE 0 END AS f FROM sums), "
+    "steps AS (SELECT *, lag(f, 1, 0) OVER (PARTITION BY worker ORDER BY ts, id, k) AS f0 FROM lost), "
+    "e AS (SELECT worker, CAST(a AS BIGINT) AS number, id AS event_id FROM steps WHERE k = 0), "
+    "r AS (SELECT worker, CAST(p - f AS BIGINT) AS number, id AS request_id FROM steps WHERE k = 1 AND f = f0) "
+)
+
 
 def _ent(p: str) -> str:
     return f"(CASE WHEN {p} <= 0 OR {p} >= 1 THEN 0 ELSE -({p} * ln({p}) + (1 - {p}) * ln(1 - {p})) END)"
@@ -345,11 +368,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT o_orderkey AS example, CAST(f AS INTEGER) AS feature, "
             "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label FROM orders, "
             "unnest([o_custkey, CAST(floor(o_totalprice) AS BIGINT), day(o_orderdate)]) AS t(f)"),
-        "stream_route": _EVENTS + (
-            "SELECT event_id, type, source_id, target_id, target_id AS recipient, value FROM ev "
-            "WHERE type = 'MESSAGE' AND target_id <> source_id AND value IS NOT NULL "
-            f"UNION ALL SELECT event_id, type, source_id, target_id, CAST(w.range AS INTEGER) AS recipient, value "
-            f"FROM ev, range({C.ROUTE_WORKERS}) w WHERE type = 'COLLECTIVE' AND w.range <> source_id AND value IS NOT NULL "
-            "UNION ALL SELECT event_id, type, source_id, source_id AS target_id, source_id AS recipient, value FROM ev "
-            "WHERE type = 'LOCAL' AND value IS NOT NULL"),
+        "stream_route": _EVENTS + f"SELECT * EXCLUDE (ts) FROM ({_ROUTED})",
+        "event_queue": _QUEUES + "SELECT worker, number, event_id, request_id FROM e LEFT JOIN r USING (worker, number)",
+        "event_queue_empty": _QUEUES + (
+            "SELECT worker, id AS request_id, 'empty' AS outcome FROM steps WHERE k = 1 AND f > f0 UNION ALL "
+            f"SELECT worker, request_id, 'waiting' FROM r WHERE worker >= {C.ROUTE_WORKERS // 2} AND NOT EXISTS "
+            "(SELECT 1 FROM e WHERE e.worker = r.worker AND e.number = r.number)"),
     }

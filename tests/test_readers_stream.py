@@ -143,3 +143,48 @@ def test_line_index_across_splits_of_one_file(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted((r.line_no, int(r.value.split()[0])) for r in rows) == [(i, i) for i in range(3000)]
+
+
+def test_queues_deliver_once_across_a_restart(spark, tmp_path):
+    """Files arrive one by one, the query is stopped between them: numbering goes on from
+    the stored cursors and equals one run over plain Python queues."""
+    import random
+    from collections import deque
+
+    from corvid.streaming import queue
+
+    rng = random.Random(4)
+    schema = "worker int, ts bigint, id bigint, kind string"
+    rows = [(rng.randint(0, 2), t, t * 2 + 1, rng.choice(["event", "event", "poll", "wait", "poll"])) for t in range(90)]
+    rows += [(0, 30, 900, "event"), (0, 30, 900, "poll"), (None, 31, 901, "event"), (7, 40, 902, "poll"), (8, 41, 903, "wait")]
+    rows.sort(key=lambda r: (r[1], r[2]))
+    parts = [[r for r in rows if a <= r[1] < a + 30] for a in (0, 30, 60)]
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    run = lambda: queue.start_queues(stream(), str(tmp_path / "ck"), str(tmp_path / "out")).awaitTermination(120)
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        run()
+    run()  # a restart without new rows adds nothing
+    waits, polls, queues, taken, empty = {}, {}, {}, {}, []
+    for w, _, i, kind in rows:
+        if w is None:
+            continue
+        q, pending = queues.setdefault(w, deque()), waits.setdefault(w, deque())
+        if kind == "event":
+            if pending:
+                taken[w, i] = pending.popleft()
+            else:
+                q.append(i)
+        elif q:
+            taken[w, q.popleft()] = i
+        elif kind == "wait":
+            pending.append(i)
+        else:
+            empty.append((w, i))
+    want = {**{(w, i): None for w, q in queues.items() for i in q}, **taken}
+    got = queue.deliveries(spark, str(tmp_path / "out")).collect()
+    assert {(r.worker, r.event_id): r.request_id for r in got} == want and len(got) == len(want)
+    assert sorted((r.worker, r.request_id) for r in queue.empty_polls(spark, str(tmp_path / "out")).collect()) == sorted(empty)
+    assert sorted((r.worker, r.request_id) for r in queue.waiting(spark, str(tmp_path / "out")).collect()) == sorted(
+        (w, i) for w, q in waits.items() for i in q)
+    assert len(empty) > 3 and len(taken) > 20
