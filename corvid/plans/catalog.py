@@ -23,6 +23,7 @@ from corvid.operators import forest as fo
 from corvid.operators import graph, keyed
 from corvid.plans import collectives, kmeans, pagerank
 from corvid.plans.forest import predict, train_forest
+from corvid.plans.inplace import pagerank_in_place
 from corvid.sources.generate import generate_links
 from corvid.sources.text import labelled_postings, parse_adjacency, parse_vector
 from corvid.session import checkpoint_dir
@@ -90,6 +91,14 @@ def q_pagerank_seq(spark, sf_dir):
     return r.select("page", F.round("rank", 10).alias("rank"))
 
 
+def q_pagerank_in_place(spark, sf_dir):
+    """Ten rounds that update in place, as the sequential program does."""
+    links, _, n = _link_graph(spark, sf_dir)
+    g = pagerank.prepare_edges(links, n, distinct=False, rules="sequential")
+    r = pagerank_in_place(g, PR_ROUNDS, DAMPING)
+    return r.select("page", F.round("rank", 10).alias("rank"))
+
+
 def q_pagerank_converge(spark, sf_dir):
     """I1 + G30: rounds until no rank moves more than PR_DELTA, the last change, and the
     rank total of the result."""
@@ -600,6 +609,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pagerank_top": q_pagerank_top,
     "pagerank_all": q_pagerank_all,
     "pagerank_seq": q_pagerank_seq,
+    "pagerank_in_place": q_pagerank_in_place,
     "top_ranks": q_top_ranks,
     "pagerank_converge": q_pagerank_converge,
     "out_degree_bag_set": q_out_degree_bag_set,

@@ -48,6 +48,31 @@ def pagerank_sql(rounds: int = C.PR_ROUNDS, d: float = C.DAMPING, rules: str = "
             + f"\nSELECT page, round(rank, 10) AS rank FROM r{rounds}")
 
 
+def pagerank_in_place_sql(rounds: int = C.PR_ROUNDS, d: float = C.DAMPING) -> str:
+    """``rounds`` in-place rounds on the supplier -> part graph, whose links all lead upwards:
+    first the suppliers' new ranks, then the parts', which read them. Dangling pages feed every
+    later page at once: with m dangling pages before a page, the new shares that it gets are
+    g^(m-1) * sum(y g^-m) over them, where y is a dangling page's share without that feedback
+    and g = 1 + d / (M - 1)."""
+    parts = _pagerank_ctes(0, d, "sequential")
+    tele, g = f"((1 - {d}) / (nn.n - 1))", f"(1 + {d} / (nn.n - 2))"
+    for k in range(1, rounds + 1):
+        parts.append(
+            f"o{k} AS MATERIALIZED (SELECT page, deg, rank, coalesce(sum(give) OVER (ORDER BY page DESC ROWS BETWEEN UNBOUNDED PRECEDING "
+            f"AND 1 PRECEDING), 0) AS later, coalesce(sum(CASE WHEN deg IS NULL THEN 1 ELSE 0 END) OVER (ORDER BY page ROWS BETWEEN "
+            f"UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS m FROM (SELECT p.*, CASE WHEN p.deg IS NULL THEN p.rank / (CASE WHEN p.page < nn.n - 1 "
+            f"THEN nn.n - 2 ELSE nn.n - 1 END) ELSE 0 END AS give FROM r{k - 1} p CROSS JOIN nn))")
+        new = (f"SELECT page, deg, {tele} + {d} * (ext + CASE WHEN page < nn.n - 1 THEN later + pow({g}, m - 1) * coalesce(sum("
+               f"CASE WHEN deg IS NULL THEN ({tele} + {d} * (ext + later)) / (nn.n - 2) * pow({g}, -m) ELSE 0 END) OVER (ORDER BY page "
+               f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) ELSE 0 END) AS rank FROM ")
+        parts.append(f"a{k} AS MATERIALIZED ({new}(SELECT *, 0 AS ext FROM o{k} WHERE page < {_S}) CROSS JOIN nn)")
+        parts.append(f"x{k} AS MATERIALIZED (SELECT l.dst AS page, sum(a.rank / a.deg) AS ext FROM links l JOIN a{k} a ON a.page = l.src "
+                     f"GROUP BY l.dst)")
+        parts.append(f"r{k} AS MATERIALIZED ({new}(SELECT o.*, coalesce(x.ext, 0) AS ext FROM o{k} o LEFT JOIN x{k} x USING (page)) "
+                     f"CROSS JOIN nn)")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT page, round(rank, 10) AS rank FROM r{rounds}"
+
+
 def pagerank_converge_sql(delta: float = C.PR_DELTA, max_rounds: int = C.PR_MAX_ROUNDS, d: float = C.DAMPING) -> str:
     """MPI rules: the first round whose largest rank change is at most ``delta``."""
     parts = _pagerank_ctes(max_rounds, d)
@@ -225,6 +250,7 @@ def oracle_sql() -> dict[str, str]:
         "top_ranks": pagerank_sql(rules="sequential").replace(
             f"\nSELECT page, round(rank, 10) AS rank FROM r{C.PR_ROUNDS}",
             f"\nSELECT page, round(rank, 10) AS rank FROM r{C.PR_ROUNDS} ORDER BY rank DESC, page LIMIT 10"),
+        "pagerank_in_place": pagerank_in_place_sql(),
         "pagerank_converge": pagerank_converge_sql(),
         "out_degree_bag_set": (
             "SELECT CAST(l_suppkey AS BIGINT) AS page, count(*) AS bag, count(DISTINCT l_partkey) AS set "

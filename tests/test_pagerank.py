@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from conftest import fixture, needs_reference
 
@@ -176,3 +177,40 @@ def test_loop_leaves_the_callers_session_alone(spark):
         assert abs(got.ranks.agg({"rank": "sum"}).first()[0] - 1) < 1e-3
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def _in_place_loop(adj, n, rounds, d=0.85):
+    """The sequential program's rounds in plain Python."""
+    m = n - 1
+    lists = {k: (v if v else [i for i in range(m) if i != k]) for k, v in adj.items()}
+    rank = {k: float(np.float32(1.0) / np.float32(n)) for k in adj}
+    for _ in range(rounds):
+        for p in range(n):
+            rank[p] = (1 - d) / m + d * sum(rank[k] / len(v) for k, v in lists.items() if p in v)
+    return rank
+
+
+@pytest.mark.parametrize("block", [None, 3])
+def test_in_place_rounds_equal_the_loop(spark, block):
+    """Eleven pages: cycles, a self link, repeated targets, links up and down, two dangling
+    pages (one of them the last), for blocks of any length and after each of three rounds."""
+    from corvid.plans.inplace import pagerank_in_place
+
+    adj = {0: [], 1: [2], 2: [1, 1, 5], 3: [0, 1], 4: [1, 3, 5], 5: [1, 4, 5], 6: [1, 4], 7: [1, 4], 8: [9, 4], 9: [4, 10], 10: []}
+    df = spark.createDataFrame(list(adj.items()), "src int, dst array<int>")
+    g = prepare_adjacency(df, "sequential")
+    for rounds in (1, 3) if block in (None, 3) else (2,):
+        want = _in_place_loop(adj, 11, rounds)
+        got = {r.page: r.rank for r in pagerank_in_place(g, rounds, block_pages=block).collect()}
+        assert got.keys() == want.keys() and max(abs(got[p] - want[p]) for p in want) < 1e-15
+    jacobi = {r.page: r.rank for r in pagerank(g, delta=-1, max_rounds=rounds).ranks.collect()}
+    assert max(abs(jacobi[p] - want[p]) for p in want) > 1e-4
+
+
+def test_block_length_follows_inner_links(spark):
+    from corvid.plans import inplace
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(6000)] + [(0, i) for i in range(2, 6000)], "src bigint, dst bigint")
+    assert inplace.block_length(edges) == inplace.BLOCK_PAGES
+    assert inplace.block_length(edges, block_edges=9000) == 4096
+    assert inplace.block_length(edges, block_edges=10) == inplace.LEAST_PAGES and inplace.block_length(edges, 8) == 8
