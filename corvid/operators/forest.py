@@ -7,9 +7,15 @@ A node's examples are rows of an ``assignment(tree, node, example, label)`` tabl
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvid.operators.keyed import numbered
+
 ABSENT = -1e30  # score of a feature present on every example of the node (or absent)
 
 
@@ -57,16 +63,34 @@ def small_side(df: DataFrame, max_bytes: int = 64 << 20, rows: int | None = None
     return F.broadcast(df) if r["n"] * width <= max_bytes else df
 
 
-def draw(fs: DataFrame, subset: int, seed: int, nodes: int | None = None) -> DataFrame:
-    """The features each (tree, node) draws: ``subset`` draws with replacement take one of
-    F features with probability 1 - (1 - 1/F)^subset; a hash of (seed, tree, node, feature)
-    decides, so a draw is repeatable anywhere."""
-    many = small_side(fs.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_F")), rows=nodes)
-    p = 1.0 - F.pow(1.0 - 1.0 / F.col("_F"), F.lit(float(subset)))
-    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("tree").cast("string"), F.col("node").cast("string"),
-                          F.col("feature").cast("string")))
+def present(fs: DataFrame, keys: Sequence[str] = ("tree", "node")) -> DataFrame:
+    """The features counted at each (tree, node), numbered from 0: ``rank``. The order is by
+    the first byte of the feature's MD5, then the feature, so that a node with very many
+    features is numbered in 256 parts (see :func:`keyed.numbered`)."""
+    part = F.substring(F.md5(F.col("feature").cast("string")), 1, 2)
+    return numbered(fs.withColumn("_part", part), list(keys), "_part", ["feature"], "rank").drop("_part")
+
+
+def draws(nodes: DataFrame, subset: int, seed: int) -> DataFrame:
+    """``(tree, node, rank)``: what ``subset`` draws with replacement among a node's ``F``
+    features take, each rank once. Draw i of a node is a hash of (seed, tree, node, i), so it
+    is repeatable anywhere; a node takes at most ``subset`` features."""
+    i = nodes.select("tree", "node", "F", F.explode(F.sequence(F.lit(0), F.lit(subset - 1))).alias("i"))
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("tree").cast("string"), F.col("node").cast("string"), F.col("i").cast("string")))
     u = F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
-    return fs.join(many, ["tree", "node"]).filter(u < p).drop("_F")
+    rank = F.least(F.floor(u * F.col("F")).cast("bigint"), F.col("F") - 1)
+    return i.select("tree", "node", rank.alias("rank")).distinct()
+
+
+def draw(fs: DataFrame, sizes: DataFrame, subset: int, seed: int, nodes: int | None = None) -> DataFrame:
+    """The features that each (tree, node) draws, of those counted in ``fs`` (read twice:
+    cache it). ``sizes`` is ``(tree, node, F)``; where ``fs`` has no tree, it is one node that
+    all trees draw from. ``nodes``: a bound on the nodes, if known; the drawn ranks are
+    broadcast if they are small, else joined."""
+    taken = draws(sizes, subset, seed)
+    taken = small_side(taken, rows=None if nodes is None else nodes * subset)
+    keys = [c for c in ("tree", "node") if c in fs.columns]
+    return present(fs, keys).join(taken, [*keys, "rank"]).select("tree", "node", "feature", "m", "c")
 
 
 def node_stats(assignment: DataFrame) -> DataFrame:
@@ -112,18 +136,38 @@ def best_feature(scored: DataFrame) -> DataFrame:
     return b.select("tree", "node", F.col("b.feature").alias("feature"), F.col("b.score").alias("score"))
 
 
-def route(assignment: DataFrame, wpostings: DataFrame, splits: DataFrame) -> DataFrame:
-    """Send each example of a split node to ``2*node`` if it has the node's feature,
-    else to ``2*node + 1``; examples of other nodes are dropped. ``splits`` is
-    ``(tree, node, feature)`` for inner nodes only, at most trees x 2^depth rows, so it
-    is broadcast when checked small; the feature test is one join on (example, feature)."""
-    at = assignment.join(small_side(splits), ["tree", "node"])
-    # Only postings of the level's split features matter: cut them down before the join.
-    used = small_side(splits.select("feature").distinct())
-    flag = wpostings.join(used, "feature", "left_semi").select("example", "feature", F.lit(True).alias("_has"))
-    moved = at.join(flag, ["example", "feature"], "left")
-    return moved.select("tree", F.when(F.col("_has"), F.col("node") * 2).otherwise(F.col("node") * 2 + 1).alias("node"),
-                        "example", "label")
+@dataclass
+class Walk:
+    """Trees as constants of an expression: of each tree (outer list) and node (inner list,
+    node 0 is the root) the tested feature (None at a leaf) and the children's indexes."""
+
+    feature: list[list]
+    left: list[list[int]]
+    right: list[list[int]]
+
+    def used(self) -> list:
+        return sorted({f for tree in self.feature for f in tree if f is not None})
+
+    def at(self, names: Column, depth: int, ftype: str) -> Column:
+        """The node that a row with the features ``names`` reaches in each tree, an array
+        over trees: left if it has the node's feature, else right. No join and no exchange:
+        the whole walk is one expression over the row."""
+        feature, left, right = (constant(v, f"array<array<{t}>>") for v, t in
+                                ((self.feature, ftype), (self.left, "int"), (self.right, "int")))
+        mine = F.array_intersect(names, constant(self.used(), f"array<{ftype}>"))
+        if not depth:
+            return F.transform(constant(list(range(len(self.feature))), "array<int>"), lambda t: F.lit(0))
+
+        trees, levels = (constant(list(range(n)), "array<int>") for n in (len(self.feature), depth))
+        walk = lambda m: F.transform(trees, lambda t: F.aggregate(levels, F.lit(0), lambda node, _: F.when(
+            F.get(F.get(feature, t), node).isNull(), node).when(F.array_contains(m, F.get(F.get(feature, t), node)), F.get(F.get(left, t), node))
+            .otherwise(F.get(F.get(right, t), node))))
+        return F.get(F.transform(F.array(mine), walk), 0)
+
+
+def constant(value, kind: str) -> Column:
+    """A nested list as one constant (parsed once, when the plan is optimised)."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
 
 def vote(predictions: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.functions.combiners import Combiner, combine_columns
@@ -105,6 +105,23 @@ def apply_function(table: DataFrame, fn: Callable[[DataFrame], DataFrame] | dict
     return fn(table)
 
 
+def numbered(df: DataFrame, keys: Sequence[str], part: str, order: Sequence[str], number: str = "number",
+             size: str | None = None) -> DataFrame:
+    """Rows numbered from 0 within their keys, by (``part``, ``order``); ``size`` adds the
+    number of rows of the keys. Rows are numbered within (keys, part), so a hot key is spread
+    over its parts; where each part starts comes from a table of one row per (keys, part)."""
+    by = [*keys, part]
+    spread = Window.partitionBy(*by).orderBy(*order)
+    rows = df.withColumn(number, (F.row_number().over(spread) - 1).cast("bigint"))
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    start = counts.select(*by, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+                          *([F.sum("_n").over(whole).alias(size)] if size else []))
+    return rows.join(start, by).withColumn(number, F.col(number) + F.col("_start")).drop("_start").select(
+        *df.columns, number, *([size] if size else []))
+
+
 # ------------------------------------------------------------------------ collectives
 
 

@@ -1,20 +1,22 @@
 """Random forest on sparse binary features.
 
 The reference trains each tree recursively on one machine with all data copied to every
-task. Here all trees grow together, level by level, from one ``assignment(tree, node,
-example, label)`` table: per level one aggregate over postings joined to the assignment
-scores every (tree, node, feature), a min-aggregate picks the split, and one join routes
-the examples to ``2*node`` / ``2*node + 1`` (heap numbering, root 1).
+task. Here all trees grow together, level by level. The postings are shuffled once, into one
+row per example with its features. The trees grown so far are constants of an expression that
+walks a row to its node in every tree, so routing (J6) needs no join and no exchange: a level
+counts its nodes' examples, then (tree, node, feature) over the rows at nodes that may split,
+with map-side partial counts, and picks the best split. Only the level's nodes reach the
+driver, at most trees x 2^depth of them, the size of the model itself.
 
 Semantics kept from the reference: no bootstrap (every tree sees every row); a node is a
 leaf at ``max_depth``, when pure, or when its best (lowest) score is ``<= 0`` — so a
 feature on every example of the node (score -1e30) or a perfect split (score 0) ends the
 branch in ``mode="reference"``; ``mode="gini"`` ignores -1e30 candidates and splits on 0.
-Each tree draws ``subset`` features per node with replacement from the features present
-at the node, before any is scored; a feature is kept when a hash of (seed, tree, node,
-feature) falls under the probability of being drawn at least once, ``1 - (1 - 1/F)^subset``.
-With ``subset=None`` every feature is drawn, so all trees are one tree, which is grown once
-and labelled with every tree id. Ties between equal scores go to the lowest feature id.
+Each node draws ``subset`` of the features present at it, with replacement, before any is
+scored: the features are numbered, and a hash of (seed, tree, node, draw) gives the number
+that a draw takes. With ``subset=None`` every feature is drawn, so all trees are one tree,
+which is grown once and labelled with every tree id. Ties between equal scores go to the
+lowest feature id. Nodes are numbered as in a heap (root 1, children 2n and 2n + 1).
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.operators import forest as fo
-from corvid.session import cut_lineage, persist
+from corvid.session import persist
+
 
 @dataclass
 class ForestModel:
@@ -35,71 +38,95 @@ class ForestModel:
     identical: bool         # every tree is the same tree
 
 
-def _grow(labels: DataFrame, wpost: DataFrame, first_tree: int, last_tree: int, ftype: str,
-          max_depth: int, subset: int | None, seed: int, mode: str, impurity: str) -> DataFrame:
-    """Grow trees ``first_tree..last_tree`` level by level; returns their node rows."""
-    assignment = persist(labels.select(F.explode(F.sequence(F.lit(first_tree), F.lit(last_tree))).alias("tree"),
-                                       F.lit(1).cast("bigint").alias("node"),
-                                       F.col("example").cast("bigint"), F.col("label").cast("int")))
-    levels: list[DataFrame] = []
-    kept: list[DataFrame] = []
+class _Tree:
+    """A growing tree: node 0 is the root, ``heap`` holds the nodes' heap numbers."""
+
+    def __init__(self):
+        self.heap, self.depth, self.feature, self.left, self.right, self.prediction = [1], [0], [None], [-1], [-1], [None]
+        self.open = [0]   # nodes of the current level that may still split
+
+    def child(self, parent: int, side: int) -> int:
+        for values, v in ((self.heap, 2 * self.heap[parent] + side), (self.depth, self.depth[parent] + 1), (self.feature, None),
+                          (self.left, -1), (self.right, -1), (self.prediction, None)):
+            values.append(v)
+        return len(self.heap) - 1
+
+
+def example_rows(labels: DataFrame, postings: DataFrame, duplicates: str) -> DataFrame:
+    """``(example, label, feats array<struct<feature, k>>)``: the one exchange of postings. An
+    example is one row, as a document is; one without features has an empty list."""
+    if duplicates == "set":
+        lists = postings.groupBy("example").agg(F.collect_set("feature").alias("_f")).select(
+            "example", F.transform("_f", lambda f: F.struct(f.alias("feature"), F.lit(1).cast("bigint").alias("k"))).alias("feats"))
+    else:  # partitioned by example first, both aggregates need no further exchange
+        counts = postings.repartition("example").groupBy("example", "feature").agg(F.count(F.lit(1)).alias("k"))
+        lists = counts.groupBy("example").agg(F.collect_list(F.struct("feature", "k")).alias("feats"))
+    kind = dict(lists.dtypes)["feats"]
+    return labels.select("example", F.col("label").cast("int").alias("label")).join(lists, "example", "left").withColumn(
+        "feats", F.coalesce("feats", F.array().cast(kind)))
+
+
+def _grow(rows: DataFrame, first_tree: int, last_tree: int, ftype: str, max_depth: int, subset: int | None, seed: int,
+          mode: str, impurity: str) -> list[_Tree]:
+    trees = [_Tree() for _ in range(first_tree, last_tree + 1)]
+    names = F.transform("feats", lambda f: f["feature"])
     for depth in range(max_depth + 1):
-        ns = persist(fo.node_stats(assignment))
-        kept.append(ns)
-        base = ns.select("tree", "node", "n", "pos", fo.majority(F.col("pos"), F.col("n")).alias("maj"),
-                         fo.is_pure(F.col("pos"), F.col("n")).alias("pure"))
-        if depth < max_depth:
-            nodes_at_most = (last_tree - first_tree + 1) << depth
-            if depth == 0:  # every tree has the same root: count it once
-                root = assignment.filter(F.col("tree") == first_tree)
-                fs = fo.feature_stats(wpost, root).select(
-                    F.explode(F.sequence(F.lit(first_tree), F.lit(last_tree))).alias("tree"), "node", "feature", "m", "c")
-            else:
-                fs = fo.feature_stats(wpost, assignment)
-            fs = persist(fs)
-            kept.append(fs)
-            drawn = fs if subset is None else fo.draw(fs, subset, seed, nodes_at_most)
-            scored = fo.score_stats(drawn, ns, impurity, nodes_at_most)
-            if mode == "gini":
-                scored = scored.filter(F.col("score") > F.lit(fo.ABSENT))
-            best = fo.best_feature(scored)
-            dec = base.join(best, ["tree", "node"], "left")
-            split_ok = (F.col("score") > 0) if mode == "reference" else F.col("score").isNotNull()
-            leaf = F.col("pure") | F.col("feature").isNull() | ~split_ok
-        else:
-            dec = base.withColumn("feature", F.lit(None).cast(ftype))
-            leaf = F.lit(True)
-        # Each level reads the assignment several times (totals, scores, routing), so the
-        # routed assignment is checkpointed every level; what hangs off it stays shallow.
-        decided = persist(dec.select("tree", "node", F.lit(depth).alias("depth"),
-                                     F.when(~leaf, F.col("feature")).alias("feature"),
-                                     leaf.alias("is_leaf"),
-                                     F.when(leaf, F.col("maj")).cast("int").alias("prediction")))
-        levels.append(decided)
-        splits = decided.filter(~F.col("is_leaf")).select("tree", "node", "feature")
-        if depth == max_depth or splits.isEmpty():
+        if not any(t.open for t in trees):
+            break
+        same = depth == 0  # every tree has the same root: count it once
+        live = trees[:1] if same else trees
+        at = fo.Walk(*([getattr(t, c) for t in live] for c in ("feature", "left", "right"))).at(names, depth, ftype)
+        # Of each tree, the heap number of the row's node if that is open, else null.
+        heap = fo.constant([[t.heap[i] if i in set(t.open) else None for i in range(len(t.heap))] for t in live], "array<array<bigint>>")
+        placed = rows.select("label", "feats", F.posexplode(at).alias("tree", "_i")).select(
+            "label", "feats", F.col("tree").cast("int").alias("tree"), F.get(F.get(heap, F.col("tree")), F.col("_i")).alias("node"))
+        found = {(r["tree"], r["node"]): (r["n"], r["pos"]) for r in fo.node_stats(
+            placed.filter(F.col("node").isNotNull()).select("tree", "node", "label")).collect()}
+        split: list[dict[int, tuple[int, int]]] = [{} for _ in trees]
+        for k, t in enumerate(trees):
+            for i in t.open:
+                n, pos = found.get((0 if same else k, t.heap[i]), (0, 0))
+                t.prediction[i] = 0 if n - pos > pos else 1   # an empty node predicts 1
+                if depth < max_depth and 0 < pos < n:
+                    split[k][i] = (n, pos)
+        totals = [(k, t.heap[i], *split[k][i]) for k, t in enumerate(trees) for i in split[k]]
+        for t in trees:
+            t.open = []
+        if not totals:
             break
-        nxt = fo.route(assignment, wpost, splits)
-        nxt = persist(cut_lineage(nxt))
-        # A child that received no example is a leaf predicting 1 (empty data's majority).
-        children = splits.select("tree", F.explode(F.array(F.col("node") * 2, F.col("node") * 2 + 1)).alias("node"))
-        empty = children.join(nxt.select("tree", "node").distinct(), ["tree", "node"], "left_anti").select(
-            "tree", "node", F.lit(depth + 1).alias("depth"), F.lit(None).cast(ftype).alias("feature"),
-            F.lit(True).alias("is_leaf"), F.lit(1).alias("prediction"))
-        levels.append(persist(empty))
-        assignment.unpersist()
-        assignment = nxt
-
-    nodes = levels[0]
-    for lv in levels[1:]:
-        nodes = nodes.unionByName(lv)
-    nodes = cut_lineage(nodes.select(F.col("tree").cast("int"), F.col("node").cast("bigint"),
-                                     F.col("depth").cast("int"), "feature", "is_leaf",
-                                     F.col("prediction").cast("int")))
-    for lv in levels + kept:
-        lv.unpersist()
-    assignment.unpersist()
-    return nodes
+        spark = rows.sparkSession
+        ns = spark.createDataFrame([(k + first_tree, *v) for k, *v in totals], "tree int, node bigint, n bigint, pos bigint")
+        impure = fo.constant([[t.heap[i] if i in split[k] else None for i in range(len(t.heap))] for k, t in enumerate(live)],
+                             "array<array<bigint>>")
+        counted = rows.select("label", "feats", F.posexplode(at).alias("tree", "_i")).select(
+            "label", "feats", F.col("tree").cast("int").alias("tree"), F.get(F.get(impure, F.col("tree")), F.col("_i")).alias("node")).filter(
+            F.col("node").isNotNull()).select("label", "tree", "node", F.explode("feats").alias("_f"))
+        fs = counted.groupBy("tree", "node", F.col("_f.feature").alias("feature")).agg(
+            F.sum("_f.k").alias("m"), F.sum(F.col("_f.k") * F.col("label")).alias("c"))
+        fs = persist(fs)
+        if subset is None:
+            drawn = fs
+        else:
+            held = fs.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("F")).collect()  # one row per node
+            ids = range(first_tree, last_tree + 1)
+            sizes = [(t, r["node"], r["F"]) for r in held for t in (ids if same else [r["tree"] + first_tree])]
+            sizes = spark.createDataFrame(sizes, "tree int, node bigint, F bigint")
+            mine = fs.drop("tree") if same else fs.withColumn("tree", (F.col("tree") + F.lit(first_tree)).cast("int"))
+            drawn = fo.draw(mine, sizes, subset, seed, len(totals))
+        scored = fo.score_stats(drawn, ns, impurity, len(totals))
+        if mode == "gini":
+            scored = scored.filter(F.col("score") > F.lit(fo.ABSENT))
+        best = {(r["tree"] - first_tree, r["node"]): r for r in fo.best_feature(scored).collect()}  # at most one row per node
+        fs.unpersist()
+        for k, t in enumerate(trees):
+            for i in split[k]:
+                r = best.get((k, t.heap[i]))
+                if r is None or (mode == "reference" and r["score"] <= 0):
+                    continue
+                t.feature[i], t.prediction[i] = r["feature"], None
+                t.left[i], t.right[i] = t.child(i, 0), t.child(i, 1)
+                t.open += [t.left[i], t.right[i]]
+    return trees
 
 
 def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, max_depth: int = 8,
@@ -110,60 +137,65 @@ def train_forest(labels: DataFrame, postings: DataFrame, num_trees: int = 50, ma
     Per level the work is (trees in flight) x postings, so ``tree_batch`` grows the trees
     in ranges of that many (I10's tree ranges); the hashed draws depend only on tree ids,
     so the forest is the same however it is batched."""
-    wpost = persist(fo.weighted_postings(postings, duplicates))
+    rows = persist(example_rows(labels, postings, duplicates))
     identical = subset is None
-    ftype = dict(wpost.dtypes)["feature"]
+    ftype = dict(postings.dtypes)["feature"]
     if identical:
         ranges = [(0, 0)]
     else:
         step = max(1, tree_batch or num_trees)
         ranges = [(t, min(t + step, num_trees) - 1) for t in range(0, num_trees, step)]
-    parts = [_grow(labels, wpost, t0, t1, ftype, max_depth, subset, seed, mode, impurity)
-             for t0, t1 in ranges]
-    nodes = parts[0]
-    for part in parts[1:]:
-        nodes = nodes.unionByName(part)
-    if identical and num_trees > 1:
-        nodes = nodes.select(F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))).alias("tree"),
-                             "node", "depth", "feature", "is_leaf", "prediction")
-    nodes = cut_lineage(nodes)
-    wpost.unpersist()
+    out = []
+    for t0, t1 in ranges:
+        for k, t in enumerate(_grow(rows, t0, t1, ftype, max_depth, subset, seed, mode, impurity)):
+            ids = range(num_trees) if identical else [t0 + k]
+            out += [(tree, *v) for tree in ids for v in zip(t.heap, t.depth, t.feature, [f is None for f in t.feature], t.prediction)]
+    rows.unpersist()
+    nodes = labels.sparkSession.createDataFrame(
+        out, f"tree int, node bigint, depth int, feature {ftype}, is_leaf boolean, prediction int")
     return ForestModel(nodes, num_trees, max_depth, identical)
 
 
+def _walk_of(model: ForestModel) -> tuple[fo.Walk, list[list[int | None]]]:
+    """The node table (trees x 2^depth rows at most) as constants, and the predictions."""
+    nodes = model.nodes.filter(F.col("tree") == 0) if model.identical else model.nodes
+    trees: dict[int, list] = {}
+    for r in nodes.select("tree", "node", "feature", "is_leaf", "prediction").collect():
+        trees.setdefault(r["tree"], []).append(r)
+    walk, predictions = fo.Walk([], [], []), []
+    for _, rows in sorted(trees.items()):
+        rows.sort(key=lambda r: r["node"])  # the root first
+        place = {r["node"]: i for i, r in enumerate(rows)}
+        inner = [not r["is_leaf"] for r in rows]
+        walk.feature.append([r["feature"] if x else None for r, x in zip(rows, inner)])
+        walk.left.append([place[2 * r["node"]] if x else -1 for r, x in zip(rows, inner)])
+        walk.right.append([place[2 * r["node"] + 1] if x else -1 for r, x in zip(rows, inner)])
+        predictions.append([r["prediction"] for r in rows])
+    return walk, predictions
+
+
 def predict(model: ForestModel, examples: DataFrame, postings: DataFrame, per_tree: bool = False) -> DataFrame:
     """Walk every tree (has feature? left : right) and vote.
 
-    ``examples`` has an ``example`` column; ``postings(feature, example)``. The node table
-    holds trees x 2^depth rows at most and is broadcast when that is checked small; each
-    level is one join. When all
-    trees are the same tree only one is walked (its vote is unanimous)."""
-    nodes = model.nodes
-    if model.identical:
-        nodes = nodes.filter(F.col("tree") == 0)
-    nodes = fo.small_side(nodes.select("tree", "node", "feature", "is_leaf", "prediction"))
-    # Only the features the trees test matter (at most one per inner node, a bounded
-    # list): the postings are cut down to them before anything is shuffled.
-    used = fo.small_side(model.nodes.filter(~F.col("is_leaf")).select("feature").distinct())
-    flag = (postings.join(used, "feature", "left_semi").select("example", "feature").distinct()
-            .withColumn("_has", F.lit(True)))
-    cur = examples.select(F.col("example").cast("bigint"))
-    last_tree = 0 if model.identical else model.num_trees - 1
-    cur = cur.select(F.explode(F.sequence(F.lit(0), F.lit(last_tree))).alias("tree"), "example",
-                     F.lit(1).cast("bigint").alias("node"))
-    # One row per (tree, example) throughout: a row on a leaf stays there, a row on an
-    # inner node moves down; each level reads the previous one once, so the plan stays linear.
-    for _ in range(model.max_depth):
-        at = cur.join(nodes, ["tree", "node"]).join(flag, ["example", "feature"], "left")
-        step = F.when(F.col("is_leaf"), F.col("node")).when(F.col("_has"), F.col("node") * 2) \
-            .otherwise(F.col("node") * 2 + 1)
-        cur = at.select("tree", "example", step.alias("node"))
-    preds = cur.join(nodes, ["tree", "node"]).select("tree", "example", "prediction")
+    ``examples`` has an ``example`` column; ``postings(feature, example)``. The postings are
+    cut down to the features that the trees test before their one exchange, to a set per
+    example (at most one feature per inner node); all trees are walked and the votes counted
+    within the row. When all trees are the same tree only one is walked (its vote is
+    unanimous)."""
+    walk, predictions = _walk_of(model)
+    ftype = dict(postings.dtypes)["feature"]
+    tested = postings.sparkSession.createDataFrame([(f,) for f in walk.used()], f"feature {ftype}")
+    sets = postings.join(fo.small_side(tested), "feature", "left_semi").groupBy("example").agg(F.collect_set("feature").alias("_f"))
+    rows = examples.select(F.col("example").cast("bigint")).join(sets.withColumn("example", F.col("example").cast("bigint")), "example", "left")
+    names = F.coalesce("_f", F.array().cast(f"array<{ftype}>"))
+    says = fo.constant(predictions, "array<array<int>>")
+    votes = F.transform(walk.at(names, model.max_depth, ftype), lambda node, tree: F.get(F.get(says, tree), node))
     if per_tree:
-        return preds
-    if model.identical:
-        return preds.select("example", "prediction")
-    return fo.vote(preds)
+        got = rows.select("example", F.posexplode(votes).alias("tree", "prediction"))
+        return got.select("tree", "example", "prediction")
+    pos = F.aggregate("_v", F.lit(0), lambda s, v: s + v)
+    return rows.select("example", votes.alias("_v")).select(
+        "example", fo.majority(pos, F.size("_v")).alias("prediction"))
 
 
 def save_forest(model: ForestModel, path: str) -> None:

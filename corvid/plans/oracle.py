@@ -128,14 +128,19 @@ def forest_sql(depth: int = C.FOREST_DEPTH, trees: int = C.FOREST_TREES, subset:
         parts.append(
             f"fs{k} AS MATERIALIZED (SELECT a.tree, a.node, p.feature, count(*) AS m, sum(a.label) AS c "
             f"FROM post p JOIN a{k} a USING (example) GROUP BY a.tree, a.node, p.feature)")
+        parts.append(
+            f"rk{k} AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree, node ORDER BY substr(md5(feature), 1, 2), feature) - 1 "
+            f"AS rank, count(*) OVER (PARTITION BY tree, node) AS many FROM fs{k})")
+        parts.append(
+            f"dr{k} AS MATERIALIZED (SELECT DISTINCT tree, node, least(CAST(floor(CAST('0x' || substr(md5(concat_ws('|', '{seed}', tree, node, "
+            f"i.range)), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE * many) AS BIGINT), many - 1) AS rank "
+            f"FROM (SELECT DISTINCT tree, node, many FROM rk{k}), range({subset}) i)")
         parts.append(
             f"sc{k} AS MATERIALIZED (SELECT f.tree, f.node, f.feature, CASE WHEN f.m = s.n THEN -1e30 ELSE "
             f"CAST(f.m AS DOUBLE) / s.n * ((f.c / CAST(f.m AS DOUBLE)) * (1.0 - f.c / CAST(f.m AS DOUBLE))) + "
             f"(CAST(s.n AS DOUBLE) - f.m) / s.n * ((CAST(s.pos - f.c AS DOUBLE) / (CAST(s.n AS DOUBLE) - f.m)) * "
             f"(1.0 - CAST(s.pos - f.c AS DOUBLE) / (CAST(s.n AS DOUBLE) - f.m))) END AS score "
-            f"FROM fs{k} f JOIN ns{k} s USING (tree, node) JOIN (SELECT tree, node, count(*) AS many FROM fs{k} GROUP BY tree, node) "
-            f"q USING (tree, node) WHERE CAST('0x' || substr(md5(concat_ws('|', '{seed}', f.tree, f.node, f.feature)), 1, 13) AS BIGINT) "
-            f"/ 4503599627370496.0::DOUBLE < 1.0::DOUBLE - pow(1.0::DOUBLE - 1.0::DOUBLE / q.many, {float(subset)}::DOUBLE))")
+            f"FROM rk{k} f JOIN ns{k} s USING (tree, node) JOIN dr{k} USING (tree, node, rank))")
         parts.append(
             f"b{k} AS MATERIALIZED (SELECT tree, node, feature, score FROM (SELECT *, row_number() OVER "
             f"(PARTITION BY tree, node ORDER BY score, feature) AS rn FROM sc{k}) WHERE rn = 1)")

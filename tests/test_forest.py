@@ -58,3 +58,83 @@ def test_random_draws_are_repeatable_and_batch_free(spark):
     tl, tp = read_sparse_labeled(spark, fixture("zoo.test"))
     acc = fo.accuracy(predict(a, tl, tp), tl).first()
     assert acc.total == 35
+
+
+def _small_data(spark, n=60, features=14, seed=3):
+    import random
+    rng = random.Random(seed)
+    lab = [(i, int(rng.random() < 0.5)) for i in range(n)]
+    post = [(f"f{f}", i) for i, y in lab for f in range(features) if rng.random() < (0.3 + 0.3 * y * (f % 3 == 0))]
+    post += [("f1", 0), ("f1", 0), ("f2", 5)]
+    return (spark.createDataFrame(lab, "example long, label int"), spark.createDataFrame(post, "feature string, example long"), dict(lab), post)
+
+
+def _plain_forest(labels, post, trees, depth, subset, seed):
+    """Trees by recursion, set postings, the same hashed draws; (tree, node) -> (feature, prediction)."""
+    import hashlib
+    has = {}
+    for f, e in post:
+        has.setdefault(f, set()).add(e)
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    out, widest = {}, 0
+
+    def grow(t, node, ex, d):
+        nonlocal widest
+        n, pos = len(ex), sum(labels[e] for e in ex)
+        leaf = (None, 0 if n - pos > pos else 1)
+        if d == depth or pos in (0, n):
+            out[t, node] = leaf
+            return
+        present = sorted((f for f in has if has[f] & ex), key=lambda f: (md5(f)[:2], f))
+        taken = {min(int(int(md5(f"{seed}|{t}|{node}|{i}")[:13], 16) / 2.0 ** 52 * len(present)), len(present) - 1) for i in range(subset)}
+        widest = max(widest, len(taken))
+
+        def score(f):
+            m, c = len(has[f] & ex), sum(labels[e] for e in has[f] & ex)
+            g = lambda p: p * (1 - p)
+            return fo.ABSENT if m == n else m / n * g(c / m) + (n - m) / n * g((pos - c) / (n - m))
+
+        s, f = min((score(present[k]), present[k]) for k in taken)
+        if s <= 0:
+            out[t, node] = leaf
+            return
+        out[t, node] = (f, None)
+        grow(t, 2 * node, ex & has[f], d + 1)
+        grow(t, 2 * node + 1, ex - has[f], d + 1)
+
+    for t in range(trees):
+        grow(t, 1, set(labels), 0)
+    return out, widest
+
+
+def test_forest_equals_plain_recursion_and_draws_at_most_subset(spark):
+    lab, post, labels, rows = _small_data(spark)
+    want, widest = _plain_forest(labels, rows, 4, 3, 5, 9)
+    model = train_forest(lab, post, num_trees=4, max_depth=3, subset=5, seed=9, duplicates="set")
+    assert {(r.tree, r.node): (r.feature, r.prediction) for r in model.nodes.collect()} == want and widest <= 5
+    fs = fo.feature_stats(fo.weighted_postings(post, "set"), lab.select(F.lit(0).alias("tree"), F.lit(1).cast("bigint").alias("node"), "example", "label"))
+    sizes = spark.createDataFrame([(t, 1, fs.count()) for t in range(50)], "tree int, node bigint, F bigint")
+    drawn = fo.draw(fs.drop("tree"), sizes, 5, 1).groupBy("tree").agg(F.count("feature").alias("n"), F.countDistinct("feature").alias("d")).collect()
+    assert len(drawn) == 50 and all(r.n == r.d <= 5 for r in drawn) and len({r.n for r in drawn}) > 1
+    everything = fo.present(fs).select("rank").collect()
+    assert sorted(r["rank"] for r in everything) == list(range(fs.count()))
+
+
+def test_prediction_walks_every_tree(spark):
+    lab, post, labels, rows = _small_data(spark)
+    model = train_forest(lab, post, num_trees=3, max_depth=4, subset=4, seed=2, duplicates="set")
+    nodes = {(r.tree, r.node): r for r in model.nodes.collect()}
+    has = {(f, e) for f, e in rows}
+    extra = [*labels, 900]   # an example without any feature
+    ex = spark.createDataFrame([(e,) for e in extra], "example long")
+
+    def walk(t, e):
+        n = 1
+        while not nodes[t, n].is_leaf:
+            n = 2 * n if (nodes[t, n].feature, e) in has else 2 * n + 1
+        return nodes[t, n].prediction
+
+    each = {(r.tree, r.example): r.prediction for r in predict(model, ex, post, per_tree=True).collect()}
+    assert each == {(t, e): walk(t, e) for t in range(3) for e in extra}
+    voted = {r.example: r.prediction for r in predict(model, ex, post).collect()}
+    assert voted == {e: int(sum(each[t, e] for t in range(3)) * 2 >= 3) for e in extra}
