@@ -15,14 +15,16 @@ import uuid
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corvid.functions.combiners import array_plus, concat_lists, grouped_udf, plus, together
+from corvid.functions.combiners import array_plus, concat_lists, grouped_udf, plus, sum_wide_arrays, together
 from corvid.operators import forest as fo
-from corvid.operators import graph, keyed
+from corvid.operators import graph, keyed, stored, tasks
 from corvid.plans import collectives, kmeans, pagerank
-from corvid.plans.forest import predict, train_forest
+from corvid.plans.forest import number_features, predict, train_forest, tree_bytes, trees_from_bytes
 from corvid.plans.inplace import pagerank_in_place
 from corvid.sources.generate import generate_links
 from corvid.sources.text import labelled_postings, parse_adjacency, parse_vector
@@ -44,6 +46,8 @@ FOREST_SEED = 1
 TOKEN_SPLIT = r"[ \t\n\r]+"
 EMBED_DIM = 64
 K_CENTRES = 10
+MANY_CENTRES = 300
+STORED_BUCKETS = 16
 KM_ROUNDS = 3
 PR_DELTA = 1e-9         # convergence threshold of the converging PageRank query
 PR_MAX_ROUNDS = 60
@@ -314,9 +318,9 @@ def q_partition_ids(spark, sf_dir):
 # ------------------------------------------------------------------------- k-means
 
 
-def _kmeans_inputs(spark, sf_dir):
+def _kmeans_inputs(spark, sf_dir, k=K_CENTRES):
     e = _embeddings(spark, sf_dir)
-    starts = e.orderBy("vec_id").limit(K_CENTRES).select("vec_id", F.col("vec").alias("center"))
+    starts = e.orderBy("vec_id").limit(k).select("vec_id", F.col("vec").alias("center"))
     rows = starts.collect()
     centres = [(i, [float(x) for x in r["center"]]) for i, r in enumerate(sorted(rows, key=lambda r: r["vec_id"]))]
     return e, centres
@@ -572,6 +576,58 @@ def q_stream_route(spark, sf_dir):
     return r.select("event_id", "type", "source_id", "target_id", "recipient", "value")
 
 
+def q_kmeans_assign_many(spark, sf_dir):
+    """J5 by groups of centres: every vector against the ``MANY_CENTRES`` lowest vec_ids."""
+    e, centres = _kmeans_inputs(spark, sf_dir, MANY_CENTRES)
+    a = kmeans.assign_nearest(e.select("vec_id", F.col("vec").alias("features")), centres, prune=True)
+    return a.select("vec_id", "cid", F.round("dist", 6).alias("dist"))
+
+
+def q_forest_files(spark, sf_dir):
+    """The forest written as one binary row per tree and read back."""
+    model, _ = _forest_model(spark, sf_dir)
+    ids = number_features(model)
+    back = trees_from_bytes(tree_bytes(model, ids), ids)
+    return back.nodes.select("tree", "node", "depth", "feature", "is_leaf", "prediction")
+
+
+def q_push_stored(spark, sf_dir):
+    """J2 into a stored table: the customers, pushed into by two halves of the events."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/global-{uuid.uuid4().hex}"
+    stored.create(_cust_global(spark, sf_dir), path, "key", plus("val"), STORED_BUCKETS)
+    local = _user_events(spark, sf_dir)
+    for half in (0, 1):
+        stored.push(spark, path, local.filter(F.pmod("key", F.lit(2)) == half), "key", plus("val"), STORED_BUCKETS)
+    return stored.read(spark, path, "key bigint, val bigint")
+
+
+class _Activity(tasks.Task):
+    """Per id: what it has, and an activity score from weights loaded at set-up."""
+
+    def setup(self) -> None:
+        self.weights = {"orders": 10, "events": 1}
+
+    def run(self, left: pa.Table, right: pa.Table) -> pa.Table:
+        both = left.join(right, "key", join_type="full outer")
+        n = [pc.fill_null(both.column(c), 0) for c in ("orders", "events")]
+        kind = pc.case_when(pc.make_struct(pc.equal(n[1], 0), pc.equal(n[0], 0)), "orders", "events", "both")
+        score = pc.add(pc.multiply(n[0], self.weights["orders"]), pc.multiply(n[1], self.weights["events"]))
+        return pa.table({"key": both.column("key"), "kind": kind, "score": score})
+
+
+def q_task_activity(spark, sf_dir):
+    """Tasks over two co-located tables: orders by customer, events by user."""
+    orders = _cust_orders(spark, sf_dir).withColumnRenamed("val", "orders")
+    events = _user_events(spark, sf_dir).withColumnRenamed("val", "events")
+    return tasks.run_tasks(orders, events, "key", _Activity(), "key bigint, kind string, score bigint", plus("orders"), plus("events"))
+
+
+def q_array_sum_wide(spark, sf_dir):
+    """G8 by blocks of coordinates."""
+    t = _embeddings(spark, sf_dir).select("label", "vec")
+    return _long_form(sum_wide_arrays(t, "label", "vec", EMBED_DIM, block=24), "label", "vec")
+
+
 def _queue_stream(spark, path, schema, **options):
     """Arrivals and requests of a stream over the events table. Every event is also a request
     by the workers ``event_id``, ``event_id + 1`` and ``event_id + 2`` (modulo their number):
@@ -665,6 +721,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tree_size": q_tree_size,
     "read_sparse_labeled": q_read_sparse_labeled,
     "stream_route": q_stream_route,
+    "kmeans_assign_many": q_kmeans_assign_many,
+    "forest_files": q_forest_files,
+    "push_stored": q_push_stored,
+    "task_activity": q_task_activity,
+    "array_sum_wide": q_array_sum_wide,
     "event_queue": q_event_queue,
     "event_queue_empty": q_event_queue_empty,
 }

@@ -21,9 +21,12 @@ lowest feature id. Nodes are numbered as in a heap (root 1, children 2n and 2n +
 
 from __future__ import annotations
 
+import struct
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvid.operators import forest as fo
@@ -198,6 +201,71 @@ def predict(model: ForestModel, examples: DataFrame, postings: DataFrame, per_tr
         "example", fo.majority(pos, F.size("_v")).alias("prediction"))
 
 
+def number_features(model: ForestModel) -> DataFrame:
+    """``(feature, id int)`` of the features that the model tests (at most one per inner
+    node), for tree files, which hold 32-bit ids. Ids follow the features' order."""
+    used = model.nodes.filter(F.col("feature").isNotNull()).select("feature").distinct()
+    return used.select("feature", (F.row_number().over(Window.orderBy("feature")) - 1).cast("int").alias("id"))
+
+
+def tree_bytes(model: ForestModel, ids: DataFrame | None = None) -> DataFrame:
+    """``(tree, data binary)``, one row per tree in the reference's file format: the depth
+    limit, then the nodes in preorder, each a byte that says whether it is a leaf, followed by
+    the leaf's prediction or by the feature and both subtrees (big-endian 32-bit numbers).
+    ``ids`` is ``(feature, id)`` for features that are no 32-bit numbers themselves."""
+    nodes = model.nodes
+    if ids is None:
+        feature = F.when(F.col("feature").isNull() | F.col("feature").between(-(1 << 31), (1 << 31) - 1), F.col("feature")).otherwise(
+            F.raise_error(F.concat(F.lit("tree file: feature beyond 32 bits: "), F.col("feature").cast("string"))).cast("bigint"))
+    else:
+        nodes = nodes.join(fo.small_side(ids), "feature", "left")
+        feature = F.col("id")
+    depth = model.max_depth
+
+    def write(table: pa.Table) -> pa.Table:
+        rows = {n: (leaf, f, p) for n, leaf, f, p in zip(*(table.column(c).to_pylist() for c in ("node", "is_leaf", "feature", "prediction")))}
+        out, todo = [struct.pack(">i", depth)], [1]
+        while todo:
+            n = todo.pop()
+            leaf, f, p = rows[n]
+            out.append(struct.pack(">?i", leaf, p if leaf else f))
+            if not leaf:
+                todo += [2 * n + 1, 2 * n]
+        return pa.table({"tree": table.column("tree")[:1], "data": pa.array([b"".join(out)], pa.binary())})
+
+    return nodes.select("tree", "node", "is_leaf", feature.cast("int").alias("feature"), "prediction").groupBy("tree").applyInArrow(
+        write, "tree int, data binary")
+
+
+def trees_from_bytes(trees: DataFrame, ids: DataFrame | None = None) -> ForestModel:
+    """A model from ``(tree int, data binary)`` rows. Each file is read with a stack of the
+    nodes still to come; a file that ends early or goes on after the last leaf fails."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for tree, data in zip(b.column("tree").to_pylist(), b.column("data").to_pylist()):
+                got, todo, at = [], [(1, 0)], 4
+                while todo:
+                    node, depth = todo.pop()
+                    leaf, value = struct.unpack_from(">?i", data, at)
+                    at += 5
+                    got.append((tree, node, depth, None if leaf else value, leaf, value if leaf else None))
+                    if not leaf:
+                        todo += [(2 * node + 1, depth + 1), (2 * node, depth + 1)]
+                if at != len(data):
+                    raise ValueError(f"tree file: {len(data) - at} bytes after the last node of tree {tree}")
+                kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), kinds)],
+                                                 ["tree", "node", "depth", "feature", "is_leaf", "prediction"])
+
+    nodes = trees.select("tree", "data").mapInArrow(
+        read, "tree int, node bigint, depth int, feature int, is_leaf boolean, prediction int")
+    if ids is not None:
+        names = fo.small_side(ids.select(F.col("id").alias("feature"), F.col("feature").alias("_name")))
+        nodes = nodes.join(names, "feature", "left").withColumn("feature", F.col("_name"))
+    facts = trees.agg(F.count(F.lit(1)).alias("n"), F.max(F.conv(F.hex(F.substring("data", 1, 4)), 16, 10).cast("int")).alias("d")).first()
+    return ForestModel(nodes.select("tree", "node", "depth", "feature", "is_leaf", "prediction"), facts["n"], facts["d"] or 0, False)
+
+
 def save_forest(model: ForestModel, path: str) -> None:
     """Node rows as Parquet (instead of the reference's preorder binary), and beside
     them the model's facts."""

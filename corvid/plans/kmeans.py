@@ -29,11 +29,6 @@ class KMeansResult:
     errors: list[float]     # per round: sum of point-to-nearest-centre distances
 
 
-def euclidean(a: Column, b: Column) -> Column:
-    """Euclidean distance with the square root (the reference's "distance")."""
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v))
-
-
 def _vectors(column: pa.Array, dim: int) -> np.ndarray:
     """A batch's vectors as rows; a vector of another width fails, as in the reference."""
     lists = column.cast(pa.list_(pa.float64()))
@@ -64,18 +59,92 @@ def _arrays(centres: list[tuple[int, list[float]]]) -> tuple[np.ndarray, np.ndar
             np.array([v for _, v in centres], np.float64).reshape(len(centres), -1))
 
 
-def assign_nearest(points: DataFrame, centres: list[tuple[int, list[float]]], features: str = "features") -> DataFrame:
+class Groups:
+    """Centres in about sqrt(k) groups around pivots, for an exact search that skips groups:
+    a group whose pivot is at distance d and whose farthest member is r from the pivot has no
+    centre nearer than d - r (triangle inequality)."""
+
+    def __init__(self, centres: np.ndarray, rounds: int = 3):
+        k = len(centres)
+        self.centres = centres
+        self.pivots = centres[np.linspace(0, k - 1, max(1, round(k ** 0.5))).astype(int)].copy()
+        for _ in range(rounds):
+            own, _ = _nearest(centres, self.pivots)
+            for g in np.unique(own):
+                self.pivots[g] = centres[own == g].mean(0)
+        own, dist = _nearest(centres, self.pivots)
+        self.members = [np.flatnonzero(own == g) for g in range(len(self.pivots))]  # ascending: the first of equals is kept
+        self.radius = np.array([dist[m].max(initial=0.0) for m in self.members])
+        self.used = np.array([len(m) > 0 for m in self.members])
+
+    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """As :func:`_nearest`, and the number of distances computed."""
+        to = np.sqrt(((x[:, None, :] - self.pivots[None, :, :]) ** 2).sum(2))
+        count = to.size
+        # Rounding can't hide a centre: the bound is lowered by far more than it can be off.
+        bound = np.where(self.used, to - self.radius - 1e-9 * (to + self.radius), np.inf)
+        order = np.argsort(bound, axis=1)
+        at, dist = np.full(len(x), len(self.centres)), np.full(len(x), np.inf)
+        todo = np.arange(len(x))
+        for place in range(len(self.pivots)):
+            g = order[todo, place]
+            todo = todo[bound[todo, g] <= dist[todo]]
+            if not len(todo):
+                break
+            g = order[todo, place]
+            for group in np.unique(g):
+                rows, m = todo[g == group], self.members[group]
+                d = np.sqrt(((x[rows, None, :] - self.centres[m][None, :, :]) ** 2).sum(2))
+                count += d.size
+                best = d.argmin(1)
+                near, who = d[np.arange(len(rows)), best], m[best]
+                better = (near < dist[rows]) | ((near == dist[rows]) & (who < at[rows]))
+                at[rows[better]], dist[rows[better]] = who[better], near[better]
+        return at, dist, count
+
+
+PRUNE_FROM = 64   # centres from which the grouped search pays
+GROUP_ROWS = 4096
+
+
+def _nearest_of_many(x: np.ndarray, groups: Groups) -> tuple[np.ndarray, np.ndarray, int]:
+    """:func:`_nearest` by groups; vectors that aren't finite are compared with all centres."""
+    at, dist, count = np.full(len(x), -1), np.full(len(x), np.nan), 0
+    finite = np.isfinite(x).all(1)
+    rows = np.flatnonzero(finite)
+    for i in range(0, len(rows), GROUP_ROWS):
+        r = rows[i: i + GROUP_ROWS]
+        at[r], dist[r], n = groups.nearest(x[r])
+        count += n
+    odd = np.flatnonzero(~finite)
+    at[odd], dist[odd] = _nearest(x[odd], groups.centres)
+    return at, dist, count + len(odd) * len(groups.centres)
+
+
+def _search(centres: np.ndarray, prune: bool | None):
+    """The search that a task uses: by groups from ``PRUNE_FROM`` centres on (or as asked)."""
+    if (len(centres) >= PRUNE_FROM if prune is None else prune) and len(centres) and np.isfinite(centres).all():
+        groups = Groups(centres)
+        return lambda x: _nearest_of_many(x, groups)[:2]
+    return lambda x: _nearest(x, centres)
+
+
+def assign_nearest(points: DataFrame, centres: list[tuple[int, list[float]]], features: str = "features",
+                   prune: bool | None = None) -> DataFrame:
     """Nearest centre per point -> ``(..., cid int, dist double)``. Strict ``<`` in the
     reference keeps the first of equal distances; here equal distances go to the lowest
-    cid. With no centre at all, cid is -1 and the distance null."""
+    cid. With no centre at all, cid is -1 and the distance null. ``prune``: skip groups of
+    centres by the triangle inequality (by default from ``PRUNE_FROM`` centres on); the
+    result is the same."""
     if not centres:
         return points.select("*", F.lit(-1).alias("cid"), F.lit(None).cast("double").alias("dist"))
     sent = points.sparkSession.sparkContext.broadcast(_arrays(centres))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cids, c = sent.value
+        search = _search(c, prune)
         for b in batches:
-            at, dist = _nearest(_vectors(b.column(features), c.shape[1]), c)
+            at, dist = search(_vectors(b.column(features), c.shape[1]))
             cid = np.where(at < 0, -1, cids[at]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cid), pa.array(dist)], [*b.schema.names, "cid", "dist"])
 
@@ -107,10 +176,11 @@ def partial_sums(points: DataFrame, centres: list[tuple[int, list[float]]], feat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cids, c = sent.value
+        search = _search(c, None)
         n, err, sums = np.zeros(len(c), np.int64), np.zeros(len(c)), np.zeros(c.shape)
         for b in batches:
             x = _vectors(b.column(0), c.shape[1])
-            at, dist = _nearest(x, c)
+            at, dist = search(x)
             ok = at >= 0
             n += np.bincount(at[ok], minlength=len(c))
             err += np.bincount(at[ok], weights=dist[ok], minlength=len(c))

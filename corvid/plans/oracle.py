@@ -343,6 +343,21 @@ def oracle_sql() -> dict[str, str]:
             "SELECT s.cid, CAST(i - 1 AS INTEGER) AS pos, round(sum(v) / n.n, 6) AS value, n.n FROM "
             "(SELECT cid, unnest(vec) AS v, unnest(generate_series(1, len(vec))) AS i FROM a) s JOIN n USING (cid) "
             "GROUP BY s.cid, i, n.n"),
+        "kmeans_assign_many": _KM.replace(f"LIMIT {C.K_CENTRES}", f"LIMIT {C.MANY_CENTRES}") + (
+            "SELECT vec_id, cid, round(dist, 6) AS dist FROM a"),
+        "forest_files": fsql + (
+            "\nSELECT tree, node, CAST(floor(log2(node)) AS INTEGER) AS depth, feature, is_leaf, prediction FROM nodes"),
+        "push_stored": (
+            "WITH " + _USERS + " SELECT key, CAST(sum(val) AS BIGINT) AS val FROM (SELECT c_custkey AS key, "
+            "CAST(floor(c_acctbal) AS BIGINT) AS val FROM customer UNION ALL SELECT key, val FROM u) GROUP BY key"),
+        "task_activity": (
+            "WITH " + _USERS + ", o AS (SELECT o_custkey AS key, count(*) AS n FROM orders GROUP BY 1) "
+            "SELECT coalesce(o.key, l.key) AS key, CASE WHEN l.key IS NULL THEN 'orders' WHEN o.key IS NULL THEN 'events' ELSE 'both' END "
+            "AS kind, CAST(10 * coalesce(o.n, 0) + coalesce(l.val, 0) AS BIGINT) AS score FROM o FULL OUTER JOIN l ON o.key = l.key"),
+        "array_sum_wide": (
+            "SELECT label, CAST(i - 1 AS INTEGER) AS pos, round(sum(v), 6) AS total FROM (SELECT label, "
+            "unnest(CAST(embedding AS DOUBLE[])) AS v, unnest(generate_series(1, len(embedding))) AS i "
+            "FROM embeddings) GROUP BY label, i"),
         "kmeans_rounds": kmeans_rounds_sql(),
         "tree_size": fsql + "\nSELECT mean_size FROM tsize",
         "forest_nodes": fsql + "\nSELECT tree, node, feature, is_leaf, prediction FROM nodes",
