@@ -160,6 +160,22 @@ def concat_lists(*tables: DataFrame) -> DataFrame:
     return out
 
 
+LIST_MOST = 4096   # elements of one row's list
+
+
+def lists_by_key(df: DataFrame, key: str, val: str, part: Column, most: int = LIST_MOST) -> DataFrame:
+    """G12 with the lists kept: ``(key, chunk, vals)``, a key's elements in ascending order, in
+    rows of at most ``most``, so that a hot key's list is many rows of bounded size. ``part``
+    is a coarse, order-preserving part of ``val`` (such as ``val div 100000``): a key's rows
+    are numbered within it, so no task sorts a whole key."""
+    from corvid.operators.keyed import numbered  # the operators use this module
+
+    rows = numbered(df.select(key, val, part.alias("_part")), [key], "_part", [val], "_at")
+    chunk = F.floor(F.col("_at") / F.lit(most)).cast("int").alias("chunk")
+    lists = rows.groupBy(key, chunk).agg(F.array_sort(F.collect_list(F.struct("_at", val))).alias("_l"))
+    return lists.select(key, "chunk", F.transform("_l", lambda x: x[val]).alias("vals"))
+
+
 def int_div(num: str, den: str) -> Column:
     """G11 finish step: integer division truncating toward zero (Java ``/``), which is
     Spark's ``div``."""

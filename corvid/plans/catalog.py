@@ -14,20 +14,22 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corvid.functions.combiners import array_plus, concat_lists, grouped_udf, plus, sum_wide_arrays, together
+from corvid.functions.combiners import array_plus, concat_lists, grouped_udf, lists_by_key, plus, sum_wide_arrays, together
 from corvid.operators import forest as fo
 from corvid.operators import graph, keyed, stored, tasks
 from corvid.plans import collectives, kmeans, pagerank
 from corvid.plans.forest import number_features, predict, train_forest, tree_bytes, trees_from_bytes
 from corvid.plans.inplace import pagerank_in_place
 from corvid.sources.generate import generate_links
-from corvid.sources.text import labelled_postings, parse_adjacency, parse_vector
+from corvid.sources.sinks import write_centroids, write_ranks
+from corvid.sources.text import labelled_postings, parse_adjacency, parse_vector, read_centroids, read_many, with_line_index
 from corvid.session import checkpoint_dir
 from corvid.streaming import queue as event_queue
 from corvid.streaming.route import route
@@ -628,6 +630,101 @@ def q_array_sum_wide(spark, sf_dir):
     return _long_form(sum_wide_arrays(t, "label", "vec", EMBED_DIM, block=24), "label", "vec")
 
 
+WIDE = 4294967311   # times an id: beyond 32 bits
+
+
+def q_read_adjacency_last(spark, sf_dir):
+    """S1, last line wins, 64-bit ids: an order has a line of its parts per return flag."""
+    li = table(spark, sf_dir, "lineitem")
+    lists = li.groupBy("l_orderkey", "l_returnflag").agg(F.collect_list((F.col("l_partkey") * WIDE).cast("string")).alias("dst"))
+    lines = lists.select(F.concat_ws(" ", (F.col("l_orderkey") * WIDE).cast("string"), "dst").alias("value"),
+                         F.ascii("l_returnflag").alias("line_no"))
+    return graph.edges(parse_adjacency(lines, "last"))
+
+
+def q_read_sparse_labeled_wide(spark, sf_dir):
+    """S4 with 64-bit features and labels."""
+    o = table(spark, sf_dir, "orders")
+    token = F.concat(F.lit("-"), (F.col("o_custkey") * WIDE).cast("string"), F.lit(":"), F.dayofmonth("o_orderdate").cast("string"))
+    line = F.concat_ws(" ", (F.col("o_orderkey") * WIDE).cast("string"), token)
+    return labelled_postings(o.select(F.col("o_orderkey").alias("line_no"), line.alias("value")))
+
+
+def _new_folder(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_centroid_files(spark, sf_dir):
+    """One round's centroids written as lines and read back; ``cid`` is the line."""
+    e, centres = _kmeans_inputs(spark, sf_dir)
+    path = _new_folder(spark, "centroids")
+    write_centroids(kmeans.new_centres(kmeans.assign_nearest(e.select(F.col("vec").alias("features")), centres), EMBED_DIM), path)
+    back = read_centroids(spark, path, EMBED_DIM)
+    return back.select("cid", F.posexplode("center").alias("pos", "value")).select(
+        "cid", F.col("pos").cast("int").alias("pos"), F.round("value", 6).alias("value"))
+
+
+def _in_shares(spark, sf_dir):
+    links, _, _ = _link_graph(spark, sf_dir)
+    return graph.in_degree(links).select(F.col("dst").alias("page"), (F.col("in_degree") / F.lit(8.0)).alias("rank"))
+
+
+def _rank_lines(lines):
+    parts = F.split("value", "\t")
+    return lines.select(parts[0].cast("bigint").alias("page"), parts[1].cast("double").alias("rank"),
+                        *[c for c in lines.columns if c != "value"])
+
+
+def q_rank_files(spark, sf_dir):
+    """Ranks written in page order and read back with their line numbers."""
+    path = _new_folder(spark, "ranks")
+    write_ranks(_in_shares(spark, sf_dir), path)
+    return _rank_lines(with_line_index(spark.read.text(path)))
+
+
+def q_read_many(spark, sf_dir):
+    """The lines of several inputs, odd and even pages written apart."""
+    shares, paths = _in_shares(spark, sf_dir), [_new_folder(spark, "ranks") for _ in range(2)]
+    for k, path in enumerate(paths):
+        write_ranks(shares.filter(F.col("page") % 2 == k), path)
+    return _rank_lines(read_many(spark, paths))
+
+
+def q_ordered_ranks(spark, sf_dir):
+    """Ranks by ascending page."""
+    return graph.ordered_ranks(_in_shares(spark, sf_dir))
+
+
+def q_table_ids(spark, sf_dir):
+    """The ids that a table holds, and whether it and a table without rows are empty."""
+    held = keyed.combine_by_id(_cust_orders(spark, sf_dir), "key", plus("val"))
+    flags = keyed.is_empty(held), keyed.is_empty(held.filter(F.col("val") < 0))
+    return keyed.ids(held, "key").select("key", F.lit(flags[0]).alias("is_empty"), F.lit(flags[1]).alias("none_left"))
+
+
+def q_broadcast_table(spark, sf_dir):
+    """A table of proven size, seen whole by every task."""
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    return table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").join(
+        keyed.checked_broadcast(nation, 64 << 20), "c_nationkey", "left")
+
+
+def q_lists_by_key(spark, sf_dir):
+    """G12, lists kept: a customer's orders and its users' events, in lists of at most seven."""
+    lists = lists_by_key(q_concat_lists(spark, sf_dir), "key", "val", F.expr("val div 1000"), 7)
+    return lists.select("key", "chunk", F.posexplode("vals").alias("pos", "val"))
+
+
+def _gcd(v: pd.Series) -> int:
+    return int(np.gcd.reduce(v.to_numpy()))
+
+
+def q_user_combiner_gcd(spark, sf_dir):
+    """A combiner that no built-in aggregate has, the greatest common divisor."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("key"), (F.col("l_quantity").cast("bigint") * 6).alias("val"))
+    return keyed.combine_by_id(li, "key", grouped_udf(_gcd, "val", "bigint"))
+
+
 def _queue_stream(spark, path, schema, **options):
     """Arrivals and requests of a stream over the events table. Every event is also a request
     by the workers ``event_id``, ``event_id + 1`` and ``event_id + 2`` (modulo their number):
@@ -721,6 +818,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tree_size": q_tree_size,
     "read_sparse_labeled": q_read_sparse_labeled,
     "stream_route": q_stream_route,
+    "read_adjacency_last": q_read_adjacency_last,
+    "read_sparse_labeled_wide": q_read_sparse_labeled_wide,
+    "centroid_files": q_centroid_files,
+    "rank_files": q_rank_files,
+    "read_many": q_read_many,
+    "ordered_ranks": q_ordered_ranks,
+    "table_ids": q_table_ids,
+    "broadcast_table": q_broadcast_table,
+    "lists_by_key": q_lists_by_key,
+    "user_combiner_gcd": q_user_combiner_gcd,
     "kmeans_assign_many": q_kmeans_assign_many,
     "forest_files": q_forest_files,
     "push_stored": q_push_stored,

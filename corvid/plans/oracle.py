@@ -275,7 +275,9 @@ def oracle_sql() -> dict[str, str]:
             "WITH n AS (SELECT count(*) AS n FROM supplier) "
             "SELECT CAST(i.range AS INTEGER) AS src, CAST(j.range AS INTEGER) AS dst "
             "FROM n, range((SELECT n FROM n)) i, range((SELECT n FROM n)) j "
-            f"WHERE (-3 * i.range * i.range + {C.LINK_GROUP + 5} + i.range) % (j.range + 3) = 0"),
+            # 32-bit arithmetic that wraps, as the generator's
+            f"WHERE ((((-3 * i.range * i.range + {C.LINK_GROUP + 5} + i.range + 2147483648) % 4294967296) + 4294967296) % 4294967296 "
+            "- 2147483648) % (j.range + 3) = 0"),
         "word_average": (
             "SELECT word, total, count, total // count AS average FROM (SELECT event_type AS word, "
             "CAST(sum(CAST(floor(abs(value)) AS INTEGER)) AS BIGINT) AS total, CAST(count(*) AS BIGINT) AS count "
@@ -343,6 +345,30 @@ def oracle_sql() -> dict[str, str]:
             "SELECT s.cid, CAST(i - 1 AS INTEGER) AS pos, round(sum(v) / n.n, 6) AS value, n.n FROM "
             "(SELECT cid, unnest(vec) AS v, unnest(generate_series(1, len(vec))) AS i FROM a) s JOIN n USING (cid) "
             "GROUP BY s.cid, i, n.n"),
+        "read_adjacency_last": (
+            f"SELECT l_orderkey * {C.WIDE} AS src, l_partkey * {C.WIDE} AS dst FROM lineitem l WHERE l_returnflag = "
+            "(SELECT max(m.l_returnflag) FROM lineitem m WHERE m.l_orderkey = l.l_orderkey)"),
+        "read_sparse_labeled_wide": (
+            f"SELECT o_orderkey AS example, f AS feature, o_orderkey * {C.WIDE} AS label FROM orders, "
+            f"unnest([o_custkey * {C.WIDE}, CAST(day(o_orderdate) AS BIGINT)]) AS t(f)"),
+        "centroid_files": _KM + (
+            ", n AS (SELECT cid, count(*) AS n, row_number() OVER (ORDER BY cid) - 1 AS line FROM a GROUP BY cid) "
+            "SELECT CAST(n.line AS INTEGER) AS cid, CAST(i - 1 AS INTEGER) AS pos, round(sum(v) / n.n, 6) AS value FROM "
+            "(SELECT cid, unnest(vec) AS v, unnest(generate_series(1, len(vec))) AS i FROM a) s JOIN n USING (cid) "
+            "GROUP BY n.line, i, n.n"),
+        "rank_files": (
+            f"SELECT dst AS page, count(*) / 8.0::DOUBLE AS rank, row_number() OVER (ORDER BY dst) - 1 AS line_no FROM ({_LINKS}) GROUP BY dst"),
+        "read_many": f"SELECT dst AS page, count(*) / 8.0::DOUBLE AS rank FROM ({_LINKS}) GROUP BY dst",
+        "ordered_ranks": f"SELECT dst AS page, count(*) / 8.0::DOUBLE AS rank FROM ({_LINKS}) GROUP BY dst ORDER BY page",
+        "table_ids": "SELECT DISTINCT o_custkey AS key, false AS is_empty, true AS none_left FROM orders",
+        "broadcast_table": "SELECT c_custkey, c_nationkey, n_regionkey FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey",
+        "lists_by_key": (
+            "SELECT key, CAST(r // 7 AS INTEGER) AS chunk, CAST(r % 7 AS INTEGER) AS pos, val FROM (SELECT key, val, row_number() OVER "
+            "(PARTITION BY key ORDER BY val) - 1 AS r FROM (SELECT o_custkey AS key, o_orderkey AS val FROM orders "
+            "UNION ALL SELECT user_id, event_id FROM events))"),
+        "user_combiner_gcd": (
+            "SELECT l_partkey AS key, list_reduce(list(CAST(l_quantity AS BIGINT) * 6), lambda a, b: gcd(a, b)) AS val "
+            "FROM lineitem GROUP BY l_partkey"),
         "kmeans_assign_many": _KM.replace(f"LIMIT {C.K_CENTRES}", f"LIMIT {C.MANY_CENTRES}") + (
             "SELECT vec_id, cid, round(dist, 6) AS dist FROM a"),
         "forest_files": fsql + (
