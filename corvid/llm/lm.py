@@ -51,6 +51,8 @@ PAIR_SHARE = 0.3       # weight of the pair's own frequency in a token's probabi
 PAIR_ROWS = 1 << 20    # pairs that are not in the filter, in a row of the trained table
 IS_TEXT, IS_WORD, IS_PAIR = 0, 1, 2
 IS_OWN, IS_PREVIOUS = 3, 4   # a late token's word and previous word; both are looked up as IS_OWN
+SEGMENT_TEXT = 2 << 20   # bytes of text whose counts make a segment, about
+LEAST_SEGMENTS = 64
 PENDING = 2_000_000   # counts that a training task holds before it merges or sends them
 
 END, BEGIN = np.uint64(0xE17BA1156E53F5C1), np.uint64(0xB5297A4D3F84D5A9)
@@ -293,6 +295,16 @@ def train(docs: DataFrame, segments: int, filter_bytes: int = MAX_FILTER_BYTES)
                 "histogram array<bigint>, least bigint, word_least bigint, pairs binary")
 
 
+def segment_count(docs: DataFrame, filter_bytes: int = MAX_FILTER_BYTES) -> int:
+    """Filter segments for the texts to learn from: a power of two, about one per
+    ``SEGMENT_TEXT`` bytes, so that a segment's counts fit a task however large the corpus is,
+    and none smaller than 64 bytes. It depends on the texts only, not on partitions or
+    settings, so equal tables give equal filters and equal scores."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    most = max(LEAST_SEGMENTS, 1 << (max(filter_bytes // 64, 1).bit_length() - 1))
+    return min(most, max(LEAST_SEGMENTS, 1 << (-(-size // SEGMENT_TEXT) - 1).bit_length()))
+
+
 def rest_counts(trained: DataFrame, below: int) -> DataFrame:
     """``(look, h, c)``: the exact counts of words with less than ``below``, and the
     quantised ones of the pairs (IS_PAIR) and words (IS_OWN) that are not in the filter."""
@@ -409,7 +421,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
     held = is_held_out(F.col(id_col)) if train_rows is None else ~F.coalesce(train_rows, F.lit(False))
     src = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), held.alias("held_out"),
                       F.xxhash64(text).alias("row_hash"))
-    segments = 1 << min(16, max(6, (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()))
+    segments = segment_count(src.filter(~F.col("held_out")), filter_bytes)
     trained = cut_lineage(train(src.filter(~F.col("held_out")).select("text"), segments, filter_bytes))
     model, least = load_model(trained, segments, head)
     sent = spark.sparkContext.broadcast(model)

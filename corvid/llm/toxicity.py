@@ -87,14 +87,23 @@ def fit_ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label: str,
                   learn: Column | None, max_rows: int) -> DataFrame:
-    """``(order, label, places)`` of the bounded sample."""
+    """``(order, label, places)`` of the bounded sample: at most ``max_rows`` rows, whatever
+    the number of rows of an id."""
     lab = labels.select(F.col(label_id).alias("doc_id"), F.col(label).cast("int").alias("label")).filter(
         F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     lab = lab.filter(~is_held_out(F.col("doc_id")) if learn is None else learn).groupBy("doc_id").agg(
         F.max("label").alias("label"))
     sample = smallest_hashes(lab.withColumn("order", F.xxhash64(F.col("doc_id"), F.lit(SEED))), "order", max_rows, "doc_id")
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    met = text.join(F.broadcast(sample), "doc_id").select("order", "label", "text")  # max_rows rows at most
+    row = F.xxhash64("text").alias("row")
+    met = text.join(F.broadcast(sample), "doc_id")  # of max_rows ids at most
+    # Rows with one id and text train once; if an id has several texts, rows are cut, too.
+    keys = met.select("order", row).distinct()
+    met = met.groupBy("order", "label", row).agg(F.first("text").alias("text"))
+    if keys.count() > max_rows:
+        last = keys.orderBy("order", "row").limit(max_rows).agg(F.max(F.struct("order", "row")).alias("last")).first()["last"]
+        met = met.filter(F.struct("order", "row") <= F.struct(F.lit(last["order"]), F.lit(last["row"])))
+    met = met.select("order", "label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in slices(batches):

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 from llm_fixture import ascii_lower, corpus, frame, words
@@ -302,3 +303,63 @@ def test_license_scan_against_brute_force(spark):
     got = licenses.scan(frame(spark, rows)).collect()
     assert Counter((r["doc_id"], r["sentence_ids"]) for r in got) == Counter((i, brute(t)) for i, t, *_ in rows)
     assert licenses.scan(frame(spark, [])).count() == 0
+
+
+def test_lm_scores_do_not_depend_on_shuffle_partitions(spark):
+    """The filter's segments follow the texts alone."""
+    rows = [r for r in corpus(n=60) if r[0] not in (None, 1004)]
+    old, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("4", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out = lm.score(frame(spark, rows, 3 if n == "4" else 7), filter_bytes=1 << 14).collect()
+            got.append({r["doc_id"]: (r["n_known"], round(r["score"], 7), round(r["base_score"], 7)) for r in out})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+
+
+def test_lm_segments_grow_with_the_texts(spark):
+    small = spark.createDataFrame([("x" * 1000,)], "text string")
+    assert lm.segment_count(small) == lm.LEAST_SEGMENTS and lm.segment_count(small.limit(0)) == lm.LEAST_SEGMENTS
+    large = spark.range(400).select(F.repeat(F.lit("y"), 1 << 20).alias("text"))
+    assert lm.segment_count(large) == 256 and lm.segment_count(large, 1 << 13) == 128
+
+
+def test_toxicity_rows_are_bounded_and_fitted_as_a_plain_loop(spark):
+    """Rows of one id count against the bound; equal rows train once; the fit is a plain
+    per-coordinate loop."""
+    tx = toxicity
+    learn = [i for i in range(400) if zlib_mod(i) != 0]
+    rows = [(i, f"good text {i % 7} bad" if i % 3 else f"awful nasty {i % 5}", "en", "s") for i in learn]
+    hot = learn[3]
+    rows += [(hot, f"many rows {k % 50}", "en", "s") for k in range(600)]   # a third of the table, 50 texts
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in learn], "doc_id bigint, quality int, toxic int")
+    args = (frame(spark, rows), labels, "doc_id", "text", "doc_id", "toxic", None)
+    few = tx.training_rows(*args, 10).collect()
+    assert len(few) == 10 and len({(r["order"], tuple(r["places"])) for r in few}) == 10
+    every = tx.training_rows(*args, 20_000).collect()
+    assert len(every) == len(learn) + 50
+    every.sort(key=lambda r: (r["order"], len(r["places"])))
+    data, y = [np.array(r["places"], np.int64) for r in every], [r["label"] for r in every]
+    z, n = {}, {}
+
+    def weight(i):
+        zi, l1 = z.get(i, 0.0), 0.0 if i == 1 << tx.BITS else tx.L1
+        return 0.0 if abs(zi) <= l1 else -(zi - math.copysign(l1, zi)) / ((tx.BETA + math.sqrt(n[i])) / tx.ALPHA + tx.L2)
+
+    for _ in range(2):
+        for x, t in zip(data, y):
+            place = [*x.tolist(), 1 << tx.BITS]
+            w = {i: weight(i) for i in place}
+            g = (1 / (1 + math.exp(-max(-35.0, min(35.0, sum(w.values()))))) - t) * (tx.POSITIVE if t else 1.0)
+            for i in place:
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / tx.ALPHA
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    got = tx.fit_ftrl(data, np.array(y), 2)
+    assert max(abs(got[i] - weight(i)) for i in z) < 1e-9
+
+
+def zlib_mod(i):
+    return zlib.crc32(str(i).encode()) % 5
