@@ -51,9 +51,9 @@ PAIR_SHARE = 0.3       # weight of the pair's own frequency in a token's probabi
 PAIR_ROWS = 1 << 20    # pairs that are not in the filter, in a row of the trained table
 IS_TEXT, IS_WORD, IS_PAIR = 0, 1, 2
 IS_OWN, IS_PREVIOUS = 3, 4   # a late token's word and previous word; both are looked up as IS_OWN
-SEGMENT_TEXT = 2 << 20   # bytes of text whose counts make a segment, about
+SEGMENT_TEXT = 8 << 20   # bytes of text whose counts make a segment, about
 LEAST_SEGMENTS = 64
-PENDING = 2_000_000   # counts that a training task holds before it merges or sends them
+PENDING = 1_000_000   # counts that a training task holds before it merges or sends them
 
 END, BEGIN = np.uint64(0xE17BA1156E53F5C1), np.uint64(0xB5297A4D3F84D5A9)
 
