@@ -254,6 +254,7 @@ def train(docs: DataFrame, segments: int, filter_bytes: int = MAX_FILTER_BYTES)
             if held[order]:
                 merge(order)
                 yield send(order)
+        pa.default_memory_pool().release_unused()
 
     kinds = {"bits": pa.binary(), "words": pa.binary(), "n_tokens": pa.int64(), "n_types": pa.int64(), "n_texts": pa.int64(),
              "histogram": pa.list_(pa.int64()), "least": pa.int64(), "word_least": pa.int64(), "pairs": pa.binary()}
@@ -280,14 +281,16 @@ def train(docs: DataFrame, segments: int, filter_bytes: int = MAX_FILTER_BYTES)
                 [pa.array([now], pa.int32()), *(pa.array([values.get(c)], t) for c, t in kinds.items())], ["segment", *kinds])
 
         for b in batches:
-            for seg, size, raw in zip(*(b.column(c).to_pylist() for c in ("segment", "size", "counts"))):
+            for seg, size, cell in zip(b.column("segment").to_pylist(), b.column("size").to_pylist(), b.column("counts")):
                 if now is not None and seg != now:
                     yield from done()
                     held = {1: [], 2: []}
                 now = seg
-                held[size].append(unpack(raw))
+                held[size].append(unpack(cell.as_buffer()))  # a view: the batch may hold a whole partition
         if now is not None:
             yield from done()
+        held.clear()
+        pa.default_memory_pool().release_unused()
 
     counted = docs.mapInArrow(count, "segment int, size int, counts binary")
     return counted.repartition("segment").sortWithinPartitions("segment").mapInArrow(
@@ -451,6 +454,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
                  pa.concat_arrays([pa.nulls(sum(sizes[:3]), pa.int64()), pa.array(of_late)]),
                  pa.concat_arrays([pa.nulls(sum(sizes[:3]), pa.float64()), pa.array(read, from_pandas=True),
                                    pa.nulls(sum(sizes[4:]), pa.float64())])], names)
+        pa.default_memory_pool().release_unused()
 
     got = src.mapInArrow(run, f"doc_id {kind}, row_hash bigint, held_out boolean, kind int, h bigint, n bigint, "
                               "known bigint, base double, score double, late bigint, read double")
