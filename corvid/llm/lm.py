@@ -51,7 +51,7 @@ PAIR_SHARE = 0.3       # weight of the pair's own frequency in a token's probabi
 PAIR_ROWS = 1 << 20    # pairs that are not in the filter, in a row of the trained table
 IS_TEXT, IS_WORD, IS_PAIR = 0, 1, 2
 IS_OWN, IS_PREVIOUS = 3, 4   # a late token's word and previous word; both are looked up as IS_OWN
-SEGMENT_TEXT = 8 << 20   # bytes of text whose counts make a segment, about
+SEGMENT_ROWS = 2048      # texts whose counts make a segment, about
 LEAST_SEGMENTS = 64
 PENDING = 1_000_000   # counts that a training task holds before it merges or sends them
 
@@ -300,12 +300,12 @@ def train(docs: DataFrame, segments: int, filter_bytes: int = MAX_FILTER_BYTES)
 
 def segment_count(docs: DataFrame, filter_bytes: int = MAX_FILTER_BYTES) -> int:
     """Filter segments for the texts to learn from: a power of two, about one per
-    ``SEGMENT_TEXT`` bytes, so that a segment's counts fit a task however large the corpus is,
-    and none smaller than 64 bytes. It depends on the texts only, not on partitions or
-    settings, so equal tables give equal filters and equal scores."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ``SEGMENT_ROWS`` texts, so that a segment's counts fit a task as the corpus grows, and
+    none smaller than 64 bytes. It depends on the table only, not on partitions or settings,
+    so equal tables give equal filters and equal scores. Texts are counted, not measured: the
+    count reads no text, and a segment's share grows with the mean length of a text only."""
     most = max(LEAST_SEGMENTS, 1 << (max(filter_bytes // 64, 1).bit_length() - 1))
-    return min(most, max(LEAST_SEGMENTS, 1 << (-(-size // SEGMENT_TEXT) - 1).bit_length()))
+    return min(most, max(LEAST_SEGMENTS, 1 << (-(-docs.count() // SEGMENT_ROWS) - 1).bit_length()))
 
 
 def rest_counts(trained: DataFrame, below: int) -> DataFrame:

@@ -320,9 +320,9 @@ def test_lm_scores_do_not_depend_on_shuffle_partitions(spark):
 
 
 def test_lm_segments_grow_with_the_texts(spark):
-    small = spark.createDataFrame([("x" * 1000,)], "text string")
+    small = spark.range(10).select(F.lit("x").alias("text"))
     assert lm.segment_count(small) == lm.LEAST_SEGMENTS and lm.segment_count(small.limit(0)) == lm.LEAST_SEGMENTS
-    large = spark.range(400).select(F.repeat(F.lit("y"), lm.SEGMENT_TEXT // 2).alias("text"))
+    large = spark.range(200 * lm.SEGMENT_ROWS).select(F.lit("y").alias("text"))
     assert lm.segment_count(large) == 256 and lm.segment_count(large, 1 << 13) == 128
 
 
