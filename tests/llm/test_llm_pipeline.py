@@ -3,7 +3,7 @@ import sys
 from collections import Counter
 
 sys.path.insert(0, os.path.dirname(__file__))
-from llm_fixture import corpus, frame, words
+from llm_fixture import corpus, words
 from test_llm_dedup import brute_cut, brute_fp
 from test_llm_models import brute_stats
 
