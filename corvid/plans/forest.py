@@ -57,12 +57,18 @@ class _Tree:
 
 def example_rows(labels: DataFrame, postings: DataFrame, duplicates: str) -> DataFrame:
     """``(example, label, feats array<struct<feature, k>>)``: the one exchange of postings. An
-    example is one row, as a document is; one without features has an empty list."""
+    example is one row, as a document is; one without features has an empty list.
+
+    The exchange's width is set here: every level scans these rows and makes many more of them
+    (trees x features), so they must not be coalesced to the few tasks that their own bytes ask for."""
+    spark = labels.sparkSession
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    postings, labels = postings.repartition(width, "example"), labels.repartition(width, "example")
     if duplicates == "set":
         lists = postings.groupBy("example").agg(F.collect_set("feature").alias("_f")).select(
             "example", F.transform("_f", lambda f: F.struct(f.alias("feature"), F.lit(1).cast("bigint").alias("k"))).alias("feats"))
-    else:  # partitioned by example first, both aggregates need no further exchange
-        counts = postings.repartition("example").groupBy("example", "feature").agg(F.count(F.lit(1)).alias("k"))
+    else:  # partitioned by example, both aggregates need no further exchange
+        counts = postings.groupBy("example", "feature").agg(F.count(F.lit(1)).alias("k"))
         lists = counts.groupBy("example").agg(F.collect_list(F.struct("feature", "k")).alias("feats"))
     kind = dict(lists.dtypes)["feats"]
     return labels.select("example", F.col("label").cast("int").alias("label")).join(lists, "example", "left").withColumn(
