@@ -16,16 +16,17 @@ character of a mark becomes ``\\l`` or ``\\b``. Escaped text holds no mark, so t
 splits back into turns without counting.
 
 Turns of a conversation meet in one row, its formatted string, which is the feature (a
-conversation is one value); turns are formatted before they are moved. Null text or parts:
-empty content. Null role: the empty role. Turns with equal numbers: by role, then text;
-null turn numbers come last. A null conversation id is a conversation of its own. Unknown
+conversation is one value); their places in it are running sums of a window over the same
+exchange, so the work is linear in the turns. Null text or parts: empty content. Null role: the
+empty role. Turns with equal numbers: by role, then text as it was given (of parts: as they are
+written), then attachments; null turn numbers come last. A null conversation id is a conversation of its own. Unknown
 part types are kept as placeholders without tokens. An empty table gives an empty result.
 Extra columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BEGIN, END, OPEN, CLOSE = "<s>", "</s>", "[INST]", "[/INST]"
@@ -91,26 +92,26 @@ def format_chat(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     ``loss_spans`` are ``struct<start, length>`` in characters of ``formatted``: the text of
     every ``learn`` turn, still escaped. Content comes from ``parts`` (``array<PART>``) or
     from the plain ``text`` column."""
-    content, files = visit(F.col(parts) if parts else text_parts(F.col(text).cast("string")))
+    plain = F.coalesce(F.col(text).cast("string"), F.lit("")) if text and not parts else None
+    content, files = visit(F.col(parts)) if parts else visit(text_parts(plain))
     name = F.coalesce(F.col(role).cast("string"), F.lit(""))
     one = turns.select(F.col(conv_id).alias("conv_id"), F.col(turn).isNull().alias("_late"), F.col(turn).alias("_turn"),
-                       name.alias("_role"), content.alias("_content"), files.alias("_files"))
+                       name.alias("_role"), (content if parts else plain).alias("_text"), files.alias("_files"))
+    # A plain text travels and is ordered as it is, and is escaped on both sides of the exchange.
+    inner = F.col("_text") if parts else visit(text_parts(F.col("_text")))[0]
     head = F.concat(F.lit(OPEN + " "), escape_role(F.col("_role")), F.lit("\n"))
     tail = F.concat(F.lit(" " + CLOSE), F.when(F.col("_role") == learn, F.lit(END)).otherwise(""))
-    one = one.withColumn("_row", F.struct(
-        "_late", "_turn", "_role", "_content", F.length(head).cast("bigint").alias("before"),
-        F.length("_content").cast("bigint").alias("inside"), F.length(tail).cast("bigint").alias("after"),
-        F.concat(head, "_content", tail).alias("out"), "_files"))
-    g = one.groupBy("conv_id").agg(F.array_sort(F.collect_list("_row")).alias("rows"))
-    start = F.lit(len(BEGIN)).cast("bigint")
-    zero = F.struct(start.alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-    walked = F.aggregate("rows", zero, lambda acc, r: F.struct(
-        (acc["at"] + r["before"] + r["inside"] + r["after"]).alias("at"),
-        F.when(r["_role"] == learn, F.concat(acc["spans"], F.array(F.struct(
-            (acc["at"] + r["before"]).alias("start"), r["inside"].alias("length"))))).otherwise(acc["spans"]).alias("spans")))
+    one = one.withColumn("_before", F.length(head).cast("bigint")).withColumn("_inside", F.length(inner).cast("bigint")).withColumn(
+        "_whole", F.col("_before") + F.col("_inside") + F.length(tail))
+    order = Window.partitionBy("conv_id").orderBy("_late", "_turn", "_role", "_text", "_files")
+    begun = F.coalesce(F.sum("_whole").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + len(BEGIN)
+    placed = one.withColumn("_n", F.row_number().over(order)).withColumn("_at", begun)
+    row = F.struct("_n", F.concat(head, inner, tail).alias("out"), (F.col("_role") == learn).alias("learn"),
+                   F.struct((F.col("_at") + F.col("_before")).alias("start"), F.col("_inside").alias("length")).alias("span"), "_files")
+    g = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("rows"))
     return g.select("conv_id", F.size("rows").cast("bigint").alias("n_turns"),
                     F.concat(F.lit(BEGIN), F.array_join(F.transform("rows", lambda r: r["out"]), "")).alias("formatted"),
-                    walked["spans"].alias("loss_spans"),
+                    F.transform(F.filter("rows", lambda r: r["learn"]), lambda r: r["span"]).alias("loss_spans"),
                     F.flatten(F.transform("rows", lambda r: r["_files"])).alias("attachments"))
 
 
