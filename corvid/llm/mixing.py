@@ -14,10 +14,11 @@ epochs). The rest of its target is filled in the order of the documents' exponen
 document is taken if the budget reaches the middle of it, so a source ends within half a
 document of its target.
 
-No source is sorted whole: keys are cut into ``BUCKETS`` ranges of their distribution, the
-words per (source, range) give each range's start, and only the one range that holds the
-end of the budget is sorted, so a source with a third of all rows is no larger task than
-any other. The per-source table (a row per source) is broadcast when its counted rows
+No source is sorted whole: keys are cut into ``BUCKETS`` even ranges of their distribution in the
+table, which is known from the counted quality weights, so a range holds about 1 / ``BUCKETS`` of
+all documents whatever their weights are. The words per (source, range) give each range's start,
+and only the one range that holds the end of the budget is sorted, so a source with a third of all
+rows is no larger task than any other. The per-source table (a row per source) is broadcast when its counted rows
 are at most ``BROADCAST_SOURCES``, else joined.
 
 Null text: size 0, taken 0 words. Null source: a source of its own. Null id: hashed as an
@@ -55,6 +56,18 @@ def quality_weight(text: Column, size: Column) -> Column:
     return (F.when(size >= 50, 1.0).otherwise(0.5) * F.when(mean.between(3, 12), 1.0).otherwise(0.5))
 
 
+#: The values that ``quality_weight`` takes.
+QUALITIES = (1.0, 0.5, 0.25)
+
+
+def key_range(key: Column, shares: list[float], buckets: int) -> Column:
+    """The range of an exponential key: ``F(key) * buckets`` for the distribution function F of
+    a table in which ``shares[i]`` of the documents have the weight ``QUALITIES[i]``. It grows
+    with the key, so ranges keep the keys' order."""
+    below = sum((F.lit(p) * (1 - F.exp(-w * key)) for w, p in zip(QUALITIES, shares)), F.lit(0.0))
+    return F.least(F.floor(below * buckets), F.lit(buckets - 1)).cast("int")
+
+
 def uniform(id_col: Column, seed: str = SEED) -> Column:
     """A uniform number in (0, 1) from an id: 52 bits of its MD5."""
     h = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), F.lit(""))))
@@ -98,16 +111,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"),
                          F.col(text_col).cast("string").alias("_t"),
                          (F.lit(None).cast("bigint") if row is None else row).alias("row_key"))
-    key = -F.log(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("_t"), F.col("size"))
-    sized = cut_lineage(narrow.select("doc_id", "source", "size", "row_key", key.alias("key")))
+    weight = quality_weight(F.col("_t"), F.col("size"))
+    key = -F.log(uniform(F.col("doc_id"), seed)) / weight
+    sized = cut_lineage(narrow.select("doc_id", "source", "size", "row_key", key.alias("key"), weight.alias("_w")))
+    counted = sized.agg(*[F.avg((F.col("_w") == w).cast("double")).alias(f"p{i}") for i, w in enumerate(QUALITIES)]).first()
+    sized = sized.drop("_w")
     targets = cut_lineage(source_targets(sized, weights, max_epochs, budget))
     few = targets.count() <= BROADCAST_SOURCES
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     plan = targets.withColumn("epochs", F.least(epochs, F.lit(max_epochs)).cast("bigint")).withColumn(
         "rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    # Ranges of the keys' distribution: 1 - exp(-key) is uniform for weight 1.
-    bucket = F.floor((1 - F.exp(-F.col("key"))) * buckets).cast("int")
-    rows = sized.withColumn("bucket", bucket)
+    rows = sized.withColumn("bucket", key_range(F.col("key"), [p or 0.0 for p in counted], buckets))
     ranges = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranges = _joined(ranges.withColumn("until", F.sum("words").over(upto)), plan, few, "source")
