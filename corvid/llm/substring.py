@@ -276,6 +276,13 @@ def repeated_windows(cand: DataFrame) -> DataFrame:
     return cand.join(low, ["h1", "h2"]).filter(F.col("doc_id") > F.col("low")).select("doc_id", "row_hash", "pos")
 
 
+def cut_positions(gone: DataFrame) -> DataFrame:
+    """``(doc_id, row_hash, cuts)``: the places of a row's windows that go. Equal rows report a
+    window several times; a set holds it once, before the exchange too, so ``cuts`` is no longer
+    than its text however often the row is repeated."""
+    return gone.groupBy("doc_id", "row_hash").agg(F.collect_set("pos").alias("cuts"))
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
           filter_bytes: int = FILTER_BYTES, with_text: bool = False) -> DataFrame:
     """One row per input row: ``(doc_id, n_words, n_removed, kept_sha256)``; the kept words
@@ -287,8 +294,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     keys = key_documents(known, copied, window).unionByName(key_documents(firsts, None, window))
     shared = shared_key_filter(keys, filter_bytes)
     cand = candidate_windows(known, shared, copied, window).unionByName(candidate_windows(firsts, shared, None, window))
-    # Equal rows report a window several times; marking it twice is marking it once.
-    gone = repeated_windows(cand).groupBy("doc_id", "row_hash").agg(F.collect_list("pos").alias("cuts"))
+    gone = cut_positions(repeated_windows(cand))
     every = F.lit(None).cast("array<int>")
     cuts = gone.withColumn("copy", F.lit(False)).unionByName(others.withColumn("cuts", every).withColumn("copy", F.lit(True)))
     whole = src if not with_text else docs.select(
