@@ -162,6 +162,19 @@ def test_interior_symbols_are_the_same_wherever_a_window_stands():
             assert len(seen.pop()[0]) >= 3
 
 
+def test_repeated_rows_report_each_place_once(spark):
+    from pyspark.sql import functions as F
+
+    told = spark.range(400 * 31).select(F.lit(9).alias("doc_id"), F.lit(1).alias("row_hash"), (F.col("id") % 31).cast("int").alias("pos"))
+    row = substring.cut_positions(told).first()
+    assert sorted(row["cuts"]) == list(range(31))
+    # A third of the table is one row, whose passage an earlier document has.
+    text = " ".join(f"p{i}" for i in range(80))
+    rows = [(1, text + " end", "en", "s")] + [(9, "own words " + text, "en", "s")] * 30 + [(100 + i, f"q{i} " * 60, "en", "s") for i in range(60)]
+    got = {(r["doc_id"], r["n_words"], r["n_removed"]) for r in substring.dedup(frame(spark, rows)).collect()}
+    assert (9, 82, 80) in got and (1, 81, 0) in got and len(got) == 62
+
+
 def test_cut_documents_keeps_columns(spark):
     docs = frame(spark, corpus())
     out = substring.cut_documents(docs, size_col="n_chars")

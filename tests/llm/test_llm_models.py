@@ -278,12 +278,36 @@ def test_toxicity_bound_and_no_labels(spark):
     (" . ".join(licenses.SENTENCES[k] for k in ("bsd-grant", "bsd-source", "bsd-binary")), "BSD-2-Clause", ""),
     (" . ".join(licenses.SENTENCES[k] for k in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")), "BSD-3-Clause", ""),
     ("Released under the MIT License. Released under the MIT License.", "MIT", ""),
+    ("// SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0-or-later", ""),
+    (" ".join(licenses.SENTENCES[k] for k in ("isc-grant", "isc-warranty")), "ISC", ""),
+    (" ".join(licenses.SENTENCES[k] for k in ("0bsd-grant", "isc-warranty")), "0BSD", ""),
+    (" ".join(licenses.SENTENCES[k] for k in ("lgpl-free", "lgpl-v21", "gpl-warranty")), "LGPL-2.1-or-later", ""),
+    (" ".join(licenses.SENTENCES[k] for k in ("agpl-free", "gpl-v3")), "AGPL-3.0-or-later", ""),
 ])
 def test_license_rules(spark, text, names, left):
     got = licenses.scan(frame(spark, [(1, text, "en", "s")])).first()
     assert (got["licenses"], got["unmatched"]) == (names, left)
 
 
+def test_license_sentences_that_overlap_or_are_short():
+    def ids(text, **table):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return licenses.recognise(raw, np.array([0, len(raw)]), table)[0]
+
+    # The longer wins although it begins later; of equal lengths the earlier.
+    assert ids("x y z w q r s", a="x y z", b="y z w q r s") == [(1, "b")]
+    assert ids("x y z w q", a="x y z", b="z w q") == [(0, "a")]
+    # One and two words, at the very end of a text too.
+    assert ids("say mit licence", a="mit licence", b="say") == [(0, "b"), (1, "a")]
+    assert ids("", a="mit") == [] and ids("mit", a="") == []
+    two = np.frombuffer(b"mitlicence", np.uint8)
+    assert licenses.recognise(two, np.array([0, 3, 10]), {"a": "mit licence", "b": "licence"}) == [[], [(0, "b")]]
+    # Every name in the rules has its sentences, and each sentence is found as itself.
+    assert {i for _, seq in licenses.RULES for i in seq} <= set(licenses.SENTENCES)
+    for ident, sentence in licenses.SENTENCES.items():
+        assert [k for _, k in ids(f"so {sentence} .", **licenses.SENTENCES)] == [ident]
+
+
 def test_license_scan_against_brute_force(spark):
     rows = corpus()
     sent = list(licenses.SENTENCES.values())
@@ -292,13 +316,13 @@ def test_license_scan_against_brute_force(spark):
 
     def brute(t):
         w = licenses.normalised(ascii_lower(t or ""))
-        out, i = [], 0
-        while i < len(w):
-            hit = max(((len(s), k) for k, s in known.items() if w[i:i + len(s)] == s), default=None)
-            if hit:
-                out.append(hit[1])
-            i += hit[0] if hit else 1
-        return ",".join(out)
+        hits = sorted((-len(s), i, k) for k, s in known.items() for i in range(len(w)) if w[i:i + len(s)] == s)
+        free, out = set(range(len(w))), []
+        for n, i, k in hits:
+            if free >= set(range(i, i - n)):
+                free -= set(range(i, i - n))
+                out.append((i, k))
+        return ",".join(k for _, k in sorted(out))
 
     got = licenses.scan(frame(spark, rows)).collect()
     assert Counter((r["doc_id"], r["sentence_ids"]) for r in got) == Counter((i, brute(t)) for i, t, *_ in rows)

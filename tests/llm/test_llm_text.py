@@ -39,17 +39,27 @@ def test_chat_round_trip(spark):
     got = out.collect()
     assert len(got) == len(want)
     for r in got:
-        turns = sorted(want[r["conv_id"]], key=lambda x: (x[0], x[1] or 0, x[2], chat_escape(x[3])))
+        turns = sorted(want[r["conv_id"]], key=lambda x: (x[0], x[1] or 0, x[2], x[3]))
         assert [(b["role"], b["text"]) for b in r["back"]] == [x[2:] for x in turns]
         assert r["loss"] == "".join(x[3] for x in turns if x[2] == "assistant")
         assert r["n_turns"] == len(turns)
         assert len(r["loss_spans"]) == sum(x[2] == "assistant" for x in turns)
 
 
-def chat_escape(t):
-    import re
+def test_chat_orders_ties_by_the_text_itself_and_folds_long_conversations(spark):
+    from pyspark.sql import functions as F
 
-    return re.sub(r"\[(/?INST\])", r"\\b\1", re.sub(r"<(/?s>|\|)", r"\\l\1", t.replace("\\", "\\\\")))
+    # Escaped, "<s>" begins with a backslash and would come after "=".
+    tied = spark.createDataFrame([(1, 0, "user", t) for t in ("=", "<s>", "[INST]", "A", "\\")], "conv_id int, turn int, role string, text string")
+    got = chat.format_chat(tied.repartition(3)).select(chat.parse_chat(F.col("formatted")).alias("b")).first()["b"]
+    assert [t["text"] for t in got] == ["<s>", "=", "A", "[INST]", "\\"]
+    # Spans are running sums: 30,000 turns of one conversation, each span holds its own text.
+    n = 30_000
+    many = spark.range(n).select(F.lit(5).alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"),
+                                 F.concat(F.lit("<s>"), F.col("id").cast("string")).alias("text"))
+    row = chat.format_chat(many).first()
+    at = [tuple(s) for s in row["loss_spans"]]
+    assert len(at) == n and [row["formatted"][a:a + k] for a, k in (at[0], at[17], at[-1])] == ["\\ls>0", "\\ls>17", f"\\ls>{n - 1}"]
 
 
 def test_chat_parts(spark):
@@ -121,6 +131,18 @@ def test_mixed_documents_rows(spark):
     assert mixing.mix(frame(spark, [])).count() == 0 and mixing.mixed_documents(frame(spark, [])).count() == 0
 
 
+def test_key_ranges_are_even_and_in_order(spark):
+    from pyspark.sql import functions as F
+
+    # 2 of 3 documents are light: their keys are long, yet no range holds many of them.
+    df = spark.range(30_000).withColumn("w", F.element_at(F.array(*[F.lit(w) for w in (1.0, 0.25, 0.25)]), (F.col("id") % 3 + 1).cast("int")))
+    df = df.withColumn("key", -F.log(mixing.uniform(F.col("id"))) / F.col("w"))
+    rows = df.select("key", mixing.key_range(F.col("key"), [1 / 3, 0.0, 2 / 3], 100).alias("b")).orderBy("key").collect()
+    held = Counter(r["b"] for r in rows)
+    assert [r["b"] for r in rows] == sorted(r["b"] for r in rows)
+    assert set(held) == set(range(100)) and max(held.values()) < 400
+
+
 def test_heavier_documents_come_first():
     n = 4000
     u = np.random.default_rng(0).random(n)
