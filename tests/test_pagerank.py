@@ -1,59 +1,66 @@
 import numpy as np
 import pytest
-from conftest import fixture, needs_reference
 
 from corvid.operators.graph import top_ranks
 from corvid.plans.pagerank import pagerank, prepare_adjacency, prepare_edges
+from corvid.sources.generate import generate_links
 from corvid.sources.text import read_adjacency
 
 
-def _gold(path):
-    out = {}
-    for line in open(path):
-        a, b = line.split("\t")
-        out[int(a)] = float(b)
-    return out
-
-
-@needs_reference
-def test_mpi_rules_top10_golden(spark):
-    """I1 on the 1000-node file stops after 9 rounds at delta 0.001 and gives the logged top ten."""
-    adj = read_adjacency(spark, fixture("pagerank.input.1000.urls.26"))
-    res = pagerank(prepare_adjacency(adj, "mpi"), delta=0.001, iterations=10)
+#: An 11-page graph, a line a page, and its ranks under the sequential rules.
+ELEVEN = """0
+1 2
+2 1
+3 0 1
+4 1 3 5
+5 1 4
+6 1 4
+7 1 4
+8 1 4
+9 4
+10 4
+"""
+ELEVEN_RANKS = [0.03327333490504069, 0.4255694609123263, 0.37987652340539785, 0.0429960821295075, 0.0877185899985423,
+                0.0429960821295075, 0.018142481629920514, 0.018142481629920514, 0.018142481629920514, 0.018142481629920514,
+                0.015000000000000003]
+#: The ten highest (page, rank) of the 1000-page graph of the link rule, group 26, under the
+#: MPI rules, stopped at delta 0.001.
+TOP_TEN = [(10, 0.09486740923368685), (0, 0.07762038494622278), (28, 0.0756789150703395), (4, 0.07530036499362075),
+           (34, 0.035330409976054834), (256, 0.027954805515867605), (134, 0.025562889602343323), (38, 0.02214731669166356),
+           (14, 0.020386315713293673), (68, 0.01916566798476589)]
+
+
+def test_mpi_rules_top10(spark):
+    """I1 on the 1000-page graph stops after 9 rounds at delta 0.001 and gives the known top ten."""
+    res = pagerank(prepare_adjacency(generate_links(spark, 1000, 26), "mpi"), delta=0.001, iterations=10)
     assert res.rounds == 9
     got = [(r.page, r.rank) for r in top_ranks(res.ranks, 10).collect()]
-    gold = []
-    for line in open(fixture("26_pagerank_output.txt")):
-        if line.startswith("Link:"):
-            parts = line.split()
-            gold.append((int(parts[1]), float(parts[-1])))
-    assert [p for p, _ in got] == [p for p, _ in gold]
-    assert max(abs(a[1] - b[1]) for a, b in zip(got, gold)) < 1e-12
-
-
-@needs_reference
-def test_sequential_rules_fixed_point_golden(spark):
-    """I2 on the 11-node file: the stored ranks are the fixed point of the sequential rules."""
-    adj = read_adjacency(spark, fixture("pagerank.input"))
+    assert [p for p, _ in got] == [p for p, _ in TOP_TEN]
+    assert max(abs(a[1] - b[1]) for a, b in zip(got, TOP_TEN)) < 1e-12
+
+
+def test_sequential_rules_fixed_point(spark, tmp_path):
+    """I2 on 11 pages read from a file: the known ranks are the fixed point of the sequential rules."""
+    (tmp_path / "links").write_text(ELEVEN)
+    adj = read_adjacency(spark, str(tmp_path / "links"))
     res = pagerank(prepare_adjacency(adj, "sequential"), delta=1e-11, max_rounds=400)
-    gold = _gold(fixture("*SequentialPageRank_output_10.txt"))
     got = {r.page: r.rank for r in res.ranks.collect()}
-    assert set(got) == set(gold)
-    assert max(abs(got[k] - gold[k]) for k in gold) < 1e-9
+    assert set(got) == set(range(11))
+    assert max(abs(got[k] - v) for k, v in enumerate(ELEVEN_RANKS)) < 1e-9
     assert abs(sum(got.values()) - 1.1) < 1e-9
 
 
-@needs_reference
 def test_salted_shuffle_path_matches_broadcast_path(spark):
-    """Forcing the large-graph layout (rank side shuffled, every source salted) changes nothing."""
-    adj = read_adjacency(spark, fixture("pagerank.input.1000.urls.26"))
+    """Forcing the large-graph layout (rank side shuffled, every source salted, or none) changes nothing."""
+    adj = generate_links(spark, 1000, 26)
     g = prepare_adjacency(adj, "mpi")
     a = pagerank(g, delta=-1, max_rounds=4)
-    b = pagerank(g, delta=-1, max_rounds=4, broadcast_bytes=0, skew_min_rows=1, partitions=4)
     ra = {r.page: r.rank for r in a.ranks.collect()}
-    rb = {r.page: r.rank for r in b.ranks.collect()}
-    assert ra.keys() == rb.keys()
-    assert max(abs(ra[k] - rb[k]) for k in ra) < 1e-15
+    for least in (1, 100_000):
+        b = pagerank(g, delta=-1, max_rounds=4, broadcast_bytes=0, skew_min_rows=least, partitions=4)
+        rb = {r.page: r.rank for r in b.ranks.collect()}
+        assert ra.keys() == rb.keys()
+        assert max(abs(ra[k] - rb[k]) for k in ra) < 1e-15
 
 
 def test_edge_list_graph_mass_is_conserved(spark):
@@ -113,15 +120,14 @@ def test_hot_source_and_hot_target_match_brute_force(spark):
         assert max(abs(got[p] - want[p]) for p in range(n)) < 1e-14, kw
 
 
-@needs_reference
-def test_sequential_rules_1000_node_golden(spark):
-    """I2 on the 1000-node file: the stored ranks are the fixed point (maxId is dangling)."""
-    adj = read_adjacency(spark, fixture("pagerank.input.1000.urls.26"))
+def test_sequential_rules_1000_pages(spark):
+    """I2 on the 1000-page graph (its last page is dangling) against a dense loop."""
+    adj = generate_links(spark, 1000, 26)
     res = pagerank(prepare_adjacency(adj, "sequential"), delta=1e-10, max_rounds=400)
-    gold = _gold(fixture("*SequentialPageRank_output.txt"))
+    want = _dense_sequential({r.src: r.dst for r in adj.collect()})
     got = {r.page: r.rank for r in res.ranks.collect()}
-    assert set(got) == set(gold)
-    assert max(abs(got[k] - gold[k]) for k in gold) < 1e-8
+    assert set(got) == set(range(1000))
+    assert max(abs(got[k] - want[k]) for k in got) < 1e-8
 
 
 def _dense_sequential(adj, d=0.85, rounds=300):
