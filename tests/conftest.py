@@ -8,7 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF = "/root/testdata"
 
 
-
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession

@@ -11,11 +11,11 @@ LINES = """1 1:1 2:1 3:1
 1 2:1 3:1 5:1
 1 1:1 2:1 6:1
 1 3:1 5:1
--1 1:1 3:1
--1 4:1
--1 1:1 4:1 6:1
--1 2:1 4:1 6:1
--1 3:1 6:1
+0 1:1 3:1
+0 4:1
+0 1:1 4:1 6:1
+0 2:1 4:1 6:1
+0 3:1 6:1
 """
 
 
