@@ -14,6 +14,10 @@
    bit. A large meeting (near copies) is searched breadth first: a node that was reached
    is not compared again, so it costs members x unreached, and yields a spanning forest
    rather than all pairs; no link between different fingerprints is lost for reachability.
+   Meetings are counted first. One of more than ``CROWD`` nodes never comes to one task: its
+   nodes go to choices of blocks of the bits that the meeting leaves open, as many bits as
+   its size asks for, and meet there, again and again while a meeting is a crowd. Its nodes
+   agree on all other bits, so once 12 bits are open it is none.
 5. Components by star rounds (:mod:`corvid.llm.components`); the label is the smallest id.
 
 Null id: its row is fingerprinted and labelled, but it can't be a label itself. Repeated
@@ -23,6 +27,7 @@ are read, so extra columns never clash.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.common import fresh, mix, slices, words_of
@@ -42,6 +47,7 @@ SHINGLE = 4
 MAX_BITS = 4
 PIVOTS = 24          # reference fingerprints
 SMALL = 32           # meetings up to this size compare neighbours by lag
+CROWD = 4096         # meetings above this size are split by further bits
 
 
 def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -80,16 +86,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return src.mapInArrow(run, f"doc_id {dict(src.dtypes)['doc_id']}, row_hash bigint, fp bigint")
 
 
-def block_choices(nodes: int, max_bits: int = MAX_BITS) -> list[int]:
-    """Bit masks, one for each choice of blocks. The fewest blocks for which a choice's
-    value is shared by about four unrelated nodes at most."""
+def block_choices(nodes: int, max_bits: int = MAX_BITS, known: int = 0) -> list[int]:
+    """Bit masks, one for each choice of blocks of the bits that ``known`` leaves open. The
+    fewest blocks for which a choice's value is shared by about four unrelated nodes at most."""
+    bits = [i for i in range(64) if not known >> i & 1]
     for blocks in range(max_bits + 1, 17):
         kept = blocks - max_bits
-        if 64 * kept // blocks >= math.log2(max(nodes, 1)) - 2:
+        if len(bits) * kept // blocks >= math.log2(max(nodes, 1)) - 2:
             break
-    cuts = [64 * i // blocks for i in range(blocks + 1)]
-    masks = [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:])]
-    return [sum(c) for c in itertools.combinations(masks, kept)]
+    cuts = [len(bits) * i // blocks for i in range(blocks + 1)]
+    masks = [sum(1 << i for i in bits[a:b]) for a, b in zip(cuts, cuts[1:])]
+    return [known | sum(c) for c in itertools.combinations(masks, kept)]
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -140,7 +147,7 @@ def _large_group(fp: np.ndarray, refs: np.ndarray, max_bits: int):
             x = queue.pop()
             lo, hi = np.searchsorted(first[alive], [first[x] - max_bits, first[x] + max_bits + 1])
             near = alive[lo:hi]
-            near = near[_survivors(np.full(len(near), x), near, table[1:4], max_bits)]
+            near = near[_survivors(np.full(len(near), x), near, table[1:], max_bits)]
             near = near[np.bitwise_count(fp[near] ^ fp[x]) <= max_bits]
             if len(near):
                 yield np.full(len(near), fp[x]), fp[near]
@@ -148,13 +155,41 @@ def _large_group(fp: np.ndarray, refs: np.ndarray, max_bits: int):
                 queue.extend(near.tolist())
 
 
-def links(nodes: DataFrame, max_bits: int = MAX_BITS, count: int | None = None) -> DataFrame:
+def _masked(mask: int) -> Column:
+    return F.col("fp").bitwiseAND(F.lit(mask - (mask >> 63 << 64)).cast("bigint"))
+
+
+def meetings(nodes: DataFrame, max_bits: int = MAX_BITS, count: int | None = None, crowd: int = CROWD) -> DataFrame:
+    """``(fp, choice, value)``: the nodes where they meet, in meetings of at most ``crowd``
+    nodes (or with few open bits). Only the choices that hold crowds, with their largest
+    meeting, reach the driver."""
+    masks = dict(enumerate(block_choices(nodes.count() if count is None else count, max_bits)))
+    met = nodes.select("fp", F.posexplode(F.array(*[_masked(m) for m in masks.values()])).alias("choice", "value"))
+    done: list[DataFrame] = []
+    while True:
+        crowds = cut_lineage(met.groupBy("choice", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd))
+        most = {r["choice"]: r["n"] for r in crowds.groupBy("choice").agg(F.max("n").alias("n")).collect()}
+        split = {c: [m for m in block_choices(most[c], max_bits, masks[c]) if m != masks[c]] for c in sorted(most)}
+        # A choice with too few open bits to cut them into blocks is searched as it is.
+        split = {c: further for c, further in split.items() if 64 - masks[c].bit_count() >= 3 * max_bits and further}
+        if not split:
+            return functools.reduce(DataFrame.unionByName, done, met)
+        keys = crowds.filter(F.col("choice").isin(list(split))).select("choice", "value")
+        done.append(met.join(keys, ["choice", "value"], "left_anti").select("fp", "choice", "value"))
+        many = cut_lineage(met.join(keys, ["choice", "value"], "left_semi").select("fp", "choice"))
+        first = max(masks) + 1
+        places = [(c, m) for c, further in split.items() for m in further]
+        masks = {first + i: m for i, (_, m) in enumerate(places)}
+        at = nodes.sparkSession.createDataFrame(
+            [(c, first + i, m - (m >> 63 << 64)) for i, (c, m) in enumerate(places)], "choice int, next int, mask bigint")
+        met = many.join(F.broadcast(at), "choice").select(
+            "fp", F.col("next").alias("choice"), F.col("fp").bitwiseAND(F.col("mask")).alias("value"))
+
+
+def links(nodes: DataFrame, max_bits: int = MAX_BITS, count: int | None = None, crowd: int = CROWD) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints (column ``fp``) at ``max_bits`` or
     fewer differing bits, at least a spanning forest of them for each block value."""
-    masks = block_choices(nodes.count() if count is None else count, max_bits)
-    met = nodes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m - (m >> 63 << 64)).cast("bigint"))
-                                                    for m in masks])).alias("choice", "value"))
-    placed = met.repartition("choice", "value").sortWithinPartitions("choice", "value")
+    placed = meetings(nodes, max_bits, count, crowd).repartition("choice", "value").sortWithinPartitions("choice", "value")
 
     def edges(fp: np.ndarray, group: np.ndarray, refs: np.ndarray):
         cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
@@ -213,7 +248,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
               max_bits: int = MAX_BITS, seed: int = SEED) -> DataFrame:
     """One row of ``docs`` for each component, with all its columns: that of the smallest
-    id (null last; of equal ids, the smallest text hash)."""
+    id (null last; of equal ids, the smallest text hash; of rows that differ in other columns
+    only, the smallest hash of the row)."""
     fps = cut_lineage(fingerprints(docs, id_col, text_col, shingle, seed))
     root = _rooted(fps, max_bits).select("fp", "root")
     first = fps.join(root, "fp").groupBy("root").agg(F.min(F.struct(
@@ -222,4 +258,8 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     keep = first.select(F.col("s.doc_id").alias(sid), F.col("s.row_hash").alias(srow))
     marked = docs.withColumn(row, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     met = marked.join(keep, F.col(id_col).eqNullSafe(F.col(sid)) & (F.col(row) == F.col(srow)), "left_semi")
-    return met.dropDuplicates([id_col, row]).drop(row)
+    whole = F.xxhash64(*[F.col(f"`{f.name}`").cast("string") if "map" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+                         for f in docs.schema.fields])
+    one = met.groupBy(F.col(id_col).alias(sid), F.col(row).alias(srow)).agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), whole).alias(row))
+    return one.select(f"{row}.*")

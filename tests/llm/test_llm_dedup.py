@@ -67,6 +67,42 @@ def test_links_reach_every_near_fingerprint(spark):
     assert {frozenset(g) for g in groups.values()} == {frozenset(m for m in nodes if want[m] == w) for w in set(want.values())}
 
 
+def test_crowded_meetings_are_split_and_lose_no_link(spark):
+    rng = random.Random(8)
+    open_bits = range(12, 38)
+    base = rng.getrandbits(64)
+    fps = set()
+    while len(fps) < 700:  # all agree on 38 bits; some of them near, most not
+        x = base
+        for b in open_bits:
+            x ^= rng.getrandbits(1) << b
+        fps.add(x)
+        for b in rng.sample(open_bits, 3):
+            x ^= 1 << b
+        if rng.random() < 0.3:
+            fps.add(x)
+    for a in range(64):  # near copies of one fingerprint, more than a crowd
+        for b in range(a):
+            if rng.random() < 0.1:
+                fps.add(base ^ 1 << a ^ 1 << b)
+    nodes = sorted(fps)
+    df = spark.createDataFrame([(x - 2**64 if x >> 63 else x,) for x in nodes], "fp bigint")
+    plain = [tuple(r) for r in simhash.meetings(df).groupBy("choice", "value").count().collect()]
+    split = simhash.meetings(df, crowd=100).groupBy("choice", "value").count().collect()
+    assert max(n for *_, n in plain) > 500 and max(r["count"] for r in split) <= 100
+    found = [(r["a"] % 2**64, r["b"] % 2**64) for r in simhash.links(df, crowd=100).collect()]
+    assert all(bin(a ^ b).count("1") <= 4 for a, b in found)
+    real = [(a, b) for a in nodes for b in nodes if a < b and bin(a ^ b).count("1") <= 4]
+    assert components(nodes, found) == components(nodes, real)
+
+
+def test_survivors_of_rows_that_differ_elsewhere(spark):
+    rows = [(1, "the same text for all of them", f"k{i}") for i in range(6)]
+    told = {simhash.survivors(spark.createDataFrame(r, "doc_id int, text string, `a.b` string").repartition(n)).first()["a.b"]
+            for n, r in ((1, rows), (3, rows[::-1]), (6, rows[3:] + rows[:3]))}
+    assert len(told) == 1
+
+
 def test_pivots_never_lose_a_near_pair():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 2**63, 500, dtype=np.uint64)
