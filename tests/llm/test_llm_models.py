@@ -230,6 +230,34 @@ def test_isolation_depth():
     assert a.argmax() == 500 and a[500] > 0.6 and np.median(a) < 0.5
 
 
+def test_anomaly_against_a_plain_walk():
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(size=(300, 3)), np.zeros((40, 3)), np.full((1, 3), 9.0)])
+    picks = [rng.choice(len(x), 64, replace=False) for _ in range(20)]
+    trees = [np.array(quality.grow_tree(x[p], rng, 6)) for p in picks]
+
+    def length(tree, row):
+        at, depth = 0, 0
+        while tree[at][0] >= 0:
+            feature, cut, left, right, _ = tree[at]
+            at, depth = int(left if row[int(feature)] <= cut else right), depth + 1
+        n = tree[at][4]
+        c = 0.0 if n < 2 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+        return depth + c
+
+    c64 = 2 * (math.log(63) + 0.5772156649) - 2 * 63 / 64
+    want = [2 ** (-sum(length(t, r) for t in trees) / 20 / c64) for r in x]
+    assert np.allclose(quality.anomaly(trees, x, 64), want) and int(np.argmax(want)) == len(x) - 1
+    for t, p in zip(trees, picks):  # the leaves' sizes are the rows that end there
+        ends = Counter()
+        for row in x[p]:
+            at = 0
+            while t[at][0] >= 0:
+                at = int(t[at][2] if row[int(t[at][0])] <= t[at][1] else t[at][3])
+            ends[at] += 1
+        assert all(ends[i] == node[4] for i, node in enumerate(t) if node[0] < 0)
+
+
 # ---------------------------------------------------------------------- toxicity
 
 

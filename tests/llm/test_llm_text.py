@@ -227,6 +227,38 @@ def test_fingerprint_features_against_brute_force():
         assert len(fingerprint.features(data, ranks)) == max(len(want), 1 if len(data) else 0)
 
 
+def test_likeness_against_brute_force():
+    rng = np.random.default_rng(4)
+    shared = rng.integers(0, 2**63, 500).astype(np.uint64)
+
+    def plain(a, b):
+        if len(a[0]) > len(b[0]):
+            a, b = b, a
+        score = 0.0
+        for bits, n in zip(*a):
+            x = {i for i, v in enumerate(bits) if v}
+            best = 0.0
+            for other in b[0]:
+                y = {i for i, v in enumerate(other) if v}
+                most, chance = min(len(x), len(y)), len(x) * len(y) / fingerprint.FILTER_BITS
+                best = max(best, min(1.0, (len(x & y) - chance) / max(most - chance, 1e-6)))
+            score += n * best
+        return score / sum(a[1])
+
+    for own, size in ((0, 400), (30, 100), (200, 330), (400, 50)):
+        a = fingerprint.bloom_chain(shared[:size])
+        b = fingerprint.bloom_chain(np.concatenate([shared[: size - min(own, size)], rng.integers(0, 2**63, own).astype(np.uint64)]))
+        assert int(a[1].sum()) == size and len(a[0]) == -(-size // fingerprint.FILTER_FEATURES)
+        assert math.isclose(fingerprint.likeness(a, b), fingerprint.likeness(b, a))
+        if len(a[0]) != len(b[0]):
+            assert math.isclose(fingerprint.likeness(a, b), plain(a, b), abs_tol=1e-5)
+        else:
+            assert min(abs(fingerprint.likeness(a, b) - plain(a, b)), abs(fingerprint.likeness(a, b) - plain(b, a))) < 1e-5
+        assert fingerprint.likeness(a, a) == 1.0 and (own or fingerprint.likeness(a, b) == 1.0)
+    none = fingerprint.bloom_chain(shared[:0])
+    assert fingerprint.likeness(none, none) == 1.0 and fingerprint.likeness(none, a) == 0.0
+
+
 def test_fingerprint_edits_against_successors(spark):
     rows = [r for r in corpus(n=90) if r[0] != 1004]
     df = frame(spark, rows)
