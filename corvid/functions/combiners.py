@@ -12,10 +12,12 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 @dataclass(frozen=True)
@@ -26,7 +28,11 @@ class Combiner:
     name: str
     columns: tuple[str, ...]
     build: Callable[[DataFrame], list[Column]] = field(compare=False)
-    python: bool = False   # a pandas UDF: combined in two bounded phases, see combine_columns
+    fns: tuple[tuple[Callable, str], ...] = field(default=(), compare=False)   # of each column: a user's function and its type, see combine_columns
+
+    @property
+    def python(self) -> bool:
+        return bool(self.fns)
 
     def aggs(self, df: DataFrame) -> list[Column]:
         return self.build(df)
@@ -134,20 +140,21 @@ def together(*combiners: Combiner) -> Combiner:
     cols = tuple(c for cb in combiners for c in cb.columns)
     return Combiner("+".join(cb.name for cb in combiners), cols,
                     lambda df: [a for cb in combiners for a in cb.aggs(df)],
-                    python=any(cb.python for cb in combiners))
+                    fns=tuple(f for cb in combiners for f in cb.fns))
 
 
 def grouped_udf(fn: Callable, col: str, return_type: str) -> Combiner:
-    """G6/G7 user value combiner as a grouped-aggregate pandas UDF (Arrow batches).
-
-    The function receives values of one id as a pandas Series and must be associative,
-    like the reference's ``combine(current, new)``: it is applied within each input
-    partition first and then to those partial results, so no call ever sees more than one
-    partition's rows of an id (or one value per partition). It is the slow path, kept for
-    combiners that no built-in aggregate can express."""
+    """G6/G7 user value combiner, a function of a pandas Series.
+
+    The function receives values of one id and must be associative, like the reference's
+    ``combine(current, new)``: it is applied to the values that meet in a run of input rows
+    first and then to those partial results, so no call ever sees more than ``HELD_ROWS`` rows.
+    Ids are grouped whole batches at a time by Arrow; the function runs once per id that has
+    something to combine, and once per id at the end. It is the slow path, kept for combiners
+    that no built-in aggregate can express."""
     udf = F.pandas_udf(fn, return_type)
     return Combiner(f"udf:{getattr(fn, '__name__', 'fn')}", (col,), lambda df: [udf(F.col(col)).alias(col)],
-                    python=True)
+                    fns=((fn, return_type),))
 
 
 def concat_lists(*tables: DataFrame) -> DataFrame:
@@ -182,10 +189,92 @@ def int_div(num: str, den: str) -> Column:
     return F.expr(f"`{num}` div `{den}`")
 
 
+HELD_ROWS = 1 << 19    # rows that a task combines at once
+HELD_BYTES = 64 << 20  # or their bytes, if that is fewer rows
+_VALUES = (T.IntegralType, T.FractionalType, T.StringType, T.BinaryType, T.BooleanType, T.DateType)
+_KEYS = (*_VALUES, T.TimestampType, T.TimestampNTZType)
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches as tables of bounded size."""
+    held, rows, size = [], 0, 0
+    for b in batches:
+        if b.num_rows:
+            held, rows, size = [*held, b], rows + b.num_rows, size + b.nbytes
+        if rows >= HELD_ROWS or size >= HELD_BYTES:
+            yield pa.Table.from_batches(held)
+            held, rows, size = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _results(got: list, kind: pa.DataType) -> pa.Array:
+    try:
+        return pa.array(got, kind, from_pandas=True)
+    except (pa.ArrowInvalid, pa.ArrowTypeError):  # a whole float for an integer type, say
+        return pa.concat_arrays([pa.Array.from_pandas(pd.Series([x]), type=kind) for x in got])
+
+
+def _combined(t: pa.Table, keys: Sequence[str], cols: Sequence[str], fns: Sequence[Callable], out: pa.Schema, every: bool) -> pa.Table:
+    """One row per key, in the order in which the keys come: the functions of the key's values.
+    A key with one row keeps its values as they are, unless ``every``."""
+    lists = t.group_by(list(keys), use_threads=False).aggregate([(c, "list") for c in cols])
+    done = [lists.column(k).combine_chunks().cast(out.field(k).type) for k in keys]
+    for c, fn in zip(cols, fns):
+        met = lists.column(f"{c}_list").combine_chunks()
+        offsets, values, kind = met.offsets.to_numpy(), met.values, out.field(c).type
+        which = np.arange(len(met)) if every else np.flatnonzero(np.diff(offsets) > 1)
+        plain = values.to_pandas().to_numpy() if not values.null_count else None
+        series = (lambda a, b: pd.Series(plain[a:b])) if plain is not None else lambda a, b: values.slice(a, b - a).to_pandas()
+        got = _results([fn(series(a, b)) for a, b in zip(offsets[which].tolist(), offsets[which + 1].tolist())], kind)
+        if not every:  # the first value of each key, or, from ``got``, what its values come to
+            at = offsets[:-1].astype("int64")
+            at[which] = len(values) + np.arange(len(which))
+            got = pa.concat_arrays([values.cast(kind), got]).take(pa.array(at))
+        done.append(got)
+    return pa.Table.from_arrays(done, schema=out)
+
+
+def _combine_in_tasks(combiner: Combiner, keys: Sequence[str], df: DataFrame) -> DataFrame:
+    """Rows that meet in a task are combined there, a bounded run at a time; what is left goes to
+    its key's task, sorted by key, and is combined run by run again (a key that goes on in the
+    next run takes its result along)."""
+    cols, fns = combiner.columns, [fn for fn, _ in combiner.fns]
+    given = {f.name: f.dataType for f in df.schema}
+    types = [T._parse_datatype_string(t) for _, t in combiner.fns]
+    schema = T.StructType([T.StructField(k, given[k]) for k in keys] + [T.StructField(c, t) for c, t in zip(cols, types)])
+    out = to_arrow_schema(schema)
+    every = any(given[c] != t for c, t in zip(cols, types))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _held(batches):
+            yield from _combined(t, keys, cols, fns, out, every).to_batches(1 << 16)
+
+    def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_row = None
+        for t in _held(batches):
+            t = t.cast(out)
+            t = _combined(t if open_row is None else pa.concat_tables([open_row, t]), keys, cols, fns, out, True)
+            open_row = t.slice(t.num_rows - 1)
+            yield from t.slice(0, t.num_rows - 1).to_batches(1 << 16)
+        if open_row is not None:
+            yield from open_row.to_batches()
+
+    # Keys that Spark holds equal get the same bits, as in its own grouping.
+    same = [F.when(F.isnan(k), F.lit(float("nan"))).when(F.col(k) == 0, F.lit(0.0)).otherwise(F.col(k)).cast(given[k]).alias(k)
+            if isinstance(given[k], (T.FloatType, T.DoubleType)) else F.col(k) for k in keys]
+    parts = df.select(*same, *cols).mapInArrow(first, schema)
+    return parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(final, schema)
+
+
 def combine_columns(combiner: Combiner | None, keys: Sequence[str], df: DataFrame) -> DataFrame:
     if combiner is None:
         return df
     if combiner.python:
-        part = df.withColumn("_part", F.spark_partition_id())
+        given = {f.name: f.dataType for f in df.schema}
+        if all(isinstance(given.get(k), _KEYS) for k in keys) and all(isinstance(given.get(c), _VALUES) for c in combiner.columns) and all(
+                isinstance(T._parse_datatype_string(t), _VALUES) for _, t in combiner.fns):
+            return _combine_in_tasks(combiner, keys, df)
+        part = df.withColumn("_part", F.spark_partition_id())  # types whose Series are Spark's to make
         df = part.groupBy(*keys, "_part").agg(*combiner.aggs(part)).drop("_part")
     return df.groupBy(*keys).agg(*combiner.aggs(df))
