@@ -8,15 +8,19 @@ A node's examples are rows of an ``assignment(tree, node, example, label)`` tabl
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.operators.keyed import numbered
 
 ABSENT = -1e30  # score of a feature present on every example of the node (or absent)
+WORD_BITS = 62  # slots in one word of a row's slot set
 
 
 def gini(p: Column) -> Column:
@@ -93,6 +97,101 @@ def draw(fs: DataFrame, sizes: DataFrame, subset: int, seed: int, nodes: int | N
     return present(fs, keys).join(taken, [*keys, "rank"]).select("tree", "node", "feature", "m", "c")
 
 
+def slot_words(at: Column, slots: Sequence[Sequence[int | None]]) -> list[Column]:
+    """The slots (nodes of a level, numbered over all trees) that a row is at, as bits of
+    words: ``at`` is its node in every tree, ``slots`` the slot of each tree's nodes."""
+    n = 1 + max(s for tree in slots for s in tree if s is not None)
+
+    def word(first: int) -> Column:
+        bits = constant([[1 << (s - first) if s is not None and first <= s < first + WORD_BITS else 0 for s in tree] for tree in slots],
+                        "array<array<bigint>>")
+        own = F.transform(at, lambda node, tree: F.get(F.get(bits, tree), node))
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
+
+    return [word(first).alias(f"w{i}") for i, first in enumerate(range(0, n, WORD_BITS))]
+
+
+def _word_names(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c[0] == "w" and c[1:].isdigit()]
+
+
+def seen_at(rows: DataFrame) -> DataFrame:
+    """``(part, feature, w0, ...)`` of ``(feats, w0, ...)``: the slots at which each feature is
+    present, one row per feature whatever the number of slots. ``part`` is the first byte of
+    the feature's MD5, as in :func:`present`."""
+    words = _word_names(rows)
+    one = rows.select(F.explode("feats.feature").alias("feature"), *words)
+    seen = one.groupBy("feature").agg(*[F.bit_or(w).alias(w) for w in words])
+    part = F.conv(F.substring(F.md5(F.col("feature").cast("string")), 1, 2), 16, 10).cast("int")
+    return seen.withColumn("part", F.coalesce(part, F.lit(-1)))
+
+
+def slot_parts(seen: DataFrame) -> DataFrame:
+    """``(slot, part, first, past)``: the ranks that a slot's features of each part take. The
+    tasks send a number per part and slot."""
+    words = _word_names(seen)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((257, len(words) * WORD_BITS), np.int64)
+        for b in batches:
+            part = b.column(0).to_numpy() + 1
+            for i in range(len(words)):
+                word = b.column(i + 1).to_numpy()
+                for bit in range(int(np.bitwise_or.reduce(word)).bit_length()):
+                    held = part[(word >> bit) & 1 == 1]
+                    if len(held):
+                        n[:, i * WORD_BITS + bit] += np.bincount(held, minlength=257)
+        part, slot = np.nonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int32()), pa.array(part - 1, pa.int32()), pa.array(n[part, slot])],
+                                         ["slot", "part", "n"])
+
+    n = seen.select("part", *words).mapInArrow(count, "slot int, part int, n bigint").groupBy("slot", "part").agg(F.sum("n").alias("n"))
+    past = F.sum("n").over(Window.partitionBy("slot").orderBy("part"))
+    return n.withColumn("past", past).select("slot", "part", (F.col("past") - F.col("n")).alias("first"), "past")
+
+
+def draw_at(seen: DataFrame, nodes: DataFrame, subset: int, seed: int, most: int) -> DataFrame:
+    """``(tree, node, slot, feature)``: what each (tree, node) draws of the features present at
+    its slot, as :func:`draw`, but without a row per node and feature. ``nodes`` is
+    ``(slot, tree, node)``, ``most`` rows at most; several may share a slot. ``seen`` (:func:`seen_at`) is read twice:
+    cache it. A task sorts one of 256 parts of the features and counts along each slot's bits."""
+    parts = slot_parts(seen)
+    sizes = nodes.join(parts.groupBy("slot").agg(F.max("past").alias("F")), "slot")
+    taken = draws(sizes.select("tree", "node", "F"), subset, seed).join(F.broadcast(nodes), ["tree", "node"])
+    spans = small_side(parts.withColumnRenamed("slot", "_s"), rows=257 * most)
+    taken = taken.join(spans, (F.col("slot") == F.col("_s")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("past")))
+    taken = taken.select("part", "slot", "tree", "node", (F.col("rank") - F.col("first")).alias("rank"))
+
+    def pick(features: pa.Table, asked: pa.Table) -> pa.Table:
+        features = features.take(pc.sort_indices(features, [("feature", "ascending")], null_placement="at_start"))
+        asked = asked.sort_by("slot")
+        slot, rank = asked.column("slot").to_numpy(), asked.column("rank").to_numpy()
+        place = np.zeros(len(slot), np.int64)
+        edges = np.append(np.flatnonzero(np.diff(slot, prepend=-1)), len(slot))
+        for i, j in zip(edges[:-1], edges[1:]):
+            word = features.column(f"w{slot[i] // WORD_BITS}").to_numpy()
+            place[i:j] = np.flatnonzero((word >> (slot[i] % WORD_BITS)) & 1)[rank[i:j]]
+        cols = [asked.column(c) for c in ("tree", "node", "slot")]
+        return pa.table([*cols, features.column("feature").take(pa.array(place))], ["tree", "node", "slot", "feature"])
+
+    kind = dict(seen.dtypes)["feature"]
+    return seen.groupBy("part").cogroup(taken.groupBy("part")).applyInArrow(pick, f"tree int, node bigint, slot int, feature {kind}")
+
+
+def drawn_stats(rows: DataFrame, drawn: DataFrame, most: int) -> DataFrame:
+    """J7 of drawn features only: ``(tree, node, feature, m, c)``. ``rows`` is
+    ``(label, feats, w0, ...)``, ``drawn`` (read twice: cache it) has at most ``most`` rows."""
+    words = _word_names(rows)
+    asked = small_side(drawn.groupBy("feature").agg(F.collect_set("slot").alias("_slots")), rows=most)
+    held = F.filter("_slots", lambda s: F.call_function("shiftright", F.get(F.array(*words), F.floor(s / WORD_BITS).cast("int")), s % WORD_BITS)
+                    .bitwiseAND(F.lit(1).cast("bigint")) == 1)
+    one = rows.select("label", F.explode("feats").alias("_f"), *words).select("label", F.col("_f.feature").alias("feature"), F.col("_f.k").alias("k"), *words)
+    each = one.join(asked.withColumnRenamed("feature", "_a"), F.col("feature").eqNullSafe(F.col("_a"))).select("label", "feature", "k", F.explode(held).alias("slot"))
+    fs = each.groupBy("slot", "feature").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("label")).alias("c"))
+    fs = fs.withColumnsRenamed({"slot": "_s", "feature": "_a"})
+    return drawn.join(fs, (F.col("slot") == F.col("_s")) & F.col("feature").eqNullSafe(F.col("_a"))).select("tree", "node", "feature", "m", "c")
+
+
 def node_stats(assignment: DataFrame) -> DataFrame:
     """Examples and positives per (tree, node); totals come from labels, not postings, so
     an example without features still counts."""

@@ -4,8 +4,9 @@ The reference trains each tree recursively on one machine with all data copied t
 task. Here all trees grow together, level by level. The postings are shuffled once, into one
 row per example with its features. The trees grown so far are constants of an expression that
 walks a row to its node in every tree, so routing (J6) needs no join and no exchange: a level
-counts its nodes' examples, then (tree, node, feature) over the rows at nodes that may split,
-with map-side partial counts, and picks the best split. Only the level's nodes reach the
+counts its nodes' examples, marks for each feature the nodes at which it is present (one row per
+feature, a bit per node, whatever the number of trees), draws along the bits, counts the drawn
+features alone in a second scan, and picks the best split. Only the level's nodes reach the
 driver, at most trees x 2^depth of them, the size of the model itself.
 
 Semantics kept from the reference: no bootstrap (every tree sees every row); a node is a
@@ -78,7 +79,7 @@ def example_rows(labels: DataFrame, postings: DataFrame, duplicates: str) -> Dat
 def _grow(rows: DataFrame, first_tree: int, last_tree: int, ftype: str, max_depth: int, subset: int | None, seed: int,
           mode: str, impurity: str) -> list[_Tree]:
     trees = [_Tree() for _ in range(first_tree, last_tree + 1)]
-    names = F.transform("feats", lambda f: f["feature"])
+    names = F.col("feats.feature")
     for depth in range(max_depth + 1):
         if not any(t.open for t in trees):
             break
@@ -105,28 +106,32 @@ def _grow(rows: DataFrame, first_tree: int, last_tree: int, ftype: str, max_dept
             break
         spark = rows.sparkSession
         ns = spark.createDataFrame([(k + first_tree, *v) for k, *v in totals], "tree int, node bigint, n bigint, pos bigint")
-        impure = fo.constant([[t.heap[i] if i in split[k] else None for i in range(len(t.heap))] for k, t in enumerate(live)],
-                             "array<array<bigint>>")
-        counted = rows.select("label", "feats", F.posexplode(at).alias("tree", "_i")).select(
-            "label", "feats", F.col("tree").cast("int").alias("tree"), F.get(F.get(impure, F.col("tree")), F.col("_i")).alias("node")).filter(
-            F.col("node").isNotNull()).select("label", "tree", "node", F.explode("feats").alias("_f"))
-        fs = counted.groupBy("tree", "node", F.col("_f.feature").alias("feature")).agg(
-            F.sum("_f.k").alias("m"), F.sum(F.col("_f.k") * F.col("label")).alias("c"))
-        fs = persist(fs)
         if subset is None:
-            drawn = fs
+            impure = fo.constant([[t.heap[i] if i in split[k] else None for i in range(len(t.heap))] for k, t in enumerate(live)],
+                                 "array<array<bigint>>")
+            counted = rows.select("label", "feats", F.posexplode(at).alias("tree", "_i")).select(
+                "label", "feats", F.col("tree").cast("int").alias("tree"), F.get(F.get(impure, F.col("tree")), F.col("_i")).alias("node")).filter(
+                F.col("node").isNotNull()).select("label", "tree", "node", F.explode("feats").alias("_f"))
+            drawn = counted.groupBy("tree", "node", F.col("_f.feature").alias("feature")).agg(
+                F.sum("_f.k").alias("m"), F.sum(F.col("_f.k") * F.col("label")).alias("c"))
+            kept = []
         else:
-            held = fs.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("F")).collect()  # one row per node
-            ids = range(first_tree, last_tree + 1)
-            sizes = [(t, r["node"], r["F"]) for r in held for t in (ids if same else [r["tree"] + first_tree])]
-            sizes = spark.createDataFrame(sizes, "tree int, node bigint, F bigint")
-            mine = fs.drop("tree") if same else fs.withColumn("tree", (F.col("tree") + F.lit(first_tree)).cast("int"))
-            drawn = fo.draw(mine, sizes, subset, seed, len(totals))
+            ids = {key: s for s, key in enumerate((k, i) for k in range(len(live)) for i in split[k])}
+            slots = [[ids.get((k, i)) for i in range(len(t.heap))] for k, t in enumerate(live)]
+            counted = rows.select("label", "feats", *fo.slot_words(at, slots))
+            counted = counted.filter(" or ".join(f"{w} != 0" for w in counted.columns[2:]))
+            of = [(0 if same else ids[k, i], k + first_tree, t.heap[i]) for k, t in enumerate(trees) for i in split[k]]
+            of = spark.createDataFrame(of, "slot int, tree int, node bigint")
+            seen = persist(fo.seen_at(counted))
+            picked = persist(fo.draw_at(seen, of, subset, seed, len(totals)))
+            drawn = fo.drawn_stats(counted, picked, len(totals) * subset)
+            kept = [seen, picked]
         scored = fo.score_stats(drawn, ns, impurity, len(totals))
         if mode == "gini":
             scored = scored.filter(F.col("score") > F.lit(fo.ABSENT))
         best = {(r["tree"] - first_tree, r["node"]): r for r in fo.best_feature(scored).collect()}  # at most one row per node
-        fs.unpersist()
+        for df in kept:
+            df.unpersist()
         for k, t in enumerate(trees):
             for i in split[k]:
                 r = best.get((k, t.heap[i]))

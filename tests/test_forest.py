@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from corvid.operators import forest as fo
-from corvid.plans.forest import load_forest, predict, save_forest, train_forest
+from corvid.plans.forest import example_rows, load_forest, predict, save_forest, train_forest
 from corvid.sources.text import read_sparse_labeled
 
 
@@ -132,6 +132,28 @@ def test_forest_equals_plain_recursion_and_draws_at_most_subset(spark):
     assert sorted(r["rank"] for r in everything) == list(range(fs.count()))
 
 
+def test_draws_along_slots_equal_draws_of_counted_features(spark):
+    """A level keeps one row per feature, not one per tree, node and feature; the draws and
+    their counts are those of the numbered features. 72 slots take two words."""
+    lab, post, _, _ = _small_data(spark, n=90)
+    slots = [[0, 1], [None if i == 3 else 2 + i for i in range(70)]]
+    at = F.array((F.col("example") % 2).cast("int"), (F.col("example") % 70).cast("int"))
+    rows = example_rows(lab, post, "set").select("label", "feats", *fo.slot_words(at, slots))
+    assert rows.columns == ["label", "feats", "w0", "w1"]
+    seen = fo.seen_at(rows).persist()
+    assert seen.count() == post.select("feature").distinct().count()
+    slot = F.explode(F.array((F.col("example") % 2), F.when(F.col("example") % 70 != 3, 2 + F.col("example") % 70)))
+    placed = lab.select(slot.alias("tree"), F.lit(1).cast("bigint").alias("node"), "example", "label").filter("tree is not null")
+    fs = fo.feature_stats(fo.weighted_postings(post, "set"), placed)
+    sizes = fs.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("F"))
+    want = sorted(tuple(r) for r in fo.draw(fs, sizes, 4, 5).collect())
+    nodes = spark.createDataFrame([(s, s, 1) for s in range(72)], "slot int, tree int, node bigint")
+    drawn = fo.draw_at(seen, nodes, 4, 5, 72).persist()
+    assert sorted(tuple(r) for r in fo.drawn_stats(rows, drawn, 72 * 4).collect()) == want and len({t for t, *_ in want}) > 62
+    drawn.unpersist()
+    seen.unpersist()
+
+
 def test_prediction_walks_every_tree(spark):
     lab, post, labels, rows = _small_data(spark)
     model = train_forest(lab, post, num_trees=3, max_depth=4, subset=4, seed=2, duplicates="set")
